@@ -1,17 +1,18 @@
 """Matching of order creations and payments within a deadline.
 
-Events of an order are read by time, a creation before a payment of the same
-time; other event types are left out.
+Events of an order are read by time in milliseconds, a creation before a
+payment of the same time; other event types are left out.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.functions.times import floor_to, interval_text, millis
+from eventide.functions.times import floor_to, millis
 
 CREATE = "create"
 PAY = "pay"
@@ -48,12 +49,12 @@ def order_pay_match(
     per order. ``slice_size=None`` does it in one round, with one exchange less,
     for data known to have few events per order.
     """
-    rows = _order_events(events)
+    rows = order_steps(events)
     if slice_size is None:
-        linked = _with_neighbours(rows, ["order_id"], ["ts", "step"])
+        linked = _with_neighbours(rows, ["order_id"], ["at", "step"])
     else:
-        rows = rows.withColumn("slice", floor_to(F.unix_millis("ts"), slice_size))
-        inner = _with_neighbours(rows, ["order_id", "slice"], ["ts", "step"]).withColumns(
+        rows = rows.withColumn("slice", floor_to(F.col("at"), slice_size))
+        inner = _with_neighbours(rows, ["order_id", "slice"], ["at", "step"]).withColumns(
             {
                 "inside": F.when(
                     F.col("before").isNotNull() & F.col("after").isNotNull(), F.col("slice")
@@ -63,10 +64,10 @@ def order_pay_match(
         )
         # A slice's first and last row may be equal in time and type; "closing"
         # keeps them in the order of the first round.
-        outer = Window.partitionBy("order_id", "inside").orderBy("ts", "step", "closing")
+        outer = Window.partitionBy("order_id", "inside").orderBy("at", "step", "closing")
         linked = inner.select(
             "order_id",
-            "ts",
+            "at",
             "step",
             F.coalesce("before", F.lag(_event()).over(outer)).alias("before"),
             F.coalesce("after", F.lead(_event()).over(outer)).alias("after"),
@@ -74,7 +75,7 @@ def order_pay_match(
 
     is_create = F.col("step") == 0
     followed = is_create & (F.col("after.step") == 1)
-    in_time = F.col("after.ts") < F.col("ts") + F.expr(f"INTERVAL {interval_text(deadline)}")
+    in_time = F.col("after.at") < F.col("at") + millis(deadline)
     message = (
         F.when(followed & in_time, MATCHED)
         .when(followed, LATE)
@@ -101,37 +102,36 @@ def order_timeout_warning(
     """
     if deadline > slice_size:
         raise ValueError("a slice must be at least as long as the deadline")
-    rows = _order_events(events)
-    ms = F.unix_millis("ts")
-    wait = millis(deadline)
-    reach = F.when(F.col("step") == 0, F.array(floor_to(ms, slice_size))).otherwise(
+    rows = order_steps(events)
+    at, wait = F.col("at"), millis(deadline)
+    reach = F.when(F.col("step") == 0, F.array(floor_to(at, slice_size))).otherwise(
         F.sequence(
-            floor_to(ms - wait, slice_size),
-            floor_to(ms + wait, slice_size),
+            floor_to(at - wait, slice_size),
+            floor_to(at + wait, slice_size),
             F.lit(millis(slice_size)),
         )
     )
-    placed = rows.select("order_id", "ts", "step", F.explode(reach).alias("slice"))
+    placed = rows.select("order_id", "at", "step", F.explode(reach).alias("slice"))
 
     group = Window.partitionBy("order_id", "slice")
-    pay_time = F.when(F.col("step") == 1, F.col("ts"))
-    up_to_here = group.orderBy("ts", "step").rowsBetween(Window.unboundedPreceding, 0)
-    # Same group read backwards: a running value instead of a frame per row.
-    from_here = group.orderBy(F.desc("ts"), F.desc("step")).rowsBetween(Window.unboundedPreceding, 0)
-    span = F.expr(f"INTERVAL {interval_text(deadline)}")
+    pay_time = F.when(F.col("step") == 1, F.col("at"))
+    so_far = Window.unboundedPreceding, Window.currentRow
+    forwards = group.orderBy("at", "step").rowsBetween(*so_far)
+    # The same group read backwards: a running value instead of a frame per row.
+    backwards = group.orderBy(F.desc("at"), F.desc("step")).rowsBetween(*so_far)
     return (
         placed.select(
             "order_id",
-            "ts",
+            "at",
             "step",
-            F.max(pay_time).over(up_to_here).alias("last_pay"),
-            F.min(pay_time).over(from_here).alias("next_pay"),
+            F.max(pay_time).over(forwards).alias("last_pay"),
+            F.min(pay_time).over(backwards).alias("next_pay"),
         )
         .where(F.col("step") == 0)
-        .where(F.col("last_pay").isNull() | (F.col("last_pay") < F.col("ts") - span))
+        .where(F.col("last_pay").isNull() | (F.col("last_pay") < at - wait))
         .select(
             "order_id",
-            F.when(F.col("next_pay") <= F.col("ts") + span, WARN_PAYED)
+            F.when(F.col("next_pay") <= at + wait, WARN_PAYED)
             .otherwise(WARN_TIMEOUT)
             .alias("result_msg"),
         )
@@ -153,15 +153,16 @@ def timeout_orders(tagged: DataFrame) -> DataFrame:
     return tagged.where(F.col("kind") == TIMEOUT).drop("kind")
 
 
-def _order_events(events: DataFrame) -> DataFrame:
+def order_steps(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """``order_id, at, step``: epoch milliseconds, and 0 for a creation or 1 for a payment."""
     step = F.when(F.col("event_type") == CREATE, 0).when(F.col("event_type") == PAY, 1)
     return events.where(F.col("event_type").isin(CREATE, PAY)).select(
-        "order_id", "ts", step.alias("step")
+        "order_id", F.unix_millis("ts").alias("at"), step.alias("step"), *keep
     )
 
 
 def _event() -> Column:
-    return F.struct("ts", "step")
+    return F.struct("at", "step")
 
 
 def _with_neighbours(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:

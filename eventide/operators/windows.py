@@ -64,9 +64,12 @@ def slide_panes(
 
     first, last = F.col("pane_end"), F.col("pane_end") + (size_ms - slide_ms)
     slices = F.sequence(floor_to(first, slice_size), floor_to(last, slice_size), F.lit(slice_ms))
+    # A stated number of partitions, so that they are not merged by their small
+    # input size: each pane may turn into size / slide rows below.
+    partitions = int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = panes.select(
         *keys, "pane_end", "count", F.explode(slices).alias("slice")
-    ).repartition(*keys, "slice")
+    ).repartition(partitions, *keys, "slice")
 
     slice_start = F.col("slice")
     slice_end = slice_start + slice_ms

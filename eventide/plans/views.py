@@ -30,7 +30,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows as a stream."""
-    return _zoned(spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
+    # A pattern, since a plain path would have to be a folder.
+    return _zoned(spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parquet*"))
 
 
 def _zoned(df: DataFrame) -> DataFrame:
@@ -53,6 +54,16 @@ def behavior(df: DataFrame) -> DataFrame:
     )
 
 
+def views_only(df: DataFrame) -> DataFrame:
+    """Rows that become page views, by a test the parquet scan can use."""
+    return df.where(F.col("event_type") == "view")
+
+
+def without_removals(df: DataFrame) -> DataFrame:
+    """Rows that do not become UNINSTALL, by a test the parquet scan can use."""
+    return df.where(F.col("event_type") != "error")
+
+
 def access_log(df: DataFrame) -> DataFrame:
     """Page requests."""
     ip = F.concat(F.lit("10.0."), F.floor(F.col("user_id") / 256), F.lit("."), F.col("user_id") % 256)

@@ -1,0 +1,267 @@
+"""Keyed state with event-time timers: click limit, order matching, order warning.
+
+Rows of a micro-batch reach a processor before the timers that fall due with
+it, and in no set order, so each processor sorts what it gets.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+from datetime import timedelta
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from eventide.functions.times import DAY_SECONDS, millis, utc_day
+from eventide.operators import limits, orders
+from eventide.streaming.windows import NO_DELAY, with_watermark
+
+ORDER_RESULT = T.StructType(
+    [
+        T.StructField("order_id", T.LongType()),
+        T.StructField("kind", T.StringType()),
+        T.StructField("result_msg", T.StringType()),
+    ]
+)
+
+
+class ClickLimiter(StatefulProcessor):
+    """Key: user, ad, UTC day. State: clicks seen, up to one above the limit."""
+
+    def __init__(self, limit: int, order: Sequence[str]):
+        self.limit = limit
+        self.order = list(order)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", T.StructType([T.StructField("n", T.LongType())]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        seen = self.seen.get()[0] if self.seen.exists() else 0
+        if seen == 0:
+            self.handle.registerTimer((int(key[2]) + 1) * DAY_SECONDS * 1000)
+        # Only this many more rows can matter; the rest need not be held.
+        room = self.limit + 1 - seen
+        if room <= 0:
+            return
+        first = pd.DataFrame()
+        for chunk in rows:
+            first = pd.concat([first, chunk]).sort_values(self.order).head(room)
+        position = range(seen + 1, seen + 1 + len(first))
+        self.seen.update((seen + len(first),))
+        yield first.assign(
+            kind=[limits.PASSED if p <= self.limit else limits.WARNING for p in position]
+        )
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.seen.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def click_limit_stream(
+    clicks: DataFrame,
+    limit: int,
+    order: Sequence[str] = ("ts",),
+    keys: Sequence[str] = ("user_id", "ad_id"),
+    delay: timedelta = NO_DELAY,
+    ts: str = "ts",
+) -> DataFrame:
+    """Stream form of ``click_limit``: clicks tagged ``passed`` or ``warning``.
+
+    Clicks count in the order of micro-batches, and by ``order`` within one.
+    Before the exchange each Arrow batch gives up what lies beyond ``limit + 1``
+    clicks of a key and day: the state could only drop it. Its newest row stays
+    in any case, since it moves the watermark.
+    """
+    dated = clicks.withColumn("day", utc_day(F.col(ts)))
+    group = [*keys, "day"]
+    by = list(order)
+
+    def trim(batches):
+        for rows in batches:
+            rows = rows.sort_values(by)
+            few = rows.groupby(group, dropna=False, sort=False).cumcount() <= limit
+            few |= rows[ts] == rows[ts].max()
+            yield rows[few]
+
+    trimmed = with_watermark(dated.mapInPandas(trim, dated.schema), delay, ts)
+    tagged = trimmed.groupBy(*group).transformWithStateInPandas(
+        statefulProcessor=ClickLimiter(limit, by),
+        outputStructType=T.StructType([*dated.schema.fields, T.StructField("kind", T.StringType())]),
+        outputMode="Append",
+        timeMode="EventTime",
+    )
+    return tagged.drop("day")
+
+
+class OrderPayMatcher(StatefulProcessor):
+    """Key: order. State: the event that waits for its counterpart, and its time.
+
+    A waiting creation has a timer at its deadline, a waiting payment at its
+    own time. A second event of the same type reports the first one before it
+    takes its place.
+    """
+
+    def __init__(self, deadline_ms: int):
+        self.deadline_ms = deadline_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        schema = T.StructType([T.StructField("step", T.LongType()), T.StructField("at", T.LongType())])
+        self.waiting = handle.getValueState("waiting", schema)
+
+    def _timer(self, step: int, at: int) -> int:
+        return at + self.deadline_ms if step == 0 else at
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        before = tuple(map(int, self.waiting.get())) if self.waiting.exists() else None
+        waiting, messages = before, []
+        for step, at in _sorted_steps(rows):
+            if waiting is None:
+                waiting = (step, at)
+            elif waiting[0] == step:
+                messages.append(orders.NOT_PAYED if step == 0 else orders.NO_CREATE)
+                waiting = (step, at)
+            else:
+                late = step == 1 and at >= self._timer(*waiting)
+                messages.append(orders.LATE if late else orders.MATCHED)
+                waiting = None
+        if waiting != before:
+            if before is not None:
+                self.handle.deleteTimer(self._timer(*before))
+            if waiting is None:
+                self.waiting.clear()
+            else:
+                self.waiting.update(waiting)
+                self.handle.registerTimer(self._timer(*waiting))
+        if messages:
+            yield _order_rows(key[0], messages)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.waiting.exists():
+            step, at = map(int, self.waiting.get())
+            if self._timer(step, at) == expiredTimerInfo.getExpiryTimeInMs():
+                self.waiting.clear()
+                yield _order_rows(key[0], [orders.NOT_PAYED if step == 0 else orders.NO_CREATE])
+
+    def close(self) -> None:
+        pass
+
+
+class OrderTimeoutWarner(StatefulProcessor):
+    """Key: order. State: the last payment, and per deadline the waiting creations.
+
+    Creations of one deadline are kept as two counts: still unpaid, and paid.
+    """
+
+    def __init__(self, deadline_ms: int):
+        self.deadline_ms = deadline_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        long = lambda name: T.StructType([T.StructField(name, T.LongType())])
+        self.last_pay = handle.getValueState("last_pay", long("at"))
+        self.open = handle.getMapState(
+            "open",
+            long("due"),
+            T.StructType([T.StructField("unpaid", T.LongType()), T.StructField("paid", T.LongType())]),
+        )
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        events = _sorted_steps(rows)
+        last_pay = int(self.last_pay.get()[0]) if self.last_pay.exists() else None
+        counts = {}
+        if any(step == 1 for step, _ in events):
+            counts = {int(k[0]): [int(v[0]), int(v[1])] for k, v in self.open.iterator()}
+        unpaid = {due for due, (waiting, _) in counts.items() if waiting}
+        changed, first_pay = set(), last_pay
+        for step, at in events:
+            if step == 1:
+                # Every waiting creation is settled by the first payment in its time.
+                for due in [d for d in unpaid if d - self.deadline_ms <= at <= d]:
+                    waiting, paid = counts[due]
+                    counts[due] = [0, paid + waiting]
+                    changed.add(due)
+                    unpaid.discard(due)
+                unpaid = {d for d in unpaid if d > at}
+                last_pay = at if last_pay is None else max(at, last_pay)
+            elif last_pay is None or not at - self.deadline_ms <= last_pay < at:
+                due = at + self.deadline_ms
+                if due not in counts:
+                    found = self.open.getValue((due,)) if self.open.containsKey((due,)) else (0, 0)
+                    counts[due] = [int(found[0]), int(found[1])]
+                changed.add(due)
+                if last_pay is not None and at <= last_pay <= due:
+                    counts[due][1] += 1  # came after its payment, but is the earlier event
+                else:
+                    counts[due][0] += 1
+                    unpaid.add(due)
+        for due in changed:
+            self.open.updateValue((due,), tuple(counts[due]))
+            self.handle.registerTimer(due)
+        if last_pay != first_pay:
+            self.last_pay.update((last_pay,))
+            self.handle.registerTimer(last_pay + self.deadline_ms)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        due = expiredTimerInfo.getExpiryTimeInMs()
+        if self.last_pay.exists() and self.last_pay.get()[0] + self.deadline_ms <= due:
+            self.last_pay.clear()
+        if self.open.containsKey((due,)):
+            unpaid, paid = self.open.getValue((due,))
+            self.open.removeKey((due,))
+            texts = [orders.WARN_TIMEOUT] * int(unpaid) + [orders.WARN_PAYED] * int(paid)
+            yield pd.DataFrame({"order_id": key[0], "result_msg": texts})
+
+    def close(self) -> None:
+        pass
+
+
+def order_pay_match_stream(
+    events: DataFrame, deadline: timedelta = orders.DEADLINE, delay: timedelta = NO_DELAY
+) -> DataFrame:
+    """Stream form of ``order_pay_match``.
+
+    Differs where the time of arrival matters: a payment before its creation
+    still matches while it waits, and one that comes after the deadline in a
+    later micro-batch finds its order timed out and then has no creation.
+    """
+    return _order_steps_stream(events, delay).groupBy("order_id").transformWithStateInPandas(
+        statefulProcessor=OrderPayMatcher(millis(deadline)),
+        outputStructType=ORDER_RESULT,
+        outputMode="Append",
+        timeMode="EventTime",
+    )
+
+
+def order_timeout_warning_stream(
+    events: DataFrame, deadline: timedelta = orders.DEADLINE, delay: timedelta = NO_DELAY
+) -> DataFrame:
+    """Stream form of ``order_timeout_warning``."""
+    return _order_steps_stream(events, delay).groupBy("order_id").transformWithStateInPandas(
+        statefulProcessor=OrderTimeoutWarner(millis(deadline)),
+        outputStructType=T.StructType([f for f in ORDER_RESULT if f.name != "kind"]),
+        outputMode="Append",
+        timeMode="EventTime",
+    )
+
+
+def _order_steps_stream(events: DataFrame, delay: timedelta) -> DataFrame:
+    return orders.order_steps(with_watermark(events, delay), keep=["ts"])
+
+
+def _sorted_steps(rows: Iterator[pd.DataFrame]) -> list[tuple[int, int]]:
+    steps = pd.concat([chunk[["step", "at"]] for chunk in rows]).sort_values(["at", "step"])
+    return list(zip(steps["step"].tolist(), steps["at"].tolist()))
+
+
+def _order_rows(order_id, messages: list[str]) -> pd.DataFrame:
+    kinds = [orders.PAYED if m == orders.MATCHED else orders.TIMEOUT for m in messages]
+    return pd.DataFrame({"order_id": order_id, "kind": kinds, "result_msg": messages})
