@@ -6,11 +6,11 @@ it, and in no set order, so each processor sorts what it gets.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -39,24 +39,22 @@ class ClickLimiter(StatefulProcessor):
         self.handle = handle
         self.seen = handle.getValueState("seen", T.StructType([T.StructField("n", T.LongType())]))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        seen = self.seen.get()[0] if self.seen.exists() else 0
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        state = self.seen.get()
+        seen = int(state[0]) if state else 0
         if seen == 0:
             self.handle.registerTimer((int(key[2]) + 1) * DAY_SECONDS * 1000)
         # Only this many more rows can matter; the rest need not be held.
         room = self.limit + 1 - seen
         if room <= 0:
             return
-        first = pd.DataFrame()
-        for chunk in rows:
-            first = pd.concat([first, chunk]).sort_values(self.order).head(room)
-        position = range(seen + 1, seen + 1 + len(first))
+        first = heapq.nsmallest(room, rows, key=lambda row: tuple(row[name] for name in self.order))
         self.seen.update((seen + len(first),))
-        yield first.assign(
-            kind=[limits.PASSED if p <= self.limit else limits.WARNING for p in position]
-        )
+        for position, row in enumerate(first, seen + 1):
+            kind = limits.PASSED if position <= self.limit else limits.WARNING
+            yield Row(**row.asDict(), kind=kind)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.seen.clear()
         yield from ()
 
@@ -91,7 +89,7 @@ def click_limit_stream(
             yield rows[few]
 
     trimmed = with_watermark(dated.mapInPandas(trim, dated.schema), delay, ts)
-    tagged = trimmed.groupBy(*group).transformWithStateInPandas(
+    tagged = trimmed.groupBy(*group).transformWithState(
         statefulProcessor=ClickLimiter(limit, by),
         outputStructType=T.StructType([*dated.schema.fields, T.StructField("kind", T.StringType())]),
         outputMode="Append",
@@ -119,8 +117,9 @@ class OrderPayMatcher(StatefulProcessor):
     def _timer(self, step: int, at: int) -> int:
         return at + self.deadline_ms if step == 0 else at
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        before = tuple(map(int, self.waiting.get())) if self.waiting.exists() else None
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        state = self.waiting.get()
+        before = (int(state[0]), int(state[1])) if state else None
         waiting, messages = before, []
         for step, at in _sorted_steps(rows):
             if waiting is None:
@@ -140,15 +139,14 @@ class OrderPayMatcher(StatefulProcessor):
             else:
                 self.waiting.update(waiting)
                 self.handle.registerTimer(self._timer(*waiting))
-        if messages:
-            yield _order_rows(key[0], messages)
+        for message in messages:
+            yield _match_row(key[0], message)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.waiting.exists():
-            step, at = map(int, self.waiting.get())
-            if self._timer(step, at) == expiredTimerInfo.getExpiryTimeInMs():
-                self.waiting.clear()
-                yield _order_rows(key[0], [orders.NOT_PAYED if step == 0 else orders.NO_CREATE])
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        state = self.waiting.get()
+        if state and self._timer(int(state[0]), int(state[1])) == expiredTimerInfo.getExpiryTimeInMs():
+            self.waiting.clear()
+            yield _match_row(key[0], orders.NOT_PAYED if state[0] == 0 else orders.NO_CREATE)
 
     def close(self) -> None:
         pass
@@ -173,9 +171,10 @@ class OrderTimeoutWarner(StatefulProcessor):
             T.StructType([T.StructField("unpaid", T.LongType()), T.StructField("paid", T.LongType())]),
         )
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         events = _sorted_steps(rows)
-        last_pay = int(self.last_pay.get()[0]) if self.last_pay.exists() else None
+        state = self.last_pay.get()
+        last_pay = int(state[0]) if state else None
         counts = {}
         if any(step == 1 for step, _ in events):
             counts = {int(k[0]): [int(v[0]), int(v[1])] for k, v in self.open.iterator()}
@@ -210,15 +209,17 @@ class OrderTimeoutWarner(StatefulProcessor):
             self.handle.registerTimer(last_pay + self.deadline_ms)
         yield from ()
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         due = expiredTimerInfo.getExpiryTimeInMs()
-        if self.last_pay.exists() and self.last_pay.get()[0] + self.deadline_ms <= due:
+        last_pay = self.last_pay.get()
+        if last_pay and last_pay[0] + self.deadline_ms <= due:
             self.last_pay.clear()
         if self.open.containsKey((due,)):
             unpaid, paid = self.open.getValue((due,))
             self.open.removeKey((due,))
-            texts = [orders.WARN_TIMEOUT] * int(unpaid) + [orders.WARN_PAYED] * int(paid)
-            yield pd.DataFrame({"order_id": key[0], "result_msg": texts})
+            for message, times in ((orders.WARN_TIMEOUT, unpaid), (orders.WARN_PAYED, paid)):
+                for _ in range(int(times)):
+                    yield Row(order_id=key[0], result_msg=message)
 
     def close(self) -> None:
         pass
@@ -233,7 +234,7 @@ def order_pay_match_stream(
     still matches while it waits, and one that comes after the deadline in a
     later micro-batch finds its order timed out and then has no creation.
     """
-    return _order_steps_stream(events, delay).groupBy("order_id").transformWithStateInPandas(
+    return _order_steps_stream(events, delay).groupBy("order_id").transformWithState(
         statefulProcessor=OrderPayMatcher(millis(deadline)),
         outputStructType=ORDER_RESULT,
         outputMode="Append",
@@ -245,7 +246,7 @@ def order_timeout_warning_stream(
     events: DataFrame, deadline: timedelta = orders.DEADLINE, delay: timedelta = NO_DELAY
 ) -> DataFrame:
     """Stream form of ``order_timeout_warning``."""
-    return _order_steps_stream(events, delay).groupBy("order_id").transformWithStateInPandas(
+    return _order_steps_stream(events, delay).groupBy("order_id").transformWithState(
         statefulProcessor=OrderTimeoutWarner(millis(deadline)),
         outputStructType=T.StructType([f for f in ORDER_RESULT if f.name != "kind"]),
         outputMode="Append",
@@ -257,11 +258,10 @@ def _order_steps_stream(events: DataFrame, delay: timedelta) -> DataFrame:
     return orders.order_steps(with_watermark(events, delay), keep=["ts"])
 
 
-def _sorted_steps(rows: Iterator[pd.DataFrame]) -> list[tuple[int, int]]:
-    steps = pd.concat([chunk[["step", "at"]] for chunk in rows]).sort_values(["at", "step"])
-    return list(zip(steps["step"].tolist(), steps["at"].tolist()))
+def _sorted_steps(rows: Iterator[Row]) -> list[tuple[int, int]]:
+    return [(step, at) for at, step in sorted((row.at, row.step) for row in rows)]
 
 
-def _order_rows(order_id, messages: list[str]) -> pd.DataFrame:
-    kinds = [orders.PAYED if m == orders.MATCHED else orders.TIMEOUT for m in messages]
-    return pd.DataFrame({"order_id": order_id, "kind": kinds, "result_msg": messages})
+def _match_row(order_id: int, message: str) -> Row:
+    kind = orders.PAYED if message == orders.MATCHED else orders.TIMEOUT
+    return Row(order_id=order_id, kind=kind, result_msg=message)
