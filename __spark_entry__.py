@@ -432,7 +432,7 @@ settled AS (
                 WHEN step = 0 THEN '{orders.NOT_PAYED}'
                 WHEN last_step IS NULL OR last_step = 1 THEN '{orders.NO_CREATE}' END AS result_msg,
            CASE WHEN step = 0 AND next_step = 1 THEN next_ms
-                WHEN step = 0 THEN ms + 900000 ELSE ms END AS known_ms
+                WHEN step = 0 THEN ms + 900001 ELSE ms + 1 END AS known_ms
     FROM linked)"""
 _MATCH_ROWS = f"""
 SELECT order_id, CASE WHEN result_msg = '{orders.MATCHED}' THEN 'payed' ELSE 'timeout' END AS kind,
@@ -537,6 +537,6 @@ def oracle_sql() -> dict[str, str]:
             _MATCHED, f"{_MATCH_ROWS} AND known_ms <= {_ORDER_TIME}"
         ),
         "order_timeout_warning_stream": _with(
-            _WARNED, f"SELECT order_id, result_msg FROM warned WHERE ms + 900000 <= {_ORDER_TIME}"
+            _WARNED, f"SELECT order_id, result_msg FROM warned WHERE ms + 900001 <= {_ORDER_TIME}"
         ),
     }

@@ -2,6 +2,9 @@
 
 Rows of a micro-batch reach a processor before the timers that fall due with
 it, and in no set order, so each processor sorts what it gets.
+
+With ascending times a row of time ``t`` may be followed by more rows of time
+``t``, so what ends at ``t`` is settled by a timer one millisecond later.
 """
 
 from __future__ import annotations
@@ -115,7 +118,7 @@ class OrderPayMatcher(StatefulProcessor):
         self.waiting = handle.getValueState("waiting", schema)
 
     def _timer(self, step: int, at: int) -> int:
-        return at + self.deadline_ms if step == 0 else at
+        return at + 1 + (self.deadline_ms if step == 0 else 0)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         state = self.waiting.get()
@@ -128,7 +131,7 @@ class OrderPayMatcher(StatefulProcessor):
                 messages.append(orders.NOT_PAYED if step == 0 else orders.NO_CREATE)
                 waiting = (step, at)
             else:
-                late = step == 1 and at >= self._timer(*waiting)
+                late = step == 1 and at >= waiting[1] + self.deadline_ms
                 messages.append(orders.LATE if late else orders.MATCHED)
                 waiting = None
         if waiting != before:
@@ -203,14 +206,14 @@ class OrderTimeoutWarner(StatefulProcessor):
                     unpaid.add(due)
         for due in changed:
             self.open.updateValue((due,), tuple(counts[due]))
-            self.handle.registerTimer(due)
+            self.handle.registerTimer(due + 1)
         if last_pay != first_pay:
             self.last_pay.update((last_pay,))
-            self.handle.registerTimer(last_pay + self.deadline_ms)
+            self.handle.registerTimer(last_pay + self.deadline_ms + 1)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        due = expiredTimerInfo.getExpiryTimeInMs()
+        due = expiredTimerInfo.getExpiryTimeInMs() - 1
         last_pay = self.last_pay.get()
         if last_pay and last_pay[0] + self.deadline_ms <= due:
             self.last_pay.clear()
