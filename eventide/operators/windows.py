@@ -83,7 +83,8 @@ def slide_panes(
         .where(F.col("at") < F.col("slice_end"))
     )
 
-    in_time = Window.partitionBy(*keys, "slice").orderBy("at")
+    # The slice comes first since it tells most rows apart while sorting.
+    in_time = Window.partitionBy("slice", *keys).orderBy("at")
     running = F.sum("change").over(in_time.rowsBetween(Window.unboundedPreceding, 0))
     until = F.coalesce(F.lead("at").over(in_time), F.col("slice_end"))
     # Of several changes at one time only the last sees the whole sum; the
