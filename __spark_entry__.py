@@ -12,6 +12,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -190,10 +191,23 @@ def _folder(spark):
     return f"{shared_dir(spark)}/eventide/{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _state_partitions(spark):
+    """At most one state partition per core: each is a store of its own, opened and saved per batch."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(int(before), spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _run(spark, start) -> DataFrame:
     """Run one query over what is there and read its table."""
     folder = _folder(spark)
-    start(folder).awaitTermination()
+    with _state_partitions(spark):
+        start(folder).awaitTermination()
     return spark.read.parquet(result_path(folder))
 
 
@@ -216,7 +230,8 @@ def _limited_stream(spark, sf_dir):
     ship_package(spark)
     folder = _folder(spark)
     clicks = _click_stream(spark, sf_dir)
-    streams.ad_click_limit(clicks, folder, AD_LIMIT, AD_ORDER).awaitTermination()
+    with _state_partitions(spark):
+        streams.ad_click_limit(clicks, folder, AD_LIMIT, AD_ORDER).awaitTermination()
     return folder, clicks.schema
 
 

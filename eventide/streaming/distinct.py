@@ -53,6 +53,22 @@ def unique_visitors_bitmap_stream(
     return distinct_stream(df, long_offset(F.col(user), capacity=capacity), size, delay)
 
 
+def unique_visitors_sketch_stream(
+    df: DataFrame,
+    size: timedelta,
+    user: str = "user_id",
+    rsd: float = 0.02,
+    delay: timedelta = NO_DELAY,
+    ts: str = "ts",
+) -> DataFrame:
+    """Estimate with a state of bounded size per window, for any output mode."""
+    window = F.window(ts, interval_text(size)).alias("w")
+    counts = with_watermark(df, delay, ts).groupBy(window).agg(
+        F.approx_count_distinct(user, rsd).alias("uv_count")
+    )
+    return counts.select(F.unix_millis("w.end").alias("window_end"), "uv_count")
+
+
 def running_distinct_stream(
     df: DataFrame, what: Column, size: timedelta, delay: timedelta = NO_DELAY, ts: str = "ts"
 ) -> DataFrame:

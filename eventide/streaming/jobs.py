@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventide.functions.times import millis
-from eventide.operators import distinct, limits
+from eventide.operators import distinct, limits, ranking
 from eventide.plans import jobs
 from eventide.streaming import distinct as stream_distinct
 from eventide.streaming import processors, sinks, windows
@@ -70,10 +70,15 @@ def hot_items(
     behavior: DataFrame,
     folder: str,
     n: int = jobs.HOT_ITEMS_TOP,
+    report: bool = False,
     label: str = "hot items",
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Top items of closed windows."""
+    """Top items of closed windows, as rows or as one report text per window."""
+
+    def as_report(ranked: DataFrame) -> DataFrame:
+        return ranking.ranking_report(ranked, "item_id", **jobs.ITEM_REPORT)
+
     panes = windows.pane_count_stream(
         jobs.page_view_rows(behavior), ["item_id"], jobs.HOT_ITEMS_SLIDE
     )
@@ -82,7 +87,7 @@ def hot_items(
         ["item_id"],
         jobs.HOT_ITEMS_SIZE,
         jobs.HOT_ITEMS_SLIDE,
-        sinks.write_top_n(result_path(folder), n, "item_id"),
+        sinks.write_top_n(result_path(folder), n, "item_id", as_report if report else None),
     )
     return sinks.start(panes, label, folder, write, interval=interval)
 

@@ -117,15 +117,18 @@ def overwrite_windows(path: str, window: str = "window_end") -> BatchWriter:
     return write
 
 
-def write_top_n(path: str, n: int, key: str) -> BatchWriter:
-    """Top-N of the windows a batch closes.
+def write_top_n(
+    path: str, n: int, key: str, shape: Callable[[DataFrame], DataFrame] | None = None
+) -> BatchWriter:
+    """Top-N of the windows a batch closes, brought into another ``shape`` if given.
 
     In append mode all keys of a window come in the batch that closes it, so
     the batch operator applies as it is, with its cut before the exchange.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_rows(path)(top_n_per_window(batch, n, key), batch_id)
+        top = top_n_per_window(batch, n, key)
+        write_rows(path)(shape(top) if shape else top, batch_id)
 
     return write
 

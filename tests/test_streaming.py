@@ -135,6 +135,25 @@ def test_hot_items_over_batches_and_a_restart(spark, feed, folder):
     assert bag(got) == bag(jobs.hot_items(source.table(), 2).where(F.col("window_end") <= until))
 
 
+def test_hot_items_as_reports(spark, feed, folder):
+    source = feed(BEHAVIOR)
+    source.add([(1, 1, "pv", 10), (2, 1, "pv", 20), (1, 2, "pv", 30)], [(1, 1, "pv", 700)])
+    finish(streams.hot_items(source.stream(), folder, report=True))
+    reports = {r.window_end: r.report for r in spark.read.parquet(result_path(folder)).collect()}
+    batch = {r.window_end: r.report for r in jobs.hot_items_report(source.table()).collect()}
+    first = (BASE + 300) * 1000
+    assert reports == {first: batch[first]}
+
+
+def test_sketch_on_a_stream(spark, feed, folder):
+    source = feed(BEHAVIOR)
+    source.add([(user, 1, "pv", user) for user in range(1000)], [(1, 1, "pv", 3700)])
+    rows = stream_distinct.unique_visitors_sketch_stream(source.stream(), HOUR)
+    finish(sinks.start_table(rows, "sketch", folder))
+    [row] = spark.read.parquet(result_path(folder)).collect()
+    assert row.window_end == (BASE + 3600) * 1000 and abs(row.uv_count - 1000) < 100
+
+
 def test_a_batch_that_failed_after_writing_is_repeated(spark, feed, folder):
     source = feed(BEHAVIOR)
     source.add(*behavior_batches(3, batches=4))
