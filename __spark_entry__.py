@@ -363,14 +363,9 @@ def _sliding(source: str, keys: str, size: int, slide: int, name: str = "counts"
     GROUP BY ALL)"""
 
 
-def _closed(source: str, slide: int) -> str:
-    """Last pane a stream of ``source`` has closed: windows up to it are final."""
-    slide = slide * 1000
-    return f"""
-closed AS (
-    SELECT max(pane_end) AS until FROM (
-        SELECT epoch_us(ts) // 1000 - (epoch_us(ts) // 1000) % {slide} + {slide} AS pane_end FROM {source})
-    WHERE pane_end <= (SELECT epoch_us(max(ts)) // 1000 FROM {source}))"""
+def _closed(source: str) -> str:
+    """Windows a stream of ``source`` has closed."""
+    return f"WHERE window_end <= (SELECT epoch_us(max(ts)) // 1000 FROM {source})"
 
 
 def _text(ms: str) -> str:
@@ -397,13 +392,12 @@ FROM ranked GROUP BY window_end"""
 
 
 _HOUR_END = "epoch_us(ts) // 1000 - (epoch_us(ts) // 1000) % 3600000 + 3600000"
-_OPEN_HOUR = "WHERE window_end <= (SELECT epoch_us(max(ts)) // 1000 FROM pv)"
+_CLOSED_HOUR = _closed("pv")
 _HOT_ITEMS = (_sliding("pv", "item_id", 3600, 300), _ranked("item_id", 3))
 _HOT_URLS = (_sliding("access_log", "url", 600, 5), _ranked("url", 5))
 _TOTAL = _sliding("kept", "", 3600, 10)
 _CHANNEL = _sliding("kept", "channel, behavior", 3600, 10)
 _PROVINCE = _sliding("passed", "province", 3600, 5)
-_UNTIL = "WHERE window_end <= (SELECT until FROM closed)"
 
 
 def _offset(user: str, capacity: int) -> str:
@@ -419,13 +413,12 @@ def _unique(what: str, where: str = "") -> str:
     )
 
 
-def _marketing_rows(counts: str, channel: str, behavior: str, *where: str) -> str:
+def _marketing_rows(counts: str, channel: str, behavior: str, where: str = "") -> str:
     return _with(
         counts,
-        *where[:-1],
         f"""SELECT {_text('window_end - 3600000')} AS window_start, {_text('window_end')} AS window_end,
                    {channel} AS channel, {behavior} AS behavior, count
-            FROM counts {where[-1] if where else ''}""",
+            FROM counts {where}""",
     )
 
 
@@ -527,26 +520,26 @@ def oracle_sql() -> dict[str, str]:
         "order_timeout_warning": _with(_WARNED, "SELECT order_id, result_msg FROM warned"),
         "page_views_stream": _with(
             f"counts AS (SELECT {_HOUR_END} AS window_end, count(*) AS count FROM pv GROUP BY 1)",
-            f"SELECT 'pv' AS label, window_end, count FROM counts {_OPEN_HOUR}",
+            f"SELECT 'pv' AS label, window_end, count FROM counts {_CLOSED_HOUR}",
         ),
-        "unique_visitors_stream": _unique("user_id", _OPEN_HOUR),
-        "unique_visitors_bitmap_stream": _unique(_offset("user_id", 1 << 28), _OPEN_HOUR),
+        "unique_visitors_stream": _unique("user_id", _CLOSED_HOUR),
+        "unique_visitors_bitmap_stream": _unique(_offset("user_id", 1 << 28), _CLOSED_HOUR),
         "running_unique_visitors_stream": _unique("user_id"),
         "hot_items_stream": _with(
-            *_HOT_ITEMS, _closed("pv", 300), f"SELECT * FROM ranked {_UNTIL}"
+            *_HOT_ITEMS, f"SELECT * FROM ranked {_closed('pv')}"
         ),
         "hot_urls_stream": _with(*_HOT_URLS, "SELECT * FROM ranked"),
         "marketing_total_stream": _marketing_rows(
-            _TOTAL, "'app marketing'", "'total'", _closed("kept", 10), _UNTIL
+            _TOTAL, "'app marketing'", "'total'", _closed("kept")
         ),
         "marketing_by_channel_stream": _marketing_rows(
-            _CHANNEL, "channel", "behavior", _closed("kept", 10), _UNTIL
+            _CHANNEL, "channel", "behavior", _closed("kept")
         ),
         "ad_click_limit_stream": _CLICK_ROWS,
         "ad_by_province_stream": _with(
             _PROVINCE,
-            _closed("passed", 5),
-            f"SELECT {_text('window_end')} AS window_end, province, count FROM counts {_UNTIL}",
+            f"""SELECT {_text('window_end')} AS window_end, province, count
+                FROM counts {_closed('passed')}""",
         ),
         "order_pay_match_stream": _with(
             _MATCHED, f"{_MATCH_ROWS} AND known_ms <= {_ORDER_TIME}"

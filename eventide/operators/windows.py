@@ -45,7 +45,11 @@ def pane_count(
 
 
 def slide_panes(
-    panes: DataFrame, keys: Sequence[str], size: timedelta, slide: timedelta
+    panes: DataFrame,
+    keys: Sequence[str],
+    size: timedelta,
+    slide: timedelta,
+    sums: Sequence[str] = ("count",),
 ) -> DataFrame:
     """Turn pane counts into counts of all non-empty sliding windows.
 
@@ -57,6 +61,8 @@ def slide_panes(
     The running sum is per key and time slice, never per key: a pane is copied
     into the next slice if its windows reach that far. A group thus has at most
     ``(SLICE_WINDOWS + 1) * size / slide`` panes, however hot its key is.
+
+    ``sums`` names the columns to sum; the first one is positive in every pane.
     """
     size_ms, slide_ms = _check(size, slide)
     slice_size = SLICE_WINDOWS * size
@@ -68,34 +74,35 @@ def slide_panes(
     # input size: each pane may turn into size / slide rows below.
     partitions = int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = panes.select(
-        *keys, "pane_end", "count", F.explode(slices).alias("slice")
+        *keys, "pane_end", *sums, F.explode(slices).alias("slice")
     ).repartition(partitions, *keys, "slice")
 
     slice_start = F.col("slice")
     slice_end = slice_start + slice_ms
-    enters = F.struct(F.greatest(first, slice_start).alias("at"), F.col("count").alias("change"))
-    leaves = F.struct((last + slide_ms).alias("at"), (-F.col("count")).alias("change"))
+    enters = F.struct(F.greatest(first, slice_start).alias("at"), *sums)
+    leaves = F.struct((last + slide_ms).alias("at"), *[(-F.col(s)).alias(s) for s in sums])
     changes = (
         placed.select(
             *keys, "slice", slice_end.alias("slice_end"), F.explode(F.array(enters, leaves)).alias("c")
         )
-        .select(*keys, "slice", "slice_end", "c.at", "c.change")
+        .select(*keys, "slice", "slice_end", "c.*")
         .where(F.col("at") < F.col("slice_end"))
     )
 
     # The slice comes first since it tells most rows apart while sorting.
     in_time = Window.partitionBy("slice", *keys).orderBy("at")
-    running = F.sum("change").over(in_time.rowsBetween(Window.unboundedPreceding, 0))
+    so_far = in_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = [F.sum(s).over(so_far).alias(s) for s in sums]
     until = F.coalesce(F.lead("at").over(in_time), F.col("slice_end"))
     # Of several changes at one time only the last sees the whole sum; the
     # others have ``until == at`` and drop out.
     return (
-        changes.select(*keys, "at", running.alias("count"), until.alias("until"))
-        .where((F.col("until") > F.col("at")) & (F.col("count") > 0))
+        changes.select(*keys, "at", *running, until.alias("until"))
+        .where((F.col("until") > F.col("at")) & (F.col(sums[0]) > 0))
         .select(
             *keys,
             F.explode(F.sequence("at", F.col("until") - slide_ms, F.lit(slide_ms))).alias("window_end"),
-            "count",
+            *sums,
         )
     )
 

@@ -79,17 +79,17 @@ def hot_items(
     def as_report(ranked: DataFrame) -> DataFrame:
         return ranking.ranking_report(ranked, "item_id", **jobs.ITEM_REPORT)
 
-    panes = windows.pane_count_stream(
-        jobs.page_view_rows(behavior), ["item_id"], jobs.HOT_ITEMS_SLIDE
-    )
-    write = windows.slide_closed_panes(
-        f"{folder}/panes",
+    write = sinks.write_top_n(result_path(folder), n, "item_id", as_report if report else None)
+    return _sliding(
+        jobs.page_view_rows(behavior),
         ["item_id"],
         jobs.HOT_ITEMS_SIZE,
         jobs.HOT_ITEMS_SLIDE,
-        sinks.write_top_n(result_path(folder), n, "item_id", as_report if report else None),
+        write,
+        folder,
+        label,
+        interval,
     )
-    return sinks.start(panes, label, folder, write, interval=interval)
 
 
 def hot_urls(
@@ -104,15 +104,17 @@ def hot_urls(
     Counts as they change are in ``folder/counts``; the result holds the
     ranking of every window that changed in a batch (see ``latest_rows``).
     """
-    size, delay = jobs.HOT_URLS_SIZE, URL_DISORDER + URL_LATENESS
-    counts = windows.sliding_count_stream(access_log, ["url"], size, jobs.HOT_URLS_SLIDE, delay)
-    # Delays that are no multiple of the slide keep a window open a slide longer.
-    still_open = millis(size + delay + jobs.HOT_URLS_SLIDE)
+    size, slide = jobs.HOT_URLS_SIZE, jobs.HOT_URLS_SLIDE
+    delay = URL_DISORDER + URL_LATENESS
+    # The newest window ends one window length after its first pane.
+    still_open = millis(size + delay + slide)
     write = sinks.write_all(
         sinks.write_rows(f"{folder}/counts"),
         sinks.merge_top_n(result_path(folder), f"{folder}/open", n, "url", still_open),
     )
-    return sinks.start(counts, label, folder, write, "update", interval)
+    return _sliding(
+        access_log, ["url"], size, slide, write, folder, label, interval, delay, early=True
+    )
 
 
 def marketing_total(
@@ -121,11 +123,12 @@ def marketing_total(
     label: str = "marketing total",
     interval: str | None = None,
 ) -> StreamingQuery:
-    def rows(counts: DataFrame) -> DataFrame:
-        return jobs.marketing_rows(counts, F.lit("app marketing"), F.lit("total"))
+    def write(counts: DataFrame, batch_id: int) -> None:
+        rows = jobs.marketing_rows(counts, F.lit("app marketing"), F.lit("total"))
+        sinks.write_rows(result_path(folder))(rows, batch_id)
 
-    kept = jobs.installs_and_clicks(marketing)
-    return _sliding(kept, [], jobs.MARKETING_SIZE, jobs.MARKETING_SLIDE, rows, folder, label, interval)
+    kept, size, slide = jobs.installs_and_clicks(marketing), jobs.MARKETING_SIZE, jobs.MARKETING_SLIDE
+    return _sliding(kept, [], size, slide, write, folder, label, interval)
 
 
 def marketing_by_channel(
@@ -134,11 +137,12 @@ def marketing_by_channel(
     label: str = "marketing by channel",
     interval: str | None = None,
 ) -> StreamingQuery:
-    def rows(counts: DataFrame) -> DataFrame:
-        return jobs.marketing_rows(counts, F.col("channel"), F.col("behavior"))
+    def write(counts: DataFrame, batch_id: int) -> None:
+        rows = jobs.marketing_rows(counts, F.col("channel"), F.col("behavior"))
+        sinks.write_rows(result_path(folder))(rows, batch_id)
 
-    kept, keys = jobs.installs_and_clicks(marketing), ["channel", "behavior"]
-    return _sliding(kept, keys, jobs.MARKETING_SIZE, jobs.MARKETING_SLIDE, rows, folder, label, interval)
+    kept, size, slide = jobs.installs_and_clicks(marketing), jobs.MARKETING_SIZE, jobs.MARKETING_SLIDE
+    return _sliding(kept, ["channel", "behavior"], size, slide, write, folder, label, interval)
 
 
 def ad_click_limit(
@@ -167,10 +171,12 @@ def ad_by_province(
 
     A query has one watermark, which the limiter already uses; hence two.
     """
-    keys = ["province"]
-    return _sliding(
-        passed, keys, jobs.AD_SIZE, jobs.AD_SLIDE, jobs.province_rows, folder, label, interval
-    )
+
+    def write(counts: DataFrame, batch_id: int) -> None:
+        sinks.write_rows(result_path(folder))(jobs.province_rows(counts), batch_id)
+
+    size, slide = jobs.AD_SIZE, jobs.AD_SLIDE
+    return _sliding(passed, ["province"], size, slide, write, folder, label, interval)
 
 
 def order_pay_match(
@@ -194,10 +200,11 @@ def order_timeout_warning(
     return sinks.start_table(warnings, label, folder, interval=interval)
 
 
-def _sliding(rows, keys, size, slide, shape, folder, label, interval) -> StreamingQuery:
-    def write(counts: DataFrame, batch_id: int) -> None:
-        sinks.write_rows(result_path(folder))(shape(counts), batch_id)
-
-    panes = windows.pane_count_stream(rows, keys, slide)
-    handle = windows.slide_closed_panes(f"{folder}/panes", keys, size, slide, write)
-    return sinks.start(panes, label, folder, handle, interval=interval)
+def _sliding(
+    rows, keys, size, slide, write, folder, label, interval, delay=windows.NO_DELAY, early=False
+) -> StreamingQuery:
+    panes = windows.pane_count_stream(rows, keys, size, slide, delay)
+    handle = windows.slide_panes_in_batches(
+        f"{folder}/panes", keys, size, slide, write, delay, early
+    )
+    return sinks.start(panes, label, folder, handle, "update", interval)

@@ -36,12 +36,18 @@ def tumbling_count_stream(
 def pane_count_stream(
     df: DataFrame,
     keys: Sequence[str],
+    size: timedelta,
     slide: timedelta,
     delay: timedelta = NO_DELAY,
     ts: str = "ts",
 ) -> DataFrame:
-    """Closed pane counts for ``slide_closed_panes``; state is one row per key and open pane."""
-    counts = tumbling_count_stream(df, keys, slide, delay, ts)
+    """Pane counts in update mode, for ``slide_panes_in_batches``.
+
+    A pane stays open as long as one of its windows may, so that a row late for
+    some of its windows still reaches the others. State is one row per key and
+    open pane.
+    """
+    counts = tumbling_count_stream(df, keys, slide, size + delay, ts)
     return counts.withColumnRenamed("window_end", "pane_end")
 
 
@@ -56,8 +62,8 @@ def sliding_count_stream(
     """Rows per key and sliding window in a single query, for any output mode.
 
     Every row is counted in each of its ``size / slide`` windows, so state and
-    work grow with that number. For large fan-outs in append mode
-    ``pane_count_stream`` with ``slide_closed_panes`` needs far less.
+    work grow with that number. For large fan-outs ``pane_count_stream`` with
+    ``slide_panes_in_batches`` needs far less.
 
     The watermark is on the window end: the newest end lies ``size`` after its
     row's pane, so a delay of ``size`` more closes windows by the row times.
@@ -72,36 +78,52 @@ def sliding_count_stream(
     return counts.select(*keys, F.unix_millis("end").alias("window_end"), "count")
 
 
-def slide_closed_panes(
+def slide_panes_in_batches(
     folder: str,
     keys: Sequence[str],
     size: timedelta,
     slide: timedelta,
     write: BatchWriter,
+    delay: timedelta = NO_DELAY,
+    early: bool = False,
 ) -> BatchWriter:
-    """Sliding counts from a stream of closed pane counts (append mode).
-
-    A batch that closes panes up to time ``t`` makes the windows up to ``t``
-    final; they are summed by the batch operator and handed to ``write``. Panes
-    that later windows still need, one window length of them, are written under
-    ``folder`` per batch. The next batch reads that one folder, and a repeated
-    batch gives the same windows again.
+    """Sliding counts from a stream of pane counts (update mode).
+
+    Each batch sums its windows with the batch operator and hands them to
+    ``write``. A window closes when a row ``delay`` past its end has come. By
+    default a window is handed on once, when it closes. With ``early`` every
+    open window is handed on whenever a row has been added to it. Rows for
+    closed windows are dropped, window by window.
+
+    Panes that open windows still need, one window length of them, are written
+    under ``folder`` per batch and read by the next one alone, so a repeated
+    batch gives the same windows again. Pane counts only grow: of several for
+    one pane the largest is the newest.
     """
     columns = [*keys, "pane_end", "count"]
     end = F.col("pane_end")
+    lag_ms, size_ms = millis(slide + delay), millis(size)
 
     def handle(panes: DataFrame, batch_id: int) -> None:
-        known = panes.select(*columns, F.lit(True).alias("new"))
+        known = panes.select(*columns, F.lit(1).alias("new"), F.lit(0).alias("old"))
         if batch_id > 0:
             before = panes.sparkSession.read.parquet(f"{folder}/batch_id={batch_id - 1}")
-            known = known.unionByName(before.select(*columns, F.lit(False).alias("new")))
+            before = before.select(*columns, F.lit(0).alias("new"), F.lit(1).alias("old"))
+            known = (
+                known.unionByName(before)
+                .groupBy(*keys, "pane_end")
+                .agg(*[F.max(name).alias(name) for name in ("count", "new", "old")])
+            )
         known = known.persist()
         try:
-            done, newest = known.agg(F.max(F.when(~F.col("new"), end)), F.max(end)).first()
-            counts = slide_panes(known.select(*columns), keys, size, slide)
-            written = F.lit(True) if done is None else F.col("window_end") > done
-            write(counts.where(written & (F.col("window_end") <= F.lit(newest))), batch_id)
-            still_needed = known.where(end > F.lit((newest or 0) - millis(size))).select(*columns)
+            last, newest = known.agg(F.max(F.when(F.col("old") == 1, end)), F.max(end)).first()
+            closed = (newest or 0) - lag_ms
+            counts = slide_panes(known, keys, size, slide, ["count", "new"])
+            if last is not None:
+                counts = counts.where(F.col("window_end") > last - lag_ms)
+            wanted = F.col("new") > 0 if early else F.col("window_end") <= closed
+            write(counts.where(wanted).select(*keys, "window_end", "count"), batch_id)
+            still_needed = known.where(end > F.lit(closed - size_ms)).select(*columns)
             write_rows(folder)(still_needed, batch_id)
         finally:
             known.unpersist()

@@ -88,18 +88,18 @@ def test_page_views_and_unique_visitors(spark, feed, folder):
     source = feed(BEHAVIOR)
     source.add(*behavior_batches(1))
     views = jobs.page_view_rows(source.table())
-    closed = F.col("window_end") <= newest_time(views)
+    ended = closed(views)
     finish(streams.page_views(source.stream(), f"{folder}/pv"))
     assert bag(spark.read.parquet(result_path(f"{folder}/pv"))) == bag(
-        jobs.page_views(source.table()).where(closed)
+        jobs.page_views(source.table()).where(ended)
     )
     finish(streams.unique_visitors(source.stream(), f"{folder}/uv"))
     assert bag(spark.read.parquet(result_path(f"{folder}/uv"))) == bag(
-        jobs.unique_visitors(source.table()).where(closed)
+        jobs.unique_visitors(source.table()).where(ended)
     )
     finish(streams.unique_visitors_bitmap(source.stream(), f"{folder}/bits", capacity=4))
     assert bag(spark.read.parquet(result_path(f"{folder}/bits"))) == bag(
-        jobs.unique_visitors_bitmap(source.table(), 4).where(closed)
+        jobs.unique_visitors_bitmap(source.table(), 4).where(ended)
     )
 
 
@@ -117,10 +117,14 @@ def test_running_unique_visitors_replaces_a_window(spark, feed, folder):
     ]
 
 
-def closed_by_panes(rows, slide):
-    """Up to which window end panes have been closed by a later row."""
-    pane = windows.tumbling_end(F.col("ts"), slide)
-    return rows.where(pane <= newest_time(rows)).agg(F.max(pane)).first()[0]
+def closed(rows):
+    """Windows that end by the newest row."""
+    return F.col("window_end") <= newest_time(rows)
+
+
+def closed_text(rows):
+    """The same where window ends are text."""
+    return F.col("window_end") <= F.date_format(F.lit(rows.agg(F.max("ts")).first()[0]), "yyyy-MM-dd HH:mm:ss.S")
 
 
 def test_hot_items_over_batches_and_a_restart(spark, feed, folder):
@@ -131,8 +135,8 @@ def test_hot_items_over_batches_and_a_restart(spark, feed, folder):
     source.add(*batches[3:])
     finish(streams.hot_items(source.stream(), folder, n=2))
     got = spark.read.parquet(result_path(folder)).drop("batch_id")
-    until = closed_by_panes(jobs.page_view_rows(source.table()), jobs.HOT_ITEMS_SLIDE)
-    assert bag(got) == bag(jobs.hot_items(source.table(), 2).where(F.col("window_end") <= until))
+    ended = closed(jobs.page_view_rows(source.table()))
+    assert bag(got) == bag(jobs.hot_items(source.table(), 2).where(ended))
 
 
 def test_hot_items_as_reports(spark, feed, folder):
@@ -141,8 +145,8 @@ def test_hot_items_as_reports(spark, feed, folder):
     finish(streams.hot_items(source.stream(), folder, report=True))
     reports = {r.window_end: r.report for r in spark.read.parquet(result_path(folder)).collect()}
     batch = {r.window_end: r.report for r in jobs.hot_items_report(source.table()).collect()}
-    first = (BASE + 300) * 1000
-    assert reports == {first: batch[first]}
+    ended = [(BASE + 300) * 1000, (BASE + 600) * 1000]
+    assert reports == {end: batch[end] for end in ended}
 
 
 def test_sketch_on_a_stream(spark, feed, folder):
@@ -166,9 +170,9 @@ def test_a_batch_that_failed_after_writing_is_repeated(spark, feed, folder):
             if batch_id == fail_at:
                 raise RuntimeError("lost")
 
-        panes = stream_windows.pane_count_stream(source.stream(), keys, slide)
-        handle = stream_windows.slide_closed_panes(f"{folder}/panes", keys, size, slide, write)
-        return sinks.start(panes, "repeated", folder, handle)
+        panes = stream_windows.pane_count_stream(source.stream(), keys, size, slide)
+        handle = stream_windows.slide_panes_in_batches(f"{folder}/panes", keys, size, slide, write)
+        return sinks.start(panes, "repeated", folder, handle, "update")
 
     for fail_at in (1, 3):
         with pytest.raises(StreamingQueryException):
@@ -176,8 +180,7 @@ def test_a_batch_that_failed_after_writing_is_repeated(spark, feed, folder):
     finish(start(None))
     got = spark.read.parquet(result_path(folder)).drop("batch_id")
     want = windows.sliding_count(source.table(), keys, size, slide)
-    until = closed_by_panes(source.table(), slide)
-    assert bag(got) == bag(want.where(F.col("window_end") <= until))
+    assert bag(got) == bag(want.where(closed(source.table())))
 
 
 def test_marketing(spark, feed, folder):
@@ -189,8 +192,7 @@ def test_marketing(spark, feed, folder):
             [(rng.choice(["weibo", "wechat"]), rng.choice(["CLICK", "UNINSTALL"]), at) for at in times]
         )
     kept = jobs.installs_and_clicks(source.table())
-    until = closed_by_panes(kept, jobs.MARKETING_SLIDE)
-    text = F.date_format(F.timestamp_millis(F.lit(until)), "yyyy-MM-dd HH:mm:ss.S")
+    ended = closed_text(kept)
     for stream_job, batch_job in (
         (streams.marketing_total, jobs.marketing_total),
         (streams.marketing_by_channel, jobs.marketing_by_channel),
@@ -198,7 +200,7 @@ def test_marketing(spark, feed, folder):
         own = f"{folder}/{batch_job.__name__}"
         finish(stream_job(source.stream(), own))
         got = spark.read.parquet(result_path(own)).drop("batch_id")
-        assert bag(got) == bag(batch_job(source.table()).where(F.col("window_end") <= text))
+        assert bag(got) == bag(batch_job(source.table()).where(ended))
 
 
 def test_single_query_sliding_count_drops_a_row_per_window(spark, feed, folder):
@@ -225,6 +227,28 @@ def test_single_query_sliding_count_drops_a_row_per_window(spark, feed, folder):
     }
 
 
+def test_panes_drop_a_late_row_per_window_too(spark, feed, folder):
+    keys, size, slide = ["url"], timedelta(minutes=10), timedelta(minutes=5)
+    source = feed(["url", "at"])
+    source.add([("a", 0), ("a", 310)], [("b", 620)], [("late", 290), ("late", 590)], [("end", 3000)])
+    panes = stream_windows.pane_count_stream(source.stream(), keys, size, slide)
+    keep = sinks.write_rows(result_path(folder))
+    handle = stream_windows.slide_panes_in_batches(f"{folder}/panes", keys, size, slide, keep)
+    finish(sinks.start(panes, "panes", folder, handle, "update"))
+    got = {
+        (r.url, r.window_end // 1000 - BASE): r["count"]
+        for r in spark.read.parquet(result_path(folder)).collect()
+    }
+    assert got == {
+        ("a", 300): 1,
+        ("a", 600): 2,
+        ("a", 900): 1,
+        ("b", 900): 1,
+        ("b", 1200): 1,
+        ("late", 900): 1,
+    }
+
+
 def test_hot_urls_takes_rows_up_to_a_minute_late(spark, feed, folder):
     rng = random.Random(6)
     source = feed(["url", "at"])
@@ -283,9 +307,7 @@ def test_province_counts_follow_the_limiter(spark, feed, folder):
     passed = streams.passed_click_stream(spark, f"{folder}/limit", clicks.schema)
     finish(streams.ad_by_province(passed, f"{folder}/count"))
     rows = limits.passed_clicks(limits.click_limit(source.table(), 100, order))
-    until = closed_by_panes(rows, jobs.AD_SLIDE)
-    text = F.date_format(F.timestamp_millis(F.lit(until)), "yyyy-MM-dd HH:mm:ss.S")
-    want = jobs.ad_by_province(source.table(), 100, order).where(F.col("window_end") <= text)
+    want = jobs.ad_by_province(source.table(), 100, order).where(closed_text(rows))
     assert bag(spark.read.parquet(result_path(f"{folder}/count")).drop("batch_id")) == bag(want)
 
 
