@@ -35,18 +35,19 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without it; a folder is then made for it and
-    kept in the session. On a cluster a missing setting is an error, because a
+    Only a local session may go without it; a folder is then made for its
+    context. On a cluster a missing setting is an error, because a
     machine-local folder would lose data with its executor.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    sc = spark.sparkContext
+    if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="eventide-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not hasattr(sc, "_eventide_folder"):
+        sc._eventide_folder = tempfile.mkdtemp(prefix="eventide-")
+    return sc._eventide_folder
 
 
 def ship_package(spark: SparkSession) -> None:
