@@ -28,6 +28,13 @@ from eventide.sources import connectors, schemas, text  # noqa: E402
 from eventide.streaming import jobs as streams  # noqa: E402
 from eventide.streaming.sinks import latest_rows, result_path  # noqa: E402
 
+try:
+    from eventide.llm import queries as llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("eventide.llm", "corpus_pipeline"):
+        raise
+    llm = None
+
 # Clicks a user may make on one ad and day; low enough to be passed in these tables.
 AD_LIMIT = 2
 AD_ORDER = ("ts", "event_id")
@@ -306,6 +313,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             streams.order_timeout_warning, _order_stream
         ),
     }
+    if llm:
+        found |= llm.queries()
     return {name: _configured(query) for name, query in found.items()}
 
 
@@ -463,7 +472,7 @@ warned AS (
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query, written independently of the Spark plans."""
     behavior_columns = "user_id, item_id, category_id, behavior"
-    return {
+    found = {
         "parse_user_behavior": _with(
             f"SELECT {behavior_columns}, epoch_us(ts) // 1000000 * 1000 AS at FROM behavior"
         ),
@@ -548,3 +557,4 @@ def oracle_sql() -> dict[str, str]:
             _WARNED, f"SELECT order_id, result_msg FROM warned WHERE ms + 900001 <= {_ORDER_TIME}"
         ),
     }
+    return found | (llm.oracle_sql() if llm else {})

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
-import zipfile
-from pathlib import Path
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -51,18 +51,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, as ``--py-files`` would.
+    """Let Python workers run functions of this package where it is not installed.
 
-    Needed only by the jobs with a stateful processor, and only where the
-    package is not installed on the executors.
+    The functions a job sends are pickled with their code instead of by name,
+    so it does not matter from which folder driver or workers were started.
     """
-    sc = spark.sparkContext
-    if getattr(sc, "_eventide_shipped", False):
-        return
-    root = Path(__file__).resolve().parent
-    target = Path(tempfile.mkdtemp(prefix="eventide-py-")) / "eventide.zip"
-    with zipfile.ZipFile(target, "w") as archive:
-        for source in sorted(root.rglob("*.py")):
-            archive.write(source, source.relative_to(root.parent))
-    sc.addPyFile(str(target))
-    sc._eventide_shipped = True
+    cloudpickle.register_pickle_by_value(sys.modules[__package__])
