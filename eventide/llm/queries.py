@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.llm import decontamination
+from eventide.llm import decontamination, language, toxicity
 from eventide.llm.common import table
 
 
@@ -23,8 +23,38 @@ def op4_decontamination(spark, sf_dir):
     )
 
 
+def _held_out(fold, of):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of == fold
+
+
+def op3_toxicity(spark, sf_dir):
+    """Toxicity score of every document; rows of the held-out third are not learned from."""
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(_held_out(1, 3), F.lit(False))
+    model = toxicity.train(docs.where(~held), table(spark, sf_dir, "labels").where(~held))
+    found = toxicity.score(docs, model, ["doc_id", "lang"])
+    return found.select(
+        "doc_id",
+        held.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        (F.col("score") >= toxicity.limit_of(model)).alias("over_language_threshold"),
+    )
+
+
+def op5_language(spark, sf_dir):
+    """Language of every document; rows of the held-out quarter are not learned from."""
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(_held_out(2, 4), F.lit(False))
+    model = language.train(docs.where(~held))
+    found = language.identify(docs, model, ["doc_id"])
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def queries():
     return {
+        "op3_toxicity": op3_toxicity,
+        "op5_language": op5_language,
         "op4_decontamination": op4_decontamination,
     }
 
