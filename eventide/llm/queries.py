@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from eventide.llm import decontamination, language, toxicity
+from eventide.llm import decontamination, language, secret_scan, toxicity
 from eventide.llm.common import table
+from eventide.session import shared_dir
 
 
 def op4_decontamination(spark, sf_dir):
@@ -51,8 +54,33 @@ def op5_language(spark, sf_dir):
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def _joined(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+
+def _count(kind):
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+
+def op6_secrets(spark, sf_dir):
+    """Secrets in every document, through a ledger that starts empty."""
+    docs = table(spark, sf_dir, "documents")
+    ledger = f"{shared_dir(spark)}/llm/{uuid.uuid4().hex}/ledger"
+    secret_scan.scan_new(docs, ledger)
+    found = secret_scan.findings(docs, ledger)
+    kinds = [rule.kind for rule in secret_scan.BASE]
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    return found.select(
+        "doc_id",
+        *[_count(kind).alias(f"n_{kind}") for kind in kinds],
+        F.sha2(_joined(base), 256).alias("base_sha256"),
+        _joined(F.col("spans")).alias("spans"),
+    )
+
+
 def queries():
     return {
+        "op6_secrets": op6_secrets,
         "op3_toxicity": op3_toxicity,
         "op5_language": op5_language,
         "op4_decontamination": op4_decontamination,
