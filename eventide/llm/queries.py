@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from eventide.llm import decontamination, language, secret_scan, toxicity
+from eventide.llm import decontamination, language, line_dedup, secret_scan, toxicity
 from eventide.llm.common import table
 from eventide.session import shared_dir
 
@@ -78,9 +78,21 @@ def op6_secrets(spark, sf_dir):
     )
 
 
+def op8_line_dedup(spark, sf_dir):
+    """Lines taken from every document, and a digest of what is left."""
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id",
+        F.size("removed").cast("long").alias("n_removed"),
+        F.array_join(F.transform("removed", lambda k: k.cast("string")), ",").alias("removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def queries():
     return {
         "op6_secrets": op6_secrets,
+        "op8_line_dedup": op8_line_dedup,
         "op3_toxicity": op3_toxicity,
         "op5_language": op5_language,
         "op4_decontamination": op4_decontamination,
@@ -90,6 +102,7 @@ def queries():
 def oracle_sql():
     return {
         "op4_decontamination": OP4_SQL,
+        "op8_line_dedup": OP8_SQL,
     }
 
 
@@ -115,3 +128,34 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
+
+# Two texts are one edit apart if what they share at the front and at the back leaves at
+# most one character of the longer; every length of the front is tried.
+OP8_SQL = r"""
+WITH line AS (
+    SELECT doc_id, nr, lower(trim(line, E' \t\r')) AS line
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS nr
+          FROM documents)
+    WHERE length(trim(line, E' \t\r')) >= 20),
+first AS (
+    SELECT line, length(line) AS n, min({'d': doc_id, 'nr': nr}) AS pos FROM line GROUP BY line),
+pair AS (
+    SELECT a.line, a.pos, b.line AS other, a.n AS n, b.n AS m FROM first a JOIN first b
+    ON b.n IN (a.n - 1, a.n, a.n + 1) AND b.pos < a.pos
+    AND (left(a.line, least(a.n, b.n) // 2) = left(b.line, least(a.n, b.n) // 2)
+         OR right(a.line, least(a.n, b.n) - least(a.n, b.n) // 2) = right(b.line, least(a.n, b.n) - least(a.n, b.n) // 2))),
+near AS (
+    SELECT DISTINCT line FROM pair
+    WHERE len(list_filter(generate_series(0, greatest(n, m) - 1), lambda k:
+        left(line, k) = left(other, k) AND right(line, greatest(n, m) - k - 1) = right(other, greatest(n, m) - k - 1))) > 0),
+gone AS (
+    SELECT doc_id, nr FROM line JOIN first USING (line)
+    WHERE {'d': doc_id, 'nr': nr} > pos OR line IN (FROM near)),
+listed AS (SELECT doc_id, list_sort(list(nr)) AS removed FROM gone GROUP BY doc_id)
+SELECT doc_id, coalesce(len(removed), 0) AS n_removed,
+       coalesce(array_to_string(removed, ','), '') AS removed,
+       sha256(CASE WHEN removed IS NULL THEN coalesce(text, '')
+              ELSE array_to_string(list_filter(string_split(text, chr(10)), lambda x, i: NOT list_contains(removed, i - 1)), chr(10)) END)
+           AS kept_sha256
+FROM documents LEFT JOIN listed USING (doc_id)
+"""
