@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from eventide.llm import decontamination, language, line_dedup, secret_scan, toxicity
+from eventide.llm import decontamination, language, line_dedup, near_dedup, secret_scan, toxicity
 from eventide.llm.common import table
 from eventide.session import shared_dir
 
@@ -78,6 +78,11 @@ def op6_secrets(spark, sf_dir):
     )
 
 
+def op7_near_dedup(spark, sf_dir):
+    """Near-duplicate component of every document."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark, sf_dir):
     """Lines taken from every document, and a digest of what is left."""
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -92,6 +97,7 @@ def op8_line_dedup(spark, sf_dir):
 def queries():
     return {
         "op6_secrets": op6_secrets,
+        "op7_near_dedup": op7_near_dedup,
         "op8_line_dedup": op8_line_dedup,
         "op3_toxicity": op3_toxicity,
         "op5_language": op5_language,
@@ -102,6 +108,7 @@ def queries():
 def oracle_sql():
     return {
         "op4_decontamination": OP4_SQL,
+        "op7_near_dedup": OP7_SQL,
         "op8_line_dedup": OP8_SQL,
     }
 
@@ -159,3 +166,25 @@ SELECT doc_id, coalesce(len(removed), 0) AS n_removed,
            AS kept_sha256
 FROM documents LEFT JOIN listed USING (doc_id)
 """
+
+OP7_SQL = r"""
+WITH RECURSIVE token AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingle AS (
+    SELECT DISTINCT doc_id, hash(list_slice(w, i, i + 3)) AS s
+    FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 3, 1))) AS i FROM token WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (
+    SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+    WHERE 100 * common.n >= 80 * (x.n + y.n - common.n)),
+either AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT doc_id AS node, doc_id AS low FROM documents
+          UNION SELECT b, low FROM reach JOIN either ON node = a),
+named AS (SELECT node, min(low) AS component_id FROM reach GROUP BY node)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, component_id = doc_id AS kept
+FROM documents LEFT JOIN size USING (doc_id) JOIN named ON node = doc_id
+"""
