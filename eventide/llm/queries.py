@@ -6,7 +6,16 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from eventide.llm import decontamination, language, line_dedup, near_dedup, secret_scan, toxicity
+from eventide.llm import (
+    decontamination,
+    language,
+    line_dedup,
+    near_dedup,
+    packing,
+    personal_data,
+    secret_scan,
+    toxicity,
+)
 from eventide.llm.common import table
 from eventide.session import shared_dir
 
@@ -94,11 +103,37 @@ def op8_line_dedup(spark, sf_dir):
     )
 
 
+def op9_packing(spark, sf_dir):
+    """Every document's pieces in bins of several lengths."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_personal_data(spark, sf_dir):
+    """Personal data in every document."""
+    proposed = personal_data.propose(table(spark, sf_dir, "documents"))
+    found = personal_data.select_spans(proposed, personal_data.train(proposed))
+    ranks = F.create_map(*[F.lit(x) for i, kind in enumerate(personal_data.KINDS) for x in (kind, i)])
+    ordered = F.array_sort(
+        F.transform(
+            "spans", lambda s: F.struct(s["start"], F.element_at(ranks, s["kind"]).alias("rank"), s["stop"], s["kind"])
+        )
+    )
+    base = F.filter("spans", lambda s: s["kind"].isin(list(personal_data.STRICT)))
+    return found.select("doc_id", ordered.alias("spans")).select(
+        "doc_id",
+        *[_count(kind).alias(f"n_{kind}") for kind in personal_data.STRICT],
+        F.sha2(_joined(base), 256).alias("base_sha256"),
+        _joined(F.col("spans")).alias("spans"),
+    )
+
+
 def queries():
     return {
         "op6_secrets": op6_secrets,
         "op7_near_dedup": op7_near_dedup,
         "op8_line_dedup": op8_line_dedup,
+        "op9_packing": op9_packing,
+        "op10_personal_data": op10_personal_data,
         "op3_toxicity": op3_toxicity,
         "op5_language": op5_language,
         "op4_decontamination": op4_decontamination,
