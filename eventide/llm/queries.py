@@ -14,6 +14,7 @@ from eventide.llm import (
     packing,
     personal_data,
     secret_scan,
+    suffix_dedup,
     toxicity,
 )
 from eventide.llm.common import table
@@ -35,6 +36,19 @@ def op4_decontamination(spark, sf_dir):
     )
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    """Bytes of every document that repeat an earlier string of 100 bytes, and a digest of the others."""
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return out.select(
+        "doc_id",
+        "n_bytes",
+        gone.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def _held_out(fold, of):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of == fold
 
@@ -130,6 +144,7 @@ def op10_personal_data(spark, sf_dir):
 def queries():
     return {
         "op6_secrets": op6_secrets,
+        "op1_suffix_dedup": op1_suffix_dedup,
         "op7_near_dedup": op7_near_dedup,
         "op8_line_dedup": op8_line_dedup,
         "op9_packing": op9_packing,
