@@ -27,8 +27,6 @@ count as different rows. Other columns do not matter.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -184,7 +182,9 @@ def dedup_lines(
 
 def clean_documents(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` without repeated lines; rows of which nothing but blanks is left go, unless they had nothing before."""
-    mark = reduce(lambda name, _: name + "_", range(len(docs.columns)), "removed")
+    mark = "removed"
+    while mark in docs.columns:
+        mark += "_"
     out = dedup_lines(docs, min_chars=min_chars, removed=mark)
     gone = (F.size(mark) > 0) & (F.btrim("text", F.lit(" \t\r\n")) == "")
     return out.where(~F.coalesce(gone, F.lit(False))).drop(mark)

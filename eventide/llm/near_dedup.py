@@ -409,5 +409,7 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, shingle: int) -> D
 def clean_documents(docs: DataFrame, similarity: int = SIMILARITY, shingle: int = 5) -> DataFrame:
     """``docs`` with one row of each group of near duplicates: the one of smallest id. Repeated ids stay as they are."""
     columns = docs.columns
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
     gone = near_duplicates(docs, similarity, shingle).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs.doc_id == gone._gone, "left_anti").select(*[F.col(f"`{c}`") for c in columns])
+    left = plain.join(gone, F.col(f"c{columns.index('doc_id')}") == F.col("_gone"), "left_anti")
+    return left.toDF(*columns)

@@ -16,6 +16,7 @@ from eventide.llm import (
     secret_scan,
     suffix_dedup,
     toxicity,
+    vector_search,
 )
 from eventide.llm.common import table
 from eventide.session import shared_dir
@@ -49,6 +50,13 @@ def op1_suffix_dedup(spark, sf_dir):
     )
 
 
+def op2_top_k(spark, sf_dir):
+    """The 20 vectors of greatest inner product with each query."""
+    vectors = table(spark, sf_dir, "embeddings")
+    ints = vectors.select("vec_id", vector_search.quantised(F.col("embedding")).alias("vector"))
+    return vector_search.top_k(ints, F.col("id") % 20 == 0)
+
+
 def _held_out(fold, of):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of == fold
 
@@ -145,6 +153,7 @@ def queries():
     return {
         "op6_secrets": op6_secrets,
         "op1_suffix_dedup": op1_suffix_dedup,
+        "op2_top_k": op2_top_k,
         "op7_near_dedup": op7_near_dedup,
         "op8_line_dedup": op8_line_dedup,
         "op9_packing": op9_packing,
@@ -157,6 +166,7 @@ def queries():
 
 def oracle_sql():
     return {
+        "op2_top_k": OP2_SQL,
         "op4_decontamination": OP4_SQL,
         "op7_near_dedup": OP7_SQL,
         "op8_line_dedup": OP8_SQL,
@@ -238,3 +248,17 @@ named AS (SELECT node, min(low) AS component_id FROM reach GROUP BY node)
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, component_id = doc_id AS kept
 FROM documents LEFT JOIN size USING (doc_id) JOIN named ON node = doc_id
 """
+
+OP2_SQL = """
+WITH vec AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pair AS (
+    SELECT q.vec_id AS query_id, d.vec_id, CAST(list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM vec q JOIN vec d ON q.vec_id % 20 = 0 AND d.vec_id <> q.vec_id AND len(q.v) = len(d.v))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pair)
+WHERE rank <= 20
+"""
