@@ -28,7 +28,9 @@ from eventide.sources import connectors, schemas, text  # noqa: E402
 from eventide.streaming import jobs as streams  # noqa: E402
 from eventide.streaming.sinks import latest_rows, result_path  # noqa: E402
 
+# The operators on documents may be left out of an installation.
 try:
+    import corpus_pipeline  # noqa: E402
     from eventide.llm import queries as llm  # noqa: E402
 except ModuleNotFoundError as missing:
     if missing.name not in ("eventide.llm", "corpus_pipeline"):
@@ -314,7 +316,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
     }
     if llm:
-        found |= llm.queries()
+        found |= {"pipeline": corpus_pipeline.run} | llm.queries()
     return {name: _configured(query) for name, query in found.items()}
 
 
