@@ -68,14 +68,14 @@ def gram_counts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     n, size = len(lengths), 1 << BITS
     keys = []
     for order in ORDERS:
-        h = np.full(len(p) - order + 1, order, np.uint64)
+        h = np.full(max(0, len(p) - order + 1), order, np.uint64)
         some = np.zeros(len(h), bool)
         for k in range(order):
             h = (h * np.uint64(0x9E3779B97F4A7C15)) ^ p[k : k + len(h)]
             some |= letter[k : k + len(h)]
         h = (h * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - BITS)
         # Neither across texts nor of blanks alone.
-        inside = some & (text[: len(h)] == text[order - 1 :])
+        inside = some & (text[: len(h)] == text[order - 1 : order - 1 + len(h)])
         keys.append((text[: len(h)] * size + h.astype(np.int64))[inside])
     counts = np.bincount(np.concatenate(keys), minlength=n * size)
     at = np.flatnonzero(counts)

@@ -11,7 +11,8 @@ next one.
 
 In a small node all pairs are held against each other by signature (and by size:
 sets of similarity s differ at most by that factor). A large node compares its
-members with one of them, drawn at random in each node. Pairs that may be similar
+members with one of them, drawn at random in each node; where many levels have not
+parted a node, members that are nearly equal to the drawn one go no further. Pairs that may be similar
 are then confirmed on full sets. Links between documents that are known to hang
 together need no confirmation, so there are two rounds: spanning trees of the
 nodes of the first trees, and then all pairs of all trees that run between
@@ -46,6 +47,8 @@ SIGNATURE = 64
 TREES = 8
 FIRST_TREES = 2
 LIMIT = 2000
+PATIENCE = 5  # levels after which a large node's copies of its center are settled with it
+SETTLED = 0.9
 DEPTH = 48
 IS_WORD = word_table([(0x20, 0x20), (0x09, 0x0D)])
 
@@ -263,7 +266,7 @@ def _nodes(classes: DataFrame, trees: int, limit: int, depth: int) -> tuple[Data
     members = classes.select(F.explode(F.array(*map(F.lit, range(trees)))).alias("tree"), "id", "sig")
     members = members.withColumn("path", F.xxhash64(F.lit("root"), F.col("tree")))
     small, stars = None, []
-    for _ in range(depth):
+    for level in range(depth):
         reached = saved(members.select("tree", "path", "id", "sig").mapInArrow(_descend, "tree int, path long, id long"), "paths")
         sizes = reached.groupBy("path").agg(
             F.count("*").alias("size"), F.min(F.struct(F.xxhash64("path", "id").alias("h"), "id")).alias("drawn")
@@ -277,11 +280,30 @@ def _nodes(classes: DataFrame, trees: int, limit: int, depth: int) -> tuple[Data
         going = saved(reached.join(large, "path"), "large")
         stars.append(going.where("id <> center").select("id", "center").distinct())
         members = going.join(classes.select("id", "sig"), "id")
+        if level >= PATIENCE:
+            members = _unsettled(members, classes)
     else:
-        raise RuntimeError(f"nodes of more than {limit} sets are left at depth {depth}")
+        # Hardly reached: what still shares all its places is compared in parts.
+        part = F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / limit))
+        rest = reached.join(sizes.where(F.col("size") > limit).select("path", "size"), "path")
+        small = small.unionByName(rest.select("tree", F.xxhash64("path", part).alias("path"), "id"))
     return small, stars
 
 
+def _unsettled(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members without those that share nearly all of their signature with the node's center."""
+    other = classes.select(F.col("id").alias("center"), F.col("sig").alias("sig_b"))
+
+    def far(batches):
+        for batch in batches:
+            if batch.num_rows:
+                share = (_sig_matrix(batch.column("sig")) == _sig_matrix(batch.column("sig_b"))).mean(1)
+                yield batch.filter(pa.array(share < SETTLED)).select(["tree", "path", "id", "sig"])
+
+    rows = members.join(other, "center").select("tree", "path", "id", "sig", "sig_b")
+    return rows.mapInArrow(far, rows.drop("sig_b").schema)
+
+
 def _star_pairs(stars: list[DataFrame], classes: DataFrame, percent: int) -> DataFrame | None:
     """Star pairs whose signatures and sizes allow a link."""
     if not stars:

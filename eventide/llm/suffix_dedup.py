@@ -18,8 +18,10 @@ same group of pieces as all windows equal to it.
   within each task's rows before anything is sent, and once more for each bucket of
   anchors, so exact copies cost one row of a task at most.
 * An anchor with different pieces is open: its pieces are cut from the texts, and the
-  groups are dealt to tasks of bounded size that sort their suffixes. Suffixes whose
-  common prefix has a window's length are equal windows.
+  groups are dealt to tasks of bounded size that sort their suffixes. All pieces are
+  aligned at their anchors, so the rounds insert the bytes up to the anchor, and what
+  follows it (a window's length) is sorted once and stands as the last symbol. Suffixes
+  whose common prefix has a window's length are equal windows.
 * An anchor with more than ``HOT`` different pieces (a common line between other lines)
   would not fit one task. Its windows are taken one by one and grouped by their
   hash with a combining aggregate.
@@ -50,17 +52,18 @@ FLUSH = 1 << 20  # pieces gathered in a task before they are sent
 BUCKET_BYTES = 8 << 20  # bytes of text for each bucket of anchors
 HOME = 64  # different pieces of one anchor that a task sends to the anchor's bucket
 HOT = 2048  # different pieces of one anchor that are sorted in one task
-GROUP = 4096  # pieces of a task that sorts suffixes
+GROUP = 2048  # pieces whose suffixes are sorted together
+MOST_TASKS = 20_000
 
 _PLAIN, _MARKED, _MOVED, _SETTLED = range(4)
-_PIECE = np.dtype([("h", "<u4"), ("f", "<u8"), ("id", "<i8"), ("row", "<i8"), ("at", "<u4"), ("n", "u1"), ("flag", "u1")])
+_PIECE = np.dtype([("h", "<u4"), ("f", "<u8"), ("id", "<i8"), ("row", "<i8"), ("at", "<u4"), ("n", "u1"), ("o", "u1"), ("flag", "u1")])
 
 
 # --- anchors -----------------------------------------------------------------------
 
 
 def pieces(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram: int = GRAM):
-    """Pieces of texts: text number, start in the text, number of windows, anchor hash, content hash."""
+    """Pieces of texts: text number, start, number of windows, the anchor's place, and hashes of anchor and content."""
     found = []
     span = window - gram + 1
     for base in range(0, len(data), BLOCK):
@@ -97,10 +100,10 @@ def pieces(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram: in
         end = begin + count - 1 + window
         content = mixed((sums[end] - sums[begin]) * inverse[begin] + mixed(count.astype(np.uint64)))
         text = np.searchsorted(offsets, base + begin, "right") - 1
-        found.append((text, base + begin - offsets[text], count, grams[place[firsts]], content))
+        found.append((text, base + begin - offsets[text], count, place[firsts] - begin, grams[place[firsts]], content))
     if not found:
         none = np.zeros(0, np.int64)
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
     return tuple(np.concatenate(parts) for parts in zip(*found, strict=True))
 
 
@@ -132,10 +135,10 @@ class _Anchors:
         for batch in batches:
             ids, rows = batch.column("id").to_numpy(), batch.column("row").to_numpy()
             for first, _, data, offsets in byte_slices(batch.column("text")):
-                text, at, n, h, f = pieces(data, offsets, self.window, self.gram)
+                text, at, n, o, h, f = pieces(data, offsets, self.window, self.gram)
                 part = np.zeros(len(text), [*_PIECE.descr, ("bucket", "<i4")])
                 part["id"], part["row"] = ids[first + text], rows[first + text]
-                part["at"], part["n"], part["f"], part["h"] = at, n, f, h & np.uint64(0xFFFFFFFF)
+                part["at"], part["n"], part["o"], part["f"], part["h"] = at, n, o, f, h & np.uint64(0xFFFFFFFF)
                 part["bucket"] = (h >> np.uint64(32)) % np.uint64(self.buckets)
                 kept.append(part)
                 size += len(part)
@@ -190,7 +193,7 @@ def _unpacked(packs: list[bytes]) -> np.ndarray:
     return np.concatenate(out)
 
 
-_STATES = "id long, row long, at long, n int, state string, anchor long"
+_STATES = "id long, row long, at long, n int, o int, state string, anchor long"
 
 
 def _settle(table: pa.Table) -> pa.Table:
@@ -216,19 +219,19 @@ def _settle(table: pa.Table) -> pa.Table:
         hot = (np.bincount(anchor, part["flag"] != _PLAIN) > 0) | (count > HOT)
         add(part[hot[anchor]], "hot")
         add(part[(~hot & (count > 1))[anchor]], "open")
-    columns = [[], [], [], [], [], []]
+    columns = [[] for _ in range(7)]
     for part, name in state:
         anchor = (np.int64(bucket) << 32) | part["h"].astype(np.int64)
-        for kept, values in zip(columns, (part["id"], part["row"], part["at"], part["n"], None, anchor), strict=True):
+        for kept, values in zip(columns, (part["id"], part["row"], part["at"], part["n"], part["o"], None, anchor), strict=True):
             kept.append(np.full(len(part), name) if values is None else values)
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64()]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.int64()]
     arrays = [
         pa.array(np.concatenate(c).astype(k.to_pandas_dtype()) if k != pa.string() else np.concatenate(c), k)
         if c
         else pa.array([], k)
         for c, k in zip(columns, kinds, strict=True)
     ]
-    return pa.table(arrays, ["id", "row", "at", "n", "state", "anchor"])
+    return pa.table(arrays, ["id", "row", "at", "n", "o", "state", "anchor"])
 
 
 # --- suffixes ----------------------------------------------------------------------
@@ -248,10 +251,13 @@ class _Columns:
         return np.fromfile(self.folder / name, kind)
 
 
-def sorted_suffixes(strings: list[bytes], cap: int = 1 << 14) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """String, length, and common prefix with the one before (up to ``cap``), of all suffixes in order.
+def sorted_suffixes(strings: list[bytes], tails: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """String, length, and common prefix with the one before, of all suffixes in order.
 
-    Equal suffixes follow each other by string. Round j places the suffixes of j
+    Equal suffixes follow each other by string. ``tails`` (a row of symbols for each string)
+    stand after the strings: they count in order and common prefixes as one last symbol each that
+    is known by its rank, so no round is spent on them. Suffixes of one length are then in the
+    order of their bytes, and what lies between two of them begins as they do. Round j places the suffixes of j
     symbols. The transform has, for every suffix placed so far, the symbol before it
     (0 where the string begins); the next suffix of a string starts with
     that symbol, and its place is that of the symbol among all symbols in stable order,
@@ -263,15 +269,16 @@ def sorted_suffixes(strings: list[bytes], cap: int = 1 << 14) -> tuple[np.ndarra
     symbols = np.zeros((longest + 1, n), np.uint16)  # row j: the j-th symbol from the end, from 0
     for i, s in enumerate(strings):
         symbols[: len(s), i] = np.frombuffer(s, np.uint8)[::-1].astype(np.uint16) + 1
+    first, shared = np.arange(n), np.zeros(n, np.int16)
+    if tails is not None and n:
+        first = np.lexsort(tails.T[::-1])
+        differ = tails[first[1:]] != tails[first[:-1]]
+        shared[1:] = np.where(differ.any(1), differ.argmax(1), tails.shape[1])
     with tempfile.TemporaryDirectory() as folder:
         files = _Columns(folder)
-        files.put(
-            bwt=symbols[0],
-            lcp=np.zeros(n, np.int16),
-            who=np.arange(n, dtype=np.int32),
-            size=np.zeros(n, np.int32),
-        )
-        pending = np.arange(n)
+        files.put(bwt=symbols[0][first], lcp=shared, who=first.astype(np.int32), size=np.zeros(n, np.int16))
+        pending = np.empty(n, np.int64)
+        pending[first] = np.arange(n)
         for j in range(1, longest + 1):
             active = np.flatnonzero(sizes >= j)
             bwt = files.get("bwt", np.uint16)
@@ -299,17 +306,17 @@ def sorted_suffixes(strings: list[bytes], cap: int = 1 << 14) -> tuple[np.ndarra
             if alike.any():
                 bounds = np.stack([before[alike] + 1, here[alike] + 1], 1).ravel()
                 low = np.minimum.reduceat(np.append(lcp, 0), bounds)[::2]
-                fresh[alike] = np.minimum(low + 1, cap)
+                fresh[alike] = low + 1
             lcp = merged(lcp, 0)
             lcp[k + n] = fresh
             files.put(
                 bwt=merged(bwt, symbols[j][active]),
                 lcp=lcp,
                 who=merged(files.get("who", np.int32), active),
-                size=merged(files.get("size", np.int32), j),
+                size=merged(files.get("size", np.int16), j),
             )
             pending[active] = new
-        return files.get("who", np.int32), files.get("size", np.int32), files.get("lcp", np.int16)
+        return files.get("who", np.int32), files.get("size", np.int16), files.get("lcp", np.int16)
 
 
 _SPANS = "id long, row long, at long, stop long"
@@ -324,13 +331,17 @@ class _Sort:
     def __call__(self, table: pa.Table) -> pa.Table:
         # One order for equal content, whatever order the rows come in.
         table = table.sort_by([(n, "ascending") for n in ("anchor", "id", "row", "at")])
-        strings = table.column("piece").to_pylist()
-        ids, rows, starts = (table.column(n).to_numpy() for n in ("id", "row", "at"))
-        who, size, lcp = sorted_suffixes(strings)
-        long = size >= self.window
-        group = np.cumsum(lcp < self.window)[long]
-        who, size = who[long], size[long]
-        at = starts[who] + np.array([len(s) for s in strings], np.int64)[who] - size
+        heads, tails = table.column("head").to_pylist(), table.column("tail").to_pylist()
+        ids, rows, starts, windows = (table.column(n).to_numpy() for n in ("id", "row", "at", "n"))
+        matrix = np.zeros((len(tails), self.window - 1), np.uint16)  # 0 after the end of a document
+        for i, tail in enumerate(tails):
+            matrix[i, : len(tail)] = np.frombuffer(tail, np.uint8).astype(np.uint16) + 1
+        who, size, lcp = sorted_suffixes(heads, matrix)
+        group = np.cumsum(lcp < self.window)
+        place = np.array([len(h) for h in heads], np.int64)[who] - size
+        # The other suffixes have no window, or one that belongs to another piece.
+        own = (size > 0) & (place < windows[who])
+        group, who, at = group[own], who[own], starts[who[own]] + place[own]
         ids, rows = ids[who], rows[who]
         order = np.lexsort((at, rows, ids, group))
         group, ids, rows, at = group[order], ids[order], rows[order], at[order]
@@ -359,23 +370,24 @@ def _merge(ids, rows, at, window) -> pa.Table:
 
 
 def _cut(batches, window=WINDOW):
-    """Open pieces with their bytes; the windows of hot ones one by one, with their hash as anchor."""
+    """Open pieces as the bytes up to their anchor (head) and a window's length from there (tail);
+    the windows of hot ones one by one."""
     for batch in batches:
-        out = [[] for _ in range(6)]
+        out = [[] for _ in range(8)]
         found = batch.column("found").to_pylist()
         for i, (text, row) in enumerate(zip(batch.column("text").to_pylist(), found, strict=True)):
             raw = text.encode()
             for p in row:
                 at, n, hot = p["at"], p["n"], p["state"] == "hot"
                 for k in range(n if hot else 1):
-                    piece = raw[at + k : at + k + window if hot else at + n - 1 + window]
-                    values = (batch.column("id")[i].as_py(), batch.column("row")[i].as_py(), at + k, hot, p["anchor"], piece)
+                    cut = at + k + window if hot else at + p["o"] + 1
+                    name = (batch.column("id")[i].as_py(), batch.column("row")[i].as_py(), at + k, n)
+                    values = (*name, hot, p["anchor"], raw[at + k : cut], b"" if hot else raw[cut : cut + window - 1])
                     for kept, value in zip(out, values, strict=True):
                         kept.append(value)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
-        yield pa.record_batch(
-            [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["id", "row", "at", "hot", "anchor", "piece"]
-        )
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.binary(), pa.binary()]
+        names = ["id", "row", "at", "n", "hot", "anchor", "head", "tail"]
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -389,20 +401,21 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     states = saved(packs.groupBy("bucket").applyInArrow(_settle, _STATES), "pieces")
     gone = states.where("state = 'gone'").select("id", "row", "at", (F.col("at") + F.col("n") - 1 + window).alias("stop"))
     left = states.where("state <> 'gone'")
-    left = left.groupBy("id", "row").agg(F.collect_list(F.struct("at", "n", "state", "anchor")).alias("found"))
+    left = left.groupBy("id", "row").agg(F.collect_list(F.struct("at", "n", "o", "state", "anchor")).alias("found"))
     texts = rows.join(left, ["id", "row"]).dropDuplicates(["id", "row"]).select("id", "row", "text", "found")
     cut = lambda batches: _cut(batches, window)
-    cuts = saved(
-        texts.mapInArrow(cut, "id long, row long, at long, hot boolean, anchor long, piece binary"), "cuts"
-    )
+    schema = "id long, row long, at long, n int, hot boolean, anchor long, head binary, tail binary"
+    cuts = saved(texts.mapInArrow(cut, schema), "cuts")
     # Pieces of one anchor stay together; tasks get about GROUP of them.
     cold = cuts.where("NOT hot").drop("hot")
     tasks = max(1, -(-cold.count() // GROUP))
     cold = cold.withColumn("task", F.pmod(F.xxhash64("anchor"), F.lit(tasks)))
     sort = _Sort(window)
+    # The work of a task is in its rounds, not its bytes: partitions are not to be merged by size.
+    cold = cold.repartition(min(tasks, MOST_TASKS), "task")
     sorted_spans = cold.groupBy("task").applyInArrow(lambda table: sort(table), _SPANS)
     place = F.struct("id", "row", "at")
-    hot = cuts.where("hot").select(F.sha2("piece", 256).alias("name"), place.alias("place"))
+    hot = cuts.where("hot").select(F.sha2("head", 256).alias("name"), place.alias("place"))
     firsts = hot.groupBy("name").agg(F.min("place").alias("first"), F.count("*").alias("times")).where("times > 1")
     hot_spans = hot.join(firsts, "name").where("place > first").select("place.*")
     hot_spans = hot_spans.withColumn("stop", F.col("at") + window)

@@ -117,7 +117,7 @@ class Search:
         self.scores = np.full((len(queries), k), -np.inf)
         self.ids = np.full((len(queries), k), np.iinfo(np.int64).max)
         self.floor = floor  # what a score must reach to matter
-        self.pairs = 0  # leaf pairs compared
+        self.products = 0  # inner products taken
 
     def worst(self, node: Node) -> float:
         rows = node.rows
@@ -129,7 +129,7 @@ class Search:
         return float(top + 1e-9 * abs(top) + 1e-3)
 
     def compare(self, q: Node, x: Node) -> None:
-        self.pairs += 1
+        self.products += len(q.rows) * len(x.rows)
         score = self.q[q.rows] @ self.x[x.rows].T
         score[self.qid[q.rows][:, None] == self.xid[x.rows]] = -np.inf
         limit = np.maximum(self.scores[q.rows, -1], self.floor[q.rows])
