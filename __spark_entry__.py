@@ -2,9 +2,8 @@
 
 Inputs of the jobs are views on ``events`` and ``nation`` (``eventide.plans.views``
 in Spark, the ``WITH`` clauses below in SQL). Queries named ``*_stream`` run the
-streaming form over the whole table and return the table it wrote; windows and
-timers that no later row has closed are still open there, and their SQL leaves
-these out.
+streaming form over the whole table in several micro-batches, and return the table it
+wrote; its SQL is that of the table form.
 """
 
 from __future__ import annotations
@@ -12,7 +11,6 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable
-from contextlib import contextmanager
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -56,6 +54,7 @@ def _behavior(spark, sf_dir):
 
 
 def _page_views(spark, sf_dir):
+    """Views only, by a test that the scan can use."""
     return views.behavior(views.views_only(views.events(spark, sf_dir)))
 
 
@@ -64,6 +63,11 @@ def _access_log(spark, sf_dir):
 
 
 def _marketing(spark, sf_dir):
+    return views.marketing(views.events(spark, sf_dir))
+
+
+def _kept_marketing(spark, sf_dir):
+    """Without removals, by a test that the scan can use."""
     return views.marketing(views.without_removals(views.events(spark, sf_dir)))
 
 
@@ -75,21 +79,37 @@ def _orders(spark, sf_dir):
     return views.orders(views.events(spark, sf_dir))
 
 
-def _stream(view):
-    def rows(spark, sf_dir):
-        return view(views.event_stream(spark, sf_dir))
+# Rows of the late feeds come up to this long after newer ones.
+LATE_MS = 60_000
+
+
+def _feed(spark, sf_dir, late_ms=0):
+    """The events as a stream of several micro-batches; the files are written once a session."""
+    feeds = spark.sparkContext.__dict__.setdefault("_eventide_feeds", {})
+    if (sf_dir, late_ms) not in feeds:
+        folder = f"{_folder(spark)}/feed"
+        feeds[sf_dir, late_ms] = folder, views.write_feed(spark, sf_dir, folder, late_ms=late_ms)
+    return views.read_feed(spark, *feeds[sf_dir, late_ms])
+
+
+def _behavior_stream(spark, sf_dir):
+    return views.behavior(_feed(spark, sf_dir))
 
-    return rows
 
+def _marketing_stream(spark, sf_dir):
+    return views.marketing(_feed(spark, sf_dir))
 
-_page_view_stream = _stream(lambda e: views.behavior(views.views_only(e)))
-_access_log_stream = _stream(views.access_log)
-_marketing_stream = _stream(lambda e: views.marketing(views.without_removals(e)))
-_order_stream = _stream(views.orders)
+
+def _access_log_stream(spark, sf_dir):
+    return views.access_log(_feed(spark, sf_dir, LATE_MS))
+
+
+def _order_stream(spark, sf_dir):
+    return views.orders(_feed(spark, sf_dir, LATE_MS))
 
 
 def _click_stream(spark, sf_dir):
-    return views.ad_clicks(views.event_stream(spark, sf_dir), views.nation(spark, sf_dir))
+    return views.ad_clicks(_feed(spark, sf_dir), views.nation(spark, sf_dir))
 
 
 # --- single operators --------------------------------------------------------
@@ -110,6 +130,24 @@ def parse_user_behavior(spark, sf_dir):
     return rows.withColumn("at", F.unix_millis("ts")).drop("ts")
 
 
+def parse_marketing(spark, sf_dir):
+    """Marketing records as lines, with their time in milliseconds."""
+    rows = _marketing(spark, sf_dir)
+    line = F.concat_ws(",", "user_id", "behavior", "channel", F.unix_millis("ts"))
+    parsed = text.parse_delimited(rows.select(line.alias("value")), schemas.MARKETING_EVENT)
+    timed = text.with_event_time(parsed, unit="milliseconds")
+    return timed.withColumn("at", F.unix_millis("ts")).drop("ts")
+
+
+def parse_ad_clicks(spark, sf_dir):
+    """Ad clicks as lines; the city is the province in lower case."""
+    rows = _clicks(spark, sf_dir)
+    line = F.concat_ws(", ", "user_id", "ad_id", "province", F.lower("province"), F.unix_seconds("ts"))
+    parsed = text.parse_delimited(rows.select(line.alias("value")), schemas.AD_CLICK)
+    timed = text.with_event_time(parsed)
+    return timed.withColumn("at", F.unix_millis("ts")).drop("ts")
+
+
 def _partly_bad_lines(spark, sf_dir):
     """Order lines in which the time of error events is no number."""
     time = F.when(F.col("event_type") == "error", "none").otherwise(
@@ -200,60 +238,56 @@ def _folder(spark):
     return f"{shared_dir(spark)}/eventide/{uuid.uuid4().hex}"
 
 
-@contextmanager
-def _state_partitions(spark):
-    """At most one state partition per core: each is a store of its own, opened and saved per batch."""
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    spark.conf.set(name, min(int(before), spark.sparkContext.defaultParallelism))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
-def _run(spark, start) -> DataFrame:
-    """Run one query over what is there and read its table."""
+def _run(spark, start) -> str:
+    """Run one query over what is there; its folder."""
     folder = _folder(spark)
-    with _state_partitions(spark):
-        start(folder).awaitTermination()
-    return spark.read.parquet(result_path(folder))
+    start(folder).awaitTermination()
+    return folder
 
 
 def _stream_query(job, rows):
     def query(spark, sf_dir):
         ship_package(spark)
-        table = _run(spark, lambda folder: job(rows(spark, sf_dir), folder))
-        return table.drop("batch_id")
+        folder = _run(spark, lambda folder: job(rows(spark, sf_dir), folder))
+        return spark.read.parquet(result_path(folder)).drop("batch_id")
 
     return query
 
 
-def hot_urls_stream(spark, sf_dir):
-    table = _run(spark, lambda folder: streams.hot_urls(_access_log_stream(spark, sf_dir), folder))
-    return latest_rows(table)
+def _corrected(table, **options):
+    """Newest rows of the windows of the hot urls, from the result or the counts."""
+
+    def query(spark, sf_dir):
+        folder = _run(spark, lambda folder: streams.hot_urls(_access_log_stream(spark, sf_dir), folder, **options))
+        return latest_rows(spark.read.parquet(f"{folder}/{table}"))
 
+    return query
 
-def _limited_stream(spark, sf_dir):
-    """Folder of the finished click limiter."""
-    ship_package(spark)
-    folder = _folder(spark)
-    clicks = _click_stream(spark, sf_dir)
-    with _state_partitions(spark):
-        streams.ad_click_limit(clicks, folder, AD_LIMIT, AD_ORDER).awaitTermination()
-    return folder, clicks.schema
+
+def hot_items_report_stream(spark, sf_dir):
+    rows = _behavior_stream(spark, sf_dir)
+    folder = _run(spark, lambda folder: streams.hot_items(rows, folder, report=True))
+    return spark.read.parquet(result_path(folder)).drop("batch_id")
 
 
 def ad_click_limit_stream(spark, sf_dir):
-    folder, _ = _limited_stream(spark, sf_dir)
+    clicks = _click_stream(spark, sf_dir)
+    folder = _run(spark, lambda folder: streams.ad_click_limit(clicks, folder, AD_LIMIT, AD_ORDER))
     table = spark.read.parquet(result_path(folder))
     return table.select("event_id", "user_id", "ad_id", "province", "kind")
 
 
+def _province_folder(spark, sf_dir):
+    clicks = _click_stream(spark, sf_dir)
+    return _run(spark, lambda folder: streams.ad_by_province(clicks, folder, AD_LIMIT, AD_ORDER))
+
+
 def ad_by_province_stream(spark, sf_dir):
-    folder, schema = _limited_stream(spark, sf_dir)
-    passed = streams.passed_click_stream(spark, folder, schema)
-    return _run(spark, lambda own: streams.ad_by_province(passed, own)).drop("batch_id")
+    return spark.read.parquet(result_path(_province_folder(spark, sf_dir))).drop("batch_id")
+
+
+def ad_blacklist_stream(spark, sf_dir):
+    return spark.read.parquet(f"{_province_folder(spark, sf_dir)}/warnings").drop("batch_id")
 
 
 # --- registry -------------------------------------------------------------------
@@ -269,51 +303,49 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parse_bad_lines": parse_bad_lines,
         "parse_access_log": parse_access_log,
         "publish_lines": publish_lines,
+        "parse_marketing": parse_marketing,
+        "parse_ad_clicks": parse_ad_clicks,
         "user_offsets": user_offsets,
         "daily_resets": daily_resets,
         "behavior_per_hour": behavior_per_hour,
         # jobs on tables
-        "page_views": on(jobs.page_views, _page_views),
+        "page_views": on(jobs.page_views, _behavior),
         "unique_visitors": on(jobs.unique_visitors, _page_views),
         "unique_visitors_bitmap": on(jobs.unique_visitors_bitmap, _page_views),
         "unique_visitors_small_bitmap": on(
             lambda rows: jobs.unique_visitors_bitmap(rows, SMALL_BITMAP), _page_views
         ),
         "hot_item_counts": on(jobs.hot_item_counts, _page_views),
-        "hot_items": on(jobs.hot_items, _page_views),
+        "hot_items": on(jobs.hot_items, _behavior),
         "hot_items_report": on(jobs.hot_items_report, _page_views),
         "url_counts": on(jobs.url_counts, _access_log),
         "hot_urls": on(jobs.hot_urls, _access_log),
         "hot_urls_count_offset": on(lambda rows: jobs.hot_urls(rows, count_offset=1), _access_log),
         "hot_urls_report": on(jobs.hot_urls_report, _access_log),
         "marketing_total": on(jobs.marketing_total, _marketing),
-        "marketing_by_channel": on(jobs.marketing_by_channel, _marketing),
+        "marketing_by_channel": on(jobs.marketing_by_channel, _kept_marketing),
         "ad_click_limit": ad_click_limit,
         "ad_blacklist": on(lambda rows: jobs.ad_blacklist(rows, AD_LIMIT, AD_ORDER), _clicks),
         "ad_by_province": on(lambda rows: jobs.ad_by_province(rows, AD_LIMIT, AD_ORDER), _clicks),
         "order_pay_match": on(jobs.order_pay_match, _orders),
         "order_timeout_warning": on(jobs.order_timeout_warning, _orders),
         # the same as streams
-        "page_views_stream": _stream_query(streams.page_views, _page_view_stream),
-        "unique_visitors_stream": _stream_query(streams.unique_visitors, _page_view_stream),
-        "unique_visitors_bitmap_stream": _stream_query(
-            streams.unique_visitors_bitmap, _page_view_stream
-        ),
-        "running_unique_visitors_stream": _stream_query(
-            streams.running_unique_visitors, _page_view_stream
-        ),
-        "hot_items_stream": _stream_query(streams.hot_items, _page_view_stream),
-        "hot_urls_stream": hot_urls_stream,
+        "page_views_stream": _stream_query(streams.page_views, _behavior_stream),
+        "unique_visitors_stream": _stream_query(streams.unique_visitors, _behavior_stream),
+        "unique_visitors_bitmap_stream": _stream_query(streams.unique_visitors_bitmap, _behavior_stream),
+        "running_unique_visitors_stream": _stream_query(streams.running_unique_visitors, _behavior_stream),
+        "hot_items_stream": _stream_query(streams.hot_items, _behavior_stream),
+        "hot_items_report_stream": hot_items_report_stream,
+        "hot_urls_stream": _corrected("result"),
+        "url_counts_stream": _corrected("counts"),
+        "hot_urls_report_stream": _corrected("result", report=True),
         "marketing_total_stream": _stream_query(streams.marketing_total, _marketing_stream),
-        "marketing_by_channel_stream": _stream_query(
-            streams.marketing_by_channel, _marketing_stream
-        ),
+        "marketing_by_channel_stream": _stream_query(streams.marketing_by_channel, _marketing_stream),
         "ad_click_limit_stream": ad_click_limit_stream,
         "ad_by_province_stream": ad_by_province_stream,
+        "ad_blacklist_stream": ad_blacklist_stream,
         "order_pay_match_stream": _stream_query(streams.order_pay_match, _order_stream),
-        "order_timeout_warning_stream": _stream_query(
-            streams.order_timeout_warning, _order_stream
-        ),
+        "order_timeout_warning_stream": _stream_query(streams.order_timeout_warning, _order_stream),
     }
     if llm:
         found |= {"pipeline": corpus_pipeline.run} | llm.queries()
@@ -337,10 +369,10 @@ behavior AS (
 pv AS (SELECT * FROM behavior WHERE behavior = 'pv'),
 access_log AS (SELECT '/p/' || item_id AS url, ts FROM behavior),
 marketing AS (
-    SELECT CASE user_id % 4 WHEN 0 THEN 'wechat' WHEN 1 THEN 'weibo'
-                            WHEN 2 THEN 'appstore' ELSE 'huaweistore' END AS channel,
+    SELECT CASE user_id % 4 WHEN 0 THEN 'north' WHEN 1 THEN 'south'
+                            WHEN 2 THEN 'store' ELSE 'direct' END AS channel,
            CASE event_type WHEN 'click' THEN 'CLICK' WHEN 'view' THEN 'DOWNLOAD'
-                           WHEN 'error' THEN 'UNINSTALL' ELSE 'INSTALL' END AS behavior, ts
+                           WHEN 'error' THEN 'UNINSTALL' ELSE 'INSTALL' END AS behavior, user_id, ts
     FROM events),
 kept AS (SELECT * FROM marketing WHERE behavior <> 'UNINSTALL'),
 clicks AS (
@@ -374,11 +406,6 @@ def _sliding(source: str, keys: str, size: int, slide: int, name: str = "counts"
     GROUP BY ALL)"""
 
 
-def _closed(source: str) -> str:
-    """Windows a stream of ``source`` has closed."""
-    return f"WHERE window_end <= (SELECT epoch_us(max(ts)) // 1000 FROM {source})"
-
-
 def _text(ms: str) -> str:
     return f"strftime(make_timestamp(({ms}) * 1000), '%Y-%m-%d %H:%M:%S') || '.0'"
 
@@ -403,7 +430,6 @@ FROM ranked GROUP BY window_end"""
 
 
 _HOUR_END = "epoch_us(ts) // 1000 - (epoch_us(ts) // 1000) % 3600000 + 3600000"
-_CLOSED_HOUR = _closed("pv")
 _HOT_ITEMS = (_sliding("pv", "item_id", 3600, 300), _ranked("item_id", 3))
 _HOT_URLS = (_sliding("access_log", "url", 600, 5), _ranked("url", 5))
 _TOTAL = _sliding("kept", "", 3600, 10)
@@ -417,19 +443,16 @@ def _offset(user: str, capacity: int) -> str:
         lambda a, c: (a * 61 + c) % {capacity}) % {capacity}"""
 
 
-def _unique(what: str, where: str = "") -> str:
-    return _with(
-        f"uv AS (SELECT {_HOUR_END} AS window_end, count(DISTINCT {what}) AS uv_count FROM pv GROUP BY 1)",
-        f"SELECT * FROM uv {where}",
-    )
+def _unique(what: str) -> str:
+    return _with(f"SELECT {_HOUR_END} AS window_end, count(DISTINCT {what}) AS uv_count FROM pv GROUP BY 1")
 
 
-def _marketing_rows(counts: str, channel: str, behavior: str, where: str = "") -> str:
+def _marketing_rows(counts: str, channel: str, behavior: str) -> str:
     return _with(
         counts,
         f"""SELECT {_text('window_end - 3600000')} AS window_start, {_text('window_end')} AS window_end,
                    {channel} AS channel, {behavior} AS behavior, count
-            FROM counts {where}""",
+            FROM counts""",
     )
 
 
@@ -449,15 +472,12 @@ settled AS (
            CASE WHEN step = 0 AND next_step = 1 AND next_ms < ms + 900000 THEN '{orders.MATCHED}'
                 WHEN step = 0 AND next_step = 1 THEN '{orders.LATE}'
                 WHEN step = 0 THEN '{orders.NOT_PAYED}'
-                WHEN last_step IS NULL OR last_step = 1 THEN '{orders.NO_CREATE}' END AS result_msg,
-           CASE WHEN step = 0 AND next_step = 1 THEN next_ms
-                WHEN step = 0 THEN ms + 900001 ELSE ms + 1 END AS known_ms
+                WHEN last_step IS NULL OR last_step = 1 THEN '{orders.NO_CREATE}' END AS result_msg
     FROM linked)"""
 _MATCH_ROWS = f"""
 SELECT order_id, CASE WHEN result_msg = '{orders.MATCHED}' THEN 'payed' ELSE 'timeout' END AS kind,
        result_msg
 FROM settled WHERE result_msg IS NOT NULL"""
-_ORDER_TIME = "(SELECT max(ms) FROM orders_log)"
 
 _WARNED = f"""
 warned AS (
@@ -471,6 +491,26 @@ warned AS (
         AND p.ms >= c.ms - 900000 AND p.ms < c.ms))"""
 
 
+STREAMS = [
+    "page_views_stream",
+    "unique_visitors_stream",
+    "unique_visitors_bitmap_stream",
+    "hot_items_stream",
+    "hot_items_report_stream",
+    "hot_urls_stream",
+    "url_counts_stream",
+    "hot_urls_report_stream",
+    "marketing_total_stream",
+    "marketing_by_channel_stream",
+    "ad_click_limit_stream",
+    "ad_by_province_stream",
+    "ad_blacklist_stream",
+    "order_pay_match_stream",
+    "order_timeout_warning_stream",
+]
+ALIKE = {"running_unique_visitors_stream": "unique_visitors"}
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query, written independently of the Spark plans."""
     behavior_columns = "user_id, item_id, category_id, behavior"
@@ -529,34 +569,16 @@ def oracle_sql() -> dict[str, str]:
         ),
         "order_pay_match": _with(_MATCHED, _MATCH_ROWS),
         "order_timeout_warning": _with(_WARNED, "SELECT order_id, result_msg FROM warned"),
-        "page_views_stream": _with(
-            f"counts AS (SELECT {_HOUR_END} AS window_end, count(*) AS count FROM pv GROUP BY 1)",
-            f"SELECT 'pv' AS label, window_end, count FROM counts {_CLOSED_HOUR}",
-        ),
-        "unique_visitors_stream": _unique("user_id", _CLOSED_HOUR),
-        "unique_visitors_bitmap_stream": _unique(_offset("user_id", 1 << 28), _CLOSED_HOUR),
-        "running_unique_visitors_stream": _unique("user_id"),
-        "hot_items_stream": _with(
-            *_HOT_ITEMS, f"SELECT * FROM ranked {_closed('pv')}"
-        ),
-        "hot_urls_stream": _with(*_HOT_URLS, "SELECT * FROM ranked"),
-        "marketing_total_stream": _marketing_rows(
-            _TOTAL, "'app marketing'", "'total'", _closed("kept")
-        ),
-        "marketing_by_channel_stream": _marketing_rows(
-            _CHANNEL, "channel", "behavior", _closed("kept")
-        ),
-        "ad_click_limit_stream": _CLICK_ROWS,
-        "ad_by_province_stream": _with(
-            _PROVINCE,
-            f"""SELECT {_text('window_end')} AS window_end, province, count
-                FROM counts {_closed('passed')}""",
-        ),
-        "order_pay_match_stream": _with(
-            _MATCHED, f"{_MATCH_ROWS} AND known_ms <= {_ORDER_TIME}"
+        "parse_marketing": _with(
+            """SELECT user_id, behavior, channel, epoch_us(ts) // 1000 AS at
+               FROM (SELECT CAST(user_id AS VARCHAR) AS user_id, behavior, channel, ts FROM marketing)"""
         ),
-        "order_timeout_warning_stream": _with(
-            _WARNED, f"SELECT order_id, result_msg FROM warned WHERE ms + 900001 <= {_ORDER_TIME}"
+        "parse_ad_clicks": _with(
+            """SELECT user_id, ad_id, province, lower(province) AS city, epoch_us(ts) // 1000000 * 1000 AS at
+               FROM clicks"""
         ),
     }
+    # A stream that has ended gives what the table form gives.
+    found |= {name: found[name.removesuffix("_stream")] for name in STREAMS if name not in ALIKE}
+    found |= {name: found[other] for name, other in ALIKE.items()}
     return found | (llm.oracle_sql() if llm else {})

@@ -19,10 +19,16 @@ def warning_text(limit: int) -> str:
     return f"Click over {limit} times today."
 
 
+def total_order(columns: Sequence[str], order: Sequence[str] | None, ts: str = "ts") -> list[str]:
+    """``order``, or else the time; then all other columns, so that only equal rows are interchangeable."""
+    first = list(order or [ts])
+    return first + [c for c in columns if c not in first]
+
+
 def click_limit(
     clicks: DataFrame,
     limit: int,
-    order: Sequence[str] = ("ts",),
+    order: Sequence[str] | None = None,
     keys: Sequence[str] = ("user_id", "ad_id"),
     ts: str = "ts",
 ) -> DataFrame:
@@ -30,11 +36,11 @@ def click_limit(
     the next one becomes the day's ``warning``, the rest is dropped.
 
     Only ``limit + 1`` rows of a key and day are ever needed, so a user hammering
-    one ad is cut down before the exchange. ``order`` must be total for
-    repeatable results.
+    one ad is cut down before the exchange. Clicks count by ``order`` (time, if not
+    given); ties are broken by the remaining columns, so results are repeatable.
     """
     dated = clicks.withColumn("day", utc_day(F.col(ts)))
-    kept = first_n(dated, [*keys, "day"], list(order), limit + 1, rank="nth")
+    kept = first_n(dated, [*keys, "day"], total_order(clicks.columns, order, ts), limit + 1, rank="nth")
     kind = F.when(F.col("nth") <= limit, PASSED).otherwise(WARNING)
     return kept.withColumn("kind", kind).drop("nth", "day")
 

@@ -50,6 +50,8 @@ def slide_panes(
     size: timedelta,
     slide: timedelta,
     sums: Sequence[str] = ("count",),
+    low: int | None = None,
+    high: int | None = None,
 ) -> DataFrame:
     """Turn pane counts into counts of all non-empty sliding windows.
 
@@ -63,6 +65,7 @@ def slide_panes(
     ``(SLICE_WINDOWS + 1) * size / slide`` panes, however hot its key is.
 
     ``sums`` names the columns to sum; the first one is positive in every pane.
+    With ``low`` or ``high`` only windows ending in (low, high] are made at all.
     """
     size_ms, slide_ms = _check(size, slide)
     slice_size = SLICE_WINDOWS * size
@@ -96,14 +99,15 @@ def slide_panes(
     until = F.coalesce(F.lead("at").over(in_time), F.col("slice_end"))
     # Of several changes at one time only the last sees the whole sum; the
     # others have ``until == at`` and drop out.
+    begin, stop = F.col("at"), F.col("until") - slide_ms
+    if low is not None:
+        begin = F.greatest(begin, F.lit(low - low % slide_ms + slide_ms))
+    if high is not None:
+        stop = F.least(stop, F.lit(high - high % slide_ms))
     return (
         changes.select(*keys, "at", *running, until.alias("until"))
-        .where((F.col("until") > F.col("at")) & (F.col(sums[0]) > 0))
-        .select(
-            *keys,
-            F.explode(F.sequence("at", F.col("until") - slide_ms, F.lit(slide_ms))).alias("window_end"),
-            *sums,
-        )
+        .where((F.col("until") > F.col("at")) & (F.col(sums[0]) > 0) & (begin <= stop))
+        .select(*keys, F.explode(F.sequence(begin, stop, F.lit(slide_ms))).alias("window_end"), *sums)
     )
 
 

@@ -118,12 +118,12 @@ def marketing_rows(counts: DataFrame, channel: Column, behavior: Column) -> Data
     )
 
 
-def limited_clicks(clicks: DataFrame, limit: int = AD_LIMIT, order=("ts",)) -> DataFrame:
+def limited_clicks(clicks: DataFrame, limit: int = AD_LIMIT, order=None) -> DataFrame:
     """Clicks tagged as passed or as the day's warning."""
     return limits.click_limit(clicks, limit, order)
 
 
-def ad_by_province(clicks: DataFrame, limit: int = AD_LIMIT, order=("ts",)) -> DataFrame:
+def ad_by_province(clicks: DataFrame, limit: int = AD_LIMIT, order=None) -> DataFrame:
     """Clicks within the limit per province in the last hour, every five seconds."""
     passed = limits.passed_clicks(limited_clicks(clicks, limit, order))
     return province_rows(windows.sliding_count(passed, ["province"], AD_SIZE, AD_SLIDE))
@@ -135,7 +135,7 @@ def province_rows(counts: DataFrame) -> DataFrame:
     )
 
 
-def ad_blacklist(clicks: DataFrame, limit: int = AD_LIMIT, order=("ts",)) -> DataFrame:
+def ad_blacklist(clicks: DataFrame, limit: int = AD_LIMIT, order=None) -> DataFrame:
     """Users who passed the limit on an ad, once per day."""
     return limits.blacklist_warnings(limited_clicks(clicks, limit, order), limit)
 

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventide.sources import connectors
+
 EVENTS = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
@@ -20,7 +22,7 @@ EVENTS = T.StructType(
     ]
 )
 
-CHANNELS = ("wechat", "weibo", "appstore", "huaweistore")
+CHANNELS = ("north", "south", "store", "direct")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,10 +30,41 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoned(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same rows as a stream."""
-    # A pattern, since a plain path would have to be a folder.
-    return _zoned(spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parquet*"))
+#: Rows of a file of a feed.
+FEED_FILE_ROWS = 2_000_000
+
+
+def write_feed(spark: SparkSession, sf_dir: str, folder: str, batches: int = 8, late_ms: int = 0) -> int:
+    """The events table as files in order of time, for a stream of ``batches`` micro-batches; files per batch.
+
+    With ``late_ms`` every second event goes to the batch it would belong to so much
+    later: at the cuts it follows events that are newer. A row with a time only ends the feed.
+    """
+    rows = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    at = F.unix_millis(F.col("ts").cast("timestamp"))
+    shares = [k / batches for k in range(1, batches)]
+    cuts = rows.select(at.cast("double").alias("at")).approxQuantile("at", shares, 0.001)
+    moved = at + F.when(F.col("event_id") % 2 == 1, late_ms).otherwise(0)
+    total, newest = rows.agg(F.count("*"), F.max(at)).first()
+    files = max(1, -(-total // batches // FEED_FILE_ROWS))
+    edges = [None, *cuts, None]
+    for k, (low, high) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        inside = F.lit(True)
+        if low is not None:
+            inside &= moved >= low
+        if high is not None:
+            inside &= moved < high
+        # One batch after the other, since a stream takes files by their age.
+        rows.where(inside).repartition(files).write.parquet(f"{folder}/{k:04}")
+    end = connectors.end_of_input(spark, EVENTS, (newest or 0) + 2 * 86_400_000)
+    end.coalesce(1).write.parquet(f"{folder}/{batches:04}")
+    return files
+
+
+def read_feed(spark: SparkSession, folder: str, files: int) -> DataFrame:
+    """The files of ``write_feed`` as a stream, one batch after the other."""
+    reader = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files)
+    return _zoned(reader.parquet(f"{folder}/*"))
 
 
 def _zoned(df: DataFrame) -> DataFrame:
@@ -110,14 +143,16 @@ def ad_clicks(df: DataFrame, nation: DataFrame) -> DataFrame:
         (F.col("user_id") % 25).alias("nk"),
         "ts",
     )
-    return clicks.join(province, "nk").drop("nk")
+    # A row that ends a stream has no user and so no province.
+    return clicks.join(province, "nk", "left").drop("nk")
 
 
 def orders(df: DataFrame) -> DataFrame:
     """Order creations and payments; rows of type error are left out."""
-    return df.where(F.col("event_type") != "error").select(
+    kind = F.when(F.col("event_id") % 2 == 0, "create").when(F.col("event_id") % 2 == 1, "pay")
+    return df.where(F.col("event_type").isNull() | (F.col("event_type") != "error")).select(
         F.floor(F.col("event_id") / 2).cast("long").alias("order_id"),
-        F.when(F.col("event_id") % 2 == 0, "create").otherwise("pay").alias("event_type"),
+        kind.alias("event_type"),
         F.col("event_id").cast("string").alias("tx_id"),
         "ts",
     )

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def topic_options(servers: str, topic: str, starting: str = "latest") -> dict[str, str]:
@@ -36,6 +37,15 @@ def read_socket(spark: SparkSession, host: str, port: int) -> DataFrame:
     return spark.readStream.format("socket").option("host", host).option("port", port).load()
 
 
+def end_of_input(spark: SparkSession, schema: T.StructType, at_ms: int, ts: str = "ts") -> DataFrame:
+    """One row with a time and nothing else, to end a bounded stream with.
+
+    No job counts it, but it closes the windows and deadlines before it.
+    """
+    rows = spark.createDataFrame([tuple(None for _ in schema)], schema)
+    return rows.withColumn(ts, F.timestamp_millis(F.lit(at_ms)).cast(schema[ts].dataType))
+
+
 def publish_lines(
     lines: DataFrame, fmt: str = "kafka", mode: str = "append", **options: str
 ) -> None:

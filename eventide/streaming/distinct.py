@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,13 +14,11 @@ from eventide.operators.distinct import BITMAP_CAPACITY
 from eventide.operators.windows import tumbling_end
 from eventide.streaming.windows import NO_DELAY, with_watermark
 
-SALTS = 32
-
 
 def distinct_stream(
-    df: DataFrame, what: Column, size: timedelta, delay: timedelta = NO_DELAY, ts: str = "ts"
+    watermarked: DataFrame, what: Column, size: timedelta, ts: str = "ts"
 ) -> DataFrame:
-    """Different values per closed window (append mode).
+    """Different values per closed window (append mode), of rows that have a watermark.
 
     Counts per window and value first, which merges repeats before the
     exchange, then values per window.
@@ -27,8 +26,7 @@ def distinct_stream(
     value = what.alias("value")
     length = interval_text(size)
     per_value = (
-        with_watermark(df, delay, ts)
-        .groupBy(F.window(ts, length).alias("w"), value)
+        watermarked.groupBy(F.window(ts, length).alias("w"), value)
         .agg(F.count("*").alias("n"))
     )
     per_window = per_value.groupBy(F.window("w", length).alias("w")).agg(
@@ -37,20 +35,14 @@ def distinct_stream(
     return per_window.select(F.unix_millis("w.end").alias("window_end"), "uv_count")
 
 
-def unique_visitors_stream(
-    df: DataFrame, size: timedelta, user: str = "user_id", delay: timedelta = NO_DELAY
-) -> DataFrame:
-    return distinct_stream(df, F.col(user), size, delay)
+def unique_visitors_stream(watermarked: DataFrame, size: timedelta, user: str = "user_id") -> DataFrame:
+    return distinct_stream(watermarked, F.col(user), size)
 
 
 def unique_visitors_bitmap_stream(
-    df: DataFrame,
-    size: timedelta,
-    user: str = "user_id",
-    capacity: int = BITMAP_CAPACITY,
-    delay: timedelta = NO_DELAY,
+    watermarked: DataFrame, size: timedelta, user: str = "user_id", capacity: int = BITMAP_CAPACITY
 ) -> DataFrame:
-    return distinct_stream(df, long_offset(F.col(user), capacity=capacity), size, delay)
+    return distinct_stream(watermarked, long_offset(F.col(user), capacity=capacity), size)
 
 
 def unique_visitors_sketch_stream(
@@ -74,15 +66,17 @@ def running_distinct_stream(
 ) -> DataFrame:
     """Different values per window so far (update mode), for a table kept by window.
 
-    Each value is let through once per window and counted. A value holding much
-    of a batch is first reduced per salt, so that it does not meet in one task.
+    Each value is let through once per window and counted, with one row of state. A
+    value holding much of a batch is first reduced to one row of each Arrow batch.
     """
-    salt = F.pmod(F.xxhash64(ts), F.lit(SALTS))
-    rows = df.select(
-        F.timestamp_millis(tumbling_end(F.col(ts), size)).alias("end"), what.alias("value"), salt.alias("salt")
-    )
+    rows = df.select(F.timestamp_millis(tumbling_end(F.col(ts), size)).alias("end"), what.alias("value"))
+
+    def once_each(batches):
+        for batch in batches:
+            yield from pa.Table.from_batches([batch]).group_by(["end", "value"]).aggregate([]).to_batches()
+
     # The end runs ahead of the row times by up to one window.
-    rows = rows.withWatermark("end", interval_text(size + delay))
-    once = rows.dropDuplicates(["end", "value", "salt"]).dropDuplicates(["end", "value"])
+    rows = rows.mapInArrow(once_each, rows.schema).withWatermark("end", interval_text(size + delay))
+    once = rows.dropDuplicates(["end", "value"])
     counts = once.groupBy("end").agg(F.count("*").alias("uv_count"))
     return counts.select(F.unix_millis("end").alias("window_end"), "uv_count")

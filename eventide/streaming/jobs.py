@@ -4,22 +4,26 @@ Each takes its records as a stream and a ``folder`` for its checkpoint and
 tables, starts the query and returns it. The result is the table
 ``result_path(folder)``, if not said otherwise. With an ``interval`` the query
 runs on; without one it takes what is there and stops.
+
+Time runs by all rows of the stream, also those a job does not count. A bounded
+input can thus end with a row that has only a time (``connectors.end_of_input``): it
+closes all windows and deadlines before it.
 """
 
 from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from eventide.functions.times import millis
 from eventide.operators import distinct, limits, ranking
 from eventide.plans import jobs
+from eventide.streaming import clicks as stream_clicks
 from eventide.streaming import distinct as stream_distinct
-from eventide.streaming import processors, sinks, windows
+from eventide.streaming import orders as stream_orders
+from eventide.streaming import sinks, windows
 from eventide.streaming.sinks import result_path
 
 URL_DISORDER = timedelta(seconds=1)
@@ -29,7 +33,8 @@ URL_LATENESS = timedelta(seconds=60)
 def page_views(
     behavior: DataFrame, folder: str, label: str = "pv count", interval: str | None = None
 ) -> StreamingQuery:
-    counts = windows.tumbling_count_stream(jobs.page_view_rows(behavior), [], jobs.HOUR)
+    views = jobs.page_view_rows(windows.with_watermark(behavior))
+    counts = windows.tumbling_count_stream(views, [], jobs.HOUR)
     counts = counts.select(F.lit("pv").alias("label"), "window_end", "count")
     return sinks.start_table(counts, label, folder, interval=interval)
 
@@ -37,7 +42,8 @@ def page_views(
 def unique_visitors(
     behavior: DataFrame, folder: str, label: str = "uv", interval: str | None = None
 ) -> StreamingQuery:
-    counts = stream_distinct.unique_visitors_stream(jobs.page_view_rows(behavior), jobs.HOUR)
+    views = jobs.page_view_rows(windows.with_watermark(behavior))
+    counts = stream_distinct.unique_visitors_stream(views, jobs.HOUR)
     return sinks.start_table(counts, label, folder, interval=interval)
 
 
@@ -49,9 +55,8 @@ def unique_visitors_bitmap(
     interval: str | None = None,
 ) -> StreamingQuery:
     """Final counts once per window."""
-    counts = stream_distinct.unique_visitors_bitmap_stream(
-        jobs.page_view_rows(behavior), jobs.HOUR, capacity=capacity
-    )
+    views = jobs.page_view_rows(windows.with_watermark(behavior))
+    counts = stream_distinct.unique_visitors_bitmap_stream(views, jobs.HOUR, capacity=capacity)
     return sinks.start_table(counts, label, folder, interval=interval)
 
 
@@ -80,40 +85,39 @@ def hot_items(
         return ranking.ranking_report(ranked, "item_id", **jobs.ITEM_REPORT)
 
     write = sinks.write_top_n(result_path(folder), n, "item_id", as_report if report else None)
-    return _sliding(
-        jobs.page_view_rows(behavior),
-        ["item_id"],
-        jobs.HOT_ITEMS_SIZE,
-        jobs.HOT_ITEMS_SLIDE,
-        write,
-        folder,
-        label,
-        interval,
-    )
+    size, slide = jobs.HOT_ITEMS_SIZE, jobs.HOT_ITEMS_SLIDE
+    return _sliding(behavior, jobs.page_view_rows, ["item_id"], size, slide, write, folder, label, interval)
 
 
 def hot_urls(
     access_log: DataFrame,
     folder: str,
     n: int = jobs.HOT_URLS_TOP,
+    report: bool = False,
     label: str = "hot urls",
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Counts and top urls, early and then corrected by rows up to a minute late.
+    """Counts and top urls of a window once it has ended, corrected by rows up to a minute late.
 
-    Counts as they change are in ``folder/counts``; the result holds the
-    ranking of every window that changed in a batch (see ``latest_rows``).
+    A window is handed on by the first row a second past its end, and again by each batch with
+    a late row for it. Counts are in ``folder/counts``, rankings (or report texts) in the
+    result; the newest batch of a window holds (see ``latest_rows``).
     """
-    size, slide = jobs.HOT_URLS_SIZE, jobs.HOT_URLS_SLIDE
-    delay = URL_DISORDER + URL_LATENESS
-    # The newest window ends one window length after its first pane.
-    still_open = millis(size + delay + slide)
+
+    def as_report(ranked: DataFrame) -> DataFrame:
+        return ranking.ranking_report(ranked, "url", **jobs.URL_REPORT)
+
     write = sinks.write_all(
         sinks.write_rows(f"{folder}/counts"),
-        sinks.merge_top_n(result_path(folder), f"{folder}/open", n, "url", still_open),
+        sinks.write_top_n(result_path(folder), n, "url", as_report if report else None),
     )
+
+    def requests(log: DataFrame) -> DataFrame:
+        return log.where(F.col("url").isNotNull())
+
+    size, slide = jobs.HOT_URLS_SIZE, jobs.HOT_URLS_SLIDE
     return _sliding(
-        access_log, ["url"], size, slide, write, folder, label, interval, delay, early=True
+        access_log, requests, ["url"], size, slide, write, folder, label, interval, URL_DISORDER, URL_LATENESS
     )
 
 
@@ -127,8 +131,8 @@ def marketing_total(
         rows = jobs.marketing_rows(counts, F.lit("app marketing"), F.lit("total"))
         sinks.write_rows(result_path(folder))(rows, batch_id)
 
-    kept, size, slide = jobs.installs_and_clicks(marketing), jobs.MARKETING_SIZE, jobs.MARKETING_SLIDE
-    return _sliding(kept, [], size, slide, write, folder, label, interval)
+    kept, size, slide = jobs.installs_and_clicks, jobs.MARKETING_SIZE, jobs.MARKETING_SLIDE
+    return _sliding(marketing, kept, [], size, slide, write, folder, label, interval)
 
 
 def marketing_by_channel(
@@ -141,42 +145,57 @@ def marketing_by_channel(
         rows = jobs.marketing_rows(counts, F.col("channel"), F.col("behavior"))
         sinks.write_rows(result_path(folder))(rows, batch_id)
 
-    kept, size, slide = jobs.installs_and_clicks(marketing), jobs.MARKETING_SIZE, jobs.MARKETING_SLIDE
-    return _sliding(kept, ["channel", "behavior"], size, slide, write, folder, label, interval)
+    kept, size, slide = jobs.installs_and_clicks, jobs.MARKETING_SIZE, jobs.MARKETING_SLIDE
+    return _sliding(marketing, kept, ["channel", "behavior"], size, slide, write, folder, label, interval)
+
+
+def _ad_clicks(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("ad_id").isNotNull())
 
 
 def ad_click_limit(
     clicks: DataFrame,
     folder: str,
     limit: int = jobs.AD_LIMIT,
-    order=("ts",),
+    order=None,
     label: str = "blacklist",
     interval: str | None = None,
 ) -> StreamingQuery:
-    """First half of the ad job: one table of passed clicks and warnings, parted by ``kind``."""
-    tagged = processors.click_limit_stream(clicks, limit, order)
-    return sinks.start_table(tagged, label, folder, ["kind"], interval)
-
-
-def passed_click_stream(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """The passed clicks of ``ad_click_limit`` in ``folder`` as a stream."""
-    schema = T.StructType([*schema.fields, T.StructField("kind", T.StringType())])
-    return limits.passed_clicks(spark.readStream.schema(schema).parquet(result_path(folder)))
+    """One table of passed clicks and warnings, told apart by ``kind``."""
+    step = stream_clicks.click_limit_in_batches(folder, clicks.schema, limit, order)
+    keep = sinks.write_rows(result_path(folder))
+    write = lambda batch, batch_id: keep(step(_ad_clicks(batch), batch_id), batch_id)
+    return sinks.start(clicks, label, folder, write, interval=interval)
 
 
 def ad_by_province(
-    passed: DataFrame, folder: str, label: str = "count", interval: str | None = None
+    clicks: DataFrame,
+    folder: str,
+    limit: int = jobs.AD_LIMIT,
+    order=None,
+    label: str = "count",
+    interval: str | None = None,
 ) -> StreamingQuery:
-    """Second half: passed clicks counted per province.
-
-    A query has one watermark, which the limiter already uses; hence two.
-    """
+    """Clicks within the limit per province; warnings (``user_id, ad_id, msg``) are in ``folder/warnings``."""
+    step = stream_clicks.click_limit_in_batches(folder, clicks.schema, limit, order)
+    warn = sinks.write_rows(f"{folder}/warnings")
+    keep = sinks.write_rows(result_path(folder))
 
-    def write(counts: DataFrame, batch_id: int) -> None:
-        sinks.write_rows(result_path(folder))(jobs.province_rows(counts), batch_id)
+    def passed(batch: DataFrame, batch_id: int) -> DataFrame:
+        tagged = step(_ad_clicks(batch), batch_id)
+        warn(limits.blacklist_warnings(tagged, limit), batch_id)
+        return limits.passed_clicks(tagged)
 
-    size, slide = jobs.AD_SIZE, jobs.AD_SLIDE
-    return _sliding(passed, ["province"], size, slide, write, folder, label, interval)
+    handle = windows.sliding_in_batches(
+        folder,
+        clicks,
+        ["province"],
+        jobs.AD_SIZE,
+        jobs.AD_SLIDE,
+        lambda counts, batch_id: keep(jobs.province_rows(counts), batch_id),
+        prepare=passed,
+    )
+    return sinks.start(clicks, label, folder, handle, interval=interval)
 
 
 def order_pay_match(
@@ -185,9 +204,9 @@ def order_pay_match(
     label: str = "payed and timeout",
     interval: str | None = None,
 ) -> StreamingQuery:
-    """One table of both outputs, parted by ``kind``."""
-    tagged = processors.order_pay_match_stream(order_events)
-    return sinks.start_table(tagged, label, folder, ["kind"], interval)
+    """One table of both outputs, told apart by ``kind``."""
+    handle = stream_orders.order_pay_match_in_batches(folder, sinks.write_rows(result_path(folder)))
+    return sinks.start(order_events, label, folder, handle, interval=interval)
 
 
 def order_timeout_warning(
@@ -196,15 +215,24 @@ def order_timeout_warning(
     label: str = "order warning",
     interval: str | None = None,
 ) -> StreamingQuery:
-    warnings = processors.order_timeout_warning_stream(order_events)
-    return sinks.start_table(warnings, label, folder, interval=interval)
+    handle = stream_orders.order_timeout_warning_in_batches(folder, sinks.write_rows(result_path(folder)))
+    return sinks.start(order_events, label, folder, handle, interval=interval)
 
 
 def _sliding(
-    rows, keys, size, slide, write, folder, label, interval, delay=windows.NO_DELAY, early=False
+    rows,
+    counted,
+    keys,
+    size,
+    slide,
+    write,
+    folder,
+    label,
+    interval,
+    delay=windows.NO_DELAY,
+    lateness=windows.NO_DELAY,
 ) -> StreamingQuery:
-    panes = windows.pane_count_stream(rows, keys, size, slide, delay)
-    handle = windows.slide_panes_in_batches(
-        f"{folder}/panes", keys, size, slide, write, delay, early
+    handle = windows.sliding_in_batches(
+        folder, rows, keys, size, slide, write, delay, lateness, lambda batch, _: counted(batch)
     )
-    return sinks.start(panes, label, folder, handle, "update", interval)
+    return sinks.start(rows, label, folder, handle, interval=interval)

@@ -81,16 +81,16 @@ def _run(df, label, folder, output_mode, interval, finish) -> StreamingQuery:
 
 
 def write_rows(path: str) -> BatchWriter:
-    """Keep all rows, each batch in its own folder."""
+    """Keep all rows, each batch in its own folder, in files of a sensible size."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
 
 
 def write_all(*writers: BatchWriter) -> BatchWriter:
-    """Several outputs of one stream."""
+    """Several outputs of one stream; the rows are made once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -120,10 +120,10 @@ def overwrite_windows(path: str, window: str = "window_end") -> BatchWriter:
 def write_top_n(
     path: str, n: int, key: str, shape: Callable[[DataFrame], DataFrame] | None = None
 ) -> BatchWriter:
-    """Top-N of the windows a batch closes, brought into another ``shape`` if given.
+    """Top-N of the windows a batch hands on, brought into another ``shape`` if given.
 
-    In append mode all keys of a window come in the batch that closes it, so
-    the batch operator applies as it is, with its cut before the exchange.
+    All keys of a window come in one batch, so the operator on tables applies as it
+    is, with its cut before the exchange.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -133,45 +133,8 @@ def write_top_n(
     return write
 
 
-def merge_top_n(path: str, open_path: str, n: int, key: str, open_ms: int) -> BatchWriter:
-    """Top-N of windows whose counts are still being corrected (update mode).
-
-    Counts only grow, so a key outside the current top N can only enter with a
-    new count of its own. N rows per open window are thus all that has to be
-    kept between batches; they are written per batch under ``open_path`` and
-    the next batch reads that one folder. ``open_ms`` is how far a window can
-    end before the newest one and still be open.
-
-    ``path`` receives the new ranking of every window the batch touched; the
-    highest ``batch_id`` of a window is its current ranking.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.select("window_end", key, "count").persist()
-        try:
-            known = top_n_per_window(batch, n, key)
-            touched = batch.select("window_end").distinct()
-            if batch_id > 0:
-                before = batch.sparkSession.read.parquet(f"{open_path}/batch_id={batch_id - 1}")
-                known = known.unionByName(before)
-            newest = known.groupBy("window_end", key).agg(F.max("count").alias("count"))
-            ranking = top_n_per_window(newest, n, key).persist()
-            try:
-                changed = ranking.join(touched, "window_end", "left_semi")
-                write_rows(path)(changed, batch_id)
-                latest = ranking.agg(F.max("window_end").alias("latest")).first().latest
-                still_open = ranking.where(F.col("window_end") > F.lit((latest or 0) - open_ms))
-                write_rows(open_path)(still_open, batch_id)
-            finally:
-                ranking.unpersist()
-        finally:
-            batch.unpersist()
-
-    return write
-
-
 def latest_rows(table: DataFrame, window: str = "window_end") -> DataFrame:
-    """Rows of the newest batch of each window, for a table written by ``merge_top_n``."""
+    """Rows of the newest batch of each window, for a table of windows that are corrected."""
     newest = table.groupBy(window).agg(F.max("batch_id").alias("batch_id"))
     return table.join(newest, [window, "batch_id"], "left_semi").drop("batch_id")
 

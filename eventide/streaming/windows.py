@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.times import interval_text, millis
-from eventide.operators.windows import slide_panes, window_ends
-from eventide.streaming.sinks import BatchWriter, write_rows
+from eventide.operators.windows import pane_count, slide_panes, window_ends
+from eventide.streaming.carry import Carried, Clock
+from eventide.streaming.sinks import BatchWriter
 
 NO_DELAY = timedelta(0)
 
@@ -21,36 +22,14 @@ def with_watermark(df: DataFrame, delay: timedelta = NO_DELAY, ts: str = "ts") -
 
 
 def tumbling_count_stream(
-    df: DataFrame,
-    keys: Sequence[str],
-    size: timedelta,
-    delay: timedelta = NO_DELAY,
-    ts: str = "ts",
+    watermarked: DataFrame, keys: Sequence[str], size: timedelta, ts: str = "ts"
 ) -> DataFrame:
-    """Rows per key and tumbling window, as ``tumbling_count``."""
+    """Rows per key and tumbling window, as ``tumbling_count``, of rows that have a watermark."""
     window = F.window(ts, interval_text(size)).alias("w")
-    counts = with_watermark(df, delay, ts).groupBy(*keys, window).agg(F.count("*").alias("count"))
+    counts = watermarked.groupBy(*keys, window).agg(F.count("*").alias("count"))
     return counts.select(*keys, F.unix_millis("w.end").alias("window_end"), "count")
 
 
-def pane_count_stream(
-    df: DataFrame,
-    keys: Sequence[str],
-    size: timedelta,
-    slide: timedelta,
-    delay: timedelta = NO_DELAY,
-    ts: str = "ts",
-) -> DataFrame:
-    """Pane counts in update mode, for ``slide_panes_in_batches``.
-
-    A pane stays open as long as one of its windows may, so that a row late for
-    some of its windows still reaches the others. State is one row per key and
-    open pane.
-    """
-    counts = tumbling_count_stream(df, keys, slide, size + delay, ts)
-    return counts.withColumnRenamed("window_end", "pane_end")
-
-
 def sliding_count_stream(
     df: DataFrame,
     keys: Sequence[str],
@@ -62,8 +41,8 @@ def sliding_count_stream(
     """Rows per key and sliding window in a single query, for any output mode.
 
     Every row is counted in each of its ``size / slide`` windows, so state and
-    work grow with that number. For large fan-outs ``pane_count_stream`` with
-    ``slide_panes_in_batches`` needs far less.
+    work grow with that number. For large fan-outs ``sliding_in_batches`` needs
+    far less.
 
     The watermark is on the window end: the newest end lies ``size`` after its
     row's pane, so a delay of ``size`` more closes windows by the row times.
@@ -78,54 +57,66 @@ def sliding_count_stream(
     return counts.select(*keys, F.unix_millis("end").alias("window_end"), "count")
 
 
-def slide_panes_in_batches(
+def sliding_in_batches(
     folder: str,
+    rows: DataFrame,
     keys: Sequence[str],
     size: timedelta,
     slide: timedelta,
     write: BatchWriter,
     delay: timedelta = NO_DELAY,
-    early: bool = False,
+    lateness: timedelta = NO_DELAY,
+    prepare: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> BatchWriter:
-    """Sliding counts from a stream of pane counts (update mode).
-
-    Each batch sums its windows with the batch operator and hands them to
-    ``write``. A window closes when a row ``delay`` past its end has come. By
-    default a window is handed on once, when it closes. With ``early`` every
-    open window is handed on whenever a row has been added to it. Rows for
-    closed windows are dropped, window by window.
-
-    Panes that open windows still need, one window length of them, are written
-    under ``folder`` per batch and read by the next one alone, so a repeated
-    batch gives the same windows again. Pane counts only grow: of several for
-    one pane the largest is the newest.
+    """Handler of the micro-batches of the stream ``rows`` that hands sliding counts to ``write``.
+
+    A batch's rows are counted per key and pane, and added to the panes that the
+    batch before has left under ``folder``: one window length of them, which is all
+    the state there is. A window is handed on by the batch with the first row ``delay``
+    past its end. For ``lateness`` more, a window that gets further rows is handed on
+    again, with all its keys. Only these windows are made from the panes. Rows for
+    windows past that are dropped, window by window: a row late for one still counts in
+    the next.
+
+    ``prepare`` turns a batch into the rows that count; time runs by all rows.
     """
-    columns = [*keys, "pane_end", "count"]
+    schema = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
+    schema = f"{schema}{', ' if keys else ''}pane_end long, count long"
+    panes, clock = Carried(f"{folder}/panes", schema), Clock(f"{folder}/clock")
+    size_ms, delay_ms, late_ms = millis(size), millis(delay), millis(lateness)
     end = F.col("pane_end")
-    lag_ms, size_ms = millis(slide + delay), millis(size)
-
-    def handle(panes: DataFrame, batch_id: int) -> None:
-        known = panes.select(*columns, F.lit(1).alias("new"), F.lit(0).alias("old"))
-        if batch_id > 0:
-            before = panes.sparkSession.read.parquet(f"{folder}/batch_id={batch_id - 1}")
-            before = before.select(*columns, F.lit(0).alias("new"), F.lit(1).alias("old"))
-            known = (
-                known.unionByName(before)
-                .groupBy(*keys, "pane_end")
-                .agg(*[F.max(name).alias(name) for name in ("count", "new", "old")])
-            )
-        known = known.persist()
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
         try:
-            last, newest = known.agg(F.max(F.when(F.col("old") == 1, end)), F.max(end)).first()
-            closed = (newest or 0) - lag_ms
-            counts = slide_panes(known, keys, size, slide, ["count", "new"])
-            if last is not None:
-                counts = counts.where(F.col("window_end") > last - lag_ms)
-            wanted = F.col("new") > 0 if early else F.col("window_end") <= closed
-            write(counts.where(wanted).select(*keys, "window_end", "count"), batch_id)
-            still_needed = known.where(end > F.lit(closed - size_ms)).select(*columns)
-            write_rows(folder)(still_needed, batch_id)
+            before, now = clock.advance(batch, batch_id)
+            counted = prepare(batch, batch_id) if prepare else batch
+            new = pane_count(counted, keys, slide).withColumn("new", F.col("count"))
+            old = panes.read(spark, batch_id).withColumn("new", F.lit(0).cast("long"))
+            known = new.unionByName(old).groupBy(*keys, "pane_end")
+            known = known.agg(F.sum("count").alias("count"), F.sum("new").alias("new")).persist()
+            try:
+                closed = (now if now is not None else 0) - delay_ms
+                was = None if before is None else before - delay_ms
+                low = None if was is None else was - late_ms
+                within = end <= F.lit(closed)
+                if low is not None:
+                    within &= end > F.lit(low - size_ms)
+                counts = slide_panes(known.where(within), keys, size, slide, ["count", "new"], low, closed)
+                if late_ms and was is not None:
+                    # Windows handed on before go again if some key has a new row.
+                    again = F.col("window_end") <= was
+                    changed = counts.where(again & (F.col("new") > 0)).select("window_end").distinct()
+                    counts = counts.where(~again).unionByName(
+                        counts.where(again).join(changed, "window_end", "left_semi").select(*counts.columns)
+                    )
+                write(counts.select(*keys, "window_end", "count"), batch_id)
+                needed = known.where(end > F.lit(closed - late_ms - size_ms))
+                panes.write(needed.select(*keys, "pane_end", "count"), batch_id)
+            finally:
+                known.unpersist()
         finally:
-            known.unpersist()
+            batch.unpersist()
 
     return handle
