@@ -16,8 +16,9 @@ parted a node, members that are nearly equal to the drawn one go no further. Pai
 are then confirmed on full sets. Links between documents that are known to hang
 together need no confirmation, so there are two rounds: spanning trees of the
 nodes of the first trees, and then all pairs of all trees that run between
-different components. A group of many near copies thus costs about as many pairs
-as it has members.
+different components. These are confirmed inside their node, to which the texts
+are sent, and at most as many links as members come back: a group of many near copies
+never becomes a table of its pairs.
 
 For a pair at similarity 0.8 in small nodes the chance to share none of the ten
 places of eight trees is 0.2**10; the signature test loses about 2 in 10,000 of such
@@ -46,7 +47,8 @@ SHINGLE = 4
 SIGNATURE = 64
 TREES = 8
 FIRST_TREES = 2
-LIMIT = 2000
+LIMIT = 2000  # members of a node that are compared in one task,
+LIMIT_SHINGLES = 4 << 20  # and shingles of all of them
 PATIENCE = 5  # levels after which a large node's copies of its center are settled with it
 SETTLED = 0.9
 DEPTH = 48
@@ -138,7 +140,7 @@ def _sig_matrix(column: pa.Array, dtype=np.uint32) -> np.ndarray:
 
 
 def _descend(batches):
-    """Children (tree, path, id) of rows (tree, path, id, sig)."""
+    """Children (tree, path, id, n) of rows (tree, path, id, n, sig)."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -146,8 +148,13 @@ def _descend(batches):
         rows, paths = _children(path, _sig_matrix(batch.column("sig")))
         at = pa.array(rows)
         yield pa.record_batch(
-            [batch.column("tree").take(at), pa.array(paths.view(np.int64)), batch.column("id").take(at)],
-            ["tree", "path", "id"],
+            [
+                batch.column("tree").take(at),
+                pa.array(paths.view(np.int64)),
+                batch.column("id").take(at),
+                batch.column("n").take(at),
+            ],
+            ["tree", "path", "id", "n"],
         )
 
 
@@ -183,21 +190,17 @@ def _spanning(sig, n, percent):
 
 
 def _crossing(sig, n, comp, percent):
-    """All pairs that may be linked and lie in different components."""
-    edges = []
+    """For each row the later rows that may be linked with it and lie in another component."""
     for i in range(len(n) - 1):
         other = np.flatnonzero(comp[i + 1 :] != comp[i]) + i + 1
         if len(other):
             share = _similar(sig, n, np.full(len(other), i), other, percent)
-            edges += [(i, int(j)) for j in other[share >= 0]]
-    return edges
+            if (share >= 0).any():
+                yield i, other[share >= 0]
 
 
-class _Leaves:
-    """Candidate pairs of nodes; rows (path, id, n, comp, sig) come sorted by path."""
-
-    def __init__(self, percent: int, spanning: bool):
-        self.percent, self.spanning = percent, spanning
+class _Nodes:
+    """Nodes of rows that come sorted by path, as many at a time as a batch holds."""
 
     def __call__(self, batches):
         kept = None
@@ -209,31 +212,86 @@ class _Leaves:
             cut = int(np.searchsorted(path, path[-1])) if len(path) else 0
             kept = table.slice(cut)
             if cut:
-                yield self.pairs(table.slice(0, cut))
+                yield self.found(table.slice(0, cut))
         if kept is not None and len(kept):
-            yield self.pairs(kept)
+            yield self.found(kept)
 
-    def pairs(self, table: pa.Table) -> pa.RecordBatch:
+    def found(self, table: pa.Table) -> pa.RecordBatch:
         table = table.combine_chunks()
-        path, ids = table.column("path").to_numpy(), table.column("id").to_numpy()
-        n, comp = table.column("n").to_numpy(), table.column("comp").to_numpy()
-        sig = _sig_matrix(table.column("sig"), np.uint16)
-        bounds = np.flatnonzero(np.concatenate([[True], path[1:] != path[:-1], [True]]))
-        found = []
-        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            if b - a < 2 or (comp[a:b] == comp[a]).all():
-                continue
-            part = slice(a, b)
-            if self.spanning:
-                edges = _spanning(sig[part], n[part], self.percent)
-            else:
-                edges = _crossing(sig[part], n[part], comp[part], self.percent)
-            found += [(a + i, a + j) for i, j in edges]
+        path = table.column("path").to_numpy()
+        bounds = np.flatnonzero(np.concatenate([[True], path[1:] != path[:-1], [True]])) if len(path) else []
+        comp = table.column("comp").to_numpy()
+        parts = [
+            slice(a, b)
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True)
+            if b - a > 1 and (comp[a:b] != comp[a]).any()
+        ]
+        n, sig = table.column("n").to_numpy(), _sig_matrix(table.column("sig"), np.uint16)
+        return self.result(table, n, comp, sig, parts)
+
+
+class _Leaves(_Nodes):
+    """Candidate pairs (a, b) of nodes: a spanning forest each."""
+
+    def __init__(self, percent: int):
+        self.percent = percent
+
+    def result(self, table, n, comp, sig, parts):
+        ids, found = table.column("id").to_numpy(), []
+        for part in parts:
+            found += [(part.start + i, part.start + j) for i, j in _spanning(sig[part], n[part], self.percent)]
         at = np.array(found, np.int64).reshape(-1, 2)
         x, y = ids[at[:, 0]], ids[at[:, 1]]
         return pa.record_batch([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
 
+class _Involved(_Nodes):
+    """Members (path, id) that may be linked with one of another component."""
+
+    def __init__(self, percent: int):
+        self.percent = percent
+
+    def result(self, table, n, comp, sig, parts):
+        mark = np.zeros(len(n), bool)
+        for part in parts:
+            for i, other in _crossing(sig[part], n[part], comp[part], self.percent):
+                mark[part.start + i] = True
+                mark[part.start + other] = True
+        at = pa.array(np.flatnonzero(mark))
+        return pa.record_batch([table.column(c).combine_chunks().take(at) for c in ("path", "id")], ["path", "id"])
+
+
+class _Settle(_Nodes):
+    """Confirmed links between components of each node, on full sets of its texts; as many as connect them."""
+
+    def __init__(self, percent: int, shingle: int):
+        self.percent, self.shingle = percent, shingle
+
+    def result(self, table, n, comp, sig, parts):
+        ids, sets = table.column("id").to_numpy(), []
+        for _, _, data, offsets in byte_slices(table.column("text")):
+            h, bounds = shingle_sets(data, offsets, self.shingle)
+            sets += [h[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        found = []
+        for part in parts:
+            first, own = part.start, comp[part].copy()
+            for i, other in _crossing(sig[part], n[part], comp[part], self.percent):
+                other = other[own[other] != own[i]]  # what has met meanwhile
+                if not len(other):
+                    continue
+                mine, theirs = sets[first + i], [sets[first + j] for j in other.tolist()]
+                sizes = np.array([len(x) for x in theirs])
+                all_theirs = np.concatenate(theirs)
+                place = np.minimum(np.searchsorted(mine, all_theirs), len(mine) - 1)
+                both = np.add.reduceat((mine[place] == all_theirs).astype(np.int64), np.cumsum(sizes) - sizes)
+                for j in other[100 * both >= self.percent * (len(mine) + sizes - both)].tolist():
+                    if own[j] != own[i]:
+                        found.append((ids[first + i], ids[first + j]))
+                        own[own == own[j]] = own[i]
+        at = np.array(found, np.int64).reshape(-1, 2)
+        return pa.record_batch([pa.array(at.min(1, initial=1 << 62)), pa.array(at.max(1, initial=-(1 << 62)))], ["a", "b"])
+
+
 class _Confirm:
     """Whether the sets of two texts are similar enough, on full sets."""
 
@@ -263,23 +321,30 @@ class _Confirm:
 
 def _nodes(classes: DataFrame, trees: int, limit: int, depth: int) -> tuple[DataFrame, list[DataFrame]]:
     """Members (tree, path, id) of small nodes of two or more, and (id, center) pairs of large ones."""
-    members = classes.select(F.explode(F.array(*map(F.lit, range(trees)))).alias("tree"), "id", "sig")
+    members = classes.select(F.explode(F.array(*map(F.lit, range(trees)))).alias("tree"), "id", "n", "sig")
     members = members.withColumn("path", F.xxhash64(F.lit("root"), F.col("tree")))
     small, stars = None, []
     for level in range(depth):
-        reached = saved(members.select("tree", "path", "id", "sig").mapInArrow(_descend, "tree int, path long, id long"), "paths")
+        reached = saved(
+            members.select("tree", "path", "id", "n", "sig").mapInArrow(_descend, "tree int, path long, id long, n long"),
+            "paths",
+        )
         sizes = reached.groupBy("path").agg(
-            F.count("*").alias("size"), F.min(F.struct(F.xxhash64("path", "id").alias("h"), "id")).alias("drawn")
+            F.count("*").alias("members"),
+            F.sum("n").alias("n"),
+            F.min(F.struct(F.xxhash64("path", "id").alias("h"), "id")).alias("drawn"),
         )
-        sizes = saved(sizes.where("size > 1"), "sizes")
-        part = reached.join(sizes.where(F.col("size") <= limit).select("path"), "path", "left_semi")
+        # Size in members; a node of long texts counts as larger.
+        size = F.greatest("members", F.ceil(F.col("n") * limit / LIMIT_SHINGLES))
+        sizes = saved(sizes.where("members > 1").select("path", size.alias("size"), "drawn"), "sizes")
+        part = reached.join(sizes.where(F.col("size") <= limit).select("path"), "path", "left_semi").drop("n")
         small = part if small is None else small.unionByName(part)
         large = sizes.where(F.col("size") > limit).select("path", F.col("drawn.id").alias("center"))
         if large.isEmpty():
             break
-        going = saved(reached.join(large, "path"), "large")
+        going = saved(reached.drop("n").join(large, "path"), "large")
         stars.append(going.where("id <> center").select("id", "center").distinct())
-        members = going.join(classes.select("id", "sig"), "id")
+        members = going.join(classes.select("id", "n", "sig"), "id")
         if level >= PATIENCE:
             members = _unsettled(members, classes)
     else:
@@ -298,9 +363,9 @@ def _unsettled(members: DataFrame, classes: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 share = (_sig_matrix(batch.column("sig")) == _sig_matrix(batch.column("sig_b"))).mean(1)
-                yield batch.filter(pa.array(share < SETTLED)).select(["tree", "path", "id", "sig"])
+                yield batch.filter(pa.array(share < SETTLED)).select(["tree", "path", "id", "n", "sig"])
 
-    rows = members.join(other, "center").select("tree", "path", "id", "sig", "sig_b")
+    rows = members.join(other, "center").select("tree", "path", "id", "n", "sig", "sig_b")
     return rows.mapInArrow(far, rows.drop("sig_b").schema)
 
 
@@ -330,14 +395,8 @@ def _star_pairs(stars: list[DataFrame], classes: DataFrame, percent: int) -> Dat
     return pairs.mapInArrow(fits, "a long, b long")
 
 
-def _leaf_pairs(members: DataFrame, classes: DataFrame, comps: DataFrame | None, percent: int) -> DataFrame:
-    """Candidate pairs of small nodes: a spanning forest, or all between the given components."""
-    rows = members.select("path", "id").join(classes.select("id", "n", "sig"), "id")
-    if comps is None:
-        rows = rows.withColumn("comp", F.col("id"))
-    else:
-        rows = rows.join(comps.withColumnRenamed("node", "id"), "id", "left")
-        rows = rows.withColumn("comp", F.coalesce("component", "id"))
+def _by_node(rows: DataFrame) -> DataFrame:
+    """Rows with short signatures, sorted by path."""
 
     def shorten(batches):  # half of each value's bits are enough to compare
         for batch in batches:
@@ -346,10 +405,16 @@ def _leaf_pairs(members: DataFrame, classes: DataFrame, comps: DataFrame | None,
                 k = batch.schema.get_field_index("sig")
                 yield batch.set_column(k, "sig", pa.array([row.tobytes() for row in sig], pa.binary()))
 
-    rows = rows.select("path", "id", "n", "comp", "sig")
-    rows = rows.mapInArrow(shorten, rows.schema)
-    rows = rows.repartition("path").sortWithinPartitions("path")
-    return rows.mapInArrow(_Leaves(percent, comps is None), "a long, b long")
+    return rows.mapInArrow(shorten, rows.schema).repartition("path").sortWithinPartitions("path")
+
+
+def _members(members: DataFrame, classes: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """Members (path, id) with size, signature and component; without components each is one of its own."""
+    rows = members.select("path", "id").join(classes.select("id", "n", "sig"), "id")
+    if comps is None:
+        return rows.select("path", "id", "n", F.col("id").alias("comp"), "sig")
+    rows = rows.join(comps.withColumnRenamed("node", "id"), "id", "left")
+    return rows.select("path", "id", "n", F.coalesce("component", "id").alias("comp"), "sig")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
@@ -412,20 +477,23 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, shingle: int) -> D
         classes = saved(classes.join(texts.select("id", "row"), ["id", "row"], "left_semi"), "one_each")
     small, stars = _nodes(classes, TREES, LIMIT, DEPTH)
     small = saved(small, "small")
-    pairs = _leaf_pairs(small.where(F.col("tree") < FIRST_TREES), classes, None, percent)
+    first = _by_node(_members(small.where(F.col("tree") < FIRST_TREES), classes, None))
+    pairs = first.mapInArrow(_Leaves(percent).__call__, "a long, b long")
     star_pairs = _star_pairs(stars, classes, percent)
     if star_pairs is not None:
         pairs = pairs.unionByName(star_pairs)
-    pairs = saved(pairs.distinct(), "pairs1")
-    tried = saved(_confirmed(pairs, saved(_texts(docs, classes, pairs), "texts1"), percent, shingle), "tried1")
-    links = tried.where("linked").select("a", "b")
+    pairs = saved(pairs.distinct(), "pairs")
+    tried = _confirmed(pairs, saved(_texts(docs, classes, pairs), "texts1"), percent, shingle)
+    links = saved(tried.where("linked").select("a", "b"), "links1")
     comps = saved(components(links), "components1")
-    more = _leaf_pairs(small, classes, comps, percent).distinct()
-    more = saved(more.join(pairs, ["a", "b"], "left_anti"), "pairs2")
-    if more.isEmpty():
+    # Texts go to the nodes where components may still meet, and links come back, not pairs.
+    rest = _by_node(_members(small, classes, comps)).mapInArrow(_Involved(percent).__call__, "path long, id long")
+    rest = saved(rest, "involved")
+    if rest.isEmpty():
         return links
-    tried = _confirmed(more, saved(_texts(docs, classes, more), "texts2"), percent, shingle)
-    return links.unionByName(tried.where("linked").select("a", "b"))
+    texts = saved(_texts(docs, classes, rest.select(F.col("id").alias("a"), F.col("id").alias("b"))), "texts2")
+    rows = _by_node(_members(rest, classes, comps).join(texts, "id").select("path", "id", "n", "comp", "sig", "text"))
+    return links.unionByName(rows.mapInArrow(_Settle(percent, shingle).__call__, "a long, b long"))
 
 
 def clean_documents(docs: DataFrame, similarity: int = SIMILARITY, shingle: int = 5) -> DataFrame:
