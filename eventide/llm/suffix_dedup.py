@@ -35,7 +35,7 @@ than a window lose nothing. Other columns are not read.
 from __future__ import annotations
 
 import tempfile
-from pathlib import Path
+from contextlib import ExitStack
 
 import numpy as np
 import pyarrow as pa
@@ -238,17 +238,24 @@ def _settle(table: pa.Table) -> pa.Table:
 
 
 class _Columns:
-    """Arrays kept in files of one folder, each read and written as a whole and in sequence."""
+    """Arrays in files that are open without a name; each is read and written as a whole, in sequence and in place."""
 
-    def __init__(self, folder: str):
-        self.folder = Path(folder)
+    def __init__(self, stack: ExitStack, **kinds: type):
+        self.kinds = kinds
+        self.files = {name: stack.enter_context(tempfile.TemporaryFile(buffering=0)) for name in kinds}
+        self.sizes = dict.fromkeys(kinds, 0)
 
     def put(self, **arrays: np.ndarray) -> None:
         for name, values in arrays.items():
-            values.tofile(self.folder / name)
+            self.files[name].seek(0)
+            self.files[name].write(np.ascontiguousarray(values, self.kinds[name]).data)
+            self.sizes[name] = len(values)
 
-    def get(self, name: str, kind) -> np.ndarray:
-        return np.fromfile(self.folder / name, kind)
+    def get(self, name: str) -> np.ndarray:
+        out = np.empty(self.sizes[name], self.kinds[name])
+        self.files[name].seek(0)
+        self.files[name].readinto(out.data.cast("B"))
+        return out
 
 
 def sorted_suffixes(strings: list[bytes], tails: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -274,14 +281,14 @@ def sorted_suffixes(strings: list[bytes], tails: np.ndarray | None = None) -> tu
         first = np.lexsort(tails.T[::-1])
         differ = tails[first[1:]] != tails[first[:-1]]
         shared[1:] = np.where(differ.any(1), differ.argmax(1), tails.shape[1])
-    with tempfile.TemporaryDirectory() as folder:
-        files = _Columns(folder)
-        files.put(bwt=symbols[0][first], lcp=shared, who=first.astype(np.int32), size=np.zeros(n, np.int16))
+    with ExitStack() as stack:
+        files = _Columns(stack, bwt=np.uint16, lcp=np.int16, who=np.int32, size=np.int16)
+        files.put(bwt=symbols[0][first], lcp=shared, who=first, size=np.zeros(n))
         pending = np.empty(n, np.int64)
         pending[first] = np.arange(n)
         for j in range(1, longest + 1):
             active = np.flatnonzero(sizes >= j)
-            bwt = files.get("bwt", np.uint16)
+            bwt = files.get("bwt")
             known = np.flatnonzero(bwt)
             order = known[np.argsort(bwt[known], kind="stable")]  # place k after the empty suffixes
             place = np.zeros(len(bwt), np.int64)
@@ -296,7 +303,7 @@ def sorted_suffixes(strings: list[bytes], tails: np.ndarray | None = None) -> tu
                 out[new] = inserted
                 return out
 
-            lcp = files.get("lcp", np.int16)
+            lcp = files.get("lcp")
             # The new suffixes and those after them have new neighbours before them.
             k = np.unique(np.concatenate([new, new + 1])) - n
             k = k[k < len(order)]
@@ -312,11 +319,11 @@ def sorted_suffixes(strings: list[bytes], tails: np.ndarray | None = None) -> tu
             files.put(
                 bwt=merged(bwt, symbols[j][active]),
                 lcp=lcp,
-                who=merged(files.get("who", np.int32), active),
-                size=merged(files.get("size", np.int16), j),
+                who=merged(files.get("who"), active),
+                size=merged(files.get("size"), j),
             )
             pending[active] = new
-        return files.get("who", np.int32), files.get("size", np.int16), files.get("lcp", np.int16)
+        return files.get("who"), files.get("size"), files.get("lcp")
 
 
 _SPANS = "id long, row long, at long, stop long"
