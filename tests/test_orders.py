@@ -98,3 +98,16 @@ def test_warning_equals_plain_reading(spark, seed, span, slice_s):
 def test_warning_cases(spark, rows, expected):
     df = events(spark, [(6, kind, BASE + at) for kind, at in rows])
     assert [m for _, m in messages(orders.order_timeout_warning(df))] == expected
+
+
+def test_equal_events_are_counted_before_the_exchange(spark):
+    df = events(spark, [(1, "create", BASE)] * 5 + [(1, "pay", BASE)] * 3 + [(2, "pay", BASE)] * 2)
+    got = orders.order_pay_match(df)
+    assert messages(got) == sorted(
+        [(1, "order timeout")] * 4
+        + [(1, "payed successfully")]
+        + [(1, "already payed but not found create log")] * 2
+        + [(2, "already payed but not found create log")] * 2
+    )
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.rfind("partial_count") > plan.rfind("Exchange")  # the plan reads from the result down to the scan

@@ -71,9 +71,9 @@ def test_access_log(spark):
 
 
 def test_topic_options():
-    assert connectors.topic_options("node:9092", "hotitems") == {
-        "kafka.bootstrap.servers": "node:9092",
-        "subscribe": "hotitems",
+    assert connectors.topic_options("broker:9092", "behavior") == {
+        "kafka.bootstrap.servers": "broker:9092",
+        "subscribe": "behavior",
         "startingOffsets": "latest",
     }
 

@@ -3,6 +3,7 @@
 import os
 import random
 from datetime import timedelta
+from pathlib import Path
 
 import pandas as pd
 import pytest
@@ -14,7 +15,8 @@ from eventide.operators import distinct, limits, windows
 from eventide.plans import jobs
 from eventide.streaming import distinct as stream_distinct
 from eventide.streaming import jobs as streams
-from eventide.streaming import processors, sinks
+from eventide.streaming import orders as stream_orders
+from eventide.streaming import sinks
 from eventide.streaming import windows as stream_windows
 from eventide.streaming.sinks import latest_rows, result_path
 
@@ -22,6 +24,9 @@ HOUR = timedelta(hours=1)
 BASE = 1511658000  # a full hour, UTC
 
 
+TEXT = {"url", "province", "behavior", "channel", "event_type"}
+
+
 class Feed:
     """A folder of files; each file is one micro-batch of a stream."""
 
@@ -32,7 +37,8 @@ class Feed:
     def add(self, *batches):
         for rows in batches:
             target = self.path / f"{self.files:04}.parquet"
-            pd.DataFrame(rows, columns=self.columns).to_parquet(target, index=False)
+            kinds = {c: "string" if c in TEXT else "Int64" for c in self.columns}
+            pd.DataFrame(rows, columns=self.columns).astype(kinds).to_parquet(target, index=False)
             os.utime(target, (BASE + self.files, BASE + self.files))
             self.files += 1
 
@@ -87,8 +93,7 @@ def finish(query):
 def test_page_views_and_unique_visitors(spark, feed, folder):
     source = feed(BEHAVIOR)
     source.add(*behavior_batches(1))
-    views = jobs.page_view_rows(source.table())
-    ended = closed(views)
+    ended = closed(source.table())
     finish(streams.page_views(source.stream(), f"{folder}/pv"))
     assert bag(spark.read.parquet(result_path(f"{folder}/pv"))) == bag(
         jobs.page_views(source.table()).where(ended)
@@ -135,7 +140,7 @@ def test_hot_items_over_batches_and_a_restart(spark, feed, folder):
     source.add(*batches[3:])
     finish(streams.hot_items(source.stream(), folder, n=2))
     got = spark.read.parquet(result_path(folder)).drop("batch_id")
-    ended = closed(jobs.page_view_rows(source.table()))
+    ended = closed(source.table())
     assert bag(got) == bag(jobs.hot_items(source.table(), 2).where(ended))
 
 
@@ -170,9 +175,9 @@ def test_a_batch_that_failed_after_writing_is_repeated(spark, feed, folder):
             if batch_id == fail_at:
                 raise RuntimeError("lost")
 
-        panes = stream_windows.pane_count_stream(source.stream(), keys, size, slide)
-        handle = stream_windows.slide_panes_in_batches(f"{folder}/panes", keys, size, slide, write)
-        return sinks.start(panes, "repeated", folder, handle, "update")
+        rows = source.stream()
+        handle = stream_windows.sliding_in_batches(folder, rows, keys, size, slide, write)
+        return sinks.start(rows, "repeated", folder, handle)
 
     for fail_at in (1, 3):
         with pytest.raises(StreamingQueryException):
@@ -191,8 +196,7 @@ def test_marketing(spark, feed, folder):
         source.add(
             [(rng.choice(["weibo", "wechat"]), rng.choice(["CLICK", "UNINSTALL"]), at) for at in times]
         )
-    kept = jobs.installs_and_clicks(source.table())
-    ended = closed_text(kept)
+    ended = closed_text(source.table())
     for stream_job, batch_job in (
         (streams.marketing_total, jobs.marketing_total),
         (streams.marketing_by_channel, jobs.marketing_by_channel),
@@ -231,10 +235,10 @@ def test_panes_drop_a_late_row_per_window_too(spark, feed, folder):
     keys, size, slide = ["url"], timedelta(minutes=10), timedelta(minutes=5)
     source = feed(["url", "at"])
     source.add([("a", 0), ("a", 310)], [("b", 620)], [("late", 290), ("late", 590)], [("end", 3000)])
-    panes = stream_windows.pane_count_stream(source.stream(), keys, size, slide)
+    rows = source.stream()
     keep = sinks.write_rows(result_path(folder))
-    handle = stream_windows.slide_panes_in_batches(f"{folder}/panes", keys, size, slide, keep)
-    finish(sinks.start(panes, "panes", folder, handle, "update"))
+    handle = stream_windows.sliding_in_batches(folder, rows, keys, size, slide, keep)
+    finish(sinks.start(rows, "panes", folder, handle))
     got = {
         (r.url, r.window_end // 1000 - BASE): r["count"]
         for r in spark.read.parquet(result_path(folder)).collect()
@@ -257,17 +261,17 @@ def test_hot_urls_takes_rows_up_to_a_minute_late(spark, feed, folder):
         # Rows come up to a minute behind the newest one, across batches too.
         rows = [(rng.choice("aaabcdefg"), newest - rng.randrange(60)) for _ in range(40)]
         source.add([*rows, ("z", newest)], [(rng.choice("hij"), newest - rng.randrange(60)) for _ in range(10)])
+    source.add([(None, 10_000)])
     finish(streams.hot_urls(source.stream(), folder, n=3))
+    requests = source.table().where("url IS NOT NULL")
     got = latest_rows(spark.read.parquet(result_path(folder)))
-    assert bag(got) == bag(jobs.hot_urls(source.table(), 3))
-    counts = spark.read.parquet(f"{folder}/counts")
-    final = counts.groupBy("url", "window_end").agg(F.max("count").alias("count"))
-    assert bag(final) == bag(jobs.url_counts(source.table()))
+    assert bag(got) == bag(jobs.hot_urls(requests, 3))
+    assert bag(latest_rows(spark.read.parquet(f"{folder}/counts"))) == bag(jobs.url_counts(requests))
 
 
 def test_hot_urls_drops_what_is_later(spark, feed, folder):
     source = feed(["url", "at"])
-    source.add([("a", 0)], [("b", 2000)], [("b", 2001)], [("late", 1300), ("in-time", 1940)])
+    source.add([("a", 0)], [("b", 2000)], [("b", 2001)], [("late", 1300), ("in-time", 1940)], [(None, 9000)])
     finish(streams.hot_urls(source.stream(), folder))
     got = latest_rows(spark.read.parquet(result_path(folder)))
     ends = {url: [] for url in ("late", "in-time")}
@@ -277,6 +281,46 @@ def test_hot_urls_drops_what_is_later(spark, feed, folder):
     assert (min(ends["in-time"]), len(ends["in-time"])) == (1945, 120)
 
 
+def test_hot_urls_waits_for_the_end_of_a_window(spark, feed, folder):
+    """A window comes with the first row a second past its end, and again with each late row for it."""
+    source = feed(["url", "at"])
+    source.add([("a", 1)], [("a", 5)], [("a", 6)], [("b", 3)], [("a", 7)], [("b", 2)])
+    finish(streams.hot_urls(source.stream(), folder))
+    counts = spark.read.parquet(f"{folder}/counts").collect()
+    first = [(r.batch_id, r.url, r["count"]) for r in counts if r.window_end == (BASE + 5) * 1000]
+    assert sorted(first) == [(2, "a", 1), (3, "a", 1), (3, "b", 1), (5, "a", 1), (5, "b", 2)]
+    assert {r.window_end for r in counts} == {(BASE + 5) * 1000}
+    reports = feed_reports(spark, source, f"{folder}/reports")
+    assert reports[(BASE + 5) * 1000].splitlines()[1:3] == ["NO1: URL=b 访问量=2", "NO2: URL=a 访问量=1"]
+
+
+def feed_reports(spark, source, folder):
+    finish(streams.hot_urls(source.stream(), folder, report=True))
+    return {r.window_end: r.report for r in latest_rows(spark.read.parquet(result_path(folder))).collect()}
+
+
+def test_two_folders_of_panes_and_no_window_made_in_vain(spark, feed, folder, monkeypatch):
+    source = feed(["url", "at"])
+    source.add(*[[("a", 60 * k), ("b", 60 * k + 7)] for k in range(10)])
+    made = []
+    slide_panes = stream_windows.slide_panes
+
+    def counted(*args, **kwargs):
+        out = slide_panes(*args, **kwargs)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(stream_windows, "slide_panes", counted)
+    rows = source.stream()
+    size, slide = timedelta(minutes=10), timedelta(seconds=5)
+    keep = sinks.write_rows(result_path(folder))
+    handle = stream_windows.sliding_in_batches(folder, rows, ["url"], size, slide, keep)
+    finish(sinks.start(rows, "slots", folder, handle))
+    for name in ("panes", "clock"):
+        assert sorted(p.name for p in Path(folder.removeprefix("file:"), name).iterdir()) == ["slot=0", "slot=1"]
+    assert sum(made) == spark.read.parquet(result_path(folder)).count() > 0
+
+
 CLICK = ["id", "user_id", "ad_id", "province", "at"]
 
 
@@ -302,13 +346,38 @@ def test_province_counts_follow_the_limiter(spark, feed, folder):
         [(500 + i, i, 1, "hebei", 2000 + i * 7) for i in range(30)],
     )
     order = ["ts", "id"]
-    clicks = source.stream()
-    finish(streams.ad_click_limit(clicks, f"{folder}/limit", 100, order))
-    passed = streams.passed_click_stream(spark, f"{folder}/limit", clicks.schema)
-    finish(streams.ad_by_province(passed, f"{folder}/count"))
-    rows = limits.passed_clicks(limits.click_limit(source.table(), 100, order))
-    want = jobs.ad_by_province(source.table(), 100, order).where(closed_text(rows))
-    assert bag(spark.read.parquet(result_path(f"{folder}/count")).drop("batch_id")) == bag(want)
+    finish(streams.ad_by_province(source.stream(), folder, 100, order))
+    want = jobs.ad_by_province(source.table(), 100, order).where(closed_text(source.table()))
+    assert bag(spark.read.parquet(result_path(folder)).drop("batch_id")) == bag(want)
+    warnings = spark.read.parquet(f"{folder}/warnings").drop("batch_id")
+    assert bag(warnings) == bag(jobs.ad_blacklist(source.table(), 100, order)) != []
+
+
+def test_late_clicks_still_count(spark, feed, folder):
+    source = feed(CLICK)
+    source.add([(0, 1, 1, "x", 719)], [(1, 1, 1, "x", 720)], [(2, 1, 1, "x", 710)], [(3, 1, 1, "x", 800)])
+    finish(streams.ad_click_limit(source.stream(), folder, 2))
+    got = bag(spark.read.parquet(result_path(folder)), ["id", "kind"])
+    assert got == [(0, "passed"), (1, "passed"), (2, "warning")]
+
+
+def test_clicks_with_nulls_large_ids_and_ties(spark, feed, folder):
+    big = 9007199254740993
+    source = feed(CLICK)
+    rows = [(big + k, None if k % 2 else big, 1, p, 10) for k, p in enumerate(["b", "a", None, "a", "c", "b"])]
+    # pandas would make floats of a column with a null
+    frame = spark.createDataFrame(rows, "id long, user_id long, ad_id long, province string, at long")
+    for k in (0, 1):
+        part = frame.where(F.col("id") % 2 == k).coalesce(1)
+        part.toArrow().to_pandas(types_mapper=pd.ArrowDtype).to_parquet(source.path / f"{k:04}.parquet", index=False)
+    finish(streams.ad_click_limit(source.stream(), folder, 2))
+    got = spark.read.parquet(result_path(folder))
+    want = limits.click_limit(source.table(), 2)
+    assert bag(got, ["id", "kind"]) == bag(want, ["id", "kind"])
+    assert got.count() == 6 and {r.user_id for r in got.collect()} == {None, big}
+    # Ties do not depend on the order of the input.
+    again = limits.click_limit(source.table().orderBy(F.desc("id")).repartition(3), 2)
+    assert bag(again, ["id", "kind"]) == bag(want, ["id", "kind"])
 
 
 ORDER = ["order_id", "event_type", "at"]
@@ -332,7 +401,9 @@ def test_every_step_of_the_order_match(spark, feed, folder):
         (2, "timeout", "payed but already timeout"),
         (3, "timeout", "order timeout"),
         (4, "timeout", "already payed but not found create log"),
-        (6, "payed", "payed successfully"),
+        # by time its payment comes before there is a creation
+        (6, "timeout", "already payed but not found create log"),
+        (6, "timeout", "order timeout"),
         (7, "payed", "payed successfully"),
         (7, "timeout", "order timeout"),
         (8, "timeout", "order timeout"),
@@ -348,6 +419,42 @@ def test_payment_after_the_timeout_was_reported(spark, feed, folder):
     assert bag(got, ["result_msg"]) == [("already payed but not found create log",), ("order timeout",)]
 
 
+def test_late_payment_and_late_creation_reach_their_order(spark, feed, folder):
+    source = feed(ORDER)
+    source.add([(1, "create", 100)], [(2, "create", 200)], [(3, "create", 210)], [(1, "pay", 150)])
+    source.add([(4, "pay", 300)], [(4, "create", 290)], [(9, "refund", 5000)])
+    finish(streams.order_pay_match(source.stream(), f"{folder}/match"))
+    got = spark.read.parquet(result_path(f"{folder}/match"))
+    assert bag(got, ["order_id", "result_msg"]) == [
+        (1, "payed successfully"),
+        (2, "order timeout"),
+        (3, "order timeout"),
+        (4, "payed successfully"),
+    ]
+    finish(streams.order_timeout_warning(source.stream(), f"{folder}/warn"))
+    got = spark.read.parquet(result_path(f"{folder}/warn"))
+    assert bag(got, ["order_id", "result_msg"]) == [
+        (1, "order payed successfully"),
+        (2, "order timeout"),
+        (3, "order timeout"),
+        (4, "order payed successfully"),
+    ]
+
+
+def test_order_streams_run_no_python_on_rows(spark, feed, folder):
+    source = feed(ORDER)
+    source.add([(1, "create", 100), (1, "pay", 200)])
+    plans = []
+
+    def look(rows, batch_id):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+
+    handlers = (stream_orders.order_pay_match_in_batches, stream_orders.order_timeout_warning_in_batches)
+    for k, handler in enumerate(handlers):
+        finish(sinks.start(source.stream(), "plan", f"{folder}/{k}", handler(f"{folder}/{k}", look)))
+    assert len(plans) == 2 and not any("Python" in p or "Pandas" in p or "Arrow" in p for p in plans)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_order_warnings_over_batches(spark, feed, folder, seed):
     rng = random.Random(seed)
@@ -371,7 +478,7 @@ def test_order_warnings_over_batches(spark, feed, folder, seed):
 def test_labelled_console_output(spark, feed, folder):
     source = feed(BEHAVIOR)
     source.add([(1, 1, "pv", 10)], [(1, 1, "pv", 3700)])
-    counts = stream_windows.tumbling_count_stream(source.stream(), [], HOUR)
+    counts = stream_windows.tumbling_count_stream(stream_windows.with_watermark(source.stream()), [], HOUR)
     query = sinks.start_console(counts, "pv count", folder)
     assert query.name == "pv count"
     finish(query)
@@ -392,9 +499,18 @@ def test_distinct_stream_needs_no_bounded_window_group(spark, feed):
     """Users are counted per window after being merged per window and user."""
     source = feed(BEHAVIOR)
     source.add([(1, 1, "pv", 10)])
-    rows = stream_distinct.unique_visitors_stream(source.stream(), HOUR)
+    views = stream_windows.with_watermark(source.stream())
+    rows = stream_distinct.unique_visitors_stream(views, HOUR)
     assert rows.isStreaming and rows.columns == ["window_end", "uv_count"]
     assert distinct.unique_visitors(source.table(), HOUR).columns == rows.columns
-    assert processors.order_pay_match_stream(
-        source.stream().selectExpr("user_id AS order_id", "'pay' AS event_type", "ts")
-    ).columns == ["order_id", "kind", "result_msg"]
+
+
+def test_a_row_with_only_a_time_ends_the_input(spark, feed, folder):
+    source = feed(BEHAVIOR)
+    source.add(*behavior_batches(7, batches=3))
+    source.add([(None, None, None, 10_000_000)])
+    finish(streams.page_views(source.stream(), f"{folder}/pv"))
+    assert bag(spark.read.parquet(result_path(f"{folder}/pv"))) == bag(jobs.page_views(source.table()))
+    finish(streams.hot_items(source.stream(), f"{folder}/hot"))
+    got = spark.read.parquet(result_path(f"{folder}/hot")).drop("batch_id")
+    assert bag(got) == bag(jobs.hot_items(source.table()))

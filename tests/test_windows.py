@@ -83,3 +83,15 @@ def test_counts_are_combined_before_the_first_exchange(spark):
     assert "partial_count" in plan
     # pane counts by key and pane, then panes by key and slice: no third exchange
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_only_the_wanted_windows_are_made(spark):
+    rng = random.Random(12)
+    df = events(spark, [(rng.choice("aab"), rng.randrange(200_000)) for _ in range(150)])
+    panes = windows.pane_count(df, ["key"], S(5))
+    every = counted(windows.slide_panes(panes, ["key"], S(60), S(5)))
+    for low, high in ((None, 90_000), (61_234, None), (60_000, 99_999), (500_000, 600_000)):
+        part = counted(windows.slide_panes(panes, ["key"], S(60), S(5), low=low, high=high))
+        assert part == {
+            k: n for k, n in every.items() if (low is None or k[1] > low) and (high is None or k[1] <= high)
+        }
