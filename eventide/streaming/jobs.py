@@ -30,10 +30,20 @@ URL_DISORDER = timedelta(seconds=1)
 URL_LATENESS = timedelta(seconds=60)
 
 
+def _page_views(behavior: DataFrame) -> DataFrame:
+    """Page views under a watermark that all rows advance.
+
+    A filter without the time would be moved below the watermark, which then
+    would see page views alone.
+    """
+    is_view = F.when(F.col("ts").isNotNull(), F.col("behavior") == "pv")
+    return windows.with_watermark(behavior).where(is_view)
+
+
 def page_views(
     behavior: DataFrame, folder: str, label: str = "pv count", interval: str | None = None
 ) -> StreamingQuery:
-    views = jobs.page_view_rows(windows.with_watermark(behavior))
+    views = _page_views(behavior)
     counts = windows.tumbling_count_stream(views, [], jobs.HOUR)
     counts = counts.select(F.lit("pv").alias("label"), "window_end", "count")
     return sinks.start_table(counts, label, folder, interval=interval)
@@ -42,7 +52,7 @@ def page_views(
 def unique_visitors(
     behavior: DataFrame, folder: str, label: str = "uv", interval: str | None = None
 ) -> StreamingQuery:
-    views = jobs.page_view_rows(windows.with_watermark(behavior))
+    views = _page_views(behavior)
     counts = stream_distinct.unique_visitors_stream(views, jobs.HOUR)
     return sinks.start_table(counts, label, folder, interval=interval)
 
@@ -55,7 +65,7 @@ def unique_visitors_bitmap(
     interval: str | None = None,
 ) -> StreamingQuery:
     """Final counts once per window."""
-    views = jobs.page_view_rows(windows.with_watermark(behavior))
+    views = _page_views(behavior)
     counts = stream_distinct.unique_visitors_bitmap_stream(views, jobs.HOUR, capacity=capacity)
     return sinks.start_table(counts, label, folder, interval=interval)
 
