@@ -48,7 +48,7 @@ from eventide.llm.common import _power_tables, byte_slices, mixed, prepare, save
 WINDOW = 100
 GRAM = 32
 BLOCK = 1 << 16  # window starts handled in one numpy step
-FLUSH = 1 << 20  # pieces gathered in a task before they are sent
+FLUSH = 1 << 18  # pieces gathered in a task before they are sent
 BUCKET_BYTES = 8 << 20  # bytes of text for each bucket of anchors
 HOME = 64  # different pieces of one anchor that a task sends to the anchor's bucket
 HOT = 2048  # different pieces of one anchor that are sorted in one task
@@ -405,6 +405,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     buckets = max(1, -(-size // BUCKET_BYTES))
     gram = min(GRAM, window)
     packs = rows.mapInArrow(_Anchors(buckets, window, gram), "bucket int, data binary")
+    packs = packs.repartition(min(buckets, MOST_TASKS), "bucket")
     states = saved(packs.groupBy("bucket").applyInArrow(_settle, _STATES), "pieces")
     gone = states.where("state = 'gone'").select("id", "row", "at", (F.col("at") + F.col("n") - 1 + window).alias("stop"))
     left = states.where("state <> 'gone'")
