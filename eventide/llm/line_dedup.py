@@ -16,8 +16,11 @@ two blocks (from hashes alone) and then with ``BLOCKS`` of them: only the block
 which a pair may differ is varied, and its keys carry the hash of the rest. This
 loses no pair.
 
-Keys are grouped, never paired: the earliest line of a key answers for the
-others, so a key with many lines costs no more than its lines.
+Keys are grouped, never paired. Lines of one length with a common key are one edit
+apart, so the earliest of them answers for the others. Where a shorter line meets
+longer ones, these may be two edits apart: longer lines are compared with the
+shorter one, and the shorter one with the earliest longer one. A key with many lines
+thus costs no more than its lines.
 
 Defined cases: a null or empty text has no line to remove. Rows without an id
 stay as they are, and their lines take no part. Rows with equal id and text are
@@ -121,11 +124,20 @@ def _near_lines(docs, firsts, doc_id, text, min_chars) -> DataFrame:
         "k1",
         "k2",
         "at",
+        "longer",
         F.xxhash64("key", F.when(F.col("longer"), F.lit(0)).otherwise(at), left).alias("variant"),
     )
     variants = variants.distinct()
-    earliest = variants.groupBy("variant").agg(F.min(F.struct("at", "k1", "k2")).alias("first"), F.count("*").alias("times"))
-    pairs = variants.join(earliest.where("times > 1"), "variant").where("first.at < at")
+    mine = F.struct("at", "k1", "k2")
+    earliest = variants.groupBy("variant").agg(
+        F.min(F.when(~F.col("longer"), mine)).alias("shorter"),
+        F.min(F.when(F.col("longer"), mine)).alias("long"),
+        F.count("*").alias("times"),
+    )
+    # Longer lines that are one edit apart meet by keys of their own length.
+    pairs = variants.join(earliest.where("times > 1 AND shorter IS NOT NULL"), "variant")
+    partners = F.when(F.col("longer"), F.array("shorter")).otherwise(F.array("shorter", "long"))
+    pairs = pairs.select("k1", "k2", "at", F.explode(partners).alias("first")).where("first.at < at")
     pairs = pairs.select("k1", "k2", F.col("first.k1").alias("e1"), F.col("first.k2").alias("e2")).distinct()
     own = near.select("k1", "k2", F.col("line").alias("mine"))
     other = near.select(F.col("k1").alias("e1"), F.col("k2").alias("e2"), F.col("line").alias("theirs"))

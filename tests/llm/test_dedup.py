@@ -102,6 +102,15 @@ def test_lines_near_an_earlier_one_go(spark):
         assert r.text == "\n".join(kept) or not expected[r.doc_id]
 
 
+def test_a_shorter_line_between_longer_ones_is_met(spark):
+    short = "abcdefghijklmnopqrstuvwxyz012345"
+    longer = [short[:k] + c + short[k:] for k, c in ((1, "X"), (3, "Y"), (2, "Z"), (32, "Q"), (31, "R"))]
+    for lines in ([longer[0], short, *longer[1:]], [*longer[:2], short, longer[2]], [short, *longer], [*longer, short]):
+        docs = list(enumerate(lines))
+        df = spark.createDataFrame(docs, "doc_id long, text string")
+        assert {r.doc_id: r.removed for r in line_dedup.dedup_lines(df).collect()} == removed_lines(docs)
+
+
 def test_one_edit_of_brute_force():
     assert one_edit("abc", "abd") and one_edit("abc", "ab") and one_edit("abc", "aabc")
     assert not one_edit("abc", "abc") and not one_edit("abc", "acb") and not one_edit("abc", "a")
