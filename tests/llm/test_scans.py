@@ -137,6 +137,24 @@ def test_personal_data_has_the_strict_spans(spark):
     assert clean[0].startswith("write to [email], a@[email] or x@y; [email][email]")
 
 
+def test_loose_personal_data_is_selected(spark):
+    rng = random.Random(6)
+    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    texts = []
+    for k in range(400):
+        phone = f"{number(3)} {number(4)} {number(4)}" if k % 2 else f"1 ({number(3)}) {number(3)}-{number(4)}"
+        texts.append(f"please {rng.choice(['call', 'tel'])} +{phone} today")
+        texts.append(f"write to {rng.choice(['ann', 'bob.b', 'c'])}{number(1)}@mail{number(1)}.example.org soon")
+        texts.append(f"the part {number(16)} and {number(9)}, made of {number(3)} {number(4)} {number(4)} pieces")
+    loose = ["mail me (at) example (dot) org", "reach us: tel 030 1234 5678", "the part 030 1234 5678"]
+    docs = spark.createDataFrame(list(enumerate([*texts, *loose])), "doc_id long, text string")
+    proposed = personal_data.propose(docs)
+    rows = personal_data.select_spans(proposed, personal_data.train(proposed)).collect()
+    found = {r.doc_id: [(loose[r.doc_id - 1200][s.start : s.stop], s.kind) for s in r.spans] for r in rows if r.doc_id >= 1200}
+    assert found == {1200: [("me (at) example (dot) org", "mail_words")], 1201: [("030 1234 5678", "number")], 1202: []}
+    assert not any(s.kind in personal_data.LOOSE for r in rows if r.doc_id < 1200 for s in r.spans)
+
+
 def test_personal_odd_cases(spark):
     docs = odd_docs(spark, clashing=True)
     proposed = personal_data.propose(docs)
