@@ -12,7 +12,9 @@ next one.
 In a small node all pairs are held against each other by signature (and by size:
 sets of similarity s differ at most by that factor). A large node compares its
 members with one of them, drawn at random in each node; where many levels have not
-parted a node, members that are nearly equal to the drawn one go no further. Pairs that may be similar
+parted a node, members that are nearly equal to the drawn one go no further down, and
+are held in blocks against all members that turn out to lie in other components; so
+is what the last level has not parted. Pairs that may be similar
 are then confirmed on full sets. Links between documents that are known to hang
 together need no confirmation, so there are two rounds: spanning trees of the
 nodes of the first trees, and then all pairs of all trees that run between
@@ -319,11 +321,14 @@ class _Confirm:
 # --- the join ------------------------------------------------------------------------
 
 
-def _nodes(classes: DataFrame, trees: int, limit: int, depth: int) -> tuple[DataFrame, list[DataFrame]]:
-    """Members (tree, path, id) of small nodes of two or more, and (id, center) pairs of large ones."""
+def _nodes(classes: DataFrame, trees: int, limit: int, depth: int) -> tuple[DataFrame, list[DataFrame], list[DataFrame]]:
+    """Members (tree, path, id) of small nodes, (id, center) pairs of large ones, and members of those that go no further.
+
+    The last ones (path, id, center, n, settled) are whole nodes: what is not settled goes down on its own as well.
+    """
     members = classes.select(F.explode(F.array(*map(F.lit, range(trees)))).alias("tree"), "id", "n", "sig")
     members = members.withColumn("path", F.xxhash64(F.lit("root"), F.col("tree")))
-    small, stars = None, []
+    small, stars, stayed = None, [], []
     for level in range(depth):
         reached = saved(
             members.select("tree", "path", "id", "n", "sig").mapInArrow(_descend, "tree int, path long, id long, n long"),
@@ -346,27 +351,59 @@ def _nodes(classes: DataFrame, trees: int, limit: int, depth: int) -> tuple[Data
         stars.append(going.where("id <> center").select("id", "center").distinct())
         members = going.join(classes.select("id", "n", "sig"), "id")
         if level >= PATIENCE:
-            members = _unsettled(members, classes)
-    else:
-        # Hardly reached: what still shares all its places is compared in parts.
-        part = F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / limit))
-        rest = reached.join(sizes.where(F.col("size") > limit).select("path", "size"), "path")
-        small = small.unionByName(rest.select("tree", F.xxhash64("path", part).alias("path"), "id"))
-    return small, stars
+            members = saved(_settled(members, classes), "settled")
+            # Hardly reached: all that still shares its places at the last level.
+            settled = F.col("settled") | F.lit(level == depth - 1)
+            stayed.append(members.select("path", "id", "center", "n", settled.alias("settled")))
+            members = members.where("NOT settled")
+    return small, stars, stayed
 
 
-def _unsettled(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members without those that share nearly all of their signature with the node's center."""
+def _settled(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members, and whether they share nearly all of their signature with the node's center."""
     other = classes.select(F.col("id").alias("center"), F.col("sig").alias("sig_b"))
 
-    def far(batches):
+    def near(batches):
         for batch in batches:
             if batch.num_rows:
                 share = (_sig_matrix(batch.column("sig")) == _sig_matrix(batch.column("sig_b"))).mean(1)
-                yield batch.filter(pa.array(share < SETTLED)).select(["tree", "path", "id", "n", "sig"])
+                rows = batch.select(["tree", "path", "id", "center", "n", "sig"])
+                yield rows.append_column("settled", pa.array(share >= SETTLED))
+
+    rows = members.join(other, "center").select("tree", "path", "id", "center", "n", "sig", "sig_b")
+    return rows.mapInArrow(near, T.StructType([*rows.drop("sig_b").schema, T.StructField("settled", T.BooleanType())]))
+
+
+def _blocks(stayed: list[DataFrame], comps: DataFrame, limit: int) -> DataFrame:
+    """Nodes (path, id) that hold the settled members of large nodes against all of other components, part by part.
+
+    Members in the component of the node's center hang together already. Any other one meets
+    them and all that is settled; two that are not settled meet further down.
+    """
+    rows = stayed[0]
+    for more in stayed[1:]:
+        rows = rows.unionByName(more)
+    named = comps.withColumnRenamed("node", "id")
+    own = rows.groupBy("path").agg(F.first("center").alias("id")).join(named, "id", "left")
+    own = own.select("path", F.coalesce("component", "id").alias("main"))
+    rows = rows.join(named, "id", "left").withColumn("comp", F.coalesce("component", "id")).join(own, "path")
+    rows = rows.withColumn("apart", F.col("comp") != F.col("main")).withColumn("stays", F.col("settled") | ~F.col("apart"))
+    rows = saved(rows.select("path", "id", "n", "apart", "stays"), "stayed")
+
+    def parts(mark):
+        # Half of a node's size each; long texts count as larger.
+        count, n = (F.sum(F.when(F.col(mark), x)) for x in (F.lit(1), F.col("n")))
+        return F.ceil(2 * F.greatest(count / limit, n / LIMIT_SHINGLES)).cast("int").alias(f"{mark}_parts")
+
+    sizes = rows.groupBy("path").agg(parts("apart"), parts("stays")).where("apart_parts > 0 AND stays_parts > 0")
+    rows = rows.join(sizes, "path")
+
+    def dealt(mark, i, j, others):
+        mine = F.pmod(F.xxhash64("id"), F.col(f"{mark}_parts")).cast("int")
+        part = rows.where(mark).withColumns({i: mine, j: F.explode(F.sequence(F.lit(0), F.col(f"{others}_parts") - 1))})
+        return part.select(F.xxhash64("path", "i", "j").alias("path"), "id")
 
-    rows = members.join(other, "center").select("tree", "path", "id", "n", "sig", "sig_b")
-    return rows.mapInArrow(far, rows.drop("sig_b").schema)
+    return dealt("stays", "i", "j", "apart").unionByName(dealt("apart", "j", "i", "stays")).distinct()
 
 
 def _star_pairs(stars: list[DataFrame], classes: DataFrame, percent: int) -> DataFrame | None:
@@ -475,7 +512,7 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, shingle: int) -> D
     texts = classes.groupBy("id").agg(F.count("*").alias("times"), F.min("row").alias("row"))
     if texts.where("times > 1").head(1):
         classes = saved(classes.join(texts.select("id", "row"), ["id", "row"], "left_semi"), "one_each")
-    small, stars = _nodes(classes, TREES, LIMIT, DEPTH)
+    small, stars, stayed = _nodes(classes, TREES, LIMIT, DEPTH)
     small = saved(small, "small")
     first = _by_node(_members(small.where(F.col("tree") < FIRST_TREES), classes, None))
     pairs = first.mapInArrow(_Leaves(percent).__call__, "a long, b long")
@@ -487,7 +524,10 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, shingle: int) -> D
     links = saved(tried.where("linked").select("a", "b"), "links1")
     comps = saved(components(links), "components1")
     # Texts go to the nodes where components may still meet, and links come back, not pairs.
-    rest = _by_node(_members(small, classes, comps)).mapInArrow(_Involved(percent).__call__, "path long, id long")
+    nodes = small.select("path", "id")
+    if stayed:
+        nodes = nodes.unionByName(saved(_blocks(stayed, comps, LIMIT), "blocks"))
+    rest = _by_node(_members(nodes, classes, comps)).mapInArrow(_Involved(percent).__call__, "path long, id long")
     rest = saved(rest, "involved")
     if rest.isEmpty():
         return links

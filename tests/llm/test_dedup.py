@@ -159,6 +159,22 @@ def test_components_are_those_of_all_pairs(spark, monkeypatch, limit):
     assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
 
 
+@pytest.mark.parametrize("depth", [48, 2])
+def test_bridges_to_a_large_group_are_found(spark, monkeypatch, depth):
+    monkeypatch.setattr(near_dedup, "LIMIT", 8)
+    monkeypatch.setattr(near_dedup, "PATIENCE", 1)
+    monkeypatch.setattr(near_dedup, "DEPTH", depth)
+    base = [f"w{k}" for k in range(400)]
+    docs = [(i, " ".join([*base[:385], *(f"m{i}x{k}" for k in range(15))])) for i in range(150)]
+    for i in range(12):  # 0.86 of one member, 0.8 of no other
+        docs.append((1000 + i, " ".join([*(f"b{i}x{k}" for k in range(30)), *docs[i * 11][1].split()[30:]])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = near_dedup.near_duplicates(df).collect()
+    want = components(docs)
+    assert {root for _, root in want.values()} == {0}
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == want
+
+
 def test_near_odd_cases(spark):
     df = odd_docs(spark, clashing=True)
     rows = near_dedup.near_duplicates(df).collect()
