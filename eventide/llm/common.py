@@ -163,3 +163,11 @@ def words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray):
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
     hashes = mixed((sums[stops] - sums[starts]) * inverse[starts])
     return starts, stops, hashes, np.searchsorted(starts, offsets)
+
+
+def run_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the runs of bytes from ``starts`` to ``stops``."""
+    power, inverse = _power_tables(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
+    return mixed((sums[stops] - sums[starts]) * inverse[starts])

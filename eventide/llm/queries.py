@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from eventide.llm import (
+    alignment,
     decontamination,
     language,
     line_dedup,
@@ -149,6 +150,12 @@ def op10_personal_data(spark, sf_dir):
     )
 
 
+def op13_alignment(spark, sf_dir):
+    """Tokens of two tokenizers that overlap, in every document, and how common their pairs are."""
+    found = alignment.align(table(spark, sf_dir, "documents"), ["doc_id"], groups=alignment.SHA256)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 def queries():
     return {
         "op6_secrets": op6_secrets,
@@ -161,6 +168,7 @@ def queries():
         "op3_toxicity": op3_toxicity,
         "op5_language": op5_language,
         "op4_decontamination": op4_decontamination,
+        "op13_alignment": op13_alignment,
     }
 
 

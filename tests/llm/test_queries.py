@@ -21,7 +21,7 @@ def docs(spark):
 
 def test_one_query_for_each_operator():
     names = sorted(queries.queries(), key=lambda n: int(n[2:].split("_")[0]))
-    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 14)]
     assert {"pipeline", *names} <= entry.queries().keys()
 
 
