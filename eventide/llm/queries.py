@@ -13,6 +13,7 @@ from eventide.llm import (
     line_dedup,
     near_dedup,
     packing,
+    periodic,
     personal_data,
     secret_scan,
     suffix_dedup,
@@ -150,6 +151,46 @@ def op10_personal_data(spark, sf_dir):
     )
 
 
+def _made_periodic(docs):
+    """Documents of which every tenth repeats its words from somewhere on, as the contract of op12 says."""
+    words = F.coalesce(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)), F.array().cast("array<string>"))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+    chosen = docs.select("doc_id", "text", h.alias("h"), g.alias("g"))
+    is_chosen = F.coalesce(F.col("h") % 10 == 0, F.lit(False))
+    chosen = chosen.withColumn("w", F.when(is_chosen, words)).withColumn("n", F.size("w").cast("long"))
+    a = F.when(F.col("n") > 0, F.col("g") % F.col("n"))
+    chosen = chosen.withColumn("a", a)
+    p = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)).cast("long")
+    chosen = chosen.withColumn("p", p)
+    again = F.transform(
+        F.sequence("a", F.col("n") - 1), lambda i: F.get("w", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))
+    )
+    changed = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a").cast("int")), again), " ")
+    return chosen.select("doc_id", F.when(F.col("n") > 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    """Runs of repeating words in every document, and a digest of the text without the repeats."""
+    docs = _made_periodic(table(spark, sf_dir, "documents"))
+    found = periodic.periodic_runs(docs, ["doc_id"])
+    # The greatest length first, then the smallest start and period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    found = found.select("doc_id", "runs", "collapsed", best.alias("best"))
+    length, period = F.col("best")["length"], -F.col("best")["col3"]
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best")["col2"]).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(length * 1000 / period).cast("long").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_alignment(spark, sf_dir):
     """Tokens of two tokenizers that overlap, in every document, and how common their pairs are."""
     found = alignment.align(table(spark, sf_dir, "documents"), ["doc_id"], groups=alignment.SHA256)
@@ -168,6 +209,7 @@ def queries():
         "op3_toxicity": op3_toxicity,
         "op5_language": op5_language,
         "op4_decontamination": op4_decontamination,
+        "op12_periodic_runs": op12_periodic_runs,
         "op13_alignment": op13_alignment,
     }
 
