@@ -15,12 +15,13 @@ from eventide.llm import (
     packing,
     periodic,
     personal_data,
+    quality,
     secret_scan,
     suffix_dedup,
     toxicity,
     vector_search,
 )
-from eventide.llm.common import table
+from eventide.llm.common import saved, table
 from eventide.session import shared_dir
 
 
@@ -151,6 +152,17 @@ def op10_personal_data(spark, sf_dir):
     )
 
 
+def op11_quality(spark, sf_dir):
+    """Quality of every document; rows of the held-out quarter are not learned from."""
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(_held_out(2, 4), F.lit(False))
+    model = quality.train(docs.where(~held), table(spark, sf_dir, "labels").where(~held))
+    scored = saved(quality.score(docs, model, ["doc_id"]), "quality")
+    return quality.above_quantile(scored, model.quantile, "above_quantile").select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "above_quantile"
+    )
+
+
 def _made_periodic(docs):
     """Documents of which every tenth repeats its words from somewhere on, as the contract of op12 says."""
     words = F.coalesce(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)), F.array().cast("array<string>"))
@@ -209,6 +221,7 @@ def queries():
         "op3_toxicity": op3_toxicity,
         "op5_language": op5_language,
         "op4_decontamination": op4_decontamination,
+        "op11_quality": op11_quality,
         "op12_periodic_runs": op12_periodic_runs,
         "op13_alignment": op13_alignment,
     }
