@@ -39,18 +39,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.llm.common import SLICE_BYTES, prepare, run_hashes, saved
+from eventide.llm.common import SLICE_BYTES, byte_slices, prepare, run_hashes, saved
 
 TOKENIZERS = "/opt/tokenizers"
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Text of a block; a block's counts are made in one task.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 #: Tokens of one side that are aligned at a time.
-SLICE_TOKENS = 400_000
+SLICE_TOKENS = 150_000
 #: Text that goes into the encoders at a time, beyond its last piece.
 JOINED_BYTES = 1 << 15
 #: Pieces that a task remembers.
-MAX_PIECES = 1_000_000
+MAX_PIECES = 400_000
 TEXT, SHA256 = "text", "sha256"
 
 # How the byte-level tokenizer parts a text; a fixed value.
@@ -424,12 +424,14 @@ def _coded(docs, columns, text, tokenizers, groups, block_bytes) -> DataFrame:
         first, task, block = TaskContext.get().partitionId() << 32, None, 0
         for batch in batches:
             task = task or _Task(Tokenizers(*files.value), groups)
-            task.add(batch.column("kept").to_pylist(), batch.column("text").to_pylist())
-            if task.size >= block_bytes or len(task.whole) > MAX_PIECES:
-                yield from task.finish(first + block, kind)
-                block += 1
-                if len(task.whole) > MAX_PIECES:
-                    task.forget()
+            for low, high, _, _ in byte_slices(batch.column("text")):
+                some = batch.slice(low, high - low)
+                task.add(some.column("kept").to_pylist(), some.column("text").to_pylist())
+                if task.size >= block_bytes or len(task.whole) > MAX_PIECES:
+                    yield from task.finish(first + block, kind)
+                    block += 1
+                    if len(task.whole) > MAX_PIECES:
+                        task.forget()
         if task:
             yield from task.finish(first + block, kind)
 
