@@ -1,42 +1,120 @@
-"""Tables that one micro-batch leaves for the next.
+"""What one micro-batch leaves for the next: a note, and tables kept as increments.
 
-A batch reads what the one before it wrote and overwrites the older of two
-folders. A batch that is repeated thus reads the same rows again, and however
-long a query runs there are two copies.
+A batch that is repeated must read what it read before. Notes lie in two alternating
+files, so batch N reads the one of batch N - 1 and writes the other. An increment is a
+folder named by its batch, listed in the note of the batch that wrote it; folders are
+removed only by a batch after the one whose note no longer lists them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Increments that are put together into one, so that few folders are read.
+FOLD = 16
+
 
-class Carried:
-    """A table of ``schema`` under ``folder``, empty before the first batch."""
+class Note:
+    """A small record of a stream as a JSON file, written without a Spark job."""
 
-    def __init__(self, folder: str, schema: str):
-        self.folder, self.schema = folder, schema
+    def __init__(self, folder: str):
+        self.folder = folder
 
-    def read(self, spark: SparkSession, batch_id: int) -> DataFrame:
+    def read(self, spark: SparkSession, batch_id: int) -> dict:
+        """What the batch before this one has left; empty for the first one."""
         if batch_id == 0:
+            return {}
+        fs, path = _path(spark, f"{self.folder}/{(batch_id - 1) % 2}.json")
+        stream = fs.open(path)
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def write(self, spark: SparkSession, batch_id: int, values: dict) -> None:
+        fs, path = _path(spark, f"{self.folder}/{batch_id % 2}.json")
+        stream = fs.create(path, True)
+        try:
+            stream.write(bytearray(json.dumps(values).encode()))
+        finally:
+            stream.close()
+
+
+class Increments:
+    """A table of ``keys``, a time ``at`` in milliseconds among them, and columns that are summed.
+
+    A batch writes only what it adds (or takes off, with negative numbers). Reading
+    adds up the increments that reach a time. ``FOLD`` of them are rewritten as one, each
+    row once, without those that add up to nothing; what lies before the time that is
+    still asked for is dropped by folder.
+    """
+
+    def __init__(self, folder: str, schema: str, sums: Sequence[str], at: str):
+        self.folder, self.schema, self.sums, self.at = folder, schema, list(sums), at
+
+    def read(self, spark: SparkSession, note: dict, oldest: int | None = None) -> DataFrame:
+        """The increments with rows after ``oldest``, not added up; more rows may come with them."""
+        names = [p["name"] for p in note.get("parts", []) if oldest is None or p["newest"] > oldest]
+        return self._rows(spark, names)
+
+    def _rows(self, spark: SparkSession, names: Sequence[str]) -> DataFrame:
+        if not names:
             return spark.createDataFrame([], self.schema)
-        return spark.read.schema(self.schema).parquet(f"{self.folder}/slot={(batch_id - 1) % 2}")
+        return spark.read.schema(self.schema).parquet(*[f"{self.folder}/{name}" for name in names])
+
+    def append(self, rows: DataFrame, batch_id: int, newest: int | None) -> tuple[dict, DataFrame]:
+        """Write an increment that has nothing after ``newest``; its entry for the note, and its rows as written."""
+        name = f"batch={batch_id}"
+        rows.coalesce(_files(rows)).write.mode("overwrite").parquet(f"{self.folder}/{name}")
+        return {"name": name, "newest": newest, "folded": False}, self._rows(rows.sparkSession, [name])
+
+    def listed(self, spark: SparkSession, batch_id: int, note: dict, entry: dict, oldest: int) -> dict:
+        """Parts of the next note: those with rows after ``oldest``, folded if they are many."""
+        for name in note.get("dropped", []):
+            fs, path = _path(spark, f"{self.folder}/{name}")
+            fs.delete(path, True)
+        before = note.get("parts", [])
+        parts = [p for p in [*before, entry] if p["newest"] is not None and p["newest"] > oldest]
+        small = [p for p in parts if not p["folded"]]
+        if len(small) >= FOLD:
+            keys = [c for c in self._rows(spark, []).columns if c not in self.sums]
+            total = self._rows(spark, [p["name"] for p in small]).where(F.col(self.at) > oldest).groupBy(*keys)
+            total = total.agg(*[F.sum(s).alias(s) for s in self.sums]).where(_any_of(self.sums))
+            name = f"fold={batch_id}"
+            total.hint("rebalance").write.mode("overwrite").parquet(f"{self.folder}/{name}")
+            parts = [p for p in parts if p["folded"]]
+            parts.append({"name": name, "newest": max(p["newest"] for p in small), "folded": True})
+        kept = {p["name"] for p in parts}
+        dropped = [p["name"] for p in [*before, entry] if p["name"] not in kept]
+        return {"parts": parts, "dropped": dropped}
+
+
+def _any_of(columns: Sequence[str]) -> Column:
+    found = F.lit(False)
+    for c in columns:
+        found |= F.col(c) != 0
+    return found
+
+
+def _files(rows: DataFrame) -> int:
+    """Files of an increment: a quarter of the tasks, since a batch is small."""
+    return max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+
 
-    def write(self, rows: DataFrame, batch_id: int) -> None:
-        rows.hint("rebalance").write.mode("overwrite").parquet(f"{self.folder}/slot={batch_id % 2}")
+def _path(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
 
 
-class Clock:
-    """Newest event time of a stream in epoch milliseconds, carried from batch to batch."""
+def newest_time(batch: DataFrame, ts: str = "ts") -> int | None:
+    """Newest event time of a batch in epoch milliseconds; None if it has no row with a time."""
+    return batch.agg(F.unix_millis(F.max(ts)).alias("newest")).first().newest
 
-    def __init__(self, folder: str, ts: str = "ts"):
-        self.carried, self.ts = Carried(folder, "seen long"), ts
 
-    def advance(self, batch: DataFrame, batch_id: int) -> tuple[int | None, int | None]:
-        """Newest time before this batch and with it; None while no row has come."""
-        spark = batch.sparkSession
-        row = self.carried.read(spark, batch_id).agg(F.max("seen").alias("seen")).first()
-        before, newest = row.seen, batch.agg(F.unix_millis(F.max(self.ts)).alias("seen")).first().seen
-        now = max((t for t in (before, newest) if t is not None), default=None)
-        self.carried.write(spark.createDataFrame([(now,)], "seen long"), batch_id)
-        return before, now
+def later(*times: int | None) -> int | None:
+    """The newest of some times, of which any may be unknown."""
+    return max((t for t in times if t is not None), default=None)

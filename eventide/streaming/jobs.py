@@ -159,10 +159,6 @@ def marketing_by_channel(
     return _sliding(marketing, kept, ["channel", "behavior"], size, slide, write, folder, label, interval)
 
 
-def _ad_clicks(rows: DataFrame) -> DataFrame:
-    return rows.where(F.col("ad_id").isNotNull())
-
-
 def ad_click_limit(
     clicks: DataFrame,
     folder: str,
@@ -172,10 +168,9 @@ def ad_click_limit(
     interval: str | None = None,
 ) -> StreamingQuery:
     """One table of passed clicks and warnings, told apart by ``kind``."""
-    step = stream_clicks.click_limit_in_batches(folder, clicks.schema, limit, order)
-    keep = sinks.write_rows(result_path(folder))
-    write = lambda batch, batch_id: keep(step(_ad_clicks(batch), batch_id), batch_id)
-    return sinks.start(clicks, label, folder, write, interval=interval)
+    tagged = stream_clicks.click_limit_stream(clicks, limit, order).where(F.col("kind").isNotNull())
+    write = sinks.write_rows(result_path(folder))
+    return sinks.start(tagged, label, folder, write, interval=interval, idle_batches=False)
 
 
 def ad_by_province(
@@ -187,25 +182,24 @@ def ad_by_province(
     interval: str | None = None,
 ) -> StreamingQuery:
     """Clicks within the limit per province; warnings (``user_id, ad_id, msg``) are in ``folder/warnings``."""
-    step = stream_clicks.click_limit_in_batches(folder, clicks.schema, limit, order)
+    tagged = stream_clicks.click_limit_stream(clicks, limit, order)
     warn = sinks.write_rows(f"{folder}/warnings")
     keep = sinks.write_rows(result_path(folder))
 
     def passed(batch: DataFrame, batch_id: int) -> DataFrame:
-        tagged = step(_ad_clicks(batch), batch_id)
-        warn(limits.blacklist_warnings(tagged, limit), batch_id)
-        return limits.passed_clicks(tagged)
+        warn(limits.blacklist_warnings(batch, limit), batch_id)
+        return limits.passed_clicks(batch)
 
     handle = windows.sliding_in_batches(
         folder,
-        clicks,
+        tagged,
         ["province"],
         jobs.AD_SIZE,
         jobs.AD_SLIDE,
         lambda counts, batch_id: keep(jobs.province_rows(counts), batch_id),
         prepare=passed,
     )
-    return sinks.start(clicks, label, folder, handle, interval=interval)
+    return sinks.start(tagged, label, folder, handle, interval=interval, idle_batches=False)
 
 
 def order_pay_match(

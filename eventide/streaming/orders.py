@@ -1,8 +1,10 @@
 """Order events in micro-batches, settled by the operators on tables.
 
-What still waits is carried to the next batch and read again with its rows, so an
+What still waits is known to the next batch and read again with its rows, so an
 event that comes late reaches its order as long as that waits, and nothing is
-dropped for being late. A hot order is split by time as on tables.
+dropped for being late. A hot order is split by time as on tables. The table of what
+waits is kept as increments: a batch writes the events it adds to it and, as negative
+numbers, those it takes off.
 
 With ascending times a row of time ``t`` may be followed by more rows of time
 ``t``, so what ends at ``t`` is settled by the first row after it.
@@ -10,56 +12,88 @@ With ascending times a row of time ``t`` may be followed by more rows of time
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.times import millis
 from eventide.operators import orders
-from eventide.streaming.carry import Carried, Clock
+from eventide.streaming.carry import Increments, Note, later, newest_time
 from eventide.streaming.sinks import BatchWriter
 
 STEPS = "order_id long, at long, step int, n long"
 
 
-def order_pay_match_in_batches(
-    folder: str, write: BatchWriter, deadline: timedelta = orders.DEADLINE
+def _in_batches(
+    folder: str,
+    settle: Callable[[DataFrame, int], tuple[DataFrame, DataFrame]],
+    write: BatchWriter,
+    reach_ms: int,
+    ts: str = "ts",
 ) -> BatchWriter:
-    """Stream form of ``order_pay_match``.
+    """Handler that knows a batch's events and those that wait.
 
-    A pair is reported once both events are there, a creation without payment when a
-    row past its deadline has come, and a payment without creation when a row
-    past its own time has. An event whose counterpart was reported before stands alone.
+    ``settle(known, now)`` returns result rows, and the events that wait on. Nothing waits ``reach_ms`` past its time.
     """
-    waiting, clock = Carried(f"{folder}/waiting", STEPS), Clock(f"{folder}/clock")
+    waiting, notes = Increments(f"{folder}/waiting", STEPS, ["n"], "at"), Note(f"{folder}/notes")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            _, now = clock.advance(batch, batch_id)
-            known = orders.counted_steps(batch).unionByName(waiting.read(batch.sparkSession, batch_id))
-            known = known.groupBy("order_id", "at", "step").agg(F.sum("n").alias("n"))
-            told = orders.matched_steps(known, deadline).persist()
-            try:
-                # A creation that nothing follows yet waits for a payment, and a payment for a
-                # creation that comes late.
-                clock_ms = F.lit(now if now is not None else 0)
-                create = (F.col("step") == 0) & F.col("last") & (F.col("at") + millis(deadline) >= clock_ms)
-                pay = (F.col("result_msg") == orders.NO_CREATE) & (F.col("at") >= clock_ms)
-                waits = (F.col("waits") > 0) & (create | F.coalesce(pay, F.lit(False)))
-                settled = told.where(~waits & F.col("result_msg").isNotNull())
-                kind = orders.kind_of(F.col("result_msg")).alias("kind")
-                write(orders.repeated(settled, "order_id", kind, "result_msg"), batch_id)
-                waiting.write(told.where(waits).select("order_id", "at", "step", F.col("waits").alias("n")), batch_id)
-            finally:
-                told.unpersist()
+            match(batch, batch_id)
         finally:
             batch.unpersist()
 
+    def match(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        note = notes.read(spark, batch_id)
+        now = later(note.get("seen"), newest_time(batch, ts))
+        clock = now if now is not None else 0
+        old = waiting.read(spark, note).groupBy("order_id", "at", "step").agg(F.sum("n").alias("n")).where("n > 0")
+        known = orders.counted_steps(batch).withColumn("was", F.lit(0).cast("long"))
+        known = known.unionByName(old.withColumn("was", F.col("n"))).groupBy("order_id", "at", "step")
+        known = known.agg(F.sum("n").alias("n"), F.sum("was").alias("was")).persist()
+        try:
+            told, on = settle(known.drop("was"), clock)
+            write(told, batch_id)
+            change = known.select("order_id", "at", "step", (-F.col("was")).alias("n")).unionByName(on)
+            change = change.groupBy("order_id", "at", "step").agg(F.sum("n").alias("n")).where("n <> 0")
+            entry, _ = waiting.append(change, batch_id, now)
+        finally:
+            known.unpersist()
+        parts = waiting.listed(spark, batch_id, note, entry, clock - reach_ms - 1)
+        notes.write(spark, batch_id, {"seen": now, **parts})
+
     return handle
 
 
+def order_pay_match_in_batches(
+    folder: str, write: BatchWriter, deadline: timedelta = orders.DEADLINE
+) -> BatchWriter:
+    """Stream form of ``order_pay_match``.
+
+    A pair is reported once both events are there, a creation without payment when a
+    row past its deadline has come, and a payment without creation when a row
+    past its own time has. An event whose counterpart was reported before stands alone.
+    """
+
+    def settle(known: DataFrame, now: int) -> tuple[DataFrame, DataFrame]:
+        told = orders.matched_steps(known, deadline)
+        # A creation that nothing follows yet waits for a payment, and a payment for a
+        # creation that comes late.
+        create = (F.col("step") == 0) & F.col("last") & (F.col("at") + millis(deadline) >= now)
+        pay = (F.col("result_msg") == orders.NO_CREATE) & (F.col("at") >= now)
+        waits = (F.col("waits") > 0) & (create | F.coalesce(pay, F.lit(False)))
+        settled = told.where(~waits & F.col("result_msg").isNotNull())
+        kind = orders.kind_of(F.col("result_msg")).alias("kind")
+        on = told.where(waits).select("order_id", "at", "step", F.col("waits").alias("n"))
+        return orders.repeated(settled, "order_id", kind, "result_msg"), on
+
+    return _in_batches(folder, settle, write, millis(deadline))
+
+
 def order_timeout_warning_in_batches(
     folder: str, write: BatchWriter, deadline: timedelta = orders.DEADLINE
 ) -> BatchWriter:
@@ -67,25 +101,12 @@ def order_timeout_warning_in_batches(
 
     Payments are kept for two deadlines, as long as a waiting creation may ask for them.
     """
-    waiting, clock = Carried(f"{folder}/waiting", STEPS), Clock(f"{folder}/clock")
     wait = millis(deadline)
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            _, now = clock.advance(batch, batch_id)
-            now = now if now is not None else 0
-            known = orders.counted_steps(batch).unionByName(waiting.read(batch.sparkSession, batch_id))
-            known = known.groupBy("order_id", "at", "step").agg(F.sum("n").alias("n")).persist()
-            try:
-                told = orders.warned_steps(known, deadline).where(F.col("at") + wait < F.lit(now))
-                write(orders.repeated(told, "order_id", "result_msg"), batch_id)
-                at = F.col("at")
-                still = F.when(F.col("step") == 0, at + wait >= F.lit(now)).otherwise(at + 2 * wait >= F.lit(now))
-                waiting.write(known.where(still), batch_id)
-            finally:
-                known.unpersist()
-        finally:
-            batch.unpersist()
+    def settle(known: DataFrame, now: int) -> tuple[DataFrame, DataFrame]:
+        told = orders.warned_steps(known, deadline).where(F.col("at") + wait < now)
+        at: Column = F.col("at")
+        still = F.when(F.col("step") == 0, at + wait >= now).otherwise(at + 2 * wait >= now)
+        return orders.repeated(told, "order_id", "result_msg"), known.where(still)
 
-    return handle
+    return _in_batches(folder, settle, write, 2 * wait)

@@ -18,6 +18,8 @@ from eventide.operators.ranking import top_n_per_window
 
 BatchWriter = Callable[[DataFrame, int], None]
 
+IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
 
 def start(
     df: DataFrame,
@@ -26,9 +28,22 @@ def start(
     write: BatchWriter,
     output_mode: str = "append",
     interval: str | None = None,
+    idle_batches: bool = True,
 ) -> StreamingQuery:
-    """Start a labelled query that hands each micro-batch to ``write``."""
-    return _run(df, label, folder, output_mode, interval, lambda w: w.foreachBatch(write))
+    """Start a labelled query that hands each micro-batch to ``write``.
+
+    Without ``idle_batches`` there is none without new rows. Keyed state with a lifetime
+    would ask for one after the other, and a query that takes what is there would not end.
+    """
+    if idle_batches:
+        return _run(df, label, folder, output_mode, interval, lambda w: w.foreachBatch(write))
+    conf = df.sparkSession.conf
+    before = conf.get(IDLE_BATCHES)
+    conf.set(IDLE_BATCHES, "false")  # a query keeps the settings of its start
+    try:
+        return _run(df, label, folder, output_mode, interval, lambda w: w.foreachBatch(write))
+    finally:
+        conf.set(IDLE_BATCHES, before)
 
 
 def start_table(

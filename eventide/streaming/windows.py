@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.times import interval_text, millis
 from eventide.operators.windows import pane_count, slide_panes, window_ends
-from eventide.streaming.carry import Carried, Clock
+from eventide.streaming.carry import Increments, Note, later, newest_time
 from eventide.streaming.sinks import BatchWriter
 
 NO_DELAY = timedelta(0)
@@ -67,56 +67,68 @@ def sliding_in_batches(
     delay: timedelta = NO_DELAY,
     lateness: timedelta = NO_DELAY,
     prepare: Callable[[DataFrame, int], DataFrame] | None = None,
+    ts: str = "ts",
 ) -> BatchWriter:
     """Handler of the micro-batches of the stream ``rows`` that hands sliding counts to ``write``.
 
-    A batch's rows are counted per key and pane, and added to the panes that the
-    batch before has left under ``folder``: one window length of them, which is all
-    the state there is. A window is handed on by the batch with the first row ``delay``
-    past its end. For ``lateness`` more, a window that gets further rows is handed on
-    again, with all its keys. Only these windows are made from the panes. Rows for
-    windows past that are dropped, window by window: a row late for one still counts in
-    the next.
+    A batch's rows are counted per key and pane, and these counts are written as an
+    increment under ``folder``. A pane is written by
+    each batch that has rows for it, and once more when increments are put together;
+    increments go when no window needs them. A window is handed on by the batch with
+    the first row ``delay`` past its end. For ``lateness`` more, a window that gets
+    further rows is handed on again, with all its keys. Only these windows are made from
+    the panes. Rows for windows past that are dropped, window by window: a row late for
+    one still counts in the next.
 
     ``prepare`` turns a batch into the rows that count; time runs by all rows.
     """
     schema = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{schema}{', ' if keys else ''}pane_end long, count long"
-    panes, clock = Carried(f"{folder}/panes", schema), Clock(f"{folder}/clock")
+    panes, notes = Increments(f"{folder}/panes", schema, ["count"], "pane_end"), Note(f"{folder}/notes")
     size_ms, delay_ms, late_ms = millis(size), millis(delay), millis(lateness)
     end = F.col("pane_end")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         batch = batch.persist()
         try:
-            before, now = clock.advance(batch, batch_id)
-            counted = prepare(batch, batch_id) if prepare else batch
-            new = pane_count(counted, keys, slide).withColumn("new", F.col("count"))
-            old = panes.read(spark, batch_id).withColumn("new", F.lit(0).cast("long"))
-            known = new.unionByName(old).groupBy(*keys, "pane_end")
-            known = known.agg(F.sum("count").alias("count"), F.sum("new").alias("new")).persist()
-            try:
-                closed = (now if now is not None else 0) - delay_ms
-                was = None if before is None else before - delay_ms
-                low = None if was is None else was - late_ms
-                within = end <= F.lit(closed)
-                if low is not None:
-                    within &= end > F.lit(low - size_ms)
-                counts = slide_panes(known.where(within), keys, size, slide, ["count", "new"], low, closed)
-                if late_ms and was is not None:
-                    # Windows handed on before go again if some key has a new row.
-                    again = F.col("window_end") <= was
-                    changed = counts.where(again & (F.col("new") > 0)).select("window_end").distinct()
-                    counts = counts.where(~again).unionByName(
-                        counts.where(again).join(changed, "window_end", "left_semi").select(*counts.columns)
-                    )
-                write(counts.select(*keys, "window_end", "count"), batch_id)
-                needed = known.where(end > F.lit(closed - late_ms - size_ms))
-                panes.write(needed.select(*keys, "pane_end", "count"), batch_id)
-            finally:
-                known.unpersist()
+            count(batch, batch_id)
         finally:
             batch.unpersist()
 
+    def count(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        note, newest = notes.read(spark, batch_id), newest_time(batch, ts)
+        before = note.get("seen")
+        now = later(before, newest)
+        counted = prepare(batch, batch_id) if prepare else batch
+        last_pane = None if newest is None else newest + millis(slide)
+        entry, new = panes.append(pane_count(counted, keys, slide, ts), batch_id, last_pane)
+        closed = (now if now is not None else 0) - delay_ms
+        was = None if before is None else before - delay_ms
+        low = None if was is None else was - late_ms
+        old = panes.read(spark, note, None if low is None else low - size_ms).withColumn("new", F.lit(0).cast("long"))
+        known = new.withColumn("new", F.col("count")).unionByName(old)
+        within = end <= F.lit(closed)
+        if low is not None:
+            within &= end > F.lit(low - size_ms)
+        known = known.where(within).groupBy(*keys, "pane_end")
+        known = known.agg(F.sum("count").alias("count"), F.sum("new").alias("new"))
+        again = late_ms and was is not None
+        known = known.persist() if again else known
+        try:
+            counts = slide_panes(known, keys, size, slide, ["count", "new"], low, closed)
+            if again:
+                # Windows handed on before go again if some key has a new row.
+                told = F.col("window_end") <= was
+                changed = counts.where(told & (F.col("new") > 0)).select("window_end").distinct()
+                counts = counts.where(~told).unionByName(
+                    counts.where(told).join(changed, "window_end", "left_semi").select(*counts.columns)
+                )
+            write(counts.select(*keys, "window_end", "count"), batch_id)
+        finally:
+            if again:
+                known.unpersist()
+        parts = panes.listed(spark, batch_id, note, entry, closed - late_ms - size_ms)
+        notes.write(spark, batch_id, {"seen": now, **parts})
+
     return handle

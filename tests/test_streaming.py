@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from eventide.operators import distinct, limits, windows
 from eventide.plans import jobs
+from eventide.streaming import carry, clicks
 from eventide.streaming import distinct as stream_distinct
 from eventide.streaming import jobs as streams
 from eventide.streaming import orders as stream_orders
@@ -299,7 +300,7 @@ def feed_reports(spark, source, folder):
     return {r.window_end: r.report for r in latest_rows(spark.read.parquet(result_path(folder))).collect()}
 
 
-def test_two_folders_of_panes_and_no_window_made_in_vain(spark, feed, folder, monkeypatch):
+def test_no_window_is_made_in_vain(spark, feed, folder, monkeypatch):
     source = feed(["url", "at"])
     source.add(*[[("a", 60 * k), ("b", 60 * k + 7)] for k in range(10)])
     made = []
@@ -316,14 +317,110 @@ def test_two_folders_of_panes_and_no_window_made_in_vain(spark, feed, folder, mo
     keep = sinks.write_rows(result_path(folder))
     handle = stream_windows.sliding_in_batches(folder, rows, ["url"], size, slide, keep)
     finish(sinks.start(rows, "slots", folder, handle))
-    for name in ("panes", "clock"):
-        assert sorted(p.name for p in Path(folder.removeprefix("file:"), name).iterdir()) == ["slot=0", "slot=1"]
     assert sum(made) == spark.read.parquet(result_path(folder)).count() > 0
 
 
+def sizes(folder, pattern):
+    """Bytes of data under each folder of increments, by the number of its batch."""
+    parts = Path(folder.removeprefix("file:")).glob(pattern)
+    return {int(p.name.split("=")[1]): sum(f.stat().st_size for f in p.rglob("*.parquet")) for p in parts}
+
+
+def test_a_batch_writes_what_it_adds_and_old_increments_go(spark, feed, folder, monkeypatch):
+    monkeypatch.setattr(carry, "FOLD", 4)
+    written = []
+    listed = carry.Increments.listed
+
+    def noted(self, spark, batch_id, note, entry, oldest):
+        out = listed(self, spark, batch_id, note, entry, oldest)
+        written.append((sizes(self.folder, f"batch={batch_id}")[batch_id], [p["name"] for p in out["parts"]]))
+        return out
+
+    monkeypatch.setattr(carry.Increments, "listed", noted)
+    source = feed(["url", "at"])
+    # Thirty batches of the same size; a window reaches over ten of them.
+    source.add(*[[(f"u{j}", 60 * k + j) for j in range(50)] for k in range(30)], [("end", 9000)])
+    rows, keep = source.stream(), sinks.write_rows(result_path(folder))
+    size, slide = timedelta(minutes=10), timedelta(minutes=1)
+    finish(sinks.start(rows, "parts", folder, stream_windows.sliding_in_batches(folder, rows, ["url"], size, slide, keep)))
+    bytes_written = [n for n, _ in written[:30]]
+    assert max(bytes_written) < 1.2 * min(bytes_written)
+    assert max(len(parts) for _, parts in written) <= 8
+    left = list(Path(folder.removeprefix("file:"), "panes").iterdir())
+    assert len(left) <= 2 * 8 and not any(p.name == "batch=0" for p in left)
+    want = windows.sliding_count(source.table(), ["url"], size, slide).where(closed(source.table()))
+    assert bag(spark.read.parquet(result_path(folder)).drop("batch_id")) == bag(want)
+
+
+def test_waiting_events_are_kept_as_changes(spark, feed, folder, monkeypatch):
+    monkeypatch.setattr(carry, "FOLD", 4)
+    rng = random.Random(11)
+    source, rows = feed(ORDER), []
+    for k in range(12):
+        for _ in range(40):
+            order, at = rng.randrange(30), 120 * k + rng.randrange(120)
+            rows.append((order, rng.choice(["create", "pay"]), at))
+    rows.sort(key=lambda r: r[2])
+    source.add(*[[r for r in rows if 120 * k <= r[2] < 120 * k + 120] for k in range(12)], [(None, None, 90_000)])
+    finish(streams.order_pay_match(source.stream(), folder))
+    left = spark.read.parquet(result_path(folder))
+    events = sum(1 for r in rows)
+    # Each creation is told once, and each payment that has no creation.
+    pairs = left.where("result_msg IN ('payed successfully', 'payed but already timeout')").count()
+    assert left.count() + pairs == events
+    assert len(list(Path(folder.removeprefix("file:"), "waiting").iterdir())) <= 12
+
+
 CLICK = ["id", "user_id", "ad_id", "province", "at"]
 
 
+def test_a_click_from_the_future_changes_nothing(spark, feed, folder):
+    source = feed(CLICK)
+    future = 75 * 365 * 86_400
+    source.add([(0, 1, 1, "x", 10), (1, 1, 1, "x", 20), (2, 9, 1, "x", future)], [(3, 1, 1, "x", 30)], [(4, 1, 1, "x", 40)])
+    finish(streams.ad_click_limit(source.stream(), folder, 2))
+    got = bag(spark.read.parquet(result_path(folder)), ["id", "kind"])
+    assert got == [(0, "passed"), (1, "passed"), (2, "passed"), (3, "warning")]
+
+
+def test_clicks_are_cut_in_a_task_before_they_are_sent(monkeypatch):
+    import datetime
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(clicks, "HELD_ROWS", 40)
+    rng = random.Random(5)
+    rows = [(i, rng.choice([1, 2, None]), rng.choice([7, 7, None]), rng.randrange(1000)) for i in range(500)]
+    zone = datetime.timezone.utc
+    table = pa.table(
+        {
+            "id": [r[0] for r in rows],
+            "user_id": pa.array([r[1] for r in rows], pa.int64()),
+            "ad_id": pa.array([r[2] for r in rows], pa.int64()),
+            "ts": pa.array([datetime.datetime.fromtimestamp(r[3], zone) for r in rows], pa.timestamp("us", "UTC")),
+            "_day": pa.array([0] * 500, pa.int64()),
+        }
+    )
+    run = clicks._first_of_each(["user_id", "ad_id"], ["user_id", "ad_id", "_day"], ["ts", "id"], 5, "ts")
+    out = [r for batch in run(iter(table.to_batches(max_chunksize=30))) for r in batch.to_pylist()]
+    want = []
+    for user in (1, 2, None):
+        mine = sorted((r[3], r[0]) for r in rows if r[1] == user and r[2] == 7)
+        want += [i for _, i in mine[:5]]
+    assert sorted(r["id"] for r in out if r["id"] is not None) == sorted(want)
+    (time_only,) = [r for r in out if r["id"] is None]
+    assert time_only["ts"].timestamp() == max(r[3] for r in rows) and time_only["ad_id"] is None
+
+
+def test_state_is_by_key_and_touches_the_batch_only(spark, feed, folder):
+    source = feed(CLICK)
+    source.add([(i, i, 1, "x", i) for i in range(200)], [(300, 3, 1, "x", 500)], [(301, 3, 1, "x", 600), (302, 4, 1, "x", 601)])
+    query = streams.ad_click_limit(source.stream(), folder, 5)
+    finish(query)
+    updated = [p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress if p["numInputRows"]]
+    assert updated[0] >= 200 and updated[1:] and all(n <= 4 for n in updated[1:])
+
+
 @pytest.mark.parametrize("limit", [2, 100])
 def test_click_limit_over_batches_and_days(spark, feed, folder, limit):
     rng = random.Random(limit)
