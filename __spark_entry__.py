@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from eventide.functions import hashing, times  # noqa: E402
-from eventide.operators import limits, orders, windows  # noqa: E402
+from eventide.operators import distinct, limits, orders, windows  # noqa: E402
 from eventide.plans import jobs, views  # noqa: E402
 from eventide.session import configure, shared_dir, ship_package  # noqa: E402
 from eventide.sources import connectors, schemas, text  # noqa: E402
@@ -39,6 +39,7 @@ except ModuleNotFoundError as missing:
 AD_LIMIT = 2
 AD_ORDER = ("ts", "event_id")
 SMALL_BITMAP = 64  # so small that users share bits
+DAY_BITMAP = 1 << 20
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -226,6 +227,24 @@ def behavior_per_hour(spark, sf_dir):
     return windows.tumbling_count(_behavior(spark, sf_dir), ["behavior"], jobs.HOUR)
 
 
+def unique_visitors_daily(spark, sf_dir):
+    """Users by day from bitmaps by hour, which are kept as a table that later days are added to."""
+    path = f"{_folder(spark)}/bitmaps"
+    distinct.bitmaps(_page_views(spark, sf_dir), jobs.HOUR, capacity=DAY_BITMAP).write.parquet(path)
+    return jobs.daily_visitors(spark.read.parquet(path))
+
+
+def sliding_visitors_within_error(spark, sf_dir):
+    """Windows, and whether the estimate of their users is within its stated error."""
+    views = _page_views(spark, sf_dir)
+    ends = windows.window_ends(F.col("ts"), jobs.HOUR, jobs.HOT_ITEMS_SLIDE)
+    exact = views.select(F.explode(ends).alias("window_end"), "user_id").groupBy("window_end")
+    exact = exact.agg(F.count_distinct("user_id").alias("users"))
+    off = F.abs(F.col("uv_count") - F.col("users"))
+    within = off <= F.greatest(F.lit(1), F.col("users") * distinct.SKETCH_ERROR)
+    return jobs.sliding_visitors(views).join(exact, "window_end", "full").select("window_end", within.alias("within"))
+
+
 def ad_click_limit(spark, sf_dir):
     tagged = limits.click_limit(_clicks(spark, sf_dir), AD_LIMIT, AD_ORDER)
     return tagged.select("event_id", "user_id", "ad_id", "province", "kind")
@@ -322,6 +341,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hot_urls": on(jobs.hot_urls, _access_log),
         "hot_urls_count_offset": on(lambda rows: jobs.hot_urls(rows, count_offset=1), _access_log),
         "hot_urls_report": on(jobs.hot_urls_report, _access_log),
+        "hot_items_by_bounds": on(lambda rows: jobs.hot_items(rows, by_bounds=True), _page_views),
+        "hot_urls_by_bounds": on(lambda rows: jobs.hot_urls(rows, by_bounds=True), _access_log),
+        "unique_visitors_daily": unique_visitors_daily,
+        "sliding_visitors_within_error": sliding_visitors_within_error,
         "marketing_total": on(jobs.marketing_total, _marketing),
         "marketing_by_channel": on(jobs.marketing_by_channel, _kept_marketing),
         "ad_click_limit": ad_click_limit,
@@ -557,6 +580,15 @@ def oracle_sql() -> dict[str, str]:
             *_HOT_URLS, "SELECT window_end, rank, url, count + 1 AS count FROM ranked"
         ),
         "hot_urls_report": _with(*_HOT_URLS, _report("url", **jobs.URL_REPORT)),
+        "hot_items_by_bounds": _with(*_HOT_ITEMS, "SELECT * FROM ranked"),
+        "hot_urls_by_bounds": _with(*_HOT_URLS, "SELECT * FROM ranked"),
+        "unique_visitors_daily": _with(
+            f"""SELECT epoch_us(ts) // 1000 - (epoch_us(ts) // 1000) % 86400000 + 86400000 AS window_end,
+                       count(DISTINCT {_offset('user_id', DAY_BITMAP)}) AS uv_count FROM pv GROUP BY 1"""
+        ),
+        "sliding_visitors_within_error": _with(
+            _sliding("pv", "", 3600, 300), "SELECT window_end, true AS within FROM counts"
+        ),
         "marketing_total": _marketing_rows(_TOTAL, "'app marketing'", "'total'"),
         "marketing_by_channel": _marketing_rows(_CHANNEL, "channel", "behavior"),
         "ad_click_limit": _CLICK_ROWS,

@@ -52,6 +52,8 @@ def slide_panes(
     sums: Sequence[str] = ("count",),
     low: int | None = None,
     high: int | None = None,
+    slice_size: timedelta | None = None,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """Turn pane counts into counts of all non-empty sliding windows.
 
@@ -65,20 +67,28 @@ def slide_panes(
     ``(SLICE_WINDOWS + 1) * size / slide`` panes, however hot its key is.
 
     ``sums`` names the columns to sum; the first one is positive in every pane.
-    With ``low`` or ``high`` only windows ending in (low, high] are made at all.
+    With ``low`` or ``high`` only windows ending in (low, high] are made at all, and with
+    ``only`` those of the keys and slices it lists (``keys, slice``, as ``slices_of`` names
+    slices of ``slice_size``).
     """
     size_ms, slide_ms = _check(size, slide)
-    slice_size = SLICE_WINDOWS * size
+    slice_size = slice_size or SLICE_WINDOWS * size
     slice_ms = millis(slice_size)
 
     first, last = F.col("pane_end"), F.col("pane_end") + (size_ms - slide_ms)
-    slices = F.sequence(floor_to(first, slice_size), floor_to(last, slice_size), F.lit(slice_ms))
+    placed = panes.select(
+        *keys, "pane_end", *sums, F.explode(slices_of(size, slide, slice_size)).alias("slice")
+    )
+    if only is not None:
+        listed = only.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("slice").alias("_slice"))
+        same = placed["slice"] == listed["_slice"]
+        for k in keys:  # rows without a key are one key
+            same &= placed[k].eqNullSafe(listed[f"_{k}"])
+        placed = placed.join(listed, same, "left_semi")
     # A stated number of partitions, so that they are not merged by their small
     # input size: each pane may turn into size / slide rows below.
     partitions = int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = panes.select(
-        *keys, "pane_end", *sums, F.explode(slices).alias("slice")
-    ).repartition(partitions, *keys, "slice")
+    placed = placed.repartition(partitions, *keys, "slice")
 
     slice_start = F.col("slice")
     slice_end = slice_start + slice_ms
@@ -111,6 +121,12 @@ def slide_panes(
     )
 
 
+def slices_of(size: timedelta, slide: timedelta, slice_size: timedelta) -> Column:
+    """Starts of the slices of time that hold ends of the windows a pane (``pane_end``) belongs to."""
+    last = F.col("pane_end") + millis(size - slide)
+    return F.sequence(floor_to(F.col("pane_end"), slice_size), floor_to(last, slice_size), F.lit(millis(slice_size)))
+
+
 def sliding_count(
     df: DataFrame,
     keys: Sequence[str],

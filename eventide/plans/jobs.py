@@ -50,8 +50,11 @@ def hot_item_counts(behavior: DataFrame) -> DataFrame:
     )
 
 
-def hot_items(behavior: DataFrame, n: int = HOT_ITEMS_TOP) -> DataFrame:
-    """Most viewed items per window."""
+def hot_items(behavior: DataFrame, n: int = HOT_ITEMS_TOP, by_bounds: bool = False) -> DataFrame:
+    """Most viewed items per window; ``by_bounds`` counts only items that can be among them."""
+    if by_bounds:
+        views = page_view_rows(behavior)
+        return ranking.top_n_by_bounds(views, n, "item_id", HOT_ITEMS_SIZE, HOT_ITEMS_SLIDE)
     return ranking.top_n_per_window(hot_item_counts(behavior), n, "item_id")
 
 
@@ -64,8 +67,12 @@ def url_counts(access_log: DataFrame) -> DataFrame:
     return windows.sliding_count(access_log, ["url"], HOT_URLS_SIZE, HOT_URLS_SLIDE)
 
 
-def hot_urls(access_log: DataFrame, n: int = HOT_URLS_TOP, count_offset: int = 0) -> DataFrame:
-    """Most requested urls per window."""
+def hot_urls(
+    access_log: DataFrame, n: int = HOT_URLS_TOP, count_offset: int = 0, by_bounds: bool = False
+) -> DataFrame:
+    """Most requested urls per window; ``by_bounds`` counts only urls that can be among them."""
+    if by_bounds:
+        return ranking.top_n_by_bounds(access_log, n, "url", HOT_URLS_SIZE, HOT_URLS_SLIDE, count_offset)
     return ranking.top_n_per_window(url_counts(access_log), n, "url", count_offset=count_offset)
 
 
@@ -91,6 +98,16 @@ def unique_visitors_bitmap(
     return distinct.unique_visitors_bitmap(page_view_rows(behavior), HOUR, capacity=capacity)
 
 
+def daily_visitors(hourly_bitmaps: DataFrame) -> DataFrame:
+    """Different users per day (by bitmap offset) from bitmaps by hour, without reading events."""
+    return distinct.bitmap_counts(distinct.roll_up(hourly_bitmaps, timedelta(days=1)))
+
+
+def sliding_visitors(behavior: DataFrame) -> DataFrame:
+    """Estimate of the different users of the last hour, every five minutes."""
+    return distinct.sliding_estimate(page_view_rows(behavior), "user_id", HOUR, timedelta(minutes=5))
+
+
 def marketing_total(marketing: DataFrame) -> DataFrame:
     """All activity but removals in the last hour, every ten seconds."""
     counts = windows.sliding_count(
