@@ -93,6 +93,20 @@ def _feed(spark, sf_dir, late_ms=0):
     return views.read_feed(spark, *feeds[sf_dir, late_ms])
 
 
+# Rows of the feeds with dropped requests come this much later than others.
+DROPPED_MS = 900_000
+
+
+def _even_feed(spark, sf_dir, late_ms=0, ended=True):
+    """The events in batches of equal time, written once a session."""
+    feeds = spark.sparkContext.__dict__.setdefault("_eventide_feeds", {})
+    key = (sf_dir, "even", late_ms, ended)
+    if key not in feeds:
+        folder = f"{_folder(spark)}/feed"
+        feeds[key] = folder, views.write_even_feed(spark, sf_dir, folder, late_ms=late_ms, ended=ended)
+    return views.read_feed(spark, *feeds[key])
+
+
 def _behavior_stream(spark, sf_dir):
     return views.behavior(_feed(spark, sf_dir))
 
@@ -309,6 +323,50 @@ def ad_blacklist_stream(spark, sf_dir):
     return spark.read.parquet(f"{_province_folder(spark, sf_dir)}/warnings").drop("batch_id")
 
 
+def _dropped_folder(spark, sf_dir):
+    """Hot urls of a feed in which requests come too late, with what is dropped."""
+    log = views.access_log(_even_feed(spark, sf_dir, DROPPED_MS))
+    return _run(spark, lambda folder: streams.hot_urls(log, folder, late_rows=True))
+
+
+def dropped_urls_stream(spark, sf_dir):
+    """Requests that came too late for a window, by url and window."""
+    late = spark.read.parquet(f"{_dropped_folder(spark, sf_dir)}/late")
+    return late.groupBy("url", "window_end").agg(F.count("*").alias("count"))
+
+
+def kept_and_dropped_urls_stream(spark, sf_dir):
+    """Counts of the windows and what came too late for them: together all requests."""
+    folder = _dropped_folder(spark, sf_dir)
+    late = spark.read.parquet(f"{folder}/late").groupBy("url", "window_end").agg(F.count("*").alias("count"))
+    kept = latest_rows(spark.read.parquet(f"{folder}/counts"))
+    return kept.unionByName(late).groupBy("url", "window_end").agg(F.sum("count").alias("count"))
+
+
+def _summed(job, rows, keys):
+    """Sums of the firings of a window."""
+
+    def query(spark, sf_dir):
+        folder = _run(spark, lambda folder: job(rows(spark, sf_dir), folder))
+        fired = spark.read.parquet(result_path(folder))
+        return fired.groupBy(*keys, "window_end").agg(F.sum("count").alias("count"))
+
+    return query
+
+
+def _closed(job, view):
+    """A job over a feed that nothing ends, closed when the feed is at its end (twice, which changes nothing)."""
+
+    def query(spark, sf_dir):
+        rows = view(_even_feed(spark, sf_dir, ended=False))
+        folder = _run(spark, lambda folder: job(rows, folder))
+        for _ in range(2):
+            job(rows, folder, closing=True)
+        return spark.read.parquet(result_path(folder)).drop("batch_id")
+
+    return query
+
+
 # --- registry -------------------------------------------------------------------
 
 
@@ -369,6 +427,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ad_blacklist_stream": ad_blacklist_stream,
         "order_pay_match_stream": _stream_query(streams.order_pay_match, _order_stream),
         "order_timeout_warning_stream": _stream_query(streams.order_timeout_warning, _order_stream),
+        # what streams drop, what they fire piece by piece, and how they end without a last row
+        "dropped_urls_stream": dropped_urls_stream,
+        "kept_and_dropped_urls_stream": kept_and_dropped_urls_stream,
+        "url_increments_stream": _summed(streams.url_increments, _access_log_stream, ["url"]),
+        "page_view_increments_stream": _summed(streams.page_view_increments, _behavior_stream, []),
+        "hot_items_closed_stream": _closed(streams.hot_items, views.behavior),
+        "marketing_total_closed_stream": _closed(streams.marketing_total, views.marketing),
+        "order_pay_match_closed_stream": _closed(streams.order_pay_match, views.orders),
+        "order_timeout_warning_closed_stream": _closed(streams.order_timeout_warning, views.orders),
     }
     if llm:
         found |= {"pipeline": corpus_pipeline.run} | llm.queries()
@@ -514,6 +581,22 @@ warned AS (
         AND p.ms >= c.ms - 900000 AND p.ms < c.ms))"""
 
 
+# Requests too late for a window: batches are equal parts of the (moved) time, and a window is
+# given up 61 seconds of event time after its end.
+_DROPPED = f"""
+fed AS (
+    SELECT '/p/' || CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS url, epoch_us(ts) // 1000 AS ms,
+           epoch_us(ts) // 1000 + CASE WHEN event_id % 2 = 1 THEN {DROPPED_MS} ELSE 0 END AS moved
+    FROM events),
+batched AS (
+    SELECT url, ms, (moved - lo) * 8 // (hi - lo + 1) AS k
+    FROM fed CROSS JOIN (SELECT min(moved) AS lo, max(moved) AS hi FROM fed)),
+seen AS (SELECT k, max(ms) AS newest FROM batched GROUP BY k),
+given_up AS (SELECT b.k, max(s.newest) - 61000 AS low FROM seen b JOIN seen s ON s.k < b.k GROUP BY b.k),
+missed AS (
+    SELECT url, low, unnest(generate_series(ms - ms % 5000 + 5000, ms - ms % 5000 + 600000, 5000)) AS window_end
+    FROM batched JOIN given_up USING (k) WHERE ms - ms % 5000 + 5000 <= low)"""
+
 STREAMS = [
     "page_views_stream",
     "unique_visitors_stream",
@@ -610,6 +693,15 @@ def oracle_sql() -> dict[str, str]:
                FROM clicks"""
         ),
     }
+    found["dropped_urls_stream"] = _with(
+        _DROPPED, "SELECT url, window_end, count(*) AS count FROM missed WHERE window_end <= low GROUP BY ALL"
+    )
+    found["page_view_increments_stream"] = _with(
+        f"SELECT {_HOUR_END} AS window_end, count(*) AS count FROM pv GROUP BY 1"
+    )
+    found |= {name: found["url_counts"] for name in ("kept_and_dropped_urls_stream", "url_increments_stream")}
+    closed = ("hot_items", "marketing_total", "order_pay_match", "order_timeout_warning")
+    found |= {f"{name}_closed_stream": found[name] for name in closed}
     # A stream that has ended gives what the table form gives.
     found |= {name: found[name.removesuffix("_stream")] for name in STREAMS if name not in ALIKE}
     found |= {name: found[other] for name, other in ALIKE.items()}

@@ -61,6 +61,28 @@ def write_feed(spark: SparkSession, sf_dir: str, folder: str, batches: int = 8,
     return files
 
 
+def write_even_feed(
+    spark: SparkSession, sf_dir: str, folder: str, batches: int = 8, late_ms: int = 0, ended: bool = True
+) -> int:
+    """As ``write_feed`` with batches of equal time, and with or without a row that ends the feed.
+
+    A row's batch follows from its time alone: the time from the first (moved) event on, in
+    ``batches`` equal parts.
+    """
+    rows = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    at = F.unix_millis(F.col("ts").cast("timestamp"))
+    moved = at + F.when(F.col("event_id") % 2 == 1, late_ms).otherwise(0)
+    total, first, last, newest = rows.agg(F.count("*"), F.min(moved), F.max(moved), F.max(at)).first()
+    files = max(1, -(-total // batches // FEED_FILE_ROWS))
+    part = F.floor((moved - (first or 0)) * batches / ((last or 0) - (first or 0) + 1))
+    for k in range(batches):
+        rows.where(part == k).repartition(files).write.parquet(f"{folder}/{k:04}")
+    if ended:
+        end = connectors.end_of_input(spark, EVENTS, (newest or 0) + 2 * 86_400_000)
+        end.coalesce(1).write.parquet(f"{folder}/{batches:04}")
+    return files
+
+
 def read_feed(spark: SparkSession, folder: str, files: int) -> DataFrame:
     """The files of ``write_feed`` as a stream, one batch after the other."""
     reader = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files)

@@ -26,9 +26,16 @@ class Note:
 
     def read(self, spark: SparkSession, batch_id: int) -> dict:
         """What the batch before this one has left; empty for the first one."""
-        if batch_id == 0:
+        return self._slot(spark, (batch_id - 1) % 2) if batch_id else {}
+
+    def newest(self, spark: SparkSession) -> dict:
+        """The note of the last batch (``batch_id`` in it tells which); empty if there was none."""
+        return max((self._slot(spark, k) for k in (0, 1)), key=lambda note: note.get("batch_id", -1))
+
+    def _slot(self, spark: SparkSession, slot: int) -> dict:
+        fs, path = _path(spark, f"{self.folder}/{slot}.json")
+        if not fs.exists(path):
             return {}
-        fs, path = _path(spark, f"{self.folder}/{(batch_id - 1) % 2}.json")
         stream = fs.open(path)
         try:
             return json.loads(bytes(stream.readAllBytes()).decode())

@@ -7,7 +7,9 @@ runs on; without one it takes what is there and stops.
 
 Time runs by all rows of the stream, also those a job does not count. A bounded
 input can thus end with a row that has only a time (``connectors.end_of_input``): it
-closes all windows and deadlines before it.
+closes all windows and deadlines before it. Jobs over sliding windows and orders need no
+such row: the same call with ``closing``, once the query has ended, hands on what is
+still open and returns nothing. It may be repeated, and the stream may go on after it.
 """
 
 from __future__ import annotations
@@ -88,7 +90,8 @@ def hot_items(
     report: bool = False,
     label: str = "hot items",
     interval: str | None = None,
-) -> StreamingQuery:
+    closing: bool = False,
+) -> StreamingQuery | None:
     """Top items of closed windows, as rows or as one report text per window."""
 
     def as_report(ranked: DataFrame) -> DataFrame:
@@ -96,7 +99,9 @@ def hot_items(
 
     write = sinks.write_top_n(result_path(folder), n, "item_id", as_report if report else None)
     size, slide = jobs.HOT_ITEMS_SIZE, jobs.HOT_ITEMS_SLIDE
-    return _sliding(behavior, jobs.page_view_rows, ["item_id"], size, slide, write, folder, label, interval)
+    return _sliding(
+        behavior, jobs.page_view_rows, ["item_id"], size, slide, write, folder, label, interval, closing=closing
+    )
 
 
 def hot_urls(
@@ -106,12 +111,15 @@ def hot_urls(
     report: bool = False,
     label: str = "hot urls",
     interval: str | None = None,
-) -> StreamingQuery:
+    closing: bool = False,
+    late_rows: bool = False,
+) -> StreamingQuery | None:
     """Counts and top urls of a window once it has ended, corrected by rows up to a minute late.
 
     A window is handed on by the first row a second past its end, and again by each batch with
     a late row for it. Counts are in ``folder/counts``, rankings (or report texts) in the
-    result; the newest batch of a window holds (see ``latest_rows``).
+    result; the newest batch of a window holds (see ``latest_rows``). With ``late_rows``
+    requests that come too late for a window are in ``folder/late``, once for each such window.
     """
 
     def as_report(ranked: DataFrame) -> DataFrame:
@@ -122,27 +130,62 @@ def hot_urls(
         sinks.write_top_n(result_path(folder), n, "url", as_report if report else None),
     )
 
-    def requests(log: DataFrame) -> DataFrame:
-        return log.where(F.col("url").isNotNull())
-
     size, slide = jobs.HOT_URLS_SIZE, jobs.HOT_URLS_SLIDE
+    late = sinks.write_rows(f"{folder}/late") if late_rows else None
     return _sliding(
-        access_log, requests, ["url"], size, slide, write, folder, label, interval, URL_DISORDER, URL_LATENESS
+        access_log,
+        _requests,
+        ["url"],
+        size,
+        slide,
+        write,
+        folder,
+        label,
+        interval,
+        URL_DISORDER,
+        URL_LATENESS,
+        closing,
+        late,
     )
 
 
+def url_increments(
+    access_log: DataFrame, folder: str, label: str = "url increments", interval: str | None = None
+) -> StreamingQuery:
+    """Requests per url and window since the last firing: a firing with every batch, and nothing kept."""
+    return _purging(access_log, ["url"], jobs.HOT_URLS_SIZE, jobs.HOT_URLS_SLIDE, _requests, folder, label, interval)
+
+
+def page_view_increments(
+    behavior: DataFrame, folder: str, label: str = "pv increments", interval: str | None = None
+) -> StreamingQuery:
+    """Page views per hour since the last firing."""
+    return _purging(behavior, [], jobs.HOUR, jobs.HOUR, jobs.page_view_rows, folder, label, interval)
+
+
+def _requests(log: DataFrame) -> DataFrame:
+    return log.where(F.col("url").isNotNull())
+
+
+def _purging(rows, keys, size, slide, counted, folder, label, interval) -> StreamingQuery:
+    write = sinks.write_rows(result_path(folder))
+    handle = windows.purging_in_batches(folder, keys, size, slide, write, lambda batch, _: counted(batch))
+    return sinks.start(rows, label, folder, handle, interval=interval)
+
+
 def marketing_total(
     marketing: DataFrame,
     folder: str,
     label: str = "marketing total",
     interval: str | None = None,
-) -> StreamingQuery:
+    closing: bool = False,
+) -> StreamingQuery | None:
     def write(counts: DataFrame, batch_id: int) -> None:
         rows = jobs.marketing_rows(counts, F.lit("app marketing"), F.lit("total"))
         sinks.write_rows(result_path(folder))(rows, batch_id)
 
     kept, size, slide = jobs.installs_and_clicks, jobs.MARKETING_SIZE, jobs.MARKETING_SLIDE
-    return _sliding(marketing, kept, [], size, slide, write, folder, label, interval)
+    return _sliding(marketing, kept, [], size, slide, write, folder, label, interval, closing=closing)
 
 
 def marketing_by_channel(
@@ -150,13 +193,15 @@ def marketing_by_channel(
     folder: str,
     label: str = "marketing by channel",
     interval: str | None = None,
-) -> StreamingQuery:
+    closing: bool = False,
+) -> StreamingQuery | None:
     def write(counts: DataFrame, batch_id: int) -> None:
         rows = jobs.marketing_rows(counts, F.col("channel"), F.col("behavior"))
         sinks.write_rows(result_path(folder))(rows, batch_id)
 
     kept, size, slide = jobs.installs_and_clicks, jobs.MARKETING_SIZE, jobs.MARKETING_SLIDE
-    return _sliding(marketing, kept, ["channel", "behavior"], size, slide, write, folder, label, interval)
+    keys = ["channel", "behavior"]
+    return _sliding(marketing, kept, keys, size, slide, write, folder, label, interval, closing=closing)
 
 
 def ad_click_limit(
@@ -180,7 +225,8 @@ def ad_by_province(
     order=None,
     label: str = "count",
     interval: str | None = None,
-) -> StreamingQuery:
+    closing: bool = False,
+) -> StreamingQuery | None:
     """Clicks within the limit per province; warnings (``user_id, ad_id, msg``) are in ``folder/warnings``."""
     tagged = stream_clicks.click_limit_stream(clicks, limit, order)
     warn = sinks.write_rows(f"{folder}/warnings")
@@ -199,7 +245,7 @@ def ad_by_province(
         lambda counts, batch_id: keep(jobs.province_rows(counts), batch_id),
         prepare=passed,
     )
-    return sinks.start(tagged, label, folder, handle, interval=interval, idle_batches=False)
+    return _start_or_close(tagged, label, folder, handle, interval, closing, idle_batches=False)
 
 
 def order_pay_match(
@@ -207,10 +253,11 @@ def order_pay_match(
     folder: str,
     label: str = "payed and timeout",
     interval: str | None = None,
-) -> StreamingQuery:
+    closing: bool = False,
+) -> StreamingQuery | None:
     """One table of both outputs, told apart by ``kind``."""
     handle = stream_orders.order_pay_match_in_batches(folder, sinks.write_rows(result_path(folder)))
-    return sinks.start(order_events, label, folder, handle, interval=interval)
+    return _start_or_close(order_events, label, folder, handle, interval, closing)
 
 
 def order_timeout_warning(
@@ -218,9 +265,10 @@ def order_timeout_warning(
     folder: str,
     label: str = "order warning",
     interval: str | None = None,
-) -> StreamingQuery:
+    closing: bool = False,
+) -> StreamingQuery | None:
     handle = stream_orders.order_timeout_warning_in_batches(folder, sinks.write_rows(result_path(folder)))
-    return sinks.start(order_events, label, folder, handle, interval=interval)
+    return _start_or_close(order_events, label, folder, handle, interval, closing)
 
 
 def _sliding(
@@ -235,8 +283,17 @@ def _sliding(
     interval,
     delay=windows.NO_DELAY,
     lateness=windows.NO_DELAY,
-) -> StreamingQuery:
+    closing=False,
+    late=None,
+) -> StreamingQuery | None:
     handle = windows.sliding_in_batches(
-        folder, rows, keys, size, slide, write, delay, lateness, lambda batch, _: counted(batch)
+        folder, rows, keys, size, slide, write, delay, lateness, lambda batch, _: counted(batch), late=late
     )
-    return sinks.start(rows, label, folder, handle, interval=interval)
+    return _start_or_close(rows, label, folder, handle, interval, closing)
+
+
+def _start_or_close(rows, label, folder, handle, interval, closing, idle_batches=True) -> StreamingQuery | None:
+    if closing:
+        handle.close(rows.sparkSession)
+        return None
+    return sinks.start(rows, label, folder, handle, interval=interval, idle_batches=idle_batches)

@@ -15,13 +15,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.functions.times import millis
 from eventide.operators import orders
 from eventide.streaming.carry import Increments, Note, later, newest_time
-from eventide.streaming.sinks import BatchWriter
+from eventide.streaming.sinks import BatchWriter, Handler
 
 STEPS = "order_id long, at long, step int, n long"
 
@@ -32,9 +32,12 @@ def _in_batches(
     write: BatchWriter,
     reach_ms: int,
     ts: str = "ts",
-) -> BatchWriter:
+) -> Handler:
     """Handler that knows a batch's events and those that wait.
 
+    Its ``close`` settles all that waits when a bounded input has ended, as the batch after
+    the last one.
+
     ``settle(known, now)`` returns result rows, and the events that wait on. Nothing waits ``reach_ms`` past its time.
     """
     waiting, notes = Increments(f"{folder}/waiting", STEPS, ["n"], "at"), Note(f"{folder}/notes")
@@ -64,14 +67,22 @@ def _in_batches(
         finally:
             known.unpersist()
         parts = waiting.listed(spark, batch_id, note, entry, clock - reach_ms - 1)
-        notes.write(spark, batch_id, {"seen": now, **parts})
+        notes.write(spark, batch_id, {"batch_id": batch_id, "seen": now, **parts})
+
+    def close(spark: SparkSession) -> None:
+        note = notes.newest(spark)
+        if note.get("seen") is None:
+            return
+        old = waiting.read(spark, note).groupBy("order_id", "at", "step").agg(F.sum("n").alias("n")).where("n > 0")
+        told, _ = settle(old, note["seen"] + 2 * reach_ms + 1)
+        write(told, note["batch_id"] + 1)
 
-    return handle
+    return Handler(handle, close)
 
 
 def order_pay_match_in_batches(
     folder: str, write: BatchWriter, deadline: timedelta = orders.DEADLINE
-) -> BatchWriter:
+) -> Handler:
     """Stream form of ``order_pay_match``.
 
     A pair is reported once both events are there, a creation without payment when a
@@ -96,7 +107,7 @@ def order_pay_match_in_batches(
 
 def order_timeout_warning_in_batches(
     folder: str, write: BatchWriter, deadline: timedelta = orders.DEADLINE
-) -> BatchWriter:
+) -> Handler:
     """Stream form of ``order_timeout_warning``: a creation is answered by the first row past its deadline.
 
     Payments are kept for two deadlines, as long as a waiting creation may ask for them.

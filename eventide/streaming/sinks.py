@@ -9,8 +9,9 @@ batch or by the window, and overwrites them.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -18,6 +19,18 @@ from eventide.operators.ranking import top_n_per_window
 
 BatchWriter = Callable[[DataFrame, int], None]
 
+
+@dataclass
+class Handler:
+    """What takes the micro-batches of a query, and ends what a bounded input leaves open."""
+
+    handle: BatchWriter
+    close: Callable[[SparkSession], None]
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.handle(batch, batch_id)
+
+
 IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.functions.times import interval_text, millis
-from eventide.operators.windows import pane_count, slide_panes, window_ends
+from eventide.operators.windows import pane_count, slide_panes, sliding_count, tumbling_end, window_ends
 from eventide.streaming.carry import Increments, Note, later, newest_time
-from eventide.streaming.sinks import BatchWriter
+from eventide.streaming.sinks import BatchWriter, Handler
 
 NO_DELAY = timedelta(0)
 
@@ -68,7 +68,8 @@ def sliding_in_batches(
     lateness: timedelta = NO_DELAY,
     prepare: Callable[[DataFrame, int], DataFrame] | None = None,
     ts: str = "ts",
-) -> BatchWriter:
+    late: BatchWriter | None = None,
+) -> Handler:
     """Handler of the micro-batches of the stream ``rows`` that hands sliding counts to ``write``.
 
     A batch's rows are counted per key and pane, and these counts are written as an
@@ -80,7 +81,12 @@ def sliding_in_batches(
     the panes. Rows for windows past that are dropped, window by window: a row late for
     one still counts in the next.
 
-    ``prepare`` turns a batch into the rows that count; time runs by all rows.
+    ``prepare`` turns a batch into the rows that count; time runs by all rows. ``late`` gets
+    what is dropped: a row with ``window_end`` for each window it came too late for.
+
+    ``close`` of the handler hands on the windows that are still open when a bounded
+    input has ended, as the batch after the last one. It may be repeated; if the stream goes
+    on later, its next batch takes the place of that one.
     """
     schema = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{schema}{', ' if keys else ''}pane_end long, count long"
@@ -101,6 +107,9 @@ def sliding_in_batches(
         before = note.get("seen")
         now = later(before, newest)
         counted = prepare(batch, batch_id) if prepare else batch
+        if late:
+            low = None if before is None else before - delay_ms - late_ms
+            late(too_late(counted, size, slide, low, ts), batch_id)
         last_pane = None if newest is None else newest + millis(slide)
         entry, new = panes.append(pane_count(counted, keys, slide, ts), batch_id, last_pane)
         closed = (now if now is not None else 0) - delay_ms
@@ -129,6 +138,48 @@ def sliding_in_batches(
             if again:
                 known.unpersist()
         parts = panes.listed(spark, batch_id, note, entry, closed - late_ms - size_ms)
-        notes.write(spark, batch_id, {"seen": now, **parts})
+        notes.write(spark, batch_id, {"batch_id": batch_id, "seen": now, **parts})
+
+    def close(spark: SparkSession) -> None:
+        note = notes.newest(spark)
+        if note.get("seen") is None:
+            return
+        was = note["seen"] - delay_ms
+        known = panes.read(spark, note, was - size_ms).where(end > F.lit(was - size_ms))
+        known = known.groupBy(*keys, "pane_end").agg(F.sum("count").alias("count"))
+        write(slide_panes(known, keys, size, slide, low=was).select(*keys, "window_end", "count"), note["batch_id"] + 1)
+
+    return Handler(handle, close)
+
+
+def too_late(rows: DataFrame, size: timedelta, slide: timedelta, low: int | None, ts: str = "ts") -> DataFrame:
+    """Rows with ``window_end`` for each of their sliding windows that ends at ``low`` or before."""
+    ends = window_ends(F.col(ts), size, slide)
+    if low is None:
+        return rows.select("*", F.explode(ends).alias("window_end")).limit(0)
+    found = rows.where(tumbling_end(F.col(ts), slide) <= low)
+    return found.select("*", F.explode(F.filter(ends, lambda e: e <= low)).alias("window_end"))
+
+
+def purging_in_batches(
+    folder: str,
+    keys: Sequence[str],
+    size: timedelta,
+    slide: timedelta,
+    write: BatchWriter,
+    prepare: Callable[[DataFrame, int], DataFrame] | None = None,
+    ts: str = "ts",
+) -> BatchWriter:
+    """Handler that fires with every micro-batch and keeps nothing: a window's rows since the last firing.
+
+    Each firing hands on the counts of the batch's rows alone, for every window
+    they are in, so the firings of a window add up to its count and no row is too late. A
+    batch that is repeated hands on the same again. ``size`` equal to ``slide`` gives
+    tumbling windows.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        counted = prepare(batch, batch_id) if prepare else batch
+        write(sliding_count(counted, keys, size, slide, ts), batch_id)
 
     return handle
