@@ -1,9 +1,11 @@
 import random
+from datetime import timedelta
 
 import pytest
+from helpers import at_seconds
 from pyspark.sql import functions as F
 
-from eventide.operators import ranking
+from eventide.operators import ranking, windows
 from eventide.plans import jobs
 
 
@@ -70,3 +72,35 @@ def test_url_report_with_offset(spark):
         "NO1: URL=/a b%s 访问量=3",
         "==============================",
     ]
+
+
+@pytest.mark.parametrize("seed, n, keys, skew", [(1, 3, 40, 3.0), (2, 5, 8, 0.0), (3, 1, 300, 2.0), (4, 20, 12, 1.0)])
+def test_ranking_by_bounds_equals_the_full_ranking(spark, seed, n, keys, skew):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(3000):
+        key = int(keys * rng.random() ** (1 + skew))
+        rows.append((None if key == keys - 1 else key, rng.randrange(3 * 3600) // rng.choice([1, 600]) * 1.0))
+    df = at_seconds(spark, rows, ["key", "t"])
+    size, slide = timedelta(hours=1), timedelta(minutes=5)
+    want = ranking.top_n_per_window(windows.sliding_count(df, ["key"], size, slide), n, "key")
+    got = ranking.top_n_by_bounds(df, n, "key", size, slide)
+    columns = ["window_end", "rank", "key", "count"]
+    key = lambda r: tuple((v is not None, v) for v in r)
+    assert sorted(map(tuple, got.select(*columns).collect()), key=key) == sorted(map(tuple, want.select(*columns).collect()), key=key)
+
+
+def test_bounds_hold_and_leave_few_keys_to_rank(spark):
+    rng = random.Random(7)
+    # Some frequent keys, and many that come once or twice.
+    rows = [(rng.randrange(6) if rng.random() < 0.6 else 100 + rng.randrange(2000), rng.randrange(7200)) for _ in range(8000)]
+    df = at_seconds(spark, rows, ["key", "t"])
+    size, slide, part = timedelta(minutes=10), timedelta(seconds=5), timedelta(seconds=150)
+    panes = windows.pane_count(df, ["key"], slide)
+    bounds = ranking.bounds_per_slice(panes, "key", size, slide, part)
+    counts = windows.sliding_count(df, ["key"], size, slide)
+    placed = counts.withColumn("slice", F.col("window_end") - F.pmod("window_end", F.lit(150_000))).join(bounds, ["key", "slice"], "left")
+    assert placed.where("least IS NULL OR count < least OR count > most").count() == 0
+    chosen = ranking.contenders(bounds, 3, "key")
+    ranked = windows.slide_panes(panes, ["key"], size, slide, slice_size=part, only=chosen)
+    assert ranked.count() * 5 < counts.count()

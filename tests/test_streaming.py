@@ -371,6 +371,77 @@ def test_waiting_events_are_kept_as_changes(spark, feed, folder, monkeypatch):
     assert len(list(Path(folder.removeprefix("file:"), "waiting").iterdir())) <= 12
 
 
+def test_rows_too_late_are_kept_beside(spark, feed, folder):
+    source = feed(["url", "at"])
+    source.add([("a", 0), ("a", 900)], [("late", 700), ("late", 300), ("b", 905)], [("end", 5000)])
+    finish(streams.hot_urls(source.stream(), folder, late_rows=True))
+    late = spark.read.parquet(f"{folder}/late")
+    # Windows up to a minute and a second before 900 are given up.
+    assert {(r.url, r.window_end // 1000 - BASE) for r in late.collect()} == {
+        ("late", at) for at in [*range(705, 840, 5), *range(305, 840, 5)]
+    }
+    kept = latest_rows(spark.read.parquet(f"{folder}/counts"))
+    both = kept.unionByName(late.groupBy("url", "window_end").agg(F.count("*").alias("count")))
+    both = both.groupBy("url", "window_end").agg(F.sum("count").alias("count"))
+    want = jobs.url_counts(source.table()).where(closed(source.table()))
+    assert bag(both.where(closed(source.table()))) == bag(want)
+
+
+def test_firings_add_up_to_the_window(spark, feed, folder):
+    rng = random.Random(8)
+    source = feed(["url", "at"])
+    source.add(*[[(rng.choice("abc"), rng.randrange(3000)) for _ in range(40)] for _ in range(4)])
+    failed = []
+    rows = source.stream()
+
+    def count(size, slide, at):
+        write = sinks.write_rows(result_path(at))
+
+        def fails_once(batch, batch_id):
+            write(batch, batch_id)
+            if batch_id == 2 and at not in failed:
+                failed.append(at)
+                raise RuntimeError("after the write")
+
+        handle = stream_windows.purging_in_batches(at, ["url"], size, slide, fails_once)
+        with pytest.raises(StreamingQueryException):
+            finish(sinks.start(rows, "fire", at, handle))
+        finish(sinks.start(rows, "fire", at, handle))
+        fired = spark.read.parquet(result_path(at))
+        assert fired.select("batch_id").distinct().count() == 4
+        got = fired.groupBy("url", "window_end").agg(F.sum("count").alias("count"))
+        assert bag(got) == bag(windows.sliding_count(source.table(), ["url"], size, slide))
+
+    count(timedelta(minutes=10), timedelta(minutes=10), f"{folder}/tumbling")
+    count(timedelta(minutes=10), timedelta(minutes=2), f"{folder}/sliding")
+
+
+def test_a_stream_is_closed_without_a_last_row_and_goes_on(spark, feed, folder):
+    source = feed(["user_id", "item_id", "behavior", "at"])
+    source.add([(1, 5, "pv", 10), (2, 5, "pv", 20)], [(1, 6, "pv", 4000)])
+    job = lambda **o: streams.hot_items(source.stream(), folder, **o)
+    finish(job())
+    for _ in range(2):
+        assert job(closing=True) is None
+        got = spark.read.parquet(result_path(folder)).drop("batch_id")
+        assert bag(got) == bag(jobs.hot_items(source.table()))
+    # Later rows take the place of what was closed.
+    source.add([(3, 6, "pv", 4100), (3, 7, "pv", 9000)])
+    finish(job())
+    job(closing=True)
+    assert bag(spark.read.parquet(result_path(folder)).drop("batch_id")) == bag(jobs.hot_items(source.table()))
+
+
+@pytest.mark.parametrize("name", ["order_pay_match", "order_timeout_warning"])
+def test_order_streams_are_closed_without_a_last_row(spark, feed, folder, name):
+    source = feed(ORDER)
+    source.add([(1, "create", 100), (2, "pay", 120)], [(1, "pay", 200), (3, "create", 300)], [(4, "create", 400), (4, "pay", 400)])
+    finish(getattr(streams, name)(source.stream(), folder))
+    for _ in range(2):
+        getattr(streams, name)(source.stream(), folder, closing=True)
+        assert bag(spark.read.parquet(result_path(folder)).drop("batch_id")) == bag(getattr(jobs, name)(source.table()))
+
+
 CLICK = ["id", "user_id", "ad_id", "province", "at"]
 
 
