@@ -11,6 +11,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable
+from datetime import timedelta
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -24,7 +25,7 @@ from eventide.plans import jobs, views  # noqa: E402
 from eventide.session import configure, shared_dir, ship_package  # noqa: E402
 from eventide.sources import connectors, schemas, text  # noqa: E402
 from eventide.streaming import jobs as streams  # noqa: E402
-from eventide.streaming.sinks import latest_rows, result_path  # noqa: E402
+from eventide.streaming.sinks import latest_rows, read_windows, result_path  # noqa: E402
 
 # The operators on documents may be left out of an installation.
 try:
@@ -40,6 +41,7 @@ AD_LIMIT = 2
 AD_ORDER = ("ts", "event_id")
 SMALL_BITMAP = 64  # so small that users share bits
 DAY_BITMAP = 1 << 20
+DAY = timedelta(days=1)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -343,6 +345,13 @@ def kept_and_dropped_urls_stream(spark, sf_dir):
     return kept.unionByName(late).groupBy("url", "window_end").agg(F.sum("count").alias("count"))
 
 
+def hot_urls_upserted_stream(spark, sf_dir):
+    """Hot urls as one table that is corrected in place, read as it stands."""
+    log = _access_log_stream(spark, sf_dir)
+    folder = _run(spark, lambda folder: streams.hot_urls(log, folder, upsert=DAY))
+    return read_windows(spark, result_path(folder))
+
+
 def _summed(job, rows, keys):
     """Sums of the firings of a window."""
 
@@ -430,6 +439,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # what streams drop, what they fire piece by piece, and how they end without a last row
         "dropped_urls_stream": dropped_urls_stream,
         "kept_and_dropped_urls_stream": kept_and_dropped_urls_stream,
+        "hot_urls_upserted_stream": hot_urls_upserted_stream,
         "url_increments_stream": _summed(streams.url_increments, _access_log_stream, ["url"]),
         "page_view_increments_stream": _summed(streams.page_view_increments, _behavior_stream, []),
         "hot_items_closed_stream": _closed(streams.hot_items, views.behavior),
@@ -700,6 +710,7 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT {_HOUR_END} AS window_end, count(*) AS count FROM pv GROUP BY 1"
     )
     found |= {name: found["url_counts"] for name in ("kept_and_dropped_urls_stream", "url_increments_stream")}
+    found["hot_urls_upserted_stream"] = found["hot_urls"]
     closed = ("hot_items", "marketing_total", "order_pay_match", "order_timeout_warning")
     found |= {f"{name}_closed_stream": found[name] for name in closed}
     # A stream that has ended gives what the table form gives.

@@ -82,8 +82,7 @@ class Increments:
     def listed(self, spark: SparkSession, batch_id: int, note: dict, entry: dict, oldest: int) -> dict:
         """Parts of the next note: those with rows after ``oldest``, folded if they are many."""
         for name in note.get("dropped", []):
-            fs, path = _path(spark, f"{self.folder}/{name}")
-            fs.delete(path, True)
+            remove(spark, f"{self.folder}/{name}")
         before = note.get("parts", [])
         parts = [p for p in [*before, entry] if p["newest"] is not None and p["newest"] > oldest]
         small = [p for p in parts if not p["folded"]]
@@ -117,6 +116,17 @@ def _path(spark: SparkSession, name: str):
     return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
 
 
+def exists(spark: SparkSession, name: str) -> bool:
+    fs, path = _path(spark, name)
+    return fs.exists(path)
+
+
+def remove(spark: SparkSession, name: str) -> None:
+    """Remove a folder of this library's own tables, if it is there."""
+    fs, path = _path(spark, name)
+    fs.delete(path, True)
+
+
 def newest_time(batch: DataFrame, ts: str = "ts") -> int | None:
     """Newest event time of a batch in epoch milliseconds; None if it has no row with a time."""
     return batch.agg(F.unix_millis(F.max(ts)).alias("newest")).first().newest

@@ -113,6 +113,7 @@ def hot_urls(
     interval: str | None = None,
     closing: bool = False,
     late_rows: bool = False,
+    upsert: timedelta | None = None,
 ) -> StreamingQuery | None:
     """Counts and top urls of a window once it has ended, corrected by rows up to a minute late.
 
@@ -120,6 +121,8 @@ def hot_urls(
     a late row for it. Counts are in ``folder/counts``, rankings (or report texts) in the
     result; the newest batch of a window holds (see ``latest_rows``). With ``late_rows``
     requests that come too late for a window are in ``folder/late``, once for each such window.
+    With ``upsert``, an hour say, the result is a table of the newest rows alone; a batch rewrites
+    the parts of that length that it has windows in.
     """
 
     def as_report(ranked: DataFrame) -> DataFrame:
@@ -127,7 +130,13 @@ def hot_urls(
 
     write = sinks.write_all(
         sinks.write_rows(f"{folder}/counts"),
-        sinks.write_top_n(result_path(folder), n, "url", as_report if report else None),
+        sinks.write_top_n(
+            result_path(folder),
+            n,
+            "url",
+            as_report if report else None,
+            sinks.upsert_windows(result_path(folder), part=upsert) if upsert else None,
+        ),
     )
 
     size, slide = jobs.HOT_URLS_SIZE, jobs.HOT_URLS_SLIDE

@@ -10,12 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from eventide.functions.times import millis
 from eventide.operators.ranking import top_n_per_window
+from eventide.streaming.carry import exists, remove
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -145,18 +148,70 @@ def overwrite_windows(path: str, window: str = "window_end") -> BatchWriter:
     return write
 
 
+def upsert_windows(path: str, window: str = "window_end", part: timedelta = timedelta(hours=1)) -> BatchWriter:
+    """A plain table that always holds the newest rows of every window, and no folder for a batch.
+
+    The table is partitioned by the UTC day of the window's end and by ``part`` of the day. A
+    batch reads the partitions it has windows in, replaces the rows of these windows, and
+    rewrites these partitions and no others. The new partitions are first written aside
+    (in a folder that readers of the table do not see): a batch that is repeated
+    after a failure goes on from there, so the rows of other windows cannot be lost.
+    """
+    day, slot = "day", "part"
+    day_ms, part_ms = millis(timedelta(days=1)), millis(part)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        end = F.col(window) - 1  # the end belongs to its window
+        batch = batch.withColumn(day, F.floor(end / day_ms).cast("int"))
+        batch = batch.withColumn(slot, F.floor(F.pmod(end, F.lit(day_ms)) / part_ms).cast("int")).persist()
+        aside = f"{path}/_aside/batch={batch_id}"
+        try:
+            if not exists(spark, f"{aside}/_SUCCESS"):
+                # As many rows as the batch has hours.
+                touched = [(r[day], r[slot]) for r in batch.select(day, slot).distinct().collect()]
+                if not touched and exists(spark, path):
+                    return
+                rows, there = batch, [f"{path}/{day}={d}/{slot}={k}" for d, k in touched]
+                there = [folder for folder in there if exists(spark, folder)]
+                if there:
+                    kept = spark.read.schema(batch.schema).option("basePath", path).parquet(*there)
+                    kept = kept.join(batch.select(window).distinct(), window, "left_anti")
+                    rows = kept.select(*batch.columns).unionByName(batch)
+                rows.repartition(F.col(day), F.col(slot)).write.mode("overwrite").partitionBy(day, slot).parquet(aside)
+            made = spark.read.schema(batch.schema).parquet(aside)
+            made = made.repartition(F.col(day), F.col(slot)).write.mode("overwrite")
+            made.option("partitionOverwriteMode", "dynamic").partitionBy(day, slot).parquet(path)
+            remove(spark, f"{path}/_aside/batch={batch_id - 1}")
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def read_windows(spark: SparkSession, path: str) -> DataFrame:
+    """The table of ``upsert_windows`` without its partition columns."""
+    return spark.read.parquet(path).drop("day", "part")
+
+
 def write_top_n(
-    path: str, n: int, key: str, shape: Callable[[DataFrame], DataFrame] | None = None
+    path: str,
+    n: int,
+    key: str,
+    shape: Callable[[DataFrame], DataFrame] | None = None,
+    keep: BatchWriter | None = None,
 ) -> BatchWriter:
     """Top-N of the windows a batch hands on, brought into another ``shape`` if given.
 
+    Rows are kept batch by batch, or by ``keep``.
+
     All keys of a window come in one batch, so the operator on tables applies as it
     is, with its cut before the exchange.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         top = top_n_per_window(batch, n, key)
-        write_rows(path)(shape(top) if shape else top, batch_id)
+        (keep or write_rows(path))(shape(top) if shape else top, batch_id)
 
     return write
 

@@ -7,7 +7,7 @@ from pathlib import Path
 
 import pandas as pd
 import pytest
-from helpers import warn_orders
+from helpers import pairs, warn_orders
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
@@ -371,6 +371,38 @@ def test_waiting_events_are_kept_as_changes(spark, feed, folder, monkeypatch):
     assert len(list(Path(folder.removeprefix("file:"), "waiting").iterdir())) <= 12
 
 
+def test_a_table_of_windows_is_corrected_in_place(spark, feed, folder):
+    path = f"{folder}/table"
+    write, want, rng = sinks.upsert_windows(path, part=timedelta(minutes=10)), {}, random.Random(3)
+    for k in range(20):
+        ends = rng.sample(range(3000 * k, 3000 * k + 6000, 500), 4)
+        rows = [(end * 1000, f"u{j}", k) for end in ends for j in range(rng.randint(1, 3))]
+        want = {w: r for w, r in want.items() if w not in {e * 1000 for e in ends}}
+        for row in rows:
+            want.setdefault(row[0], []).append(row)
+        batch = spark.createDataFrame(rows, "window_end long, url string, n long")
+        write(batch, k)
+        if k % 7 == 0:
+            write(batch, k)  # repeated
+        assert sorted(tuple(r) for r in sinks.read_windows(spark, path).collect()) == sorted(r for w in want.values() for r in w)
+    folders = list(Path(path.removeprefix("file:")).glob("day=*/part=*"))
+    assert len(folders) <= len({(w - 1) // 600_000 for w in want}) and len(list(Path(path.removeprefix("file:"), "_aside").iterdir())) == 1
+
+
+def test_an_interrupted_correction_loses_no_window(spark, folder):
+    path = f"{folder}/table"
+    write = sinks.upsert_windows(path)
+    rows = lambda *r: spark.createDataFrame(list(r), "window_end long, n long")
+    write(rows((1000, 1), (2000, 1)), 0)
+    write(rows((2000, 2)), 1)
+    # As if the last step had removed the partition and then failed: the batch is repeated.
+    carry.remove(spark, f"{path}/day=0")
+    write(rows((2000, 2)), 1)
+    assert pairs(sinks.read_windows(spark, path), "window_end", "n") == [(1000, 1), (2000, 2)]
+    write(rows(), 2)
+    assert pairs(sinks.read_windows(spark, path), "window_end", "n") == [(1000, 1), (2000, 2)]
+
+
 def test_rows_too_late_are_kept_beside(spark, feed, folder):
     source = feed(["url", "at"])
     source.add([("a", 0), ("a", 900)], [("late", 700), ("late", 300), ("b", 905)], [("end", 5000)])
