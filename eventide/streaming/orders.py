@@ -28,7 +28,7 @@ STEPS = "order_id long, at long, step int, n long"
 
 def _in_batches(
     folder: str,
-    settle: Callable[[DataFrame, int], tuple[DataFrame, DataFrame]],
+    settle: Callable[[DataFrame, int], tuple[DataFrame, DataFrame, DataFrame]],
     write: BatchWriter,
     reach_ms: int,
     ts: str = "ts",
@@ -38,7 +38,8 @@ def _in_batches(
     Its ``close`` settles all that waits when a bounded input has ended, as the batch after
     the last one.
 
-    ``settle(known, now)`` returns result rows, and the events that wait on. Nothing waits ``reach_ms`` past its time.
+    ``settle(known, now)`` returns result rows, the events that wait on, and the table that both
+    are read from, which is kept while they are. Nothing waits ``reach_ms`` past its time.
     """
     waiting, notes = Increments(f"{folder}/waiting", STEPS, ["n"], "at"), Note(f"{folder}/notes")
 
@@ -59,11 +60,13 @@ def _in_batches(
         known = known.unionByName(old.withColumn("was", F.col("n"))).groupBy("order_id", "at", "step")
         known = known.agg(F.sum("n").alias("n"), F.sum("was").alias("was")).persist()
         try:
-            told, on = settle(known.drop("was"), clock)
+            told, on, both = settle(known.drop("was"), clock)
+            both.persist()
             write(told, batch_id)
             change = known.select("order_id", "at", "step", (-F.col("was")).alias("n")).unionByName(on)
             change = change.groupBy("order_id", "at", "step").agg(F.sum("n").alias("n")).where("n <> 0")
             entry, _ = waiting.append(change, batch_id, now)
+            both.unpersist()
         finally:
             known.unpersist()
         parts = waiting.listed(spark, batch_id, note, entry, clock - reach_ms - 1)
@@ -74,7 +77,7 @@ def _in_batches(
         if note.get("seen") is None:
             return
         old = waiting.read(spark, note).groupBy("order_id", "at", "step").agg(F.sum("n").alias("n")).where("n > 0")
-        told, _ = settle(old, note["seen"] + 2 * reach_ms + 1)
+        told, *_ = settle(old, note["seen"] + 2 * reach_ms + 1)
         write(told, note["batch_id"] + 1)
 
     return Handler(handle, close)
@@ -90,7 +93,7 @@ def order_pay_match_in_batches(
     past its own time has. An event whose counterpart was reported before stands alone.
     """
 
-    def settle(known: DataFrame, now: int) -> tuple[DataFrame, DataFrame]:
+    def settle(known: DataFrame, now: int) -> tuple[DataFrame, DataFrame, DataFrame]:
         told = orders.matched_steps(known, deadline)
         # A creation that nothing follows yet waits for a payment, and a payment for a
         # creation that comes late.
@@ -100,7 +103,7 @@ def order_pay_match_in_batches(
         settled = told.where(~waits & F.col("result_msg").isNotNull())
         kind = orders.kind_of(F.col("result_msg")).alias("kind")
         on = told.where(waits).select("order_id", "at", "step", F.col("waits").alias("n"))
-        return orders.repeated(settled, "order_id", kind, "result_msg"), on
+        return orders.repeated(settled, "order_id", kind, "result_msg"), on, told
 
     return _in_batches(folder, settle, write, millis(deadline))
 
@@ -114,10 +117,10 @@ def order_timeout_warning_in_batches(
     """
     wait = millis(deadline)
 
-    def settle(known: DataFrame, now: int) -> tuple[DataFrame, DataFrame]:
+    def settle(known: DataFrame, now: int) -> tuple[DataFrame, DataFrame, DataFrame]:
         told = orders.warned_steps(known, deadline).where(F.col("at") + wait < now)
         at: Column = F.col("at")
         still = F.when(F.col("step") == 0, at + wait >= now).otherwise(at + 2 * wait >= now)
-        return orders.repeated(told, "order_id", "result_msg"), known.where(still)
+        return orders.repeated(told, "order_id", "result_msg"), known.where(still), known
 
     return _in_batches(folder, settle, write, 2 * wait)
