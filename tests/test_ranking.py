@@ -54,6 +54,7 @@ def test_item_report(spark):
     end = 1511661600000
     ranked = ranking.top_n_per_window(counts(spark, [(end, 1715, 7), (end, 20, 9)]), 3, "item_id")
     report = ranking.ranking_report(ranked, "item_id", **jobs.ITEM_REPORT).first().report
+    # Wording of the report, fixed values.
     assert report.split("\n") == [
         "时间：2017-11-26 02:00:00.0",
         "No1: 商品ID=20 浏览量=9",
@@ -67,6 +68,7 @@ def test_url_report_with_offset(spark):
     rows = counts(spark, [(end, 1, 2)]).withColumn("url", F.lit("/a b%s"))
     ranked = ranking.top_n_per_window(rows, 5, "url", count_offset=1)
     report = ranking.ranking_report(ranked, "url", **jobs.URL_REPORT).first().report
+    # Wording of the report, fixed values.
     assert report.split("\n") == [
         "时间：2017-11-26 02:00:05.0",
         "NO1: URL=/a b%s 访问量=3",

@@ -22,7 +22,7 @@ def test_fields_are_trimmed_and_cast(spark):
 def test_event_time(spark):
     rows = text.parse_delimited(lines(spark, "1,create,,1511658000"), schemas.ORDER_EVENT)
     assert text.with_event_time(rows).first().ts == datetime(2017, 11, 26, 1, 0)
-    in_ms = text.parse_delimited(lines(spark, "u,CLICK,weibo,1511658000500"), schemas.MARKETING_EVENT)
+    in_ms = text.parse_delimited(lines(spark, "u,CLICK,store,1511658000500"), schemas.MARKETING_EVENT)
     assert text.with_event_time(in_ms, "milliseconds").first().ts == datetime(2017, 11, 26, 1, 0, 0, 500000)
 
 

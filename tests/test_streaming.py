@@ -195,7 +195,7 @@ def test_marketing(spark, feed, folder):
     for batch in range(3):
         times = sorted(rng.randrange(1800) + 1800 * batch for _ in range(40))
         source.add(
-            [(rng.choice(["weibo", "wechat"]), rng.choice(["CLICK", "UNINSTALL"]), at) for at in times]
+            [(rng.choice(["north", "store"]), rng.choice(["CLICK", "UNINSTALL"]), at) for at in times]
         )
     ended = closed_text(source.table())
     for stream_job, batch_job in (
