@@ -166,7 +166,8 @@ def findings(
     rows = read_ledger(docs.sparkSession, ledger).select(
         "sha256", F.filter("findings", lambda s: F.array_contains(current, s["kind"])).alias("spans")
     )
-    state = rows.groupBy("sha256").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    # Runs that overlap may both have scanned a blob.
+    state = rows.groupBy("sha256").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
     sorted_spans = F.array_sort(
         F.transform(
             "spans",
