@@ -10,10 +10,10 @@ its length (attention), and ``OVERHEAD``; long bins thus pay only where short on
 would stay part empty. When all pieces are placed, each bin shrinks to the
 smallest permitted length that holds its contents.
 
-Pieces are dealt to shards by hash, in as many shards as keep them at about
-``SHARD`` pieces, so the work of a task is bounded whatever the table's size, and
-equal documents are spread. A shard does not need others: best fit leaves little
-room once there are some thousand pieces.
+Pieces are numbered in a table and dealt to shards by a hash of the number and what
+they are, in as many shards as keep them at about ``SHARD`` pieces, so the work of a
+task is bounded whatever the table's size, and equal rows are spread. A shard does not
+need others: best fit leaves little room once there are some thousand pieces.
 
 Defined cases: null, empty and blank texts have no token; they get one row without
 a bin. Repeated rows are packed once each. Ties go to the smaller id, then to the
@@ -98,11 +98,18 @@ def pack_documents(
     pieces = sized.select("doc_id", "n", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
     start = F.col("piece").cast("long") * longest
     pieces = saved(
-        pieces.select("doc_id", "piece", start.alias("start"), F.least(F.col("n") - start, F.lit(longest)).alias("length")),
+        pieces.select(
+            "doc_id",
+            "piece",
+            start.alias("start"),
+            F.least(F.col("n") - start, F.lit(longest)).alias("length"),
+            F.monotonically_increasing_id().alias("nr"),
+        ),
         "pieces",
     )
     shards = max(1, -(-pieces.where("length > 0").count() // shard))
-    dealt = pieces.where("length > 0").withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "length"), F.lit(shards)))
+    dealt = pieces.where("length > 0").withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "length", "nr"), F.lit(shards)))
+    dealt = dealt.drop("nr")
     schema = T.StructType(
         [
             *dealt.select("doc_id", "piece", "start", "length").schema.fields,
