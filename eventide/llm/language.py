@@ -4,14 +4,17 @@ Texts are lower-cased, everything but letters counts as a blank, and n-grams of
 one to three code points are hashed. Their counts are damped by the square root,
 weighted by inverse document frequency (counted over every document of known
 language) and scaled to length 1. The regression is trained by the
-follow-the-regularised-leader rule with elastic-net penalties on a bounded sample
-(``MAX_TRAIN`` rows of each language); a part kept out of it gives the temperature
-of the softmax. Predictions depend on the text alone and cover whole texts.
+follow-the-regularised-leader rule with elastic-net penalties on a bounded sample:
+``MAX_TRAIN`` rows of each language, or fewer of each where all would be more than
+``MAX_ROWS``, but at least one, so that every language is learned however many there
+are. A part kept out of it gives the temperature of the softmax. The model has 64 KB
+for a language. Predictions depend on the text alone and cover whole texts, very long
+ones as well.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0.0, as
 is every text when no language could be learned. With one learned language all
 others get it with score 1.0. Equal probabilities go to the first name. Repeated
-rows count as often as they occur.
+rows count as often as they occur. Other columns do not matter.
 """
 
 from __future__ import annotations
@@ -20,14 +23,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventide.llm.common import annotate, byte_slices, prepare
 
 MAX_TRAIN = 1500  # rows of each language in the training sample
-MAX_LANGUAGES = 400  # most frequent names that are learned
+MAX_ROWS = 60_000  # and of all of them together
 BITS = 13  # buckets of the hashed n-grams
 ORDERS = (1, 2, 3)
 EPOCHS = 3
@@ -184,6 +187,7 @@ def _ftrl(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, n_classes: i
 def train(
     docs: DataFrame,
     max_train: int = MAX_TRAIN,
+    max_rows: int = MAX_ROWS,
     doc_id: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
@@ -193,18 +197,16 @@ def train(
     prepare(spark)
     rows = docs.select(F.col(doc_id).alias("i"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     rows = rows.where("lang IS NOT NULL AND text IS NOT NULL")
-    tallies = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    names = sorted(row.lang for row in tallies)
+    names = sorted(row.lang for row in rows.select("lang").distinct().collect())
     if not names:
         return Model()
     counts, n = _document_frequency(rows, "text")
     idf = np.log((1 + n) / (1 + counts)) + 0.1
-    # The sample: ids first, by hash order; at most max_train rows of each of the names.
-    sample = None
-    for name in names:
-        part = rows.where(F.col("lang") == name).select("i", "lang").orderBy(F.xxhash64("i"), "i").limit(max_train)
-        sample = part if sample is None else sample.unionByName(part)
-    sample = sample.where("i IS NOT NULL").distinct()
+    # The sample: ids first, by hash order; tasks keep as many of each language before the exchange.
+    most = max(1, min(max_train, max_rows // len(names)))
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("i"), "i")
+    sample = rows.select("i", "lang").withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= most)
+    sample = sample.where("i IS NOT NULL").select("i", "lang").distinct()
     size = 1 << BITS
 
     def encode(batches):
