@@ -1,10 +1,12 @@
 """Line deduplication by a deletion-neighbourhood join. SQL functions only.
 
 Lines are compared in lower case without blanks at their ends; lines of fewer than
-``MIN_CHARS`` characters are left alone. A line is removed if an earlier line,
-by document id and place, is equal to it or one edit away (one character
-inserted, deleted or replaced; Levenshtein distance 1). Earlier lines count
-whether or not they are removed themselves.
+``MIN_CHARS`` characters are left alone, because one edit makes another word of a short
+one and headings, brackets and list marks belong to their texts. With ``min_equal`` set,
+lines that are equal go from that many characters on. Blank lines always stay. A line is
+removed if an earlier line, by document id and place, is equal to it or one edit away
+(one character inserted, deleted or replaced; Levenshtein distance 1). Earlier lines
+count whether or not they are removed themselves.
 
 Equal lines meet by hash and are counted before the exchange. Distinct lines
 that are one edit apart are found by their deletion neighbourhoods: a line
@@ -47,12 +49,12 @@ def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def _lines(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFrame:
+def _lines(docs: DataFrame, doc_id: str, text: str, least: int) -> DataFrame:
     """Comparable lines with their place and two hashes, which name a distinct line."""
     rows = _rows(docs, doc_id, text).where("id IS NOT NULL AND text IS NOT NULL")
     lines = rows.select("id", "row", F.posexplode(F.split("text", _NL, -1)).alias("nr", "line"))
     lines = lines.withColumn("line", F.lower(F.btrim("line", F.lit(" \t\r"))))
-    lines = lines.withColumn("n", F.char_length("line")).where(F.col("n") >= min_chars)
+    lines = lines.withColumn("n", F.char_length("line")).where(F.col("n") >= least)
     return lines.withColumns(
         {"k1": F.xxhash64(F.lit(1), F.col("line")), "k2": F.xxhash64(F.lit(2), F.col("line"))}
     )
@@ -79,7 +81,7 @@ def _shared(keys: DataFrame, key: str) -> DataFrame:
     return keys.join(common, key, "left_semi")
 
 
-def _near_lines(docs, firsts, doc_id, text, min_chars) -> DataFrame:
+def _near_lines(docs, firsts, doc_id, text) -> DataFrame:
     """Distinct lines (k1, k2) that have an earlier line one edit away."""
     halves = firsts.select("k1", "k2", F.explode("halves").alias("key"))
     found = _shared(halves, "key").select("k1", "k2").distinct()
@@ -146,18 +148,23 @@ def _near_lines(docs, firsts, doc_id, text, min_chars) -> DataFrame:
 
 
 def repeated_lines(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    min_chars: int = MIN_CHARS,
+    min_equal: int | None = None,
 ) -> DataFrame:
     """Line numbers to remove as ``removed``, by ``id`` and text hash ``row``; rows without any are left out."""
-    lines = _lines(docs, doc_id, text, min_chars)
-    named = lines.withColumn("halves", F.array(*_half_keys(F.col("line"), F.col("n"))))
+    lines = _lines(docs, doc_id, text, min_chars if min_equal is None else max(1, min_equal))
+    # Lines without halves are not held against others.
+    named = lines.withColumn("halves", F.when(F.col("n") >= min_chars, F.array(*_half_keys(F.col("line"), F.col("n")))))
     firsts = named.groupBy("k1", "k2").agg(
         F.min(F.struct("id", "nr", "row")).alias("at"),
         F.count("*").alias("times"),
         F.first("halves").alias("halves"),
     )
     firsts = saved(firsts, "distinct")
-    near = saved(_near_lines(docs, firsts, doc_id, text, min_chars), "near")
+    near = saved(_near_lines(docs, firsts, doc_id, text), "near")
     repeated = firsts.where("times > 1").select("k1", "k2", "at", F.lit(False).alias("near"))
     near = near.select("k1", "k2", F.lit(None).cast(repeated.schema["at"].dataType).alias("at"), F.lit(True).alias("near"))
     gone = repeated.unionByName(near).groupBy("k1", "k2").agg(F.max("at").alias("at"), F.max("near").alias("near"))
@@ -169,20 +176,29 @@ def repeated_lines(
 
 def without_lines(text: Column, removed: Column) -> Column:
     """The text without the lines of these numbers."""
-    lines = F.split(text, _NL, -1)
-    # Maps are looked up entry by entry; an array of flags is read by place.
-    kept = F.filter(lines, lambda line, nr: ~F.array_contains(removed, nr))
-    return F.when(removed.isNull(), text).otherwise(F.array_join(kept, _NL))
+
+    def kept(lines):
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), removed)
+        return F.array_join(F.transform(left, lambda nr: F.get(lines, nr)), _NL)
+
+    # As the variable of an outer function the lines are split once, not for each number.
+    split = F.transform(F.array(F.split(text, _NL, -1)), kept)
+    return F.when(removed.isNull(), text).otherwise(F.get(split, F.lit(0)))
 
 
 def dedup_lines(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, removed: str = "removed"
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    min_chars: int = MIN_CHARS,
+    removed: str = "removed",
+    min_equal: int | None = None,
 ) -> DataFrame:
     """``docs`` without repeated lines, and the numbers of the lines taken from each row as ``removed``."""
     columns = docs.columns
     plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
     i, t = (f"c{columns.index(c)}" for c in (doc_id, text))
-    gone = repeated_lines(docs, doc_id, text, min_chars).select(
+    gone = repeated_lines(docs, doc_id, text, min_chars, min_equal).select(
         F.col("id").alias("_id"), F.col("row").alias("_row"), F.col("removed").alias("_removed")
     )
     same = (F.col(i) == F.col("_id")) & (F.xxhash64(t) == F.col("_row"))

@@ -119,7 +119,7 @@ def op7_near_dedup(spark, sf_dir):
 
 def op8_line_dedup(spark, sf_dir):
     """Lines taken from every document, and a digest of what is left."""
-    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_equal=1)
     return out.select(
         "doc_id",
         F.size("removed").cast("long").alias("n_removed"),
@@ -266,12 +266,12 @@ WITH line AS (
     SELECT doc_id, nr, lower(trim(line, E' \t\r')) AS line
     FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS nr
           FROM documents)
-    WHERE length(trim(line, E' \t\r')) >= 20),
+    WHERE length(trim(line, E' \t\r')) >= 1),
 first AS (
     SELECT line, length(line) AS n, min({'d': doc_id, 'nr': nr}) AS pos FROM line GROUP BY line),
 pair AS (
     SELECT a.line, a.pos, b.line AS other, a.n AS n, b.n AS m FROM first a JOIN first b
-    ON b.n IN (a.n - 1, a.n, a.n + 1) AND b.pos < a.pos
+    ON a.n >= 20 AND b.n >= 20 AND b.n IN (a.n - 1, a.n, a.n + 1) AND b.pos < a.pos
     AND (left(a.line, least(a.n, b.n) // 2) = left(b.line, least(a.n, b.n) // 2)
          OR right(a.line, least(a.n, b.n) - least(a.n, b.n) // 2) = right(b.line, least(a.n, b.n) - least(a.n, b.n) // 2))),
 near AS (
