@@ -28,9 +28,10 @@ pairs, and less above.
 
 Defined cases: texts that are null, empty or blank have no words, and their set is
 empty and linked with nothing. With fewer words than a shingle has, the whole
-sequence is the one shingle. Rows without an id are kept, without
-a component. Rows with equal ids share their links, and only one of their texts
-(that of smallest hash) is compared. Other columns do not matter.
+sequence is the one shingle. Very long texts are compared whole. Rows without an id are
+kept, without a component. Rows are told apart by id and text: those with equal ids and
+different texts have their own sets and links, and a component is named by the smallest id
+in it. Other columns do not matter.
 """
 
 from __future__ import annotations
@@ -464,8 +465,9 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) -
 def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Text of each class in the pairs, from the row that stands for it."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = classes.join(ids, "id", "left_semi").select("id", "row")
-    return docs.join(wanted, ["id", "row"]).dropDuplicates(["id", "row"]).select("id", "text")
+    wanted = classes.join(ids, "id", "left_semi").select("id", F.col("first.id").alias("doc"), "first.row")
+    rows = docs.select(F.col("id").alias("doc"), "row", "text").join(wanted, ["doc", "row"])
+    return rows.dropDuplicates(["id"]).select("id", "text")
 
 
 def near_duplicates(
@@ -476,6 +478,18 @@ def near_duplicates(
     text: str = "text",
 ) -> DataFrame:
     """Per row ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``; the smallest id of a component stays."""
+    placed = _placed(docs, similarity, shingle, doc_id, text)
+    component = F.col("first.id")
+    return placed.select(
+        F.col("id").alias(doc_id),
+        F.col("n").alias("n_shingles"),
+        component.alias("component_id"),
+        F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"),
+    )
+
+
+def _placed(docs: DataFrame, similarity: int, shingle: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row its id, text hash and set size, and the ``first`` (id, row) of its component; none without an id."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("row"), F.col(text).alias("text"))
     sets = saved(annotate(rows, ["id", "row"], _Describe(shingle), _Describe.fields), "sets")
@@ -489,29 +503,23 @@ def near_duplicates(
             F.count("*").alias("size"),
         )
     )
-    classes = saved(classes.select("cls", "first.id", "first.row", "sig", "n", "size"), "classes")
+    # Classes are named by a number, because an id may stand for several of them.
+    classes = classes.withColumn("id", F.monotonically_increasing_id())
+    classes = saved(classes.select("cls", "id", "first", "sig", "n", "size"), "classes")
     links = saved(_links(rows.where("id IS NOT NULL"), classes, similarity, shingle), "found")
     comps = saved(components(links), "components")
     # A document belongs to its class, and the class to its component.
-    named = classes.join(comps, classes.id == comps.node, "left")
-    named = named.where("size > 1 OR component IS NOT NULL")
-    named = saved(named.select("cls", F.coalesce("component", "id").alias("component")), "named")
-    out = sets.select("id", "n", F.when(F.col("n") > 0, F.col("cls")).alias("cls")).join(named, "cls", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return out.select(
-        F.col("id").alias(doc_id),
-        F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"),
-    )
+    named = classes.join(comps, classes.id == comps.node, "left").where("size > 1 OR component IS NOT NULL")
+    named = saved(named.select("cls", "first", F.coalesce("component", "id").alias("component")), "named")
+    lows = named.groupBy("component").agg(F.min("first").alias("low"))
+    named = saved(named.join(lows, "component").select("cls", "low"), "lows")
+    out = sets.select("id", "row", "n", F.when(F.col("n") > 0, F.col("cls")).alias("cls")).join(named, "cls", "left")
+    first = F.when(F.col("id").isNotNull(), F.coalesce("low", F.struct("id", "row")))
+    return out.select("id", "row", "n", first.alias("first"))
 
 
 def _links(docs: DataFrame, classes: DataFrame, percent: int, shingle: int) -> DataFrame:
     """Confirmed links (a, b) between classes, enough to connect what hangs together."""
-    # Of repeated ids with different texts the text of smallest hash is compared.
-    texts = classes.groupBy("id").agg(F.count("*").alias("times"), F.min("row").alias("row"))
-    if texts.where("times > 1").head(1):
-        classes = saved(classes.join(texts.select("id", "row"), ["id", "row"], "left_semi"), "one_each")
     small, stars, stayed = _nodes(classes, TREES, LIMIT, DEPTH)
     small = saved(small, "small")
     first = _by_node(_members(small.where(F.col("tree") < FIRST_TREES), classes, None))
@@ -537,9 +545,17 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, shingle: int) -> D
 
 
 def clean_documents(docs: DataFrame, similarity: int = SIMILARITY, shingle: int = 5) -> DataFrame:
-    """``docs`` with one row of each group of near duplicates: the one of smallest id. Repeated ids stay as they are."""
+    """``docs`` with one row of each group of near duplicates: the one of smallest id.
+
+    Of rows with equal ids and different texts that of smallest text hash stays. Rows that are equal
+    in both are one document and stay as they are, as do rows without an id or without a word.
+    """
     columns = docs.columns
     plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
-    gone = near_duplicates(docs, similarity, shingle).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    left = plain.join(gone, F.col(f"c{columns.index('doc_id')}") == F.col("_gone"), "left_anti")
-    return left.toDF(*columns)
+    at = f"c{columns.index('doc_id')}"
+    plain = plain.withColumn("_row", F.xxhash64(f"c{columns.index('text')}"))
+    placed = _placed(docs, similarity, shingle).where("id IS NOT NULL AND n > 0")
+    gone = placed.where(F.struct("id", "row") != F.col("first"))
+    gone = gone.select(F.col("id").alias("_id"), F.col("row").alias("_same")).distinct()
+    left = plain.join(gone, (F.col(at) == F.col("_id")) & (F.col("_row") == F.col("_same")), "left_anti")
+    return left.drop("_row").toDF(*columns)
