@@ -1,6 +1,7 @@
 """Suffix, line and near-duplicate operators against brute force."""
 
 import random
+import time
 
 import pytest
 from brute import components, no_docs, odd_docs, one_edit, removed_lines, repeats, sha
@@ -111,6 +112,25 @@ def test_a_shorter_line_between_longer_ones_is_met(spark):
         assert {r.doc_id: r.removed for r in line_dedup.dedup_lines(df).collect()} == removed_lines(docs)
 
 
+def test_equal_short_lines_go_if_asked(spark):
+    docs = [(1, "x\n\n y \nx"), (2, "X\nz\n \nabcdefghij klmnopqrstu"), (3, "w\nabcdefghij klmnopqrst\nY")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = line_dedup.dedup_lines(df, min_equal=1).collect()
+    # One edit away counts from 20 characters on only: z and w stay.
+    assert {r.doc_id: r.removed for r in rows} == {1: [3], 2: [0], 3: [1, 2]}
+    assert {r.doc_id: r.text for r in rows} == {1: "x\n\n y ", 2: "z\n \nabcdefghij klmnopqrstu", 3: "w"}
+    assert {r.doc_id: r.removed for r in line_dedup.dedup_lines(df).collect()} == {1: [], 2: [], 3: [1]}
+
+
+def test_a_text_of_very_many_repeated_lines(spark):
+    same = "the same line again and again"
+    docs = spark.createDataFrame([(1, same), (2, "\n".join([same] * 60_000 + ["x"]))], "doc_id long, text string")
+    begun = time.monotonic()
+    rows = {r.doc_id: r for r in line_dedup.dedup_lines(docs).collect()}
+    assert time.monotonic() - begun < 60  # a search through all removed lines for each line takes minutes
+    assert rows[1].text == same and rows[2].text == "x" and len(rows[2].removed) == 60_000
+
+
 def test_one_edit_of_brute_force():
     assert one_edit("abc", "abd") and one_edit("abc", "ab") and one_edit("abc", "aabc")
     assert not one_edit("abc", "abc") and not one_edit("abc", "acb") and not one_edit("abc", "a")
@@ -188,6 +208,23 @@ def test_near_odd_cases(spark):
     assert near_dedup.near_duplicates(no_docs(spark)).count() == 0
 
 
+def test_texts_of_equal_ids_have_links_of_their_own(spark):
+    rng = random.Random(12)
+    bodies = [[f"{k}w{rng.randrange(10**6)}" for _ in range(200)] for k in range(8)]
+    docs = [(7, " ".join(body)) for body in bodies]
+    for k, body in enumerate(bodies):
+        docs.append((20 + k, " ".join([*body[:100], "other", *body[101:]])))
+    docs += [(7, docs[0][1]), (30, "a text of its own"), (None, docs[0][1]), (31, ""), (31, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    rows = near_dedup.near_duplicates(df).collect()
+    assert len(rows) == len(docs)
+    assert all(r.component_id == 7 for r in rows if r.doc_id in {7, *range(20, 28)})
+    kept = sorted((r.doc_id or 0, r.text) for r in near_dedup.clean_documents(df).collect())
+    # Eight texts of id 7 stay, one of them in two equal rows; rows without words or id stay as well.
+    stay = [(7, " ".join(b)) for b in bodies] + [(7, docs[0][1]), (30, "a text of its own"), (31, ""), (31, ""), (0, docs[0][1])]
+    assert kept == sorted(stay)
+
+
 def test_components_of_a_long_path(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 102), (7, 7)]
     rows = connected(spark.createDataFrame(links, "a long, b long")).collect()

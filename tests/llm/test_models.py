@@ -84,6 +84,19 @@ def test_languages_are_learned(spark):
     assert {r.lang_pred for r in language.identify(docs, nothing, ["doc_id"]).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(3)
+    # 500 names, each with letters of its own from another script block.
+    letters = [chr(0x4E00 + 8 * k + j) for k in range(500) for j in range(4)]
+    rows = [(3 * k + i, prose(rng, "".join(letters[4 * k : 4 * k + 4]), 12), f"l{k:03d}") for k in range(500) for i in range(3)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert len(language.train(docs).names) == 500
+    # Fewer rows of each where all would be too many, but each name has some.
+    few = language.train(docs, max_rows=100)
+    assert len(few.names) == 500
+    assert len(language.train(docs.where("doc_id < 30"), max_rows=10).names) == 10
+
+
 def test_counts_do_not_cross_texts():
     parts = ["Ab1c é", "", "...", "zz"]
     raw = [p.encode() for p in parts]

@@ -1,6 +1,7 @@
 """Decontamination, secrets, personal data, packing and vector search against brute force."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -97,6 +98,18 @@ def test_secrets_and_their_ledger(spark, folder):
     assert new == {3: ["hex"], 50: ["assign"]}
 
 
+def test_overlapping_runs_report_a_span_once(spark, folder):
+    docs = spark.createDataFrame([(1, "token = abcdefgh1"), (2, "password: other_word")], "doc_id long, text string")
+    secret_scan.scan_new(docs, folder)
+    once = {r.doc_id: r.spans for r in secret_scan.findings(docs, folder).collect()}
+    # What a second run writes that read the ledger before the first had written.
+    secret_scan.scan_new(docs, f"{folder}-other")
+    secret_scan.read_ledger(spark, f"{folder}-other").write.mode("append").parquet(folder)
+    assert secret_scan.read_ledger(spark, folder).count() == 4
+    assert {r.doc_id: r.spans for r in secret_scan.findings(docs, folder).collect()} == once
+    assert [len(s) for s in once.values()] == [1, 1]
+
+
 def test_secret_odd_cases(spark, folder):
     docs = odd_docs(spark, clashing=True)
     secret_scan.scan_new(docs, folder)
@@ -155,6 +168,26 @@ def test_loose_personal_data_is_selected(spark):
     assert not any(s.kind in personal_data.LOOSE for r in rows if r.doc_id < 1200 for s in r.spans)
 
 
+def test_overlaps_of_very_many_spans():
+    rng = random.Random(4)
+    spans = sorted({(a, a + rng.randint(1, 9)) for a in (rng.randrange(3000) for _ in range(300))})
+    covered = personal_data._Covered(spans)
+    for _ in range(2000):
+        a = rng.randrange(3000)
+        b = a + rng.randint(1, 12)
+        slow = any(x < b and a < y for x, y in spans)
+        assert covered.overlaps(a, b) == slow
+        if not slow:
+            covered.add(a, b)
+            spans.append((a, b))
+    # A log of addresses and numbers: the search for overlaps grows with the spans, not with their pairs.
+    model = personal_data.Model(common=0.0)
+    found = [(20 * k, 1 if k % 2 else 7, 20 * k + 12) for k in range(200_000)]
+    begun = time.monotonic()
+    assert personal_data.selected(found, np.ones(len(found)), model) == found
+    assert time.monotonic() - begun < 20
+
+
 def test_personal_odd_cases(spark):
     docs = odd_docs(spark, clashing=True)
     proposed = personal_data.propose(docs)
@@ -202,6 +235,13 @@ def test_packing_loses_nothing(spark, monkeypatch):
     assert packing.pack_documents(odd_docs(spark, clashing=True)).where("length > 0").count() > 8
 
 
+def test_equal_rows_fall_into_many_shards(spark):
+    df = spark.range(0, 6000, 1, 6).select(F.lit(1).cast("long").alias("doc_id"), F.lit("one two three").alias("text"))
+    rows = packing.pack_documents(df, lengths=(16, 64), shard=500).withColumn("shard", F.shiftright("bin_id", 32))
+    sizes = [r["count"] for r in rows.groupBy("shard").count().collect()]
+    assert sum(sizes) == 6000 and len(sizes) == 12 and max(sizes) < 1000
+
+
 def test_best_fit_takes_the_least_room():
     bins, offsets, final = packing.pack([60, 50, 40, 14, 4], lengths=(64,))
     assert (bins, offsets) == ([0, 1, 2, 1, 0], [0, 0, 0, 50, 60]) and final == [64, 64, 64]
