@@ -31,6 +31,7 @@ from eventide.llm.common import annotate, byte_slices, prepare
 
 MAX_TRAIN = 1500  # rows of each language in the training sample
 MAX_ROWS = 60_000  # and of all of them together
+PARTS = 64  # of a language in the first round of drawing them
 BITS = 13  # buckets of the hashed n-grams
 ORDERS = (1, 2, 3)
 EPOCHS = 3
@@ -202,10 +203,13 @@ def train(
         return Model()
     counts, n = _document_frequency(rows, "text")
     idf = np.log((1 + n) / (1 + counts)) + 0.1
-    # The sample: ids first, by hash order; tasks keep as many of each language before the exchange.
+    # The sample: ids first, by hash order. Tasks keep as many of each language before the exchange, and
+    # a first round in parts keeps what the last one reads of a language from growing with the tasks.
     most = max(1, min(max_train, max_rows // len(names)))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("i"), "i")
-    sample = rows.select("i", "lang").withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= most)
+    sample = rows.select("i", "lang", F.pmod(F.xxhash64("i", F.lit(1)), F.lit(PARTS)).alias("part"))
+    for keys in (["lang", "part"], ["lang"]):
+        by_hash = Window.partitionBy(*keys).orderBy(F.xxhash64("i"), "i")
+        sample = sample.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= most).drop("rank")
     sample = sample.where("i IS NOT NULL").select("i", "lang").distinct()
     size = 1 << BITS
 
