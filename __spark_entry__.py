@@ -23,7 +23,7 @@ from eventide.functions import hashing, times  # noqa: E402
 from eventide.operators import distinct, limits, orders, windows  # noqa: E402
 from eventide.plans import jobs, views  # noqa: E402
 from eventide.session import configure, shared_dir, ship_package  # noqa: E402
-from eventide.sources import connectors, schemas, text  # noqa: E402
+from eventide.sources import connectors, growing, schemas, text  # noqa: E402
 from eventide.streaming import jobs as streams  # noqa: E402
 from eventide.streaming.sinks import latest_rows, read_windows, result_path  # noqa: E402
 
@@ -188,7 +188,7 @@ def parse_bad_lines(spark, sf_dir):
     return text.bad_lines(_quarantined(spark, sf_dir))
 
 
-def parse_access_log(spark, sf_dir):
+def _log_lines(spark, sf_dir):
     """Log lines; the time of error events has an overflowing day, as lenient parsers accept."""
     log = views.events(spark, sf_dir)
     day = F.when(F.col("event_type") == "error", F.dayofmonth("ts") + 31).otherwise(F.dayofmonth("ts"))
@@ -205,10 +205,32 @@ def parse_access_log(spark, sf_dir):
         F.lit("GET"),
         F.concat(F.lit("/p/"), F.col("event_id").cast("string")),
     )
-    rows = text.parse_access_log(log.select(line.alias("value")))
+    return log.select(line.alias("value"))
+
+
+def parse_access_log(spark, sf_dir):
+    rows = text.parse_access_log(_log_lines(spark, sf_dir))
     return rows.withColumn("at", F.unix_millis("ts")).drop("ts")
 
 
+# How much of each file of the growing log is there when the query starts again.
+GROWTH = [0.4, 0.4, 0.75, 1.0]
+
+
+def parse_growing_log_stream(spark, sf_dir):
+    """The log lines, read by a query that is started again after each growth of the files."""
+    ship_package(spark)
+    folder = _folder(spark)
+    files = spark.sparkContext.defaultParallelism
+    _log_lines(spark, sf_dir).repartition(files).write.text(f"{folder}/whole")
+    for share in GROWTH:
+        views.grow_files(spark, f"{folder}/whole", f"{folder}/log", share)
+        rows = text.parse_access_log(growing.read_growing_lines(spark, f"{folder}/log"))
+        writer = rows.writeStream.option("checkpointLocation", f"{folder}/checkpoint")
+        writer.trigger(availableNow=True).start(f"{folder}/rows", format="parquet").awaitTermination()
+    return spark.read.parquet(f"{folder}/rows").withColumn("at", F.unix_millis("ts")).drop("ts")
+
+
 def publish_lines(spark, sf_dir):
     """Lines published one message each, read back as a stream would get them."""
     path = f"{_folder(spark)}/topic"
@@ -388,6 +410,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parse_good_rows": parse_good_rows,
         "parse_bad_lines": parse_bad_lines,
         "parse_access_log": parse_access_log,
+        "parse_growing_log_stream": parse_growing_log_stream,
         "publish_lines": publish_lines,
         "parse_marketing": parse_marketing,
         "parse_ad_clicks": parse_ad_clicks,
@@ -711,6 +734,7 @@ def oracle_sql() -> dict[str, str]:
     )
     found |= {name: found["url_counts"] for name in ("kept_and_dropped_urls_stream", "url_increments_stream")}
     found["hot_urls_upserted_stream"] = found["hot_urls"]
+    found["parse_growing_log_stream"] = found["parse_access_log"]
     closed = ("hot_items", "marketing_total", "order_pay_match", "order_timeout_warning")
     found |= {f"{name}_closed_stream": found[name] for name in closed}
     # A stream that has ended gives what the table form gives.

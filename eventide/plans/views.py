@@ -5,11 +5,13 @@ Works on the table and on a stream of it alike.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.sources import connectors
+from eventide.sources import connectors, growing
 
 EVENTS = T.StructType(
     [
@@ -89,6 +91,29 @@ def read_feed(spark: SparkSession, folder: str, files: int) -> DataFrame:
     return _zoned(reader.parquet(f"{folder}/*"))
 
 
+def grow_files(spark: SparkSession, source: str, folder: str, share: float) -> None:
+    """Let ``folder`` hold the first ``share`` of the bytes of each file of ``source``, cut where it falls."""
+
+    def copy(batches):
+        for files in batches:
+            for path, length in zip(files["path"], files["length"], strict=True):
+                store, whole = growing.opened(path)
+                _, out = growing.opened(f"{folder}/{path.rsplit('/', 1)[1]}")
+                store.create_dir(out.rsplit("/", 1)[0])
+                aside = f"{out.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}"
+                left = int(length * share)
+                with store.open_input_file(whole) as reader, store.open_output_stream(aside) as writer:
+                    while left:
+                        data = reader.read(min(left, growing.BLOCK_BYTES))
+                        writer.write(data)
+                        left -= len(data)
+                store.move(aside, out)
+                yield files.iloc[:0]
+
+    files = spark.read.format("binaryFile").load(source).select("path", "length")
+    files.mapInPandas(copy, files.schema).write.format("noop").mode("overwrite").save()
+
+
 def _zoned(df: DataFrame) -> DataFrame:
     # The stored time has no zone; the session zone is UTC (see eventide.session).
     return df.withColumn("ts", F.col("ts").cast("timestamp"))
