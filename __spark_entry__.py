@@ -214,7 +214,7 @@ def parse_access_log(spark, sf_dir):
 
 
 # How much of each file of the growing log is there when the query starts again.
-GROWTH = [0.4, 0.4, 0.75, 1.0]
+GROWTH = [0.4, 0.75, 1.0]
 
 
 def parse_growing_log_stream(spark, sf_dir):
