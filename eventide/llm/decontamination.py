@@ -4,8 +4,9 @@ Items and documents are words. A window is ``width`` consecutive words of an
 item (the whole item, if it has fewer). For exact containment of a window its
 filtering prefix is a single token: the one that is rarest over all documents.
 Documents are joined with windows on that token, at the positions where the
-token stands in both, so that the window must lie inside the document; what
-is left is compared word by word.
+token stands in both, so that the window must lie inside the document. Windows
+with one token, position and length are told apart by hash, so a token that many
+windows share costs no more; what is left is compared word by word.
 
 The items are taken in blocks of bounded size, so an index of windows that goes
 to the tasks never grows with the item table; every block is held against all
@@ -26,12 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.llm.common import LOWER, annotate, byte_slices, prepare, saved, word_table, words
+from eventide.llm.common import LOWER, _power_tables, annotate, byte_slices, mixed, prepare, saved, word_table, words
 
 WIDTH = 10
 #: Bytes of item texts of one block; an item of more is cut at this many words, overlapping by a window.
 BLOCK_BYTES = 8 << 20
 BLOCK_WORDS = 1 << 20
+#: Pairs of a place and a kind of windows that are looked at together.
+PAIRS = 1 << 18
 IS_WORD = word_table([(0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F)])
 
 _SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())])
@@ -227,7 +230,6 @@ class Index:
         self.owners = list(windows.values())
         self.lengths = np.array([len(w) for w in windows], np.int64)
         self.width = int(self.lengths.max(initial=1))
-        self.shortest = int(self.lengths.min(initial=1))
         self.ids = np.full((len(windows), self.width), -1, np.int32)
         for k, w in enumerate(windows):
             self.ids[k, : len(w)] = w
@@ -237,10 +239,26 @@ class Index:
         rank = np.empty(size + 1, np.int64)
         rank[np.lexsort((by_word, counts))] = np.arange(size)
         rank[size] = np.iinfo(np.int64).max
-        self.offset = rank[self.ids].argmin(1) if size else np.zeros(0, np.int64)
-        token = self.ids[np.arange(len(self.ids)), self.offset] if size else np.zeros(0, np.int64)
-        self.order = np.argsort(token, kind="stable")
-        self.first = np.searchsorted(token[self.order], np.arange(size + 1)) if size else np.zeros(1, np.int64)
+        offset = rank[self.ids].argmin(1) if size else np.zeros(0, np.int64)
+        token = self.ids[np.arange(len(self.ids)), offset] if size else np.zeros(0, np.int64)
+        # Windows of one token, offset and length are of a kind; few kinds share a token, however many windows do.
+        span = self.width + 1
+        kinds, kind = np.unique((token * span + offset) * span + self.lengths, return_inverse=True)
+        self.kind_length, self.kind_offset = kinds % span, kinds // span % span
+        self.first = np.searchsorted(kinds // span**2, np.arange(size + 1))
+        keys = window_keys(id_sums(self.ids), kind)
+        self.order = np.argsort(keys, kind="stable")
+        self.keys = keys[self.order]
+
+
+def id_sums(ids: np.ndarray) -> np.ndarray:
+    """Hash of each row of word ids; -1 behind the end of a row counts nothing."""
+    power, _ = _power_tables(ids.shape[1])
+    return ((ids + 1).astype(np.uint64) * power[: ids.shape[1]]).sum(1, dtype=np.uint64)
+
+
+def window_keys(sums: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    return mixed(mixed(sums) + kind.astype(np.uint64))
 
 
 class Scan:
@@ -250,24 +268,37 @@ class Scan:
         self.index = index
 
     def candidates(self, ids: np.ndarray, lows: np.ndarray, highs: np.ndarray):
-        """(window, position) pairs that share the prefix token and lie inside one document."""
+        """(window, position) pairs that share the prefix token, lie inside one document and have one hash.
+
+        A token's place asks for each kind of its windows, of which there are at most as many
+        as offsets and lengths, so the work does not grow with the windows of a token.
+        """
         x = self.index
         known = np.flatnonzero(ids >= 0)
         n = x.first[ids[known] + 1] - x.first[ids[known]]
         known, n = known[n > 0], n[n > 0]
         # Words before and after that are in items too, without a gap.
         run = np.concatenate([[0], np.cumsum(ids < 0)])
-        for low in range(0, len(known), 1 << 14):
-            at, k = known[low : low + (1 << 14)], n[low : low + (1 << 14)]
-            place = np.repeat(at, k)
-            step = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-            window = x.order[x.first[ids[place]] + step]
-            begin = place - x.offset[window]
-            end = begin + x.lengths[window]
+        power, inverse = _power_tables(len(ids) + 1)
+        sums = np.zeros(len(ids) + 1, np.uint64)
+        np.cumsum((ids + 1).astype(np.uint64) * power[: len(ids)], out=sums[1:])
+        ends = np.cumsum(n)
+        for low in range(0, int(n.sum()), PAIRS):
+            pair = np.arange(low, min(low + PAIRS, ends[-1]))
+            at = np.searchsorted(ends, pair, "right")
+            place = known[at]
+            kind = x.first[ids[place]] + pair - (ends[at] - n[at])
+            begin = place - x.kind_offset[kind]
+            end = begin + x.kind_length[kind]
             fits = (begin >= lows[place]) & (end <= highs[place])
-            window, begin, end = window[fits], begin[fits], end[fits]
+            kind, begin, end = kind[fits], begin[fits], end[fits]
             whole = run[end] == run[begin]
-            yield window[whole], begin[whole]
+            kind, begin, end = kind[whole], begin[whole], end[whole]
+            keys = window_keys((sums[end] - sums[begin]) * inverse[begin], kind)
+            left, right = np.searchsorted(x.keys, keys, "left"), np.searchsorted(x.keys, keys, "right")
+            k = right - left
+            step = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+            yield x.order[np.repeat(left, k) + step], np.repeat(begin, k)
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray):
         x = self.index
@@ -279,7 +310,7 @@ class Scan:
         if len(x.owners) and len(hashes):
             ids = x.vocabulary.lookup(hashes)
             doc = np.repeat(np.arange(n_docs), n_words)
-            raw, owners, covered = data.tobytes(), [set() for _ in range(n_docs)], []
+            raw, hits, covered = data.tobytes(), set(), []
             lows, highs = firsts[:-1][doc], firsts[1:][doc]
             for window, begin in self.candidates(ids, lows, highs):
                 if not len(window):
@@ -293,7 +324,7 @@ class Scan:
                     # Ids are equal by hash; the words themselves decide.
                     mine = [raw[s:t] for s, t in zip(starts[b:e].tolist(), stops[b:e].tolist(), strict=True)]
                     if mine == [x.vocabulary.words[i] for i in x.ids[w, : e - b].tolist()]:
-                        owners[doc[b]].update(x.owners[w])
+                        hits.add((int(doc[b]), w))
                         covered.append((b, e))
             if covered:
                 depth = np.zeros(len(ids) + 1, np.int64)
@@ -309,5 +340,8 @@ class Scan:
                 for b, e in zip(np.flatnonzero(begins).tolist(), np.flatnonzero(ends).tolist(), strict=True):
                     k = int(doc[b])
                     spans[k].append({"start": b - int(firsts[k]), "stop": e + 1 - int(firsts[k])})
+            owners = [set() for _ in range(n_docs)]
+            for k, w in hits:
+                owners[k].update(x.owners[w])
             items = [sorted(s) for s in owners]
         return n_words, spans, items

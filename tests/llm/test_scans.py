@@ -48,6 +48,34 @@ def test_windows_of_items(spark, monkeypatch, blocks):
     assert sorted(r.doc_id for r in clean.collect()) == [i for i, t in enumerate(BODIES) if not hits(t, ITEMS)[1]]
 
 
+def test_items_of_few_different_words(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "PAIRS", 50)
+    rng = random.Random(4)
+    some = lambda n: " ".join(rng.choice("abcd") for _ in range(n))
+    items = [*enumerate([some(400), some(400), "a " * 300, some(4), "a b", "a"])]
+    bodies = ["b c d", "a b b", "b", some(9), "b " * 200, *(f"{some(50)} e {some(50)}" for _ in range(8)), items[0][1]]
+    found = decontamination.find_passages(
+        spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    ).collect()
+    found = {r.doc_id: (r.n_words, sum(s.stop - s.start for s in r.spans), sorted(r["items"])) for r in found}
+    assert found == {i: hits(t, items) for i, t in enumerate(bodies)}
+
+
+def test_windows_that_share_their_rarest_word_cost_no_more():
+    rng = random.Random(5)
+    item = [rng.choice([b"a", b"b", b"c", b"d"]) for _ in range(40_000)]
+    vocabulary = decontamination.Vocabulary(set(item))
+    index = decontamination.Index([(1, item)], 10, vocabulary, np.arange(4))
+    body = [rng.choice("abcd") for _ in range(40_000)] + [w.decode() for w in item]
+    data = np.frombuffer(" ".join(body).encode(), np.uint8)
+    begun = time.time()
+    n_words, spans, items = decontamination.Scan(index)(data, np.array([0, len(data)]))
+    assert time.time() - begun < 20
+    assert list(n_words) == [80_000] and items == [[1]]
+    assert spans[0][-1]["stop"] == 80_000 and spans[0][-1]["start"] <= 40_000
+
+
 def test_decontamination_odd_cases(spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     docs = odd_docs(spark, clashing=True)
