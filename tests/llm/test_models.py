@@ -47,6 +47,49 @@ def test_toxic_words_are_learned(spark):
     assert toxicity.score(no_docs(spark), model, ["doc_id"]).count() == 0
 
 
+def test_toxicity_learns_from_all_labelled_rows(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = [(i, f"{prose(rng, 'abcd', 6)} {BAD[i % 3] if i % 14 == 0 else 'plain'}", ["en", "de"][i % 2]) for i in range(7000)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    marks = spark.createDataFrame([(i, int(i % 14 == 0)) for i, *_ in rows], "doc_id long, toxic int")
+    best, weights = toxicity._best_threshold, []
+    monkeypatch.setattr(toxicity, "_best_threshold", lambda s, y, w: weights.append((w[y > 0].sum(), w.sum())) or best(s, y, w))
+    monkeypatch.setattr(toxicity, "PART_ROWS", 2500, raising=False)  # several networks that are averaged
+    model = toxicity.train(docs, marks)
+    assert weights[0] == (500, 7000)
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, model, ["doc_id"]).collect()}
+    assert np.mean([(scores[i] >= 0.7) == (i % 14 == 0) for i in scores]) > 0.99
+    assert model.thresholds.keys() == {"en"}  # the other one has no toxic row
+    again = toxicity.train(docs.repartition(7), marks)
+    assert np.array_equal(model.out, again.out) and model.scale == again.scale and model.thresholds == again.thresholds
+
+
+def test_toxicity_learns_from_long_texts(spark, monkeypatch):
+    # Every toxic row has more than 20,000 words, which are worked on in pieces.
+    monkeypatch.setattr(toxicity, "PIECE_WORDS", 1 << 12, raising=False)
+    rows = [(i, "filler text " * (10_050 if i % 3 == 0 else 5) + (BAD[0] if i % 3 == 0 else "plain"), "en") for i in range(45)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    marks = spark.createDataFrame([(i, int(i % 3 == 0)) for i, *_ in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, marks)
+    found = {r.doc_id: r.score for r in toxicity.score(docs, model, ["doc_id"]).collect()}
+    assert min(found[i] for i in found if i % 3 == 0) > max(found[i] for i in found if i % 3)
+
+
+def test_responses_in_pieces_are_the_same(monkeypatch):
+    rng = np.random.default_rng(5)
+    known = np.arange(50)
+    net = toxicity._Net(known, np.zeros(50), 3)
+    texts = [rng.integers(0, 60, n).astype(np.int32) for n in (0, 1, 2, 40, 0, 300, 7)]
+    ids, firsts = toxicity._batch(texts)
+    whole = net._strongest(net.rows[ids], firsts)
+    for size in (1, 2, 5, 64):
+        monkeypatch.setattr(toxicity, "PIECE_WORDS", size)
+        best, places = net._strongest(net.rows[ids], firsts)
+        assert np.allclose(best, whole[0], atol=1e-6)
+        # Equal responses may be told apart by rounding, but they stay in their text.
+        assert (places >= firsts[:, None]).all() and (places < np.append(firsts[1:], len(ids))[:, None]).all()
+
+
 def test_toxicity_without_labels(spark):
     docs = odd_docs(spark)
     none = spark.createDataFrame([], "doc_id long, toxic int")
