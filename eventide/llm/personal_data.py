@@ -5,24 +5,27 @@ Generators of high recall propose spans that may overlap: the strict formats
 check, written-out mail addresses and any longer grouping of digits. Boosted trees
 over features of format and context give each candidate a probability. There are no
 labels for personal data, so the trees learn from what the strict formats and their
-checks decide, on a bounded sample of candidates (``MAX_TRAIN``), by shape and
+checks decide, on all candidates of all texts, by shape and
 context alone: features do not show what tells a strict span from its loose kind
 (the sign before a phone number, ``@`` or its words, the outcome of a check). Strict
 spans count as personal examples of their loose kind. Loose spans outside strict ones
 count as not personal if they fail a check, or are a plain number without a hint near
 it; what is left (written-out addresses, numbers with a hint) has no label. Thresholds
-by kind are calibrated on a part of the sample that was not trained on, at
+by kind are calibrated on a quarter of the candidates that was not trained on, at
 ``PRECISION``; a kind without a personal example there has the threshold of all kinds
 together. Strict spans are always selected; loose ones are if they pass their
 threshold and overlap no selected span (the likelier one first).
 
 Texts are searched whole and once: candidates with their features are written to a
-table, from which both the sample and the selection are made.
+table, from which both the training and the selection are made. Cuts are quantiles of
+all candidates; candidates that no cut tells apart become one row with their number. Trees grow
+level by level on sums over these rows, which the tasks add up where there are more than
+``HELD_ROWS`` of them. Thresholds are exact to ``STEPS`` of the probability.
 
 Defined cases: null and empty texts have no spans. Positions are code points, the
 end exclusive. A very long text is searched whole, and the time it takes grows with its length
 and, but for sorting, its number of spans. Repeated rows are treated alike. Without a candidate of both
-outcomes in the sample only strict spans are selected. Other columns do not matter.
+outcomes only strict spans are selected. Other columns do not matter.
 """
 
 from __future__ import annotations
@@ -43,7 +46,8 @@ from eventide.llm.common import annotate, prepare, saved
 STRICT = ("email", "ip", "card", "phone")
 LOOSE = ("mail_words", "ip_like", "card_like", "number")
 KINDS = STRICT + LOOSE
-MAX_TRAIN = 20_000
+HELD_ROWS = 50_000  # rows of the training that are held in one place
+STEPS = 1 << 16  # of a probability, for the thresholds
 PRECISION = 0.95
 CONTEXT = 32  # code points looked at on either side
 
@@ -202,75 +206,134 @@ class Model:
         return 1 / (1 + np.exp(-z))
 
 
-def _leaf(x, feature, cut):
-    """Leaf of each row; inner node k has the children 2k + 1 and 2k + 2."""
+def _leaf(x, feature, cut, depth: int = 3):
+    """Leaf of each row, or its node at ``depth``; inner node k has the children 2k + 1 and 2k + 2."""
     node = np.zeros(len(x), np.int64)
-    for _ in range(3):
+    for _ in range(depth):
         node = 2 * node + 1 + (x[np.arange(len(x)), feature[node]] > cut[node])
-    return node - 7
+    return node - (2**depth - 1)
 
 
-def _grow(x, grad, curve, cuts):
-    """A tree on gradients; the best cut of each node by gain."""
-    feature, cut = np.zeros(7, np.int64), np.full(7, np.inf)
-    node = np.zeros(len(x), np.int64)
-    for depth in range(3):
-        for k in range(2**depth - 1, 2 ** (depth + 1) - 1):
-            rows = np.flatnonzero(node == k)
-            g, h, best = grad[rows].sum(), curve[rows].sum(), 1e-6
-            for f, values in enumerate(cuts):
-                if not len(values) or not len(rows):
-                    continue
-                place = np.searchsorted(values, x[rows, f])  # values[place - 1] < x
-                gl = np.cumsum(np.bincount(place, grad[rows], len(values) + 1))[:-1]
-                hl = np.cumsum(np.bincount(place, curve[rows], len(values) + 1))[:-1]
-                gain = gl**2 / (hl + 1) + (g - gl) ** 2 / (h - hl + 1) - g**2 / (h + 1)
-                gain[(hl < 1) | (h - hl < 1)] = 0
-                if gain.max() > best:
-                    best, feature[k], cut[k] = gain.max(), f, values[int(gain.argmax())]
-        node = 2 * node + 1 + (x[np.arange(len(x)), feature[node]] > cut[node])
-    leaf = node - 7
-    return feature, cut, -0.2 * np.bincount(leaf, grad, 8) / (np.bincount(leaf, curve, 8) + 1)
+def _cuts(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Where a feature is cut: between all of few values, at quantiles of many; ``values`` ascend."""
+    if len(values) <= 32:
+        return values[:-1].astype(float)
+    places = np.linspace(0, 1, 33)[1:-1] * (counts.sum() - 1)
+    ends = np.cumsum(counts)
+    low = values[np.searchsorted(ends, np.floor(places), "right")].astype(float)
+    high = values[np.searchsorted(ends, np.ceil(places), "right")].astype(float)
+    return np.unique(low + (high - low) * (places - np.floor(places)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, kind: np.ndarray, rounds: int = 40, precision: float = PRECISION) -> Model:
-    """Boosted trees for y (0 or 1), and the least threshold of each kind that keeps the precision."""
-    model = Model()
-    if not 0 < y.sum() < len(y):
-        return model
-    apart = np.arange(len(y)) % 4 == 3
-    cuts = []
-    for f in range(x.shape[1]):
-        values = np.unique(x[:, f])
-        cuts.append(values[:-1] if len(values) <= 32 else np.unique(np.quantile(x[:, f], np.linspace(0, 1, 33)[1:-1])))
-    share = y[~apart].mean().clip(1e-3, 1 - 1e-3)
-    model.base = float(np.log(share / (1 - share)))
-    z = np.full(len(y), model.base)
+def _places(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
+    """How many cuts of its feature a value is above."""
+    return np.stack([np.searchsorted(values, x[:, f]) for f, values in enumerate(cuts)], 1).astype(np.uint8)
+
+
+_NO_CUT = 255  # no value is above as many cuts
+
+
+def _logit(places: np.ndarray, base: float, trees: list) -> np.ndarray:
+    z = np.full(len(places), base)
+    for feature, place, leaf in trees:
+        z += leaf[_leaf(places, feature, place)]
+    return z
+
+
+def _sums(places, y, n, base, trees, feature, place, depth, width) -> np.ndarray:
+    """Gradient and curvature by node at ``depth``, feature and place, in whole numbers: the same in any order."""
+    p = 1 / (1 + np.exp(-_logit(places, base, trees)))
+    node = _leaf(places, feature, place, depth) * width
+    out = np.zeros((2, 2**depth, places.shape[1], width), np.int64)
+    for k, value in enumerate((p - y, p * (1 - p))):
+        value = np.rint(value * (1 << 24)) * n
+        for f in range(places.shape[1]):
+            out[k, :, f] = np.bincount(node + places[:, f], value, 2**depth * width).reshape(-1, width).astype(np.int64)
+    return out
+
+
+def _boosted(cuts: list[np.ndarray], base: float, sums, rounds: int) -> list:
+    """Trees on gradients, by place; the best cut of each node by gain. ``sums`` is ``_sums`` over all rows."""
+    trees, width = [], max(map(len, cuts)) + 1
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-z))
-        grad, curve = (p - y)[~apart], (p * (1 - p))[~apart]
-        tree = _grow(x[~apart], grad, curve, cuts)
-        model.trees.append(tree)
-        z += tree[2][_leaf(x, tree[0], tree[1])]
-    p = 1 / (1 + np.exp(-z))
-    model.common = _threshold(p[apart], y[apart], precision)
+        feature, place, leaf = np.zeros(7, np.int64), np.full(7, _NO_CUT), np.zeros(8)
+        for depth in range(3):
+            found = sums(base=base, trees=trees, feature=feature, place=place, depth=depth, width=width) / (1 << 24)
+            feature, place = feature.copy(), place.copy()
+            for node in range(2**depth):
+                k, best = 2**depth - 1 + node, 1e-6
+                g, h = found[:, node, 0].sum(1)
+                left = g, h
+                for f, values in enumerate(cuts):
+                    if not len(values):
+                        continue
+                    gl, hl = np.cumsum(found[:, node, f, : len(values)], 1)
+                    gain = gl**2 / (hl + 1) + (g - gl) ** 2 / (h - hl + 1) - g**2 / (h + 1)
+                    gain[(hl < 1) | (h - hl < 1)] = 0
+                    if gain.max() > best:
+                        at = int(gain.argmax())
+                        best, feature[k], place[k], left = gain[at], f, at, (gl[at], hl[at])
+                if depth == 2:
+                    leaf[2 * node] = -0.2 * left[0] / (left[1] + 1)
+                    leaf[2 * node + 1] = -0.2 * (g - left[0]) / (h - left[1] + 1)
+        trees.append((feature, place, leaf))
+    return trees
+
+
+def _model(cuts, totals, sums, scored, rounds, precision) -> Model:
+    """Model from ``totals`` (rows of label 0 and 1 that are trained on), their ``_sums``, and what ``scored`` says.
+
+    ``scored(base, trees)`` has kind, label, probability and number of the rows set apart.
+    """
+    share = (totals[1] / max(1, sum(totals))).clip(1e-3, 1 - 1e-3)
+    model = Model(base=float(np.log(share / (1 - share))))
+    trees = _boosted(cuts, model.base, sums, rounds)
+    for feature, place, leaf in trees:
+        cut = [np.inf if k == _NO_CUT else cuts[f][k] for f, k in zip(feature, place, strict=True)]
+        model.trees.append((feature, np.array(cut), leaf))
+    kind, y, p, n = scored(model.base, trees)
+    model.common = _threshold(p, y, n, precision)
     for k in np.unique(kind).tolist():
-        mine = apart & (kind == k)
+        mine = kind == k
         if y[mine].any():
-            model.thresholds[k] = _threshold(p[mine], y[mine], precision)
+            model.thresholds[k] = _threshold(p[mine], y[mine], n[mine], precision)
     return model
 
 
-def _threshold(p: np.ndarray, y: np.ndarray, precision: float) -> float:
+def _fit_held(places, y, kind, n, apart, cuts, rounds=40, precision=PRECISION) -> Model:
+    """Model from rows that are all here, ``n`` of each."""
+
+    def sums(**at):
+        return _sums(places[~apart], y[~apart], n[~apart], **at)
+
+    def scored(base, trees):
+        p = 1 / (1 + np.exp(-_logit(places[apart], base, trees)))
+        return kind[apart], y[apart], np.rint(p * STEPS) / STEPS, n[apart]
+
+    totals = np.bincount(y[~apart].astype(int), n[~apart], 2)
+    return _model(cuts, totals, sums, scored, rounds, precision)
+
+
+def fit(x: np.ndarray, y: np.ndarray, kind: np.ndarray, rounds: int = 40, precision: float = PRECISION) -> Model:
+    """Boosted trees for y (0 or 1), and the least threshold of each kind that keeps the precision; without Spark."""
+    if not 0 < y.sum() < len(y):
+        return Model()
+    cuts = [_cuts(*np.unique(x[:, f], return_counts=True)) for f in range(x.shape[1])]
+    n = np.ones(len(y), np.int64)
+    return _fit_held(_places(x, cuts), y, kind, n, np.arange(len(y)) % 4 == 3, cuts, rounds, precision)
+
+
+def _threshold(p: np.ndarray, y: np.ndarray, n: np.ndarray, precision: float) -> float:
     """Halfway between the least probability that keeps the precision and the next one below; 2 if none keeps it."""
     order = np.argsort(-p, kind="stable")
-    good = np.cumsum(y[order]) / np.arange(1, len(order) + 1)
+    p, y, n = p[order], y[order], n[order]
+    good = np.cumsum(y * n) / np.maximum(np.cumsum(n), 1)
     # Equal ones pass together.
-    last = np.append(p[order][1:] != p[order][:-1], True)[: len(order)]
+    last = np.append(p[1:] != p[:-1], True)[: len(order)]
     reached = np.flatnonzero((good >= precision) & last)
     if not len(reached):
         return 2.0
-    return float(p[order][reached[-1]] + np.append(p[order], 0.0)[reached[-1] + 1]) / 2
+    return float(p[reached[-1]] + np.append(p, 0.0)[reached[-1] + 1]) / 2
 
 
 class _Covered:
@@ -312,45 +375,126 @@ def _labels(found: list) -> list[tuple[int, float, list[float]]]:
     return out
 
 
-def train(proposed: DataFrame, max_train: int = MAX_TRAIN) -> Model:
-    """Model from at most ``max_train`` candidates of the rows that ``propose`` has written."""
+def _examples(proposed: DataFrame) -> DataFrame:
+    """What has a label of the rows that ``propose`` has written: kind, label, whether set apart, features, number."""
     rows = proposed.where(F.size("found") > 0)
 
     def listed(batches):
-        kind = pa.struct([("kind", pa.int32()), ("label", pa.float64()), ("features", pa.list_(pa.float32()))])
+        kind = pa.struct([("kind", pa.int32()), ("label", pa.int32()), ("features", pa.binary())])
         for batch in batches:
             out = [
-                [dict(zip(("kind", "label", "features"), c, strict=True)) for c in _labels(row)]
+                [{"kind": k, "label": int(y), "features": np.array(x, np.float32).tobytes()} for k, y, x in _labels(row)]
                 for row in batch.column("found").to_pylist()
             ]
             yield pa.record_batch([batch.column("doc_id"), pa.array(out, pa.list_(kind))], ["doc_id", "c"])
 
-    schema = T.StructType(
-        [
-            rows.schema["doc_id"],
-            T.StructField(
-                "c",
-                T.ArrayType(
-                    T.StructType(
-                        [
-                            T.StructField("kind", T.IntegerType()),
-                            T.StructField("label", T.DoubleType()),
-                            T.StructField("features", T.ArrayType(T.FloatType())),
-                        ]
-                    )
-                ),
-            ),
-        ]
+    example = T.ArrayType(
+        T.StructType(
+            [
+                T.StructField("kind", T.IntegerType()),
+                T.StructField("label", T.IntegerType()),
+                T.StructField("features", T.BinaryType()),
+            ]
+        )
     )
+    schema = T.StructType([rows.schema["doc_id"], T.StructField("c", example)])
     each = rows.select("doc_id", "found").mapInArrow(listed, schema).select("doc_id", F.posexplode("c").alias("nr", "c"))
-    sample = each.orderBy(F.xxhash64("doc_id", "nr"), "doc_id", "nr").limit(max_train).collect()
-    if not sample:
+    apart = (F.pmod(F.xxhash64("doc_id", "nr"), F.lit(4)) == 3).alias("apart")
+    return each.select("c.*", apart).groupBy("kind", "label", "apart", "features").agg(F.count("*").alias("n"))
+
+
+def _gathered(batches, width: int, kind):
+    """Columns of Arrow batches, of many rows at a time; ``features`` as an array of ``width`` columns."""
+    held = []
+
+    def done():
+        rows = pa.Table.from_batches(held)
+        held.clear()
+        x = np.frombuffer(b"".join(rows.column("features").to_pylist()), kind).reshape(-1, width)
+        return x, rows
+
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= HELD_ROWS:
+            yield done()
+    if held:
+        yield done()
+
+
+def _value_counts(examples: DataFrame, width: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Values and their number by feature; a span's 256 code points give few of them."""
+
+    def count(batches):
+        for x, rows in _gathered(batches, width, np.float32):
+            for f in range(width):
+                values, where = np.unique(x[:, f], return_inverse=True)
+                n = np.bincount(where, rows.column("n").to_numpy()).astype(np.int64)
+                columns = [pa.array(np.full(len(values), f), pa.int32()), pa.array(values), pa.array(n)]
+                yield from pa.table(columns, ["f", "value", "n"]).to_batches()
+
+    found = examples.select("features", "n").mapInArrow(count, "f int, value float, n long")
+    found = found.groupBy("f", "value").agg(F.sum("n").alias("n")).toArrow().sort_by([("f", "ascending"), ("value", "ascending")])
+    f, value, n = (found.column(c).to_numpy() for c in found.column_names)
+    return [(value[f == k], n[f == k]) for k in range(width)]
+
+
+def train(proposed: DataFrame) -> Model:
+    """Model from all candidates with a label of the rows that ``propose`` has written."""
+    examples = saved(_examples(proposed), "examples")
+    labels = {row.label for row in examples.select("label").distinct().collect()}
+    if len(labels) < 2:
         return Model()
-    return fit(
-        np.array([r.c.features for r in sample], np.float32),
-        np.array([r.c.label for r in sample]),
-        np.array([r.c.kind for r in sample]),
-    )
+    width = len(features("0", 0, 1))
+    cuts = [_cuts(*counts) for counts in _value_counts(examples, width)]
+
+    def place(batches):
+        for x, rows in _gathered(batches, width, np.float32):
+            placed = pa.array([row.tobytes() for row in _places(x, cuts)], pa.binary())
+            for batch in rows.set_column(rows.column_names.index("features"), "features", placed).to_batches():
+                yield batch
+
+    placed = examples.mapInArrow(place, examples.schema).groupBy("kind", "label", "apart", "features")
+    placed = saved(placed.agg(F.sum("n").alias("n")), "placed")
+    if placed.count() <= HELD_ROWS:
+        rows = placed.toArrow()
+        x = np.frombuffer(b"".join(rows.column("features").to_pylist()), np.uint8).reshape(-1, width)
+        kind, y, n = (rows.column(c).to_numpy() for c in ("kind", "label", "n"))
+        return _fit_held(x, y, kind, n, np.array(rows.column("apart").to_pylist(), bool), cuts)
+    return _fit_spread(placed, cuts)
+
+
+def _fit_spread(placed: DataFrame, cuts: list[np.ndarray], rounds: int = 40, precision: float = PRECISION) -> Model:
+    """As ``_fit_held``, of a table of rows: the tasks add up theirs, and the sums come to the driver."""
+    inside, outside = placed.where("NOT apart").select("label", "features", "n"), placed.where("apart")
+
+    def sums(**at):
+        def run(batches):
+            total = 0
+            for x, rows in _gathered(batches, len(cuts), np.uint8):
+                total = total + _sums(x, rows.column("label").to_numpy(), rows.column("n").to_numpy(), **at)
+            if not np.isscalar(total):
+                yield pa.record_batch([pa.array([total.tobytes()])], ["sums"])
+
+        parts = [np.frombuffer(row.sums, np.int64) for row in inside.mapInArrow(run, "sums binary").collect()]
+        zeros = np.zeros((2, 2 ** at["depth"], len(cuts), at["width"]), np.int64)
+        return sum((part.reshape(zeros.shape) for part in parts), zeros)
+
+    def scored(base, trees):
+        def run(batches):
+            for x, rows in _gathered(batches, len(cuts), np.uint8):
+                p = np.rint(STEPS / (1 + np.exp(-_logit(x, base, trees)))).astype(np.int32)
+                yield from pa.table([*(rows.column(c) for c in ("kind", "label", "n")), pa.array(p)], ["kind", "label", "n", "p"]).to_batches()
+
+        found = outside.mapInArrow(run, "kind int, label int, n long, p int")
+        # At most a row for each kind, label and step.
+        found = found.groupBy("kind", "label", "p").agg(F.sum("n").alias("n")).toArrow()
+        kind, y, p, n = (found.column(c).to_numpy() for c in ("kind", "label", "p", "n"))
+        return kind, y, p / STEPS, n
+
+    totals = np.zeros(2)
+    for row in inside.groupBy("label").agg(F.sum("n").alias("n")).collect():
+        totals[row.label] = row.n
+    return _model(cuts, totals, sums, scored, rounds, precision)
 
 
 def selected(found: list[tuple[int, int, int]], p: np.ndarray, model: Model) -> list[tuple[int, int, int]]:

@@ -196,6 +196,30 @@ def test_loose_personal_data_is_selected(spark):
     assert not any(s.kind in personal_data.LOOSE for r in rows if r.doc_id < 1200 for s in r.spans)
 
 
+def test_personal_data_is_learned_from_all_candidates(spark, monkeypatch):
+    rng = random.Random(9)
+    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    texts = [" and ".join(f"the part {number(rng.randint(7, 11))}" for _ in range(60)) for _ in range(400)]
+    texts += [f"call +{number(3)} {number(3)} {number(rng.randint(3, 5))} or ann{k}@mail.example.org" for k in range(500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    proposed = personal_data.propose(docs)
+    examples = personal_data._examples(proposed)
+    assert examples.agg(F.sum("n")).first()[0] == 400 * 60 + 2 * 500
+    held = personal_data.train(proposed)
+    # The same rows, added up by the tasks, give the same model.
+    monkeypatch.setattr(personal_data, "HELD_ROWS", 50)
+    spread = personal_data.train(proposed)
+    assert held.base == spread.base and held.thresholds == spread.thresholds and held.common == spread.common
+    assert all(np.array_equal(a, b) for x, y in zip(held.trees, spread.trees, strict=True) for a, b in zip(x, y, strict=True))
+    assert len(held.trees) == 40
+
+
+def test_cuts_are_quantiles_of_all_values():
+    x = np.random.default_rng(3).integers(0, 90, 5000).astype(np.float32)
+    want = np.unique(np.quantile(x, np.linspace(0, 1, 33)[1:-1]))
+    assert np.allclose(personal_data._cuts(*np.unique(x, return_counts=True)), want)
+
+
 def test_overlaps_of_very_many_spans():
     rng = random.Random(4)
     spans = sorted({(a, a + rng.randint(1, 9)) for a in (rng.randrange(3000) for _ in range(300))})
