@@ -311,8 +311,19 @@ def _best_threshold(scores, y, weight) -> float:
     return float((s[k] + (s[k + 1] if k + 1 < len(s) else 0)) / 2)
 
 
-def _encoded(rows: DataFrame, parts: int) -> DataFrame:
-    """A table of the word buckets of ``rows`` (``i, y, lang, text``) with their fold, in ``parts`` ordered by hash."""
+def _to_bytes(ids: np.ndarray) -> bytes:
+    """Buckets in three bytes each."""
+    return np.ascontiguousarray(ids, "<i4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
+def _from_bytes(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // 3, 4), np.uint8)
+    wide[:, :3] = np.frombuffer(data, np.uint8).reshape(-1, 3)
+    return wide.view("<i4").ravel()
+
+
+def _encoded(docs: DataFrame, known: DataFrame, parts: int) -> DataFrame:
+    """A table of the labelled rows' word buckets and folds, in ``parts`` ordered by hash; ``docs`` has ``i, lang, text``."""
 
     def encode(batches):
         for batch in batches:
@@ -321,12 +332,12 @@ def _encoded(rows: DataFrame, parts: int) -> DataFrame:
                 ids, firsts = word_ids(data, offsets)
                 lasts = np.append(firsts[1:], len(ids)) - max(WIDTHS)
                 # A word's order and place matter to the filters, so all of them are kept.
-                out += [ids[a:b].tobytes() for a, b in zip(firsts.tolist(), lasts.tolist(), strict=True)]
-            columns = [batch.column(c) for c in ("i", "y", "lang")]
-            yield pa.record_batch([*columns, pa.array(out, pa.binary())], ["i", "y", "lang", "ids"])
+                out += [_to_bytes(ids[a:b]) for a, b in zip(firsts.tolist(), lasts.tolist(), strict=True)]
+            yield pa.record_batch([batch.column("i"), batch.column("lang"), pa.array(out, pa.binary())], ["i", "lang", "ids"])
 
-    kind = T.StructType([*rows.select("i", "y", "lang").schema.fields, T.StructField("ids", T.BinaryType())])
-    dealt = rows.mapInArrow(encode, kind).select(
+    kind = T.StructType([docs.schema["i"], docs.schema["lang"], T.StructField("ids", T.BinaryType())])
+    # Buckets are smaller than texts, so they are what the join moves; there may be as many labels as documents.
+    dealt = docs.where("i IS NOT NULL").mapInArrow(encode, kind).join(known.hint("shuffle_hash"), "i").select(
         F.pmod(F.xxhash64(F.lit(1), "i"), F.lit(parts)).cast("int").alias("part"),
         F.pmod(F.xxhash64("i"), F.lit(FOLDS)).cast("int").alias("fold"),
         F.col("y").cast("int").alias("y"),
@@ -342,12 +353,12 @@ def _counted(encoded: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The buckets in enough documents, and their documents by fold and label."""
 
     def count(batches):
-        counts = np.zeros((FOLDS * 2, 1 << BITS), np.int64)
+        counts = np.zeros((FOLDS * 2, 1 << BITS), np.int32)
         for batch in batches:
             for row in batch.to_pylist():
-                counts[2 * row["fold"] + row["y"], np.unique(np.frombuffer(row["ids"], np.int32))] += 1
+                counts[2 * row["fold"] + row["y"], np.unique(_from_bytes(row["ids"]))] += 1
         group, bucket = np.nonzero(counts)
-        columns = [pa.array(bucket, pa.int32()), pa.array(group, pa.int32()), pa.array(counts[group, bucket])]
+        columns = [pa.array(bucket, pa.int32()), pa.array(group, pa.int32()), pa.array(counts[group, bucket].astype(np.int64))]
         yield from pa.table(columns, ["bucket", "group", "n"]).to_batches()
 
     found = encoded.select("fold", "y", "ids").mapInArrow(count, "bucket int, group int, n long")
@@ -391,7 +402,7 @@ def _round(encoded: DataFrame, known: np.ndarray, states: dict[int, np.ndarray],
                         net = _unpacked(known, state)
                         net.start()
                         part, held = row["part"], 0
-                    texts.append(np.frombuffer(row["ids"], np.int32))
+                    texts.append(_from_bytes(row["ids"]))
                     y.append(row["y"])
                     held += len(texts[-1])
                     if held > HELD_WORDS:
@@ -428,7 +439,7 @@ def _counted_logits(encoded: DataFrame, known: np.ndarray, states: dict[int, np.
                 z = np.zeros(batch.num_rows)
                 if state is not None:
                     model = model or _unpacked(known, state).model()
-                    z = _logits(model, [np.frombuffer(x, np.int32) for x in batch.column("ids").to_pylist()])
+                    z = _logits(model, [_from_bytes(x) for x in batch.column("ids").to_pylist()])
                 steps = np.rint(z.clip(-MAX_LOGIT, MAX_LOGIT) * STEPS).astype(np.int32)
                 yield pa.record_batch([batch.column("lang"), batch.column("y"), pa.array(steps)], ["lang", "y", "z"])
 
@@ -454,10 +465,10 @@ def train(
     if len(totals) < 2:
         return Model(constant=float(1 in totals))
     share = totals[1] / (totals[0] + totals[1])
-    rows = docs.select(F.col(doc_id).alias("i"), F.col(lang).alias("lang"), F.col(text).alias("text")).join(known, "i")
+    rows = docs.select(F.col(doc_id).alias("i"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     # The ids alone are read for this.
-    parts = max(1, -(-rows.select("i").count() // PART_ROWS))
-    encoded = _encoded(rows.select("i", "y", "lang", "text"), parts)
+    parts = max(1, -(-rows.select("i").join(known, "i").count() // PART_ROWS))
+    encoded = _encoded(rows, known, parts)
     found = np.zeros((FOLDS, 2), int)
     for row in encoded.groupBy("fold", "y").count().collect():
         found[row.fold, row.y] = row["count"]

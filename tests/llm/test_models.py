@@ -75,6 +75,11 @@ def test_toxicity_learns_from_long_texts(spark, monkeypatch):
     assert min(found[i] for i in found if i % 3 == 0) > max(found[i] for i in found if i % 3)
 
 
+def test_buckets_come_back_from_bytes():
+    for ids in ([], [0], [(1 << toxicity.BITS) - 1, 5, 70_000]):
+        assert toxicity._from_bytes(toxicity._to_bytes(np.array(ids, np.int32))).tolist() == ids
+
+
 def test_responses_in_pieces_are_the_same(monkeypatch):
     rng = np.random.default_rng(5)
     known = np.arange(50)
