@@ -399,8 +399,17 @@ def _examples(proposed: DataFrame) -> DataFrame:
     )
     schema = T.StructType([rows.schema["doc_id"], T.StructField("c", example)])
     each = rows.select("doc_id", "found").mapInArrow(listed, schema).select("doc_id", F.posexplode("c").alias("nr", "c"))
-    apart = (F.pmod(F.xxhash64("doc_id", "nr"), F.lit(4)) == 3).alias("apart")
-    return each.select("c.*", apart).groupBy("kind", "label", "apart", "features").agg(F.count("*").alias("n"))
+    # Every fourth row in the order of a hash is set apart, so also few rows are shared out evenly.
+    ordered = each.orderBy(F.xxhash64("doc_id", "nr"), "doc_id", "nr")
+    ordered = saved(ordered.select("c.*", F.monotonically_increasing_id().alias("at")), "ordered")
+    part, starts, before = F.shiftright("at", 33), [], 0
+    for row in sorted(ordered.groupBy(part.alias("part")).count().collect()):
+        starts += [F.lit(row.part), F.lit(before % 4)]
+        before += row["count"]
+    place = F.element_at(F.create_map(*starts), part) + F.col("at") % 4 if starts else F.lit(0)
+    return ordered.select("kind", "label", "features", (place % 4 == 3).alias("apart")).groupBy(
+        "kind", "label", "apart", "features"
+    ).agg(F.count("*").alias("n"))
 
 
 def _gathered(batches, width: int, kind):
