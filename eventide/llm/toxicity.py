@@ -30,6 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ from pyspark.sql import types as T
 from eventide.llm.common import LOWER, annotate, byte_slices, prepare, saved, word_table, words
 
 PART_ROWS = 8192  # labelled rows that train one copy of the network
+PART_DOCS = 8 * PART_ROWS  # documents, labelled or not, that the join may bring to a part
 HELD_WORDS = 2_000_000  # words of a part that are held at a time
 PIECE_WORDS = 1 << 17  # words that responses are held of at a time
 BITS = 20  # buckets that words are hashed into; those of known words have an embedding
@@ -53,6 +55,9 @@ FOLDS = 3
 STEPS, MAX_LOGIT = 256, 30  # steps of the logits that are counted
 IS_WORD = word_table([(0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F)])
 
+# Whether sides that are dealt by some of a join's keys are dealt again by all of them.
+ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
+
 FIELDS = [T.StructField("score", T.DoubleType())]
 
 
@@ -60,8 +65,9 @@ FIELDS = [T.StructField("score", T.DoubleType())]
 class Model:
     """Trained network, its calibration and thresholds."""
 
-    rows: np.ndarray | None = None  # row of the embedding by bucket; the last two: unknown words, blanks
-    tables: list[np.ndarray] = field(default_factory=list)  # one per width: offset, row, filter
+    known: np.ndarray | None = None  # buckets of the embedding's rows; the last two rows: unknown words, blanks
+    embedding: np.ndarray | None = None
+    filters: list[np.ndarray] = field(default_factory=list)  # one per width: offset, dimension, filter
     bias: list[np.ndarray] = field(default_factory=list)
     out: np.ndarray | None = None
     constant: float = 0.0
@@ -69,6 +75,20 @@ class Model:
     thresholds: dict[str, float] = field(default_factory=dict)
     threshold: float = 0.5
 
+    # Made from the others where the model is used: they are several times as large, and each executor gets a copy.
+    @cached_property
+    def rows(self) -> np.ndarray:
+        """Row of the embedding by bucket."""
+        return _rows(self.known)
+
+    @cached_property
+    def tables(self) -> list[np.ndarray]:
+        """What a word adds to each filter, one per width: offset, row, filter."""
+        return [np.stack([self.embedding @ k for k in kernel]) for kernel in self.filters]
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("rows", "tables")}
+
     def pooled(self, ids: np.ndarray, firsts: np.ndarray) -> np.ndarray:
         """Largest response of every filter in each text; ``ids`` of texts end with ``max(WIDTHS)`` blanks."""
         parts, ids = [], self.rows[ids]
@@ -112,7 +132,7 @@ class _Net:
     def __init__(self, known: np.ndarray, odds: np.ndarray, seed: int):
         rng = np.random.default_rng(seed)
         # Rare words would only be learned by heart: they share a row of zeros.
-        self.n = len(known)
+        self.n, self.known = len(known), known
         self.rows = _rows(known)
         self.p = {"e": rng.normal(0, 0.05, (self.n + 2, DIMENSION)).astype(np.float32)}
         self.p["e"][: self.n, 0] = odds
@@ -224,8 +244,8 @@ class _Net:
                 self.step(*_batch([texts[i] for i in rows]), y[rows], RATE * (1 - epoch / of) + RATE / 10)
 
     def model(self) -> Model:
-        tables = [np.stack([self.p["e"] @ self.p[f"k{w}"][k] for k in range(w)]) for w in WIDTHS]
-        return Model(self.rows, tables, [self.p[f"b{w}"] for w in WIDTHS], self.p["o"])
+        filters, bias = [self.p[f"k{w}"] for w in WIDTHS], [self.p[f"b{w}"] for w in WIDTHS]
+        return Model(self.known, self.p["e"], filters, bias, self.p["o"])
 
 
 def _unpacked(known: np.ndarray, state: np.ndarray) -> _Net:
@@ -337,16 +357,35 @@ def _encoded(docs: DataFrame, known: DataFrame, parts: int) -> DataFrame:
 
     kind = T.StructType([docs.schema["i"], docs.schema["lang"], T.StructField("ids", T.BinaryType())])
     # Buckets are smaller than texts, so they are what the join moves; there may be as many labels as documents.
-    dealt = docs.where("i IS NOT NULL").mapInArrow(encode, kind).join(known.hint("shuffle_hash"), "i").select(
-        F.pmod(F.xxhash64(F.lit(1), "i"), F.lit(parts)).cast("int").alias("part"),
-        F.pmod(F.xxhash64("i"), F.lit(FOLDS)).cast("int").alias("fold"),
-        F.col("y").cast("int").alias("y"),
-        F.col("lang").cast("string").alias("lang"),
-        "ids",
-        "i",
-    )
+    deal = F.pmod(F.xxhash64(F.lit(1), "i"), F.lit(parts)).cast("int").alias("part")
+    coded, known = docs.where("i IS NOT NULL").mapInArrow(encode, kind).select("*", deal), known.select("*", deal)
     order = ["part", F.xxhash64(F.lit(2), "i"), "i", "y", "ids"]
-    return saved(dealt.repartition(parts, "part").sortWithinPartitions(*order).drop("i"), "encoded")
+
+    def dealt(joined: DataFrame) -> DataFrame:
+        return joined.select(
+            "part",
+            F.pmod(F.xxhash64("i"), F.lit(FOLDS)).cast("int").alias("fold"),
+            F.col("y").cast("int").alias("y"),
+            F.col("lang").cast("string").alias("lang"),
+            "ids",
+            "i",
+        )
+
+    if docs.select("i").count() > PART_DOCS * parts:
+        # Few rows have labels: the join spreads all of them by id, and the labelled ones alone go to their parts.
+        rows = dealt(coded.join(known.hint("shuffle_hash"), ["part", "i"])).repartition(parts, "part")
+        return saved(rows.sortWithinPartitions(*order).drop("i"), "encoded")
+    # Both sides go to the parts at once, which is where the join finds them: the buckets move only once. With fewer
+    # partitions than usual Spark would deal them again; the more there are, the fewer hold several parts.
+    conf = docs.sparkSession.conf
+    before, spread = conf.get(ALL_KEYS), max(parts, int(conf.get("spark.sql.shuffle.partitions")))
+    conf.set(ALL_KEYS, "false")
+    try:
+        known = known.repartition(spread, "part").hint("shuffle_hash")
+        rows = dealt(coded.repartition(spread, "part").join(known, ["part", "i"]))
+        return saved(rows.sortWithinPartitions(*order).drop("i"), "encoded")
+    finally:
+        conf.set(ALL_KEYS, before)
 
 
 def _counted(encoded: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -372,11 +411,13 @@ def _counted(encoded: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _round(encoded: DataFrame, known: np.ndarray, states: dict[int, np.ndarray], epochs: Sequence[int], of: int):
     """The networks ``states``, by the fold they do not see, after each part has trained them on for ``epochs``."""
-    outputs = None
+    outputs, sent = None, []
     for fold, state in states.items():
+        sent.append(encoded.sparkSession.sparkContext.broadcast((known, state)))
 
-        def learn(batches, fold=fold, state=state):
+        def learn(batches, fold=fold, sent=sent[-1]):
             net, part, texts, y = None, None, [], []
+            known, state = sent.value
 
             def work():
                 if texts:
@@ -416,6 +457,8 @@ def _round(encoded: DataFrame, known: np.ndarray, states: dict[int, np.ndarray],
         outputs = out if outputs is None else outputs.unionByName(out)
     mean = [(F.sum(c) / F.count("*") / (1 << 32)).cast("float").alias(c) for c in _CHANGE]
     change = saved(outputs.groupBy("net", "row").agg(*mean), "change")
+    for copy in sent:
+        copy.destroy()  # its files would stay until the end
     out = {}
     for fold, state in states.items():
         # A row for each known word, of which there are at most as many as buckets.

@@ -1,9 +1,11 @@
 """Toxicity and language on held-out rows, and the pipeline."""
 
 import random
+import re
 
 import numpy as np
 from brute import SCHEMA, no_docs, odd_docs
+from pyspark.sql import functions as F
 
 from eventide.llm import language, toxicity
 
@@ -95,6 +97,32 @@ def test_responses_in_pieces_are_the_same(monkeypatch):
         assert (places >= firsts[:, None]).all() and (places < np.append(firsts[1:], len(ids))[:, None]).all()
 
 
+def test_toxicity_moves_the_buckets_once(spark, monkeypatch):
+    rows = [(i, "en", f"w{i % 7} w{i % 5} " * (i % 4)) for i in range(200)] + [(None, "en", "x"), (3, None, None)]
+    docs = spark.createDataFrame(rows, "i long, lang string, text string").repartition(3)
+    known = spark.createDataFrame([(i, i % 2) for i in range(0, 260, 2)] + [(4, 1), (4, 1)], "i long, y int")
+    plans, kept = [], toxicity.saved
+
+    def saved(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, name)
+
+    monkeypatch.setattr(toxicity, "saved", saved)
+    before = spark.conf.get(toxicity.ALL_KEYS)
+    first = toxicity._encoded(docs, known, 3)
+    once = first.collect()
+    # Each part lies in one file, in order.
+    files = first.select("part", F.input_file_name().alias("file")).distinct().collect()
+    assert sorted(row.part for row in files) == [0, 1, 2]
+    assert spark.conf.get(toxicity.ALL_KEYS) == before
+    monkeypatch.setattr(toxicity, "PART_DOCS", 0)  # as if few documents had labels
+    twice = toxicity._encoded(docs, known, 3).collect()
+    order = lambda row: (row.part, row.fold, row.y, row.lang or "", row.ids)
+    assert sorted(once, key=order) == sorted(twice, key=order) and len(once) == 102
+    assert [plan.count("Exchange hashpartitioning") for plan in plans] == [2, 3]
+    assert len(re.findall(r"Exchange hashpartitioning\(part#\d+, \d+\)", plans[0])) == 2
+
+
 def test_toxicity_without_labels(spark):
     docs = odd_docs(spark)
     none = spark.createDataFrame([], "doc_id long, toxic int")
