@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import pickle
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
 
@@ -22,6 +23,8 @@ from eventide.session import ship_package
 LIFETIME = timedelta(days=3)
 #: Rows a task holds before it cuts them down.
 HELD_ROWS = 50_000
+#: Buckets that the keys of a day are dealt into; those of one are a single value of state.
+BUCKETS = 256
 
 
 def click_limit_stream(
@@ -37,8 +40,8 @@ def click_limit_stream(
     Clicks count in the order of micro-batches, and by ``order`` within one. A key and
     UTC day has one number of state, which goes ``lifetime`` after it was last raised:
     no event time can take it away, and no click is dropped for being late. A batch
-    reads and writes the keys it holds and no others. At most ``limit + 1`` clicks of a
-    key and day leave a task.
+    reads and writes the ``BUCKETS`` of the keys and days it holds and no others. At most
+    ``limit + 1`` clicks of a key and day leave a task.
 
     Rows without a value in the last of the ``keys``, the ad, are no clicks. For each task a
     row comes along that has nothing but the newest time of all its rows and no ``kind``.
@@ -50,7 +53,8 @@ def click_limit_stream(
     first = dated.mapInArrow(_first_of_each(list(keys), group, by, limit + 1, ts), dated.schema)
     output = T.StructType([*clicks.schema.fields, T.StructField("kind", T.StringType())])
     limiter = _Limiter(limit, by, list(keys), clicks.columns, millis(lifetime))
-    return first.groupBy(*group).transformWithState(limiter, output, "Append", "ProcessingTime")
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).alias("_bucket")
+    return first.select("*", bucket).groupBy("_day", "_bucket").transformWithState(limiter, output, "Append", "ProcessingTime")
 
 
 def _first_of_each(keys, group, by, n, ts):
@@ -90,28 +94,52 @@ def _first_of_each(keys, group, by, n, ts):
 
 
 class _Limiter(StatefulProcessor):
-    """How many clicks a key has made on a day, up to one above the limit."""
+    """How many clicks each key of a bucket has made on a day, up to one above the limit.
+
+    The keys of a bucket are one value of state, so that a batch asks for it once and not for
+    each key. A key's number goes with the time it was last raised.
+    """
 
     def __init__(self, limit: int, by: list[str], keys: list[str], columns: list[str], lifetime_ms: int):
-        self.limit, self.by, self.keys, self.columns, self.lifetime_ms = limit, by, keys, columns, lifetime_ms
+        self.limit, self.lifetime_ms = limit, lifetime_ms
+        self.keys, self.by = [columns.index(c) for c in keys], [columns.index(c) for c in by]
+        self.width, self.made = len(columns), Row(*columns, "kind")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.clicks = handle.getValueState("clicks", "n long", ttlDurationMs=self.lifetime_ms)
+        self.clicks = handle.getValueState("clicks", "held binary", ttlDurationMs=self.lifetime_ms)
+
+    def _in_order(self, row: tuple) -> list:
+        return [(row[k] is not None, row[k]) for k in self.by]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        if key[len(self.keys) - 1] is None:
-            for row in rows:
-                yield Row(**{c: row[c] for c in self.columns}, kind=None)
+        found: dict[tuple, list[tuple]] = {}
+        most = self.limit + 1
+        for row in rows:
+            row = tuple(row)[: self.width]
+            of = tuple([row[k] for k in self.keys])
+            if of[-1] is None:
+                yield self.made(*row, None)
+                continue
+            mine = found.setdefault(of, [])
+            mine.append(row)
+            if len(mine) >= 8 * most:
+                found[of] = heapq.nsmallest(most, mine, key=self._in_order)
+        if not found:
             return
-        held = self.clicks.get()
-        seen = held[0] if held else 0
-        in_order = lambda row: [(row[c] is not None, row[c]) for c in self.by]
-        first = heapq.nsmallest(self.limit + 1 - seen, rows, key=in_order)
-        if first:
-            self.clicks.update((seen + len(first),))
-        for nth, row in enumerate(first, seen + 1):
-            kind = limits.PASSED if nth <= self.limit else limits.WARNING
-            yield Row(**{c: row[c] for c in self.columns}, kind=kind)
+        now, held = timerValues.getCurrentProcessingTimeInMs(), self.clicks.get()
+        known = pickle.loads(held[0]) if held else {}
+        known = {of: x for of, x in known.items() if x[1] + self.lifetime_ms > now}
+        raised = False
+        for of, mine in found.items():
+            seen = known[of][0] if of in known else 0
+            if seen >= most:
+                continue
+            first = mine if len(mine) == 1 else heapq.nsmallest(most - seen, mine, key=self._in_order)
+            known[of], raised = (seen + len(first), now), True
+            for nth, row in enumerate(first, seen + 1):
+                yield self.made(*row, limits.PASSED if nth <= self.limit else limits.WARNING)
+        if raised:
+            self.clicks.update((pickle.dumps(known),))
 
     def close(self) -> None:
         pass
