@@ -32,8 +32,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoned(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
 
 
-#: Rows of a file of a feed.
-FEED_FILE_ROWS = 2_000_000
+#: Rows of a file of a feed: each is read by a task of its own.
+FEED_FILE_ROWS = 100_000
 
 
 def write_feed(spark: SparkSession, sf_dir: str, folder: str, batches: int = 8, late_ms: int = 0) -> int:
@@ -57,12 +57,21 @@ def write_feed(spark: SparkSession, sf_dir: str, folder: str, batches: int = 8,
         if high is not None:
             inside &= moved < high
         # One batch after the other, since a stream takes files by their age.
-        rows.where(inside).repartition(files).write.parquet(f"{folder}/{k:04}")
+        _write_batch(rows.where(inside), f"{folder}/{k:04}", files)
     end = connectors.end_of_input(spark, EVENTS, (newest or 0) + 2 * 86_400_000)
     end.coalesce(1).write.parquet(f"{folder}/{batches:04}")
     return files
 
 
+def _write_batch(rows: DataFrame, path: str, files: int) -> None:
+    """Write one batch of a feed as exactly ``files`` files, as the stream takes that many at a time."""
+    rows.repartition(files).write.parquet(path)
+    there = rows.sparkSession.read.schema(EVENTS).parquet(path)
+    # A task without rows writes none.
+    for _ in range(files - len(there.inputFiles())):
+        there.limit(0).coalesce(1).write.mode("append").parquet(path)
+
+
 def write_even_feed(
     spark: SparkSession, sf_dir: str, folder: str, batches: int = 8, late_ms: int = 0, ended: bool = True
 ) -> int:
@@ -78,7 +87,7 @@ def write_even_feed(
     files = max(1, -(-total // batches // FEED_FILE_ROWS))
     part = F.floor((moved - (first or 0)) * batches / ((last or 0) - (first or 0) + 1))
     for k in range(batches):
-        rows.where(part == k).repartition(files).write.parquet(f"{folder}/{k:04}")
+        _write_batch(rows.where(part == k), f"{folder}/{k:04}", files)
     if ended:
         end = connectors.end_of_input(spark, EVENTS, (newest or 0) + 2 * 86_400_000)
         end.coalesce(1).write.parquet(f"{folder}/{batches:04}")
