@@ -9,7 +9,8 @@ removed only by a batch after the one whose note no longer lists them.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,21 @@ from pyspark.sql import functions as F
 #: Increments that are put together into one, so that few folders are read.
 FOLD = 16
 
+PARTITIONS = "spark.sql.shuffle.partitions"
+#: Rows of a task. A table's number of partitions is far too large for the shuffles of a small batch.
+TASK_ROWS = 50_000
+
+
+@contextmanager
+def partitions_for(spark: SparkSession, rows: int, task_rows: int = TASK_ROWS) -> Iterator[None]:
+    """Shuffles that are planned inside have as many partitions as ``rows`` fill, and as configured at most."""
+    most = spark.conf.get(PARTITIONS)
+    spark.conf.set(PARTITIONS, str(max(1, min(int(most), -(-rows // task_rows)))))
+    try:
+        yield
+    finally:
+        spark.conf.set(PARTITIONS, most)
+
 
 class Note:
     """A small record of a stream as a JSON file, written without a Spark job."""
@@ -77,7 +93,14 @@ class Increments:
         """Write an increment that has nothing after ``newest``; its entry for the note, and its rows as written."""
         name = f"batch={batch_id}"
         rows.coalesce(_files(rows)).write.mode("overwrite").parquet(f"{self.folder}/{name}")
-        return {"name": name, "newest": newest, "folded": False}, self._rows(rows.sparkSession, [name])
+        written = self._rows(rows.sparkSession, [name])
+        return {"name": name, "newest": newest, "folded": False, "rows": written.count()}, written
+
+    @staticmethod
+    def size(note: dict, oldest: int | None = None) -> int:
+        """Rows that ``read`` has."""
+        parts = note.get("parts", [])
+        return sum(p.get("rows", 0) for p in parts if oldest is None or p["newest"] > oldest)
 
     def listed(self, spark: SparkSession, batch_id: int, note: dict, entry: dict, oldest: int) -> dict:
         """Parts of the next note: those with rows after ``oldest``, folded if they are many."""
@@ -93,7 +116,8 @@ class Increments:
             name = f"fold={batch_id}"
             total.hint("rebalance").write.mode("overwrite").parquet(f"{self.folder}/{name}")
             parts = [p for p in parts if p["folded"]]
-            parts.append({"name": name, "newest": max(p["newest"] for p in small), "folded": True})
+            rows = self._rows(spark, [name]).count()
+            parts.append({"name": name, "newest": max(p["newest"] for p in small), "folded": True, "rows": rows})
         kept = {p["name"] for p in parts}
         dropped = [p["name"] for p in [*before, entry] if p["name"] not in kept]
         return {"parts": parts, "dropped": dropped}
@@ -127,9 +151,10 @@ def remove(spark: SparkSession, name: str) -> None:
     fs.delete(path, True)
 
 
-def newest_time(batch: DataFrame, ts: str = "ts") -> int | None:
-    """Newest event time of a batch in epoch milliseconds; None if it has no row with a time."""
-    return batch.agg(F.unix_millis(F.max(ts)).alias("newest")).first().newest
+def newest_time(batch: DataFrame, ts: str = "ts") -> tuple[int | None, int]:
+    """Newest event time of a batch in epoch milliseconds (None if it has no row with a time), and its rows."""
+    found = batch.agg(F.unix_millis(F.max(ts)).alias("newest"), F.count("*").alias("rows")).first()
+    return found.newest, found.rows
 
 
 def later(*times: int | None) -> int | None:

@@ -128,8 +128,8 @@ def hot_urls(
     def as_report(ranked: DataFrame) -> DataFrame:
         return ranking.ranking_report(ranked, "url", **jobs.URL_REPORT)
 
-    write = sinks.write_all(
-        sinks.write_rows(f"{folder}/counts"),
+    write = sinks.write_and_pass(
+        f"{folder}/counts",
         sinks.write_top_n(
             result_path(folder),
             n,

@@ -53,7 +53,7 @@ def _in_batches(
     def match(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         note = notes.read(spark, batch_id)
-        now = later(note.get("seen"), newest_time(batch, ts))
+        now = later(note.get("seen"), newest_time(batch, ts)[0])
         clock = now if now is not None else 0
         old = waiting.read(spark, note).groupBy("order_id", "at", "step").agg(F.sum("n").alias("n")).where("n > 0")
         known = orders.counted_steps(batch).withColumn("was", F.lit(0).cast("long"))

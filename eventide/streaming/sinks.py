@@ -120,16 +120,18 @@ def write_rows(path: str) -> BatchWriter:
     return write
 
 
-def write_all(*writers: BatchWriter) -> BatchWriter:
-    """Several outputs of one stream; the rows are made once."""
+def write_and_pass(path: str, *writers: BatchWriter) -> BatchWriter:
+    """Keep all rows as ``write_rows``, in files as they are made, and hand on what was kept.
+
+    For many rows: they are made once, and neither moved nor held to be written.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            for writer in writers:
-                writer(batch, batch_id)
-        finally:
-            batch.unpersist()
+        kept = f"{path}/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(kept)
+        rows = batch.sparkSession.read.schema(batch.schema).parquet(kept)
+        for writer in writers:
+            writer(rows, batch_id)
 
     return write
 

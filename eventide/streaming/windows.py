@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.functions.times import interval_text, millis
-from eventide.operators.windows import pane_count, slide_panes, sliding_count, tumbling_end, window_ends
-from eventide.streaming.carry import Increments, Note, later, newest_time
+from eventide.operators.windows import pane_count, slide_panes, tumbling_end, window_ends
+from eventide.streaming.carry import Increments, Note, later, newest_time, partitions_for
 from eventide.streaming.sinks import BatchWriter, Handler
 
 NO_DELAY = timedelta(0)
 
+#: Counts of windows that a task makes; they are made in its last step, from far fewer panes.
+TASK_COUNTS = 200_000
+
 
 def with_watermark(df: DataFrame, delay: timedelta = NO_DELAY, ts: str = "ts") -> DataFrame:
     """Event time that may arrive ``delay`` late; 0 for ascending times."""
@@ -103,41 +106,47 @@ def sliding_in_batches(
 
     def count(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        note, newest = notes.read(spark, batch_id), newest_time(batch, ts)
+        note = notes.read(spark, batch_id)
+        newest, rows = newest_time(batch, ts)
         before = note.get("seen")
         now = later(before, newest)
-        counted = prepare(batch, batch_id) if prepare else batch
-        if late:
-            low = None if before is None else before - delay_ms - late_ms
-            late(too_late(counted, size, slide, low, ts), batch_id)
-        last_pane = None if newest is None else newest + millis(slide)
-        entry, new = panes.append(pane_count(counted, keys, slide, ts), batch_id, last_pane)
         closed = (now if now is not None else 0) - delay_ms
         was = None if before is None else before - delay_ms
         low = None if was is None else was - late_ms
-        old = panes.read(spark, note, None if low is None else low - size_ms).withColumn("new", F.lit(0).cast("long"))
-        known = new.withColumn("new", F.col("count")).unionByName(old)
+        oldest = None if low is None else low - size_ms
+        with partitions_for(spark, rows):
+            counted = prepare(batch, batch_id) if prepare else batch
+            if late:
+                late(too_late(counted, size, slide, low, ts), batch_id)
+            last_pane = None if newest is None else newest + millis(slide)
+            entry, new = panes.append(pane_count(counted, keys, slide, ts), batch_id, last_pane)
         within = end <= F.lit(closed)
-        if low is not None:
-            within &= end > F.lit(low - size_ms)
-        known = known.where(within).groupBy(*keys, "pane_end")
-        known = known.agg(F.sum("count").alias("count"), F.sum("new").alias("new"))
-        again = late_ms and was is not None
-        known = known.persist() if again else known
-        try:
-            counts = slide_panes(known, keys, size, slide, ["count", "new"], low, closed)
-            if again:
-                # Windows handed on before go again if some key has a new row.
-                told = F.col("window_end") <= was
-                changed = counts.where(told & (F.col("new") > 0)).select("window_end").distinct()
-                counts = counts.where(~told).unionByName(
-                    counts.where(told).join(changed, "window_end", "left_semi").select(*counts.columns)
-                )
-            write(counts.select(*keys, "window_end", "count"), batch_id)
-        finally:
-            if again:
-                known.unpersist()
-        parts = panes.listed(spark, batch_id, note, entry, closed - late_ms - size_ms)
+        if oldest is not None:
+            within &= end > F.lit(oldest)
+        old = panes.read(spark, note, oldest).withColumn("new", F.lit(0).cast("long"))
+        known = new.withColumn("new", F.col("count")).unionByName(old).where(within)
+        with partitions_for(spark, _most_counts(known, keys, size, slide), TASK_COUNTS):
+            known = known.groupBy(*keys, "pane_end")
+            known = known.agg(F.sum("count").alias("count"), F.sum("new").alias("new"))
+            again = late_ms and was is not None
+            known = known.persist() if again else known
+            try:
+                fresh = known.where(end > F.lit(was - size_ms)) if again else known
+                counts = slide_panes(fresh, keys, size, slide, low=was, high=closed)
+                if again:
+                    # Windows handed on before go again if some key has a new row.
+                    near = known.where(end <= F.lit(was))
+                    with partitions_for(spark, near.count() * max(1, late_ms // millis(slide)), TASK_COUNTS):
+                        told = slide_panes(near, keys, size, slide, ["count", "new"], low, was)
+                    changed = told.where(F.col("new") > 0).select("window_end").distinct()
+                    told = told.join(changed, "window_end", "left_semi").select(*counts.columns)
+                    counts = counts.unionByName(told)
+                write(counts.select(*keys, "window_end", "count"), batch_id)
+            finally:
+                if again:
+                    known.unpersist()
+        with partitions_for(spark, rows):
+            parts = panes.listed(spark, batch_id, note, entry, closed - late_ms - size_ms)
         notes.write(spark, batch_id, {"batch_id": batch_id, "seen": now, **parts})
 
     def close(spark: SparkSession) -> None:
@@ -152,6 +161,20 @@ def sliding_in_batches(
     return Handler(handle, close)
 
 
+def _most_counts(panes: DataFrame, keys: Sequence[str], size: timedelta, slide: timedelta) -> int:
+    """About how many counts can come from panes: one from each for each of its windows, or one for each key and window."""
+    found = panes.agg(
+        F.count("*").alias("panes"),
+        (F.approx_count_distinct(F.xxhash64(*keys)) if keys else F.lit(1)).alias("different"),
+        F.min("pane_end").alias("first_end"),
+        F.max("pane_end").alias("last_end"),
+    ).first()
+    if found.first_end is None:
+        return 0
+    windows = (found.last_end - found.first_end + millis(size)) // millis(slide)
+    return min(found.panes * (size // slide), found.different * windows)
+
+
 def too_late(rows: DataFrame, size: timedelta, slide: timedelta, low: int | None, ts: str = "ts") -> DataFrame:
     """Rows with ``window_end`` for each of their sliding windows that ends at ``low`` or before."""
     ends = window_ends(F.col(ts), size, slide)
@@ -179,7 +202,15 @@ def purging_in_batches(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        counted = prepare(batch, batch_id) if prepare else batch
-        write(sliding_count(counted, keys, size, slide, ts), batch_id)
+        spark = batch.sparkSession
+        _, rows = newest_time(batch, ts)
+        with partitions_for(spark, rows):
+            panes = pane_count(prepare(batch, batch_id) if prepare else batch, keys, slide, ts).persist()
+            try:
+                most = _most_counts(panes, keys, size, slide)
+                with partitions_for(spark, most, TASK_COUNTS):
+                    write(slide_panes(panes, keys, size, slide), batch_id)
+            finally:
+                panes.unpersist()
 
     return handle

@@ -729,3 +729,61 @@ def test_each_batch_of_a_feed_has_as_many_files(spark, folder, monkeypatch):
         feed = [spark.read.schema(views.EVENTS).parquet(f"{folder}/{named}/{k:04}") for k in range(8)]
         assert [len(batch.inputFiles()) for batch in feed] == [5] * 8
         assert sum(batch.count() for batch in feed) == 400
+
+
+@pytest.fixture
+def many_partitions(spark):
+    before = spark.conf.get(carry.PARTITIONS)
+    spark.conf.set(carry.PARTITIONS, "64")
+    yield
+    spark.conf.set(carry.PARTITIONS, before)
+
+
+def test_partitions_follow_the_rows_up_to_the_setting(spark, many_partitions):
+    made = []
+    for rows in (0, 1, 100, 101, 10_000):
+        with carry.partitions_for(spark, rows, 100):
+            made.append(int(spark.conf.get(carry.PARTITIONS)))
+    with pytest.raises(ValueError), carry.partitions_for(spark, 5, 100):
+        raise ValueError
+    assert made == [1, 1, 1, 2, 64]
+    assert spark.conf.get(carry.PARTITIONS) == "64"
+
+
+@pytest.mark.parametrize("lateness", [0, 60])
+def test_windows_of_a_small_batch_are_made_in_few_tasks(spark, feed, folder, many_partitions, lateness):
+    source = feed(["url", "at"])
+    source.add(*[[(u, 60 * k + j) for j, u in enumerate("abcde")] for k in range(4)], [("end", 9000)])
+    rows, keep, tasks = source.stream(), sinks.write_rows(result_path(folder)), []
+
+    def write(counts, batch_id):
+        tasks.append(counts.rdd.getNumPartitions())
+        keep(counts, batch_id)
+
+    size, slide = timedelta(minutes=10), timedelta(seconds=5)
+    late = timedelta(seconds=lateness)
+    handle = stream_windows.sliding_in_batches(folder, rows, ["url"], size, slide, write, lateness=late)
+    finish(sinks.start(rows, "few", folder, handle))
+    assert max(tasks) <= 2
+    want = windows.sliding_count(source.table(), ["url"], size, slide).where(closed(source.table()))
+    assert bag(latest_rows(spark.read.parquet(result_path(folder)))) == bag(want)
+
+
+def test_firings_of_a_small_batch_are_made_in_few_tasks(spark, feed, folder, many_partitions):
+    source, tasks = feed(["url", "at"]), []
+    source.add([("a", 1), ("b", 2), (None, 3)], [])
+    rows = source.stream()
+    size, slide = timedelta(minutes=10), timedelta(seconds=5)
+    write = lambda counts, _: tasks.append((counts.rdd.getNumPartitions(), counts.count()))
+    finish(sinks.start(rows, "few", folder, stream_windows.purging_in_batches(folder, ["url"], size, slide, write)))
+    assert max(t for t, _ in tasks) == 1
+    assert sum(n for _, n in tasks) == 360
+
+
+def test_counts_are_kept_once_and_ranked_from_what_was_kept(spark, folder):
+    read = []
+    rows = spark.createDataFrame([("a", 1, 5)], "url string, window_end long, count long")
+    sinks.write_and_pass(f"{folder}/counts", lambda batch, _: read.append((batch.inputFiles(), bag(batch))))(rows, 7)
+    sinks.write_and_pass(f"{folder}/counts", lambda batch, _: read.append((batch.inputFiles(), bag(batch))))(rows.limit(0), 8)
+    assert all("/counts/batch_id=7/" in f for f in read[0][0]) and read[0][0]
+    assert [found for _, found in read] == [[(5, "a", 1)], []]
