@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.times import millis
 from eventide.operators import orders
-from eventide.streaming.carry import Increments, Note, later, newest_time
+from eventide.streaming.carry import Increments, Note, later, newest_time, partitions_for
 from eventide.streaming.sinks import BatchWriter, Handler
 
 STEPS = "order_id long, at long, step int, n long"
@@ -53,8 +53,14 @@ def _in_batches(
     def match(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         note = notes.read(spark, batch_id)
-        now = later(note.get("seen"), newest_time(batch, ts)[0])
-        clock = now if now is not None else 0
+        newest, rows = newest_time(batch, ts)
+        now = later(note.get("seen"), newest)
+        with partitions_for(spark, rows + waiting.size(note)):
+            parts = matched(batch, batch_id, note, now)
+        notes.write(spark, batch_id, {"batch_id": batch_id, "seen": now, **parts})
+
+    def matched(batch: DataFrame, batch_id: int, note: dict, now: int | None) -> dict:
+        spark, clock = batch.sparkSession, now if now is not None else 0
         old = waiting.read(spark, note).groupBy("order_id", "at", "step").agg(F.sum("n").alias("n")).where("n > 0")
         known = orders.counted_steps(batch).withColumn("was", F.lit(0).cast("long"))
         known = known.unionByName(old.withColumn("was", F.col("n"))).groupBy("order_id", "at", "step")
@@ -69,8 +75,7 @@ def _in_batches(
             both.unpersist()
         finally:
             known.unpersist()
-        parts = waiting.listed(spark, batch_id, note, entry, clock - reach_ms - 1)
-        notes.write(spark, batch_id, {"batch_id": batch_id, "seen": now, **parts})
+        return waiting.listed(spark, batch_id, note, entry, clock - reach_ms - 1)
 
     def close(spark: SparkSession) -> None:
         note = notes.newest(spark)

@@ -780,6 +780,19 @@ def test_firings_of_a_small_batch_are_made_in_few_tasks(spark, feed, folder, man
     assert sum(n for _, n in tasks) == 360
 
 
+@pytest.mark.parametrize(
+    "job", [stream_orders.order_pay_match_in_batches, stream_orders.order_timeout_warning_in_batches]
+)
+def test_orders_of_a_small_batch_are_settled_in_few_tasks(spark, feed, folder, many_partitions, job):
+    source, set_to = feed(ORDER), []
+    source.add([(1, "create", 0), (2, "create", 5)], [(1, "pay", 60)], [(None, None, 90_000)])
+    rows = source.stream()
+    write = lambda told, _: set_to.append((told.count(), told.sparkSession.conf.get(carry.PARTITIONS)))
+    finish(sinks.start(rows, "few", folder, job(folder, write)))
+    assert {n for _, n in set_to} == {"1"}
+    assert sum(n for n, _ in set_to) == 2
+
+
 def test_counts_are_kept_once_and_ranked_from_what_was_kept(spark, folder):
     read = []
     rows = spark.createDataFrame([("a", 1, 5)], "url string, window_end long, count long")
